@@ -179,3 +179,174 @@ ORACLE["hourly_aggregates"] = with_base(HOURLY_CTE) + "SELECT * FROM hourly"
 ORACLE["hourly_sample"] = with_base(HOURLY_CTE) + """
 SELECT hour_window, device_id, metric_name, avg_value, min_value, max_value, event_count
 FROM hourly ORDER BY hour_window, device_id, metric_name LIMIT 10"""
+
+
+# --- quality ----------------------------------------------------------------
+
+def _nulls() -> str:
+    return ",\n".join(
+        f"    CAST(count(*) FILTER (WHERE {'\"timestamp\"' if c == 'timestamp' else c} IS NULL) AS BIGINT) AS null_{c}"
+        for c in NULL_CHECK_COLUMNS)
+
+
+PROFILE_CTE = f"""prof AS (
+  SELECT CAST(count(*) AS BIGINT) AS total,
+{_nulls()},
+    min(value) AS min_val, max(value) AS max_val,
+    CAST(count(*) FILTER (WHERE value < 0) AS BIGINT) AS negative_count,
+    CAST(count(*) FILTER (WHERE value > 1000) AS BIGINT) AS extreme_count,
+    CAST(count(DISTINCT event_id) AS BIGINT) AS unique_ids
+  FROM clean
+)"""
+
+
+def _pct(c: str) -> str:
+    return (f"CASE WHEN null_{c} * 1.0 / total > 0.01 THEN '{c}: ' || "
+            f"printf('%.2f', CAST(round(CAST(CAST(null_{c} * 100.0 / total AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE))"
+            f" || '% null (>1%)' END")
+
+
+NULL_FAILS = "concat_ws('; ', " + ", ".join(_pct(c) for c in NULL_CHECK_COLUMNS) + ")"
+
+CHECKS_CTE = f"""checks AS (
+  SELECT 1 AS check_order, 'row_count' AS "check", total >= 1 AS passed,
+         'Total rows: ' || total || ' (threshold: >= 1)' AS detail FROM prof
+  UNION ALL
+  SELECT 2, 'null_rates', total > 0 AND {NULL_FAILS} = '',
+         CASE WHEN total = 0 THEN 'No data to check'
+              WHEN {NULL_FAILS} = '' THEN 'All columns within threshold'
+              ELSE {NULL_FAILS} END FROM prof
+  UNION ALL
+  SELECT 3, 'value_ranges', total > 0 AND negative_count = 0 AND extreme_count = 0,
+         CASE WHEN total = 0 THEN 'No data to check' ELSE
+         'Range: [' || printf('%.2f', min_val) || ', ' || printf('%.2f', max_val)
+         || '], negatives: ' || negative_count || ', extremes(>1000): ' || extreme_count END FROM prof
+  UNION ALL
+  SELECT 4, 'duplicates', total - unique_ids = 0,
+         'Total: ' || total || ', Unique: ' || unique_ids || ', Duplicates: ' || (total - unique_ids) FROM prof
+)"""
+
+_Q = with_base(PROFILE_CTE, CHECKS_CTE)
+ORACLE["check_row_count"] = _Q + 'SELECT "check", passed, detail FROM checks WHERE check_order = 1'
+ORACLE["check_null_rates"] = _Q + 'SELECT "check", passed, detail FROM checks WHERE check_order = 2'
+ORACLE["check_value_ranges"] = _Q + 'SELECT "check", passed, detail FROM checks WHERE check_order = 3'
+ORACLE["check_duplicates"] = _Q + 'SELECT "check", passed, detail FROM checks WHERE check_order = 4'
+ORACLE["quality_report"] = _Q + 'SELECT check_order, "check", passed, detail FROM checks'
+ORACLE["quality_gate"] = _Q + """
+SELECT bool_and(passed) AS all_passed,
+       CASE WHEN bool_and(passed) THEN 'aggregate' ELSE 'alert' END AS action,
+       coalesce(string_agg("check", ',' ORDER BY check_order) FILTER (WHERE NOT passed), '') AS failed_checks
+FROM checks"""
+
+
+# --- features and scoring ---------------------------------------------------
+
+def _cols(fmt: str, sep: str = ",\n  ") -> str:
+    return sep.join(fmt.format(m=m) for m in METRICS)
+
+
+def feature_ctes(snapshot_filter: str = "", scaler_from: str | None = None,
+                 prefix: str = "") -> list[str]:
+    """piv -> feat -> sc -> norm -> lab; ``prefix`` renames the CTEs."""
+    p = prefix
+    where = f" AND snapshot_id <= {snapshot_filter}" if snapshot_filter else ""
+    ctes = [
+        f"""{p}piv AS (
+  SELECT date_trunc('minute', "timestamp") AS time_window,
+  {_cols("avg(value) FILTER (WHERE metric_name = '{m}') AS {m}")}
+  FROM clean WHERE "timestamp" IS NOT NULL{where} GROUP BY 1
+)""",
+        f"""{p}feat AS (
+  SELECT time_window,
+  {_cols("coalesce({m}, (SELECT avg({m}) FROM " + p + "piv), 0.0) AS {m}")}
+  FROM {p}piv
+)""",
+        f"""{p}sc AS (
+  SELECT {_cols("min({m}) AS lo_{m}, max({m}) AS hi_{m}", ", ")} FROM {p}feat
+)""",
+    ]
+    src = scaler_from or f"{p}sc"
+    ctes += [
+        f"""{p}norm AS (
+  SELECT time_window,
+  {_cols("CASE WHEN hi_{m} - lo_{m} = 0 THEN {m} - lo_{m} ELSE ({m} - lo_{m}) / (hi_{m} - lo_{m}) END AS {m}")}
+  FROM {p}feat, {src}
+)""",
+        f"""{p}lab AS (
+  SELECT *, CASE WHEN position < CAST(trunc(n * 0.7::DOUBLE) AS BIGINT) THEN 'train'
+                 WHEN position < CAST(trunc(n * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) THEN 'val'
+                 ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY time_window) - 1 AS position,
+               count(*) OVER () AS n FROM {p}norm)
+)""",
+    ]
+    return ctes
+
+
+def _pub(src: str) -> str:
+    return f"SELECT time_window, {_cols('round({m}, 6) AS {m}', ', ')} FROM {src}"
+
+
+_F = with_base(*feature_ctes())
+ORACLE["pivot_minutes"] = _F + _pub("piv")
+ORACLE["feature_matrix"] = _F + _pub("feat")
+ORACLE["normalized_features"] = _F + _pub("norm")
+ORACLE["scaler_params"] = _F + " UNION ALL ".join(
+    f"SELECT {i} AS feature_index, '{m}' AS feature_name, round(lo_{m}, 6) AS data_min, "
+    f"round(hi_{m}, 6) AS data_max FROM sc" for i, m in enumerate(METRICS))
+ORACLE["apply_scaler"] = with_base(*feature_ctes("1", prefix="old_"),
+                                   *feature_ctes(scaler_from="old_sc")) + _pub("norm")
+ORACLE["time_split"] = _F + "SELECT time_window, position, split FROM lab"
+ORACLE["split_sizes"] = _F + "SELECT split, CAST(count(*) AS BIGINT) AS rows FROM lab GROUP BY 1"
+
+_SQ = " + ".join(f"({m} - m_{m}) * ({m} - m_{m})" for m in METRICS)
+SCORING_CTES = feature_ctes() + [
+    f"""mu AS (SELECT {_cols("avg({m}) AS m_{m}", ", ")} FROM lab WHERE split = 'train')""",
+    f"""err AS (SELECT time_window, split, ({_SQ}) / 5.0 AS error FROM lab, mu)""",
+    """thr AS (SELECT quantile_cont(error, 0.95) AS p95, quantile_cont(error, 0.99) AS p99
+             FROM err WHERE split = 'train')""",
+    """nsyn AS (SELECT greatest(count(*), 5) AS n FROM lab WHERE split = 'test')""",
+]
+
+
+def _u(j: int) -> str:
+    return (f"CAST(('0x' || substr(md5(concat_ws(':', '42', CAST(syn_id AS VARCHAR), '{j}')), 1, 8))"
+            f" AS BIGINT) / 4294967296.0")
+
+
+_SYN_COLS = []
+for _j, _m in enumerate(METRICS):
+    _SYN_COLS.append(f"0.9 + 0.1 * {_u(_j + len(METRICS))} AS {_m}" if _j in (0, 2)
+                     else f"{_u(_j)} AS {_m}")
+SCORING_CTES += [
+    f"""syn AS (SELECT range AS syn_id, {', '.join(_SYN_COLS)} FROM nsyn, range(nsyn.n))""",
+    f"""synerr AS (SELECT syn_id, {_cols('{m}', ', ')}, ({_SQ}) / 5.0 AS error FROM syn, mu)""",
+    """cm AS (SELECT
+        (SELECT CAST(count(*) FILTER (WHERE error > p95) AS BIGINT) FROM synerr, thr) AS true_positives,
+        (SELECT CAST(count(*) FILTER (WHERE error > p95) AS BIGINT) FROM err, thr WHERE split = 'test') AS false_positives,
+        (SELECT count(*) FROM synerr) AS n_syn,
+        (SELECT count(*) FROM err WHERE split = 'test') AS n_test)""",
+]
+_S = with_base(*SCORING_CTES)
+ORACLE["reconstruction_error"] = _S + "SELECT time_window, split, round(error, 6) AS error FROM err"
+ORACLE["error_thresholds"] = _S + "SELECT round(p95, 6) AS p95, round(p99, 6) AS p99 FROM thr"
+ORACLE["error_stats"] = _S + """
+SELECT round(avg(error) FILTER (WHERE split = 'train'), 6) AS train_mean,
+       round(stddev_pop(error) FILTER (WHERE split = 'train'), 6) AS train_std,
+       round(avg(error) FILTER (WHERE split = 'test'), 6) AS test_mean,
+       round(stddev_pop(error) FILTER (WHERE split = 'test'), 6) AS test_std
+FROM err"""
+ORACLE["anomaly_flags"] = _S + """
+SELECT time_window, round(error, 6) AS error, error > p95 AS flag_p95, error > p99 AS flag_p99
+FROM err, thr WHERE split = 'test'"""
+ORACLE["synthetic_anomalies"] = _S + f"""
+SELECT syn_id, {_cols('round({m}, 6) AS {m}', ', ')}, round(error, 6) AS error, error > p95 AS flag_p95
+FROM synerr, thr"""
+ORACLE["confusion_matrix"] = _S + """
+SELECT true_positives, false_positives, CAST(n_syn - true_positives AS BIGINT) AS false_negatives,
+       CAST(n_test - false_positives AS BIGINT) AS true_negatives FROM cm"""
+ORACLE["detection_metrics"] = _S + """
+, pr AS (SELECT true_positives / greatest(true_positives + false_positives, 1) AS precision,
+               true_positives / greatest(n_syn, 1) AS recall FROM cm)
+SELECT round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(2.0 * precision * recall / greatest(precision + recall, 1e-8), 6) AS f1 FROM pr"""

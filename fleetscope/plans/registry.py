@@ -83,3 +83,164 @@ def hourly_aggregates(spark, sf_dir):
 @query("hourly_sample")
 def hourly_sample(spark, sf_dir):
     return A.hourly_sample(_hourly(spark, sf_dir)).withColumn("hour_window", ntz("hour_window"))
+
+
+# --- quality ----------------------------------------------------------------
+
+from fleetscope.operators import quality as Q  # noqa: E402
+
+
+@query("check_row_count")
+def check_row_count(spark, sf_dir):
+    return Q.check_row_count(frames.clean(spark, sf_dir))
+
+
+@query("check_null_rates")
+def check_null_rates(spark, sf_dir):
+    return Q.check_null_rates(frames.clean(spark, sf_dir))
+
+
+@query("check_value_ranges")
+def check_value_ranges(spark, sf_dir):
+    return Q.check_value_ranges(frames.clean(spark, sf_dir))
+
+
+@query("check_duplicates")
+def check_duplicates(spark, sf_dir):
+    return Q.check_duplicates(frames.clean(spark, sf_dir))
+
+
+@query("quality_report")
+def quality_report(spark, sf_dir):
+    return Q.quality_report(frames.clean(spark, sf_dir))
+
+
+@query("quality_gate")
+def quality_gate(spark, sf_dir):
+    return Q.gate(Q.quality_report(frames.clean(spark, sf_dir)))
+
+
+# --- features ---------------------------------------------------------------
+
+from fleetscope.functions.numeric import r6  # noqa: E402
+from fleetscope.operators import features as FT  # noqa: E402
+from fleetscope.operators import scoring as M  # noqa: E402
+from fleetscope.plans.dataset import prepare  # noqa: E402
+from fleetscope.schema import METRICS  # noqa: E402
+
+
+def _prepared(spark, sf_dir, **kw):
+    return prepare(frames.clean(spark, sf_dir), **kw)
+
+
+def _publish(df, metrics=METRICS):
+    return df.select(ntz("time_window").alias("time_window"),
+                     *[r6(F.col(m)).alias(m) for m in metrics])
+
+
+@query("pivot_minutes")
+def pivot_minutes(spark, sf_dir):
+    return _publish(_prepared(spark, sf_dir).pivoted)
+
+
+@query("feature_matrix")
+def feature_matrix(spark, sf_dir):
+    return _publish(_prepared(spark, sf_dir).features)
+
+
+@query("scaler_params")
+def scaler_params(spark, sf_dir):
+    s = _prepared(spark, sf_dir).scaler
+    return s.select("feature_index", "feature_name", r6(F.col("data_min")).alias("data_min"),
+                    r6(F.col("data_max")).alias("data_max"))
+
+
+@query("normalized_features")
+def normalized_features(spark, sf_dir):
+    return _publish(_prepared(spark, sf_dir).normalized)
+
+
+@query("apply_scaler")
+def apply_scaler(spark, sf_dir):
+    """F8: the scaler fitted as of snapshot 1 applied to the latest features."""
+    old = _prepared(spark, sf_dir, snapshot_id=1)
+    latest = _prepared(spark, sf_dir, scaler=old.scaler)
+    return _publish(latest.normalized)
+
+
+@query("time_split")
+def time_split(spark, sf_dir):
+    s = _prepared(spark, sf_dir).split
+    return s.select(ntz("time_window").alias("time_window"), "position", "split")
+
+
+@query("split_sizes")
+def split_sizes(spark, sf_dir):
+    return _prepared(spark, sf_dir).sizes()
+
+
+# --- scoring with the fixed mean reconstructor -------------------------------
+
+def _scored(spark, sf_dir):
+    p = _prepared(spark, sf_dir)
+    recon = M.mean_reconstructor(p.part("train"))
+    errors = M.reconstruction_errors(p.split, recon)
+    limits = M.thresholds(errors.where(F.col("split") == "train"))
+    return p, recon, errors, limits
+
+
+@query("reconstruction_error")
+def reconstruction_error(spark, sf_dir):
+    _, _, errors, _ = _scored(spark, sf_dir)
+    return errors.select(ntz("time_window").alias("time_window"), "split",
+                         r6(F.col("error")).alias("error"))
+
+
+@query("error_thresholds")
+def error_thresholds(spark, sf_dir):
+    _, _, _, limits = _scored(spark, sf_dir)
+    return limits.select(r6(F.col("p95")).alias("p95"), r6(F.col("p99")).alias("p99"))
+
+
+@query("error_stats")
+def error_stats(spark, sf_dir):
+    _, _, errors, _ = _scored(spark, sf_dir)
+    s = M.error_stats(errors)
+    return s.select(*[r6(F.col(c)).alias(c) for c in s.columns])
+
+
+@query("anomaly_flags")
+def anomaly_flags(spark, sf_dir):
+    _, _, errors, limits = _scored(spark, sf_dir)
+    f = M.flag(errors.where(F.col("split") == "test"), limits)
+    return f.select(ntz("time_window").alias("time_window"), r6(F.col("error")).alias("error"),
+                    "flag_p95", "flag_p99")
+
+
+def _synthetic(spark, sf_dir):
+    p, recon, errors, limits = _scored(spark, sf_dir)
+    n_test = p.part("test").count()
+    syn = M.synthetic_anomalies(spark, n_test)
+    syn_flags = M.flag(M.reconstruction_errors(syn, recon), limits)
+    test_flags = M.flag(errors.where(F.col("split") == "test"), limits)
+    return syn_flags, test_flags
+
+
+@query("synthetic_anomalies")
+def synthetic_anomalies(spark, sf_dir):
+    syn, _ = _synthetic(spark, sf_dir)
+    return syn.select("syn_id", *[r6(F.col(m)).alias(m) for m in METRICS],
+                      r6(F.col("error")).alias("error"), "flag_p95")
+
+
+@query("confusion_matrix")
+def confusion_matrix(spark, sf_dir):
+    syn, test = _synthetic(spark, sf_dir)
+    return M.confusion(test, syn)
+
+
+@query("detection_metrics")
+def detection_metrics(spark, sf_dir):
+    syn, test = _synthetic(spark, sf_dir)
+    d = M.detection_metrics(M.confusion(test, syn))
+    return d.select(*[r6(F.col(c)).alias(c) for c in d.columns])

@@ -28,6 +28,7 @@ def build_session(master: str | None = None, app: str = "fleetscope",
     conf.update({
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
     })
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
