@@ -1,9 +1,14 @@
-"""load -> pivot -> impute -> scale -> split, as one lazy composition."""
+"""load -> pivot -> impute -> scale -> split, as one lazy composition.
+
+Stages are built on first use and then reused, so a caller asking for the
+pivot alone never runs the fits (means, min/max, row count) of later stages.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,14 +16,58 @@ from fleetscope.operators import features as FT
 from fleetscope.schema import METRICS
 
 
-@dataclass
 class Prepared:
-    events: DataFrame
-    pivoted: DataFrame
-    features: DataFrame
-    scaler: DataFrame
-    normalized: DataFrame
-    split: DataFrame
+    """Compose F1-F10 over clean events.
+
+    ``fit_on="all"`` keeps the reference behaviour (scaler fitted on every row
+    before the split, a leak); ``fit_on="train"`` fits it on the training part
+    only. A given ``scaler`` (F8) is applied as is. ``min_rows`` raises when
+    fewer vectors exist (F6) -- an early ``limit(n).count()``, not a full count.
+    The feature frame is persisted once it is needed by a fit: it is bounded
+    by the number of windows (x keys), not by the event volume.
+    """
+
+    def __init__(self, clean: DataFrame, snapshot_id: int | None = None,
+                 grain: str = "1 minute", keys: tuple[str, ...] = (),
+                 fit_on: str = "all", scaler: DataFrame | None = None,
+                 min_rows: int | None = None):
+        self.clean, self.snapshot_id, self.grain = clean, snapshot_id, grain
+        self.keys, self.fit_on, self._scaler, self.min_rows = tuple(keys), fit_on, scaler, min_rows
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return FT.load_events(self.clean, self.snapshot_id)
+
+    @cached_property
+    def pivoted(self) -> DataFrame:
+        return FT.pivot_metrics(self.events, self.grain, self.keys)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        f = FT.impute(self.pivoted.persist(StorageLevel.MEMORY_AND_DISK))
+        if self.min_rows is not None:
+            have = f.limit(self.min_rows).count()
+            if have < self.min_rows:
+                raise ValueError(f"Only {have} complete feature vectors after pivoting; "
+                                 f"need at least {self.min_rows}")
+        return f
+
+    @cached_property
+    def scaler(self) -> DataFrame:
+        if self._scaler is not None:
+            return self._scaler
+        if self.fit_on == "train":
+            order = FT.chronological_split(self.features, self.keys)
+            return FT.fit_scaler(order.where(F.col("split") == "train"))
+        return FT.fit_scaler(self.features)
+
+    @cached_property
+    def normalized(self) -> DataFrame:
+        return FT.apply_scaler(self.features, self.scaler)
+
+    @cached_property
+    def split(self) -> DataFrame:
+        return FT.chronological_split(self.normalized, self.keys)
 
     def part(self, name: str) -> DataFrame:
         return self.split.where(F.col("split") == name)
@@ -27,35 +76,10 @@ class Prepared:
         return FT.split_sizes(self.split)
 
 
-def prepare(clean: DataFrame, snapshot_id: int | None = None, grain: str = "1 minute",
-            keys: tuple[str, ...] = (), fit_on: str = "all",
-            scaler: DataFrame | None = None, min_rows: int | None = None) -> Prepared:
-    """Compose F1-F10.
+def prepare(clean: DataFrame, **kw) -> Prepared:
+    return Prepared(clean, **kw)
 
-    ``fit_on="all"`` keeps the reference behaviour (scaler fitted on every
-    row before the split); ``fit_on="train"`` fits it on the training part
-    only. A given ``scaler`` (F8) is applied as is. ``min_rows`` raises when
-    fewer vectors exist (F6) -- an early ``limit(n).count()``, not a full count.
-    """
-    events = FT.load_events(clean, snapshot_id)
-    pivoted = FT.pivot_metrics(events, grain, keys)
-    features = FT.impute(pivoted)
-    if min_rows is not None:
-        have = features.limit(min_rows).count()
-        if have < min_rows:
-            raise ValueError(f"Only {have} complete feature vectors after pivoting; "
-                             f"need at least {min_rows}")
-    if scaler is None:
-        if fit_on == "train":
-            order = FT.chronological_split(features, keys)
-            scaler = FT.fit_scaler(order.where(F.col("split") == "train"))
-        else:
-            scaler = FT.fit_scaler(features)
-    normalized = FT.apply_scaler(features, scaler)
-    split = FT.chronological_split(normalized, keys)
-    return Prepared(events, pivoted, features, scaler, normalized, split)
-
-
-def feature_array(df: DataFrame, metrics=METRICS, name: str = "x"):
+
+def feature_array(metrics=METRICS, name: str = "x"):
     """The model-boundary view: the five features as one array column."""
     return F.array(*[F.col(m) for m in metrics]).alias(name)

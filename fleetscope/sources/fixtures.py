@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.schema import LOCATIONS, METRIC_UNITS
-from fleetscope.sources.tables import read_table
+from fleetscope.sources.tables import read_table, spread
 
 TOPIC = "telemetry.raw"
 PARTITIONS = 4
@@ -50,8 +50,8 @@ def _case(key: Column, mapping: dict, default) -> Column:
 
 def telemetry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed telemetry fields per source event (before JSON encoding)."""
-    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id",
-                    "event_type", "value")
+    ev = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id",
+                           "event_type", "value"))
     eid = F.col("event_id")
     r100 = eid % 100
     base_metric = _case(F.col("event_type"), EVENT_TYPE_METRIC, DEFAULT_METRIC)

@@ -11,3 +11,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     """Scan one parquet table; naming columns prunes the ReadSchema."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster only when it has too few splits.
+
+    A large table already arrives in thousands of splits and is left alone
+    (no extra shuffle); a file too small to split -- one row group -- would
+    otherwise run every per-row stage before the first shuffle in one task.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
