@@ -350,3 +350,119 @@ ORACLE["detection_metrics"] = _S + """
                true_positives / greatest(n_syn, 1) AS recall FROM cm)
 SELECT round(precision, 6) AS precision, round(recall, 6) AS recall,
        round(2.0 * precision * recall / greatest(precision + recall, 1e-8), 6) AS f1 FROM pr"""
+
+
+# --- catalog, health, experiments -------------------------------------------
+
+COMMITS_CTES = [
+    """cmt_b AS (
+  SELECT snapshot_id,
+    count(*) FILTER (WHERE rejection_reason IS NULL) AS clean_rows,
+    max(CASE WHEN year("timestamp") < 2099 THEN "timestamp" END)
+      FILTER (WHERE rejection_reason IS NULL) AS clean_at,
+    count(*) FILTER (WHERE rejection_reason IS NOT NULL) AS dead_rows,
+    max(CASE WHEN year("timestamp") < 2099 THEN "timestamp" END)
+      FILTER (WHERE rejection_reason IS NOT NULL) AS dead_at
+  FROM val GROUP BY snapshot_id)""",
+    """hourly_s AS (
+  SELECT snapshot_id, count(*) AS hourly_rows FROM (
+    SELECT DISTINCT snapshot_id, time_bucket(INTERVAL 1 HOUR, "timestamp") AS h, device_id, metric_name
+    FROM clean WHERE "timestamp" IS NOT NULL) GROUP BY 1)""",
+    """commits AS (
+  SELECT * FROM (
+    SELECT 'clean_events' AS table_name, CAST(snapshot_id AS BIGINT) AS snapshot_id,
+           clean_at AS committed_at, 'append' AS operation, CAST(clean_rows AS BIGINT) AS rows FROM cmt_b
+    UNION ALL
+    SELECT 'dead_letter', CAST(snapshot_id AS BIGINT), dead_at, 'append', CAST(dead_rows AS BIGINT) FROM cmt_b
+    UNION ALL
+    SELECT 'hourly_aggregates', CAST(b.snapshot_id AS BIGINT), clean_at, 'overwrite',
+           CAST(coalesce(hourly_rows, 0) AS BIGINT) FROM cmt_b b LEFT JOIN hourly_s h USING (snapshot_id))
+  WHERE rows > 0)""",
+    """tables AS (
+  SELECT table_name, CAST(sum(rows) AS BIGINT) AS row_count, max(committed_at) AS last_updated,
+         CAST(count(*) AS BIGINT) AS snapshot_count,
+         CASE WHEN table_name = 'clean_events' THEN (SELECT avg(CAST(passed AS DOUBLE)) FROM checks) END
+           AS quality_score
+  FROM commits GROUP BY 1)""",
+    f"""fresh AS (
+  SELECT table_name, last_updated, row_count,
+         coalesce(last_updated < (SELECT max(last_updated) FROM tables) - INTERVAL {STALE_AFTER_MINUTES} MINUTE,
+                  true) AS is_stale
+  FROM tables)""",
+]
+_C = with_base(PROFILE_CTE, CHECKS_CTE, *COMMITS_CTES)
+ORACLE["dataset_list"] = _C + "SELECT * FROM tables"
+ORACLE["snapshot_list"] = _C + """
+SELECT table_name, CAST(snapshot_id AS VARCHAR) AS snapshot_id, committed_at, operation, rows FROM commits"""
+ORACLE["table_sample"] = with_base() + """
+SELECT * FROM clean WHERE snapshot_id <= 2 ORDER BY "timestamp", event_id LIMIT 10"""
+ORACLE["dataset_totals"] = _C + """
+SELECT CAST(count(*) AS BIGINT) AS tables, CAST(sum(row_count) AS BIGINT) AS total_rows,
+       CAST(sum(snapshot_count) AS BIGINT) AS total_snapshots FROM tables"""
+ORACLE["quality_band"] = _C + """
+SELECT table_name, quality_score,
+       CASE WHEN quality_score IS NULL THEN 'N/A' WHEN quality_score >= 0.9 THEN 'green'
+            WHEN quality_score >= 0.7 THEN 'yellow' ELSE 'red' END AS band,
+       CAST(round(CAST(CAST(quality_score * 100 AS VARCHAR) AS DECIMAL(38,18)), 0) AS DOUBLE) AS percent
+FROM tables"""
+ORACLE["freshness"] = _C + "SELECT * FROM fresh"
+ORACLE["storage_status"] = _C + """
+SELECT CAST(count(*) FILTER (WHERE is_stale) AS BIGINT) AS stale_tables,
+       CASE WHEN coalesce(bool_or(is_stale), false) THEN 'degraded' ELSE 'healthy' END AS status
+FROM fresh"""
+
+RUNS_CTE = """runs AS (
+  SELECT CASE WHEN user_id % 2 = 0 THEN 'telemetry_pipeline' ELSE 'ml_training_pipeline' END AS dag_id,
+         CAST(event_id AS VARCHAR) AS run_id,
+         CASE WHEN event_id % 50 = 0 THEN 'failed' WHEN event_id % 50 = 1 THEN 'running'
+              ELSE 'success' END AS state,
+         ts AS execution_date, value AS duration_seconds
+  FROM events)"""
+ORACLE["run_status"] = f"WITH {RUNS_CTE}\n" + """
+SELECT dag_id, date_trunc('hour', execution_date) AS run_hour, CAST(count(*) AS BIGINT) AS runs,
+       CASE WHEN bool_and(state = 'success') THEN 'healthy'
+            WHEN bool_or(state = 'failed') THEN 'degraded' ELSE 'running' END AS overall_status
+FROM runs GROUP BY 1, 2"""
+ORACLE["run_timeline"] = f"WITH {RUNS_CTE}\n" + """
+SELECT dag_id, run_id, state, execution_date, duration_seconds,
+       CASE WHEN state = 'success' THEN 'OK' ELSE 'FAIL' END AS badge FROM runs"""
+
+LAG_CTE = """lagp AS (
+  SELECT l."partition", l.latest_offset, c.committed_offset,
+         l.latest_offset - coalesce(c.committed_offset, -1) AS lag
+  FROM (SELECT "partition", max("offset") AS latest_offset FROM msgs GROUP BY 1) l
+  LEFT JOIN (SELECT m."partition", max(m."offset") AS committed_offset
+             FROM msgs m JOIN (SELECT "partition", max("offset") AS latest FROM msgs GROUP BY 1) x
+               ON m."partition" = x."partition"
+             WHERE m."offset" % 97 <> 0 AND m."offset" < x.latest - 100 GROUP BY 1) c
+  ON l."partition" = c."partition")"""
+ORACLE["consumer_lag"] = with_base(LAG_CTE) + "SELECT * FROM lagp"
+ORACLE["ingest_health"] = with_base(LAG_CTE) + """
+SELECT 'telemetry.raw' AS topic, CAST(count(*) AS BIGINT) AS partitions,
+       CAST(sum(lag) AS BIGINT) AS total_lag,
+       CASE WHEN count(*) > 0 THEN 'healthy' ELSE 'unhealthy' END AS status FROM lagp"""
+
+LOGS_CTE = """logs AS (
+  SELECT 'exp_' || lpad(CAST(vec_id AS VARCHAR), 6, '0') AS experiment_id,
+         strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(vec_id), '%Y-%m-%dT%H:%M:%S') AS "timestamp",
+         CAST(embedding AS DOUBLE[]) AS train,
+         CAST(embedding AS DOUBLE[])[1:greatest(len(embedding) - 2, 0)] AS val
+  FROM embeddings),
+evals AS (
+  SELECT experiment_id, p AS precision, r AS recall, 2.0 * p * r / greatest(p + r, 1e-8) AS f1
+  FROM (SELECT 'exp_' || lpad(CAST(vec_id AS VARCHAR), 6, '0') AS experiment_id,
+               abs(CAST(embedding[1] AS DOUBLE)) AS p, abs(CAST(embedding[2] AS DOUBLE)) AS r
+        FROM embeddings WHERE vec_id % 3 <> 0)),
+elist AS (
+  SELECT l.experiment_id, l."timestamp", round(list_min(l.val), 6) AS best_val_loss,
+         CAST(len(l.train) AS BIGINT) AS epochs_completed, 'cpu' AS device,
+         round(e.precision, 6) AS precision, round(e.recall, 6) AS recall, round(e.f1, 6) AS f1
+  FROM logs l LEFT JOIN evals e USING (experiment_id))"""
+ORACLE["experiment_list"] = f"WITH {LOGS_CTE}\nSELECT * FROM elist"
+ORACLE["latest_model"] = f"WITH {LOGS_CTE}\n" + """
+SELECT experiment_id, 'experiments/' || experiment_id || '/model.pt' AS model_path,
+       best_val_loss, precision, recall, f1
+FROM elist WHERE experiment_id = (SELECT max(experiment_id) FROM elist)"""
+ORACLE["loss_curve"] = f"WITH {LOGS_CTE}\n" + """
+SELECT experiment_id, CAST(i AS INTEGER) AS epoch, round(train[i], 6) AS train, round(val[i], 6) AS validation
+FROM logs, range(1, len(train) + 1) t(i)"""

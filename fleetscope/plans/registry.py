@@ -244,3 +244,118 @@ def detection_metrics(spark, sf_dir):
     syn, test = _synthetic(spark, sf_dir)
     d = M.detection_metrics(M.confusion(test, syn))
     return d.select(*[r6(F.col(c)).alias(c) for c in d.columns])
+
+
+# --- catalog ----------------------------------------------------------------
+
+from fleetscope.operators import catalog as C  # noqa: E402
+from fleetscope.operators import experiments as E  # noqa: E402
+from fleetscope.operators import health as H  # noqa: E402
+from fleetscope.plans import derived  # noqa: E402
+from fleetscope.schema import CLEAN_EVENTS  # noqa: E402
+from fleetscope.sources.fixtures import TOPIC  # noqa: E402
+
+
+def _tables(spark, sf_dir):
+    report = Q.quality_report(frames.clean(spark, sf_dir))
+    return C.dataset_list(derived.commits(spark, sf_dir), report)
+
+
+@query("dataset_list")
+def dataset_list(spark, sf_dir):
+    return _tables(spark, sf_dir)
+
+
+@query("table_detail")
+def table_detail(spark, sf_dir):
+    return C.table_detail("clean_events", CLEAN_EVENTS, _tables(spark, sf_dir))
+
+
+@query("snapshot_list")
+def snapshot_list(spark, sf_dir):
+    return C.snapshot_list(derived.commits(spark, sf_dir))
+
+
+@query("table_sample")
+def table_sample(spark, sf_dir):
+    c = frames.clean(spark, sf_dir).withColumn("timestamp", ntz("timestamp"))
+    return C.table_sample(c, ["timestamp", "event_id"], snapshot_id=2)
+
+
+@query("dataset_totals")
+def dataset_totals(spark, sf_dir):
+    return C.dataset_totals(_tables(spark, sf_dir))
+
+
+@query("quality_band")
+def quality_band(spark, sf_dir):
+    return C.quality_bands(_tables(spark, sf_dir))
+
+
+@query("freshness")
+def freshness(spark, sf_dir):
+    return C.freshness(_tables(spark, sf_dir))
+
+
+@query("storage_status")
+def storage_status(spark, sf_dir):
+    return C.storage_status(C.freshness(_tables(spark, sf_dir)))
+
+
+# --- health -----------------------------------------------------------------
+
+@query("run_status")
+def run_status(spark, sf_dir):
+    runs = derived.dag_runs(spark, sf_dir).withColumn(
+        "run_hour", F.date_trunc("hour", "execution_date").cast("timestamp_ntz"))
+    return H.run_rollup(runs, ["dag_id", "run_hour"])
+
+
+@query("run_timeline")
+def run_timeline(spark, sf_dir):
+    return H.run_timeline(derived.dag_runs(spark, sf_dir))
+
+
+@query("consumer_lag")
+def consumer_lag(spark, sf_dir):
+    return H.consumer_lag(*derived.topic_offsets(spark, sf_dir))
+
+
+@query("ingest_health")
+def ingest_health(spark, sf_dir):
+    return H.ingest_health(H.consumer_lag(*derived.topic_offsets(spark, sf_dir)), TOPIC)
+
+
+# --- experiments ------------------------------------------------------------
+
+def _logs(spark, sf_dir):
+    return derived.run_logs(spark, sf_dir), derived.evaluations(spark, sf_dir)
+
+
+@query("experiment_list")
+def experiment_list(spark, sf_dir):
+    lst = E.experiment_list(*_logs(spark, sf_dir))
+    return lst.select("experiment_id", "timestamp", r6(F.col("best_val_loss")).alias("best_val_loss"),
+                      "epochs_completed", "device",
+                      *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query("experiment_detail")
+def experiment_detail(spark, sf_dir):
+    logs, evals = _logs(spark, sf_dir)
+    first = logs.agg(F.min("experiment_id")).first()[0]
+    return E.experiment_detail(logs, evals, first)
+
+
+@query("latest_model")
+def latest_model(spark, sf_dir):
+    m = E.latest_model(*_logs(spark, sf_dir))
+    return m.select("experiment_id", "model_path", r6(F.col("best_val_loss")).alias("best_val_loss"),
+                    *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query("loss_curve")
+def loss_curve(spark, sf_dir):
+    c = E.loss_curve(derived.run_logs(spark, sf_dir))
+    return c.select("experiment_id", "epoch", r6(F.col("train")).alias("train"),
+                    r6(F.col("validation")).alias("validation"))
