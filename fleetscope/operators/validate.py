@@ -96,3 +96,17 @@ def raw_anomaly_summary(flags: DataFrame) -> DataFrame:
         F.round(F.col("anomalies") * 100.0 / F.greatest(F.col("total"), F.lit(1)), 1)
          .alias("anomaly_pct"),
     )
+
+
+def registry_flag(df: DataFrame, registry: DataFrame, col: str,
+                  flag: str = "_known") -> DataFrame:
+    """V2 for registries too large to inline as an ``IN`` list.
+
+    A left equi-join against the distinct ids adds ``flag`` (true when known,
+    null otherwise; feed it to ``device_rule(known=...)``). AQE measures the
+    registry at runtime and broadcasts it only when it is small; a large one
+    is joined by shuffle instead. Null ids never match.
+    """
+    reg = (registry.select(F.col(registry.columns[0]).alias("_rid")).distinct()
+           .withColumn(flag, F.lit(True)))
+    return df.join(reg, df[col] == reg["_rid"], "left").drop("_rid")
