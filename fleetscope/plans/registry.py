@@ -359,3 +359,53 @@ def loss_curve(spark, sf_dir):
     c = E.loss_curve(derived.run_logs(spark, sf_dir))
     return c.select("experiment_id", "epoch", r6(F.col("train")).alias("train"),
                     r6(F.col("validation")).alias("validation"))
+
+
+# --- autoencoder (rows-only: training is iterative) ---------------------------
+
+from fleetscope.operators import autoencoder as AE  # noqa: E402
+from fleetscope.plans import evaluation as EV  # noqa: E402
+from fleetscope.plans import training as TR  # noqa: E402
+
+QUERY_EPOCHS = 5      # epochs for the registered model queries (the CLI default is 50)
+_TRAINED: dict = {}
+
+
+def _trained(spark, sf_dir):
+    key = (sf_dir, QUERY_EPOCHS)
+    if key not in _TRAINED:
+        p = _prepared(spark, sf_dir)
+        res = TR.train(spark, p.part("train"), p.part("val"), epochs=QUERY_EPOCHS)
+        _TRAINED[key] = (p, res)
+    return _TRAINED[key]
+
+
+@query("training_history")
+def training_history(spark, sf_dir):
+    p, res = _trained(spark, sf_dir)
+    hist = F.array(*[F.struct(F.lit(i + 1).alias("epoch"), F.lit(t).alias("train_loss"),
+                              F.lit(v).alias("val_loss"))
+                     for i, (t, v) in enumerate(zip(res.train_losses, res.val_losses))])
+    return (p.sizes().agg(F.sum("rows").alias("vectors"))
+            .select("vectors", F.inline(hist))
+            .withColumn("is_best", F.col("epoch") == res.best_epoch))
+
+
+@query("autoencoder_scores")
+def autoencoder_scores(spark, sf_dir):
+    p, res = _trained(spark, sf_dir)
+    e = M.reconstruction_errors(p.split, AE.reconstructor(spark, res.theta))
+    return e.select(ntz("time_window").alias("time_window"), "split", "error")
+
+
+@query("autoencoder_latent")
+def autoencoder_latent(spark, sf_dir):
+    p, res = _trained(spark, sf_dir)
+    return AE.latent(spark, p.split, res.theta, ["time_window", "split"]) \
+        .withColumn("time_window", ntz("time_window"))
+
+
+@query("evaluation_report")
+def evaluation_report(spark, sf_dir):
+    p, res = _trained(spark, sf_dir)
+    return EV.evaluate(spark, p, res.theta, "exp_query")
