@@ -70,19 +70,31 @@ def sorted_rank(df: DataFrame, order: Sequence[str | Column],
             .drop("_mid", "_part", "_local", "_offset"))
 
 
+# Largest input the single-buffer ``percentile`` aggregate may take: its final
+# task holds every distinct value (16 MB of doubles at this bound).
+SINGLE_TASK_QUANTILE_ROWS = 2_000_000
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default method).
 
     For n values sorted ascending, q(p) = v[lo] + (v[hi] - v[lo]) * frac with
-    pos = p * (n - 1), lo = floor(pos), hi = ceil(pos). Only the rows at the
-    needed positions are kept after the distributed rank; the result is one
-    row with a column per probability.
+    pos = p * (n - 1), lo = floor(pos), hi = ceil(pos). The row count is
+    checked first: up to ``SINGLE_TASK_QUANTILE_ROWS`` values Spark's exact
+    ``percentile`` aggregate (same interpolation, one job) is used; beyond it
+    the values are ranked by a distributed sort and only the rows at the
+    needed positions are kept. The result is one row, a column per
+    probability.
     """
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
+    n = vals.count()
+    if n <= SINGLE_TASK_QUANTILE_ROWS:
+        q = F.percentile("_v", [float(p) for p in probs])
+        return vals.agg(q.alias("_q")).select(
+            *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
     ranked = sorted_rank(vals, ["_v"])
-    n = ranked.count()
     if n == 0:
         return ranked.agg(*[F.lit(None).cast("double").alias(x) for x in names])
     pos = [F.lit(float(p) * (n - 1)) for p in probs]

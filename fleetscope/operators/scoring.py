@@ -65,9 +65,15 @@ def error_stats(errors: DataFrame) -> DataFrame:
                       F.stddev_pop(on("test")).alias("test_std"))
 
 
-def flag(errors: DataFrame, limits: DataFrame) -> DataFrame:
-    """M9: strictly above each threshold."""
-    lim = limits.first()
+def threshold_values(limits: DataFrame) -> dict[str, float]:
+    """The two thresholds as numbers (one row, fetched once)."""
+    r = limits.first()
+    return {"p95": r["p95"], "p99": r["p99"]}
+
+
+def flag(errors: DataFrame, limits) -> DataFrame:
+    """M9: strictly above each threshold (``limits``: frame or values)."""
+    lim = threshold_values(limits) if isinstance(limits, DataFrame) else limits
     return errors.withColumn("flag_p95", F.col("error") > F.lit(lim["p95"])) \
                  .withColumn("flag_p99", F.col("error") > F.lit(lim["p99"]))
 

@@ -73,7 +73,7 @@ msgs AS (
            || ', "timestamp": ' || coalesce('"' || ts_text || '"', 'null')
            || ', "device_id": ' || coalesce('"' || device_id || '"', 'null')
            || ', "metric_name": ' || coalesce('"' || metric_name || '"', 'null')
-           || ', "value": ' || coalesce(printf('%.2f', value), 'null')
+           || ', "value": ' || coalesce(CAST(CAST(value AS DECIMAL(20,2)) AS VARCHAR), 'null')
            || ', "unit": ' || coalesce('"' || unit || '"', 'null')
            || ', "location": ' || coalesce('"' || location || '"', 'null')
            || '}}' END AS raw

@@ -67,7 +67,9 @@ class Prepared:
 
     @cached_property
     def split(self) -> DataFrame:
-        return FT.chronological_split(self.normalized, self.keys)
+        # Reused by every fit and score downstream; bounded like the features.
+        return FT.chronological_split(self.normalized, self.keys).persist(
+            StorageLevel.MEMORY_AND_DISK)
 
     def part(self, name: str) -> DataFrame:
         return self.split.where(F.col("split") == name)

@@ -220,9 +220,10 @@ def anomaly_flags(spark, sf_dir):
 def _synthetic(spark, sf_dir):
     p, recon, errors, limits = _scored(spark, sf_dir)
     n_test = p.part("test").count()
+    lim = M.threshold_values(limits)
     syn = M.synthetic_anomalies(spark, n_test)
-    syn_flags = M.flag(M.reconstruction_errors(syn, recon), limits)
-    test_flags = M.flag(errors.where(F.col("split") == "test"), limits)
+    syn_flags = M.flag(M.reconstruction_errors(syn, recon), lim)
+    test_flags = M.flag(errors.where(F.col("split") == "test"), lim)
     return syn_flags, test_flags
 
 

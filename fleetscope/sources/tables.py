@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetscope.session import table_path
 
@@ -19,8 +20,13 @@ def spread(df: DataFrame) -> DataFrame:
     A large table already arrives in thousands of splits and is left alone
     (no extra shuffle); a file too small to split -- one row group -- would
     otherwise run every per-row stage before the first shuffle in one task.
+    Rows are placed by a hash of the whole row: deterministic on retry
+    without the local sort a round-robin repartition needs, and even unless
+    rows are duplicated wholesale.
     """
     spark = df.sparkSession
     want = spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    if have >= want:
+        return df
+    return df.repartition(want, F.xxhash64(*[F.col(c) for c in df.columns]))

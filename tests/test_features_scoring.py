@@ -88,8 +88,11 @@ def test_ranks_match_python_sort(spark):
     assert [r["v"] for r in sorted(b, key=lambda r: r["_rank"])] == sorted(vals)
 
 
+@pytest.mark.parametrize("single_task_bound", [0, 2_000_000])
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 333])
-def test_exact_quantiles_match_numpy(spark, n):
+def test_exact_quantiles_match_numpy(spark, n, single_task_bound, monkeypatch):
+    import fleetscope.functions.ranking as R
+    monkeypatch.setattr(R, "SINGLE_TASK_QUANTILE_ROWS", single_task_bound)
     rng = np.random.default_rng(n)
     vals = rng.exponential(size=n)
     df = spark.createDataFrame([(float(v),) for v in vals], "error double")
