@@ -76,7 +76,7 @@ SINGLE_TASK_QUANTILE_ROWS = 2_000_000
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, n: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default method).
 
     For n values sorted ascending, q(p) = v[lo] + (v[hi] - v[lo]) * frac with
@@ -89,12 +89,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     """
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    n = vals.count()
+    n = vals.count() if n is None else n  # an upper bound is enough for the choice
     if n <= SINGLE_TASK_QUANTILE_ROWS:
         q = F.percentile("_v", [float(p) for p in probs])
         return vals.agg(q.alias("_q")).select(
             *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
     ranked = sorted_rank(vals, ["_v"])
+    n = ranked.count()
     if n == 0:
         return ranked.agg(*[F.lit(None).cast("double").alias(x) for x in names])
     pos = [F.lit(float(p) * (n - 1)) for p in probs]

@@ -57,10 +57,33 @@ def pivot_metrics(events: DataFrame, grain: str = "1 minute",
             .agg(F.avg("value")))
 
 
-def impute(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+def pivot_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict:
+    """One aggregate over the pivot giving every fit of the default path.
+
+    Filling a column's gaps with its own mean leaves its min and max
+    unchanged and leaves no row incomplete, so the imputation means, the
+    scaler's min/max (a metric never seen is all 0.0) and the vector count
+    all come from this single job.
+    """
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for m in metrics:
+        aggs += [F.avg(m).alias(f"avg_{m}"), F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
+    r = pivoted.agg(*aggs).first()
+    return {
+        "n": int(r["n"]),
+        "means": {m: r[f"avg_{m}"] for m in metrics},
+        "scaler": {m: ((0.0, 0.0) if r[f"min_{m}"] is None else (r[f"min_{m}"], r[f"max_{m}"]))
+                   for m in metrics},
+    }
+
+
+def impute(pivoted: DataFrame, metrics: Sequence[str] = METRICS,
+           means: dict | None = None) -> DataFrame:
     """F4 + F5: fill a missing cell with its column mean over the pivoted rows
     (0.0 when the metric never occurs), then drop rows still incomplete."""
-    means = pivoted.agg(*[F.avg(m).alias(m) for m in metrics]).first()
+    if means is None:
+        row = pivoted.agg(*[F.avg(m).alias(m) for m in metrics]).first()
+        means = {m: row[m] for m in metrics}
     cols = [F.coalesce(F.col(m), F.lit(means[m]).cast("double"), F.lit(0.0)).alias(m)
             for m in metrics]
     keep = [c for c in pivoted.columns if c not in metrics]
@@ -92,19 +115,26 @@ def scale(x: Column, lo: Column, hi: Column) -> Column:
     return F.when(rng == 0, x - lo).otherwise((x - lo) / rng)
 
 
-def apply_scaler(features: DataFrame, scaler: DataFrame,
-                 metrics: Sequence[str] = METRICS) -> DataFrame:
+def apply_scaler(features: DataFrame, scaler: DataFrame | None = None,
+                 metrics: Sequence[str] = METRICS,
+                 params: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """F7 (transform) / F8: scale with given parameters; no clipping."""
-    params = scaler_values(scaler)
+    params = params if params is not None else scaler_values(scaler)
     cols = [scale(F.col(m), F.lit(params[m][0]), F.lit(params[m][1])).alias(m)
             for m in metrics]
     keep = [c for c in features.columns if c not in metrics]
     return features.select(*keep, *cols)
 
 
+def split_bounds(n: int, train_ratio: float = TRAIN_RATIO,
+                 val_ratio: float = VAL_RATIO) -> tuple[int, int]:
+    """Python ``int()`` of double products, as positional slicing does."""
+    return int(n * float(train_ratio)), int(n * float(train_ratio + val_ratio))
+
+
 def chronological_split(features: DataFrame, keys: Sequence[str] = (),
                         train_ratio: float = TRAIN_RATIO,
-                        val_ratio: float = VAL_RATIO) -> DataFrame:
+                        val_ratio: float = VAL_RATIO, n: int | None = None) -> DataFrame:
     """positional split by time -- first int(n*0.7) train, up to
     int(n*(0.7+0.15)) validation, the rest test (truncation in doubles).
 
@@ -114,10 +144,9 @@ def chronological_split(features: DataFrame, keys: Sequence[str] = (),
     """
     ranked = bucketed_rank(features, F.date_trunc("day", F.col("time_window")),
                            ["time_window", *keys], rank_col="position")
-    n = features.count()
-    # Python int() of a double product, as the positional slicing does.
-    train_end = F.lit(int(n * float(train_ratio)))
-    val_end = F.lit(int(n * float(train_ratio + val_ratio)))
+    n = features.count() if n is None else n
+    t_end, v_end = split_bounds(n, train_ratio, val_ratio)
+    train_end, val_end = F.lit(t_end), F.lit(v_end)
     split = (F.when(F.col("position") < train_end, F.lit("train"))
              .when(F.col("position") < val_end, F.lit("val"))
              .otherwise(F.lit("test")))

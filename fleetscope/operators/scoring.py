@@ -46,13 +46,15 @@ def reconstruction_errors(df: DataFrame, recon: Reconstructor,
     return out.drop(*[f"xhat_{m}" for m in metrics])
 
 
-def thresholds(train_errors: DataFrame, approx: bool = False) -> DataFrame:
+def thresholds(train_errors: DataFrame, approx: bool = False, n: int | None = None) -> DataFrame:
     """M7: p95 and p99 of the training errors (exact, linear interpolation).
 
-    ``approx=True`` swaps in a mergeable quantile sketch.
+    ``n`` (rows, or an upper bound) saves a count; ``approx=True`` swaps in a
+    mergeable quantile sketch.
     """
-    fn = approx_quantiles if approx else exact_quantiles
-    return fn(train_errors, "error", THRESHOLD_QUANTILES, ["p95", "p99"])
+    if approx:
+        return approx_quantiles(train_errors, "error", THRESHOLD_QUANTILES, ["p95", "p99"])
+    return exact_quantiles(train_errors, "error", THRESHOLD_QUANTILES, ["p95", "p99"], n=n)
 
 
 def error_stats(errors: DataFrame) -> DataFrame:

@@ -42,9 +42,23 @@ class Prepared:
     def pivoted(self) -> DataFrame:
         return FT.pivot_metrics(self.events, self.grain, self.keys)
 
+    @cached_property
+    def stats(self) -> dict:
+        """Means, min/max and the vector count from one job over the pivot."""
+        return FT.pivot_stats(self.pivoted.persist(StorageLevel.MEMORY_AND_DISK))
+
+    @property
+    def n(self) -> int:
+        return self.stats["n"]
+
+    def size_of(self, part: str) -> int:
+        """Rows in a split part, known from n without another job."""
+        t_end, v_end = FT.split_bounds(self.n)
+        return {"train": t_end, "val": v_end - t_end, "test": self.n - v_end}[part]
+
     @cached_property
     def features(self) -> DataFrame:
-        f = FT.impute(self.pivoted.persist(StorageLevel.MEMORY_AND_DISK))
+        f = FT.impute(self.pivoted, means=self.stats["means"])
         if self.min_rows is not None:
             have = f.limit(self.min_rows).count()
             if have < self.min_rows:
@@ -57,18 +71,20 @@ class Prepared:
         if self._scaler is not None:
             return self._scaler
         if self.fit_on == "train":
-            order = FT.chronological_split(self.features, self.keys)
+            order = FT.chronological_split(self.features, self.keys, n=self.n)
             return FT.fit_scaler(order.where(F.col("split") == "train"))
         return FT.fit_scaler(self.features)
 
     @cached_property
     def normalized(self) -> DataFrame:
+        if self._scaler is None and self.fit_on != "train":
+            return FT.apply_scaler(self.features, params=self.stats["scaler"])
         return FT.apply_scaler(self.features, self.scaler)
 
     @cached_property
     def split(self) -> DataFrame:
         # Reused by every fit and score downstream; bounded like the features.
-        return FT.chronological_split(self.normalized, self.keys).persist(
+        return FT.chronological_split(self.normalized, self.keys, n=self.n).persist(
             StorageLevel.MEMORY_AND_DISK)
 
     def part(self, name: str) -> DataFrame:

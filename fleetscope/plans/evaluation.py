@@ -26,7 +26,8 @@ def evaluate(spark: SparkSession, prepared: Prepared, theta: np.ndarray,
     recon = AE.reconstructor(spark, theta)
     errors = M.reconstruction_errors(prepared.split, recon).persist()
     try:
-        limits = M.thresholds(errors.where(F.col("split") == "train"), approx=approx)
+        limits = M.thresholds(errors.where(F.col("split") == "train"), approx=approx,
+                              n=prepared.size_of("train"))
         lim = limits.first()
         stats = M.error_stats(errors).first()
         test = M.flag(errors.where(F.col("split") == "test"), limits)

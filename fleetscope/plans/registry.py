@@ -185,7 +185,7 @@ def _scored(spark, sf_dir):
     p = _prepared(spark, sf_dir)
     recon = M.mean_reconstructor(p.part("train"))
     errors = M.reconstruction_errors(p.split, recon)
-    limits = M.thresholds(errors.where(F.col("split") == "train"))
+    limits = M.thresholds(errors.where(F.col("split") == "train"), n=p.size_of("train"))
     return p, recon, errors, limits
 
 
@@ -219,7 +219,7 @@ def anomaly_flags(spark, sf_dir):
 
 def _synthetic(spark, sf_dir):
     p, recon, errors, limits = _scored(spark, sf_dir)
-    n_test = p.part("test").count()
+    n_test = p.size_of("test")
     lim = M.threshold_values(limits)
     syn = M.synthetic_anomalies(spark, n_test)
     syn_flags = M.flag(M.reconstruction_errors(syn, recon), lim)
