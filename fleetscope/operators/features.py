@@ -46,15 +46,19 @@ def pivot_metrics(events: DataFrame, grain: str = "1 minute",
                   keys: Sequence[str] = (), metrics: Sequence[str] = METRICS) -> DataFrame:
     """one row per window (x keys), one mean column per metric.
 
-    The metric list is given explicitly, so no extra job discovers it and the
-    output columns are stable. Groups are bounded by the number of windows;
-    partial aggregation absorbs a dominant device or metric map-side.
+    Written as a conditional aggregate (``avg(value) FILTER metric = m`` per
+    metric) rather than ``groupBy().pivot()``: same result, but one shuffle
+    on the window instead of pivot's two (an aggregate on (window, metric),
+    then a second one for the pivot). The metric list is fixed, so no job
+    discovers it and the output columns are stable. Groups are bounded by the
+    number of windows; partial aggregation absorbs a dominant device or
+    metric map-side.
     """
+    metric = F.col("metric_name")
     return (events.where(F.col("timestamp").isNotNull())
             .withColumn("time_window", time_window(F.col("timestamp"), grain))
             .groupBy("time_window", *keys)
-            .pivot("metric_name", list(metrics))
-            .agg(F.avg("value")))
+            .agg(*[F.avg(F.when(metric == m, F.col("value"))).alias(m) for m in metrics]))
 
 
 def pivot_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict:
@@ -138,12 +142,16 @@ def chronological_split(features: DataFrame, keys: Sequence[str] = (),
     """positional split by time -- first int(n*0.7) train, up to
     int(n*(0.7+0.15)) validation, the rest test (truncation in doubles).
 
-    The global position is computed in two levels: rows per day -> offsets,
-    ``row_number`` within a day. A day holds at most one row per minute (per
-    key), so no task receives more than a day of vectors.
+    The global position is computed in two levels: rows per bucket ->
+    offsets, ``row_number`` within a bucket. Buckets are days (without keys)
+    or single windows (with keys), so no task receives more than a day of
+    fleet vectors or one window of keyed vectors.
     """
-    ranked = bucketed_rank(features, F.date_trunc("day", F.col("time_window")),
-                           ["time_window", *keys], rank_col="position")
+    # A day of fleet vectors is at most 1,440 rows; with keys a single minute
+    # (one row per key) is the bucket, so a task never holds a day of keys.
+    bucket = (F.col("time_window") if keys
+              else F.date_trunc("day", F.col("time_window")))
+    ranked = bucketed_rank(features, bucket, ["time_window", *keys], rank_col="position")
     n = features.count() if n is None else n
     t_end, v_end = split_bounds(n, train_ratio, val_ratio)
     train_end, val_end = F.lit(t_end), F.lit(v_end)

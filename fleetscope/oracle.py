@@ -288,6 +288,8 @@ def _pub(src: str) -> str:
 
 
 _F = with_base(*feature_ctes())
+ORACLE["snapshot_scan"] = with_base() + """
+SELECT "timestamp", device_id, metric_name, value FROM clean WHERE snapshot_id <= 2"""
 ORACLE["pivot_minutes"] = _F + _pub("piv")
 ORACLE["feature_matrix"] = _F + _pub("feat")
 ORACLE["normalized_features"] = _F + _pub("norm")

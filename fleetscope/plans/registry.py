@@ -138,6 +138,13 @@ def _publish(df, metrics=METRICS):
                      *[r6(F.col(m)).alias(m) for m in metrics])
 
 
+@query("snapshot_scan")
+def snapshot_scan(spark, sf_dir):
+    """S4 + F1: the four feature inputs as of snapshot 2 (pruned by snapshot)."""
+    ev = FT.load_events(frames.clean(spark, sf_dir), snapshot_id=2)
+    return ev.withColumn("timestamp", ntz("timestamp"))
+
+
 @query("pivot_minutes")
 def pivot_minutes(spark, sf_dir):
     return _publish(_prepared(spark, sf_dir).pivoted)

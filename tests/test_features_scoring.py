@@ -124,3 +124,16 @@ def test_errors_are_mean_squared_difference(spark):
     recon = lambda d: d.select("*", *[F.lit(0.5).alias(f"xhat_{m}") for m in METRICS])
     e = M.reconstruction_errors(df, recon).first()["error"]
     assert e == pytest.approx(np.mean((np.array([0, .5, 1, .25, .75]) - .5) ** 2))
+
+
+def test_keyed_split_orders_by_window_then_key(spark):
+    import datetime as _dt
+    base = _dt.datetime(2026, 1, 1)
+    rows = [(base + _dt.timedelta(minutes=i // 3, seconds=1), f"device_00{i % 3 + 1}", m, float(i), 1)
+            for i in range(30) for m in METRICS]
+    df = spark.createDataFrame(rows, EV_DDL)
+    s = prepare(df, keys=("device_id",)).split.orderBy("position").collect()
+    assert [r["position"] for r in s] == list(range(30))
+    keys = [(r["time_window"], r["device_id"]) for r in s]
+    assert keys == sorted(keys)
+    assert [r["split"] for r in s].count("train") == 21
