@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions.rules import default_rules, raw_anomaly
-from fleetscope.schema import DEAD_LETTER_DEFAULT_ID, REASON_SEP, WIRE_SCHEMA
+from fleetscope.schema import DEAD_LETTER_DEFAULT_ID, REASON_SEP
+from fleetscope.sources.messages import decode_fields
 
 CLEAN_COLUMNS = ("event_id", "timestamp", "device_id", "metric_name", "value",
                  "unit", "location")
@@ -76,14 +77,12 @@ def rejection_summary(dead: DataFrame) -> DataFrame:
 
 
 def raw_anomaly_flags(messages: DataFrame) -> DataFrame:
-    """V9: flag each raw message by the consumer-side heuristic."""
-    data = F.from_json(F.col("value").cast("string"), WIRE_SCHEMA)
-    d = messages.select("offset", data.alias("d"))
+    """V9: flag each raw message by the consumer-side heuristic (on the raw
+    timestamp text, before any parsing)."""
+    d = decode_fields(messages, keep=("offset",))
     return d.select(
-        "offset",
-        F.col("d.event_id").alias("event_id"),
-        raw_anomaly(F.col("d.value"), F.col("d.metric_name"),
-                    F.col("d.timestamp")).alias("is_anomaly"),
+        "offset", "event_id",
+        raw_anomaly(F.col("value"), F.col("metric_name"), F.col("timestamp")).alias("is_anomaly"),
     )
 
 

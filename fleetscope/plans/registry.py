@@ -7,6 +7,7 @@ and instants as zone-less UTC timestamps so results compare across engines.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,20 @@ from fleetscope.operators import rollup as A
 from fleetscope.operators import validate as V
 from fleetscope.plans import frames
 from fleetscope.plans.frames import ntz
+from fleetscope.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(name: str):
+    """Register ``fn`` under ``name``; the session settings are pinned first."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         return fn
     return deco
 

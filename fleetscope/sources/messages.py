@@ -20,6 +20,22 @@ def raw_text(col: str = "value") -> Column:
     return F.col(col).cast("string")
 
 
+def decode_fields(messages: DataFrame, keep=PASSTHROUGH) -> DataFrame:
+    """P1 only: the seven JSON fields (timestamp still text) plus the raw text.
+
+    The struct is unpacked by a generator (``inline``) rather than by field
+    access: a filter on the fields (validation, routing) cannot be pushed
+    below a generator, so the text is parsed once per row instead of once
+    per referenced field. A null struct (bad text) yields one all-null row.
+    """
+    kept = [c for c in keep if c in messages.columns]
+    return messages.select(
+        *kept,
+        F.inline(F.array(F.from_json(raw_text(), WIRE_SCHEMA))),
+        raw_text().alias("raw_value"),
+    )
+
+
 def decode(messages: DataFrame, keep=PASSTHROUGH) -> DataFrame:
     """P1 + P2: parse the JSON text with the fixed 7-field contract.
 
@@ -29,16 +45,7 @@ def decode(messages: DataFrame, keep=PASSTHROUGH) -> DataFrame:
     ``try_to_timestamp`` so unparseable text becomes null instead of failing
     the batch under ANSI mode.
     """
-    kept = [c for c in keep if c in messages.columns]
-    # The struct is unpacked by a generator (``inline``) rather than by field
-    # access: a filter on the fields (validation, routing) cannot be pushed
-    # below a generator, so the text is parsed once per row instead of once
-    # per referenced field. A null struct (bad text) yields one all-null row.
-    parsed = messages.select(
-        *kept,
-        F.inline(F.array(F.from_json(raw_text(), WIRE_SCHEMA))),
-        raw_text().alias("raw_value"),
-    )
+    parsed = decode_fields(messages, keep)
     return parsed.withColumn("timestamp", F.try_to_timestamp("timestamp"))
 
 
