@@ -1,0 +1,24 @@
+"""Joining against a side that is small by construction, with its size checked.
+
+Aggregates keyed by topic partition, snapshot or day are tiny, but their size
+is only *expected* to be small. ``checked_small`` materialises such a side
+once, counts it, and marks it for broadcast only under a row bound; above the
+bound the join stays a shuffle join (with AQE's skew-join splitting), so a
+surprise never ships an oversized table to every executor. Broadcasting also
+keeps a join on a low-cardinality key (4 topic partitions, 3 snapshots) from
+funnelling each key's rows into one task.
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def checked_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.count()
+    return F.broadcast(small) if n <= max_rows else small

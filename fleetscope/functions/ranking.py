@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetscope.functions.joins import checked_small
 from fleetscope.session import checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
@@ -31,12 +32,12 @@ def bucketed_rank(df: DataFrame, bucket: Column, order: Sequence[str | Column],
     ``bucket`` must be monotone in the ordering (e.g. the day of a time key),
     so a bucket holds a contiguous run of positions. Positions inside a bucket
     come from a window partitioned by the bucket; the per-bucket counts (one
-    row per bucket) become offsets joined back on the bucket key. The join is
-    left to AQE, which broadcasts the offsets only after measuring them.
+    row per bucket) become offsets joined back on the bucket key, broadcast
+    once their row count is checked (``checked_small``).
     """
     b = df.withColumn("_bucket", bucket)
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _offsets(counts, "_bucket")
+    offsets = checked_small(_offsets(counts, "_bucket"))
     local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1
     return (b.withColumn("_local", local)
             .join(offsets, "_bucket")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions.rules import default_rules, raw_anomaly
+from fleetscope.functions.joins import checked_small
 from fleetscope.schema import DEAD_LETTER_DEFAULT_ID, REASON_SEP
 from fleetscope.sources.messages import decode_fields
 
@@ -102,10 +103,10 @@ def registry_flag(df: DataFrame, registry: DataFrame, col: str,
     """V2 for registries too large to inline as an ``IN`` list.
 
     A left equi-join against the distinct ids adds ``flag`` (true when known,
-    null otherwise; feed it to ``device_rule(known=...)``). AQE measures the
-    registry at runtime and broadcasts it only when it is small; a large one
-    is joined by shuffle instead. Null ids never match.
+    null otherwise; feed it to ``device_rule(known=...)``). The registry is
+    broadcast once its size is checked; a registry over the bound is joined
+    by shuffle instead. Null ids never match.
     """
-    reg = (registry.select(F.col(registry.columns[0]).alias("_rid")).distinct()
-           .withColumn(flag, F.lit(True)))
+    reg = checked_small(registry.select(F.col(registry.columns[0]).alias("_rid")).distinct()
+                        .withColumn(flag, F.lit(True)))
     return df.join(reg, df[col] == reg["_rid"], "left").drop("_rid")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetscope.functions.joins import checked_small
 from fleetscope.operators import rollup as A
 from fleetscope.operators import validate as V
 from fleetscope.plans import frames
@@ -39,8 +40,9 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(~ok).alias("dead_rows"),
         F.max(F.when(~ok, real_ts)).alias("dead_at"),
     )
-    hourly = (A.hourly_aggregates(V.clean_side(val, keep=("snapshot_id",)), keep=("snapshot_id",))
-              .groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("hourly_rows")))
+    hourly = checked_small(
+        A.hourly_aggregates(V.clean_side(val, keep=("snapshot_id",)), keep=("snapshot_id",))
+        .groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("hourly_rows")))
     b = per_batch.join(hourly, "snapshot_id", "left")
     rows = F.array(
         F.struct(F.lit("clean_events").alias("table_name"), F.col("clean_at").alias("committed_at"),
@@ -83,7 +85,7 @@ def topic_offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     window over a whole partition.
     """
     msgs = frames.messages(spark, sf_dir).select("partition", "offset")
-    latest = msgs.groupBy("partition").agg(F.max("offset").alias("latest_offset"))
+    latest = checked_small(msgs.groupBy("partition").agg(F.max("offset").alias("latest_offset")))
     committed = (msgs.join(latest, "partition")
                  .where((F.col("offset") % 97 != 0)
                         & (F.col("offset") < F.col("latest_offset") - 100))
