@@ -12,12 +12,16 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetscope.schema import DEVICE_IDS, FUTURE_YEAR, METRICS
+from fleetscope.schema import (
+    DEVICE_IDS, FUTURE_YEAR, METRICS, MISSING_TEXT, RAW_EXTREME_ABOVE, RAW_FUTURE_PREFIX,
+    RAW_UNKNOWN_METRIC_PREFIX, REASON_NEGATIVE_VALUE, REASON_TIMESTAMP_FUTURE,
+    REASON_TIMESTAMP_NULL, REASON_UNKNOWN_DEVICE, REASON_UNKNOWN_METRIC, REASON_VALUE_NULL,
+)
 
 
 def _show(c: Column) -> Column:
     """Text of a possibly-null string the way the event's printer shows it."""
-    return F.coalesce(c, F.lit("None"))
+    return F.coalesce(c, F.lit(MISSING_TEXT))
 
 
 def not_member(c: Column, allowed: Iterable[str]) -> Column:
@@ -31,24 +35,24 @@ def not_member(c: Column, allowed: Iterable[str]) -> Column:
 
 
 def timestamp_rule(ts: Column) -> Column:
-    return (F.when(ts.isNull(), F.lit("timestamp is null"))
-            .when(F.year(ts) >= FUTURE_YEAR, F.lit("timestamp is in the future")))
+    return (F.when(ts.isNull(), F.lit(REASON_TIMESTAMP_NULL))
+            .when(F.year(ts) >= FUTURE_YEAR, F.lit(REASON_TIMESTAMP_FUTURE)))
 
 
 def device_rule(device: Column, registry: Sequence[str] = DEVICE_IDS,
                 known: Column | None = None) -> Column:
     unknown = not_member(device, registry) if known is None else ~F.coalesce(known, F.lit(False))
-    return F.when(unknown, F.concat(F.lit("unknown device_id: "), _show(device)))
+    return F.when(unknown, F.concat(F.lit(REASON_UNKNOWN_DEVICE), _show(device)))
 
 
 def value_rule(value: Column) -> Column:
-    return (F.when(value.isNull(), F.lit("value is null"))
-            .when(value < 0, F.concat(F.lit("negative value: "), value.cast("string"))))
+    return (F.when(value.isNull(), F.lit(REASON_VALUE_NULL))
+            .when(value < 0, F.concat(F.lit(REASON_NEGATIVE_VALUE), value.cast("string"))))
 
 
 def metric_rule(metric: Column, allowed: Sequence[str] = METRICS) -> Column:
     return F.when(not_member(metric, allowed),
-                  F.concat(F.lit("unknown metric: "), _show(metric)))
+                  F.concat(F.lit(REASON_UNKNOWN_METRIC), _show(metric)))
 
 
 def default_rules() -> list[tuple[str, Column]]:
@@ -63,6 +67,6 @@ def default_rules() -> list[tuple[str, Column]]:
 
 def raw_anomaly(value: Column, metric: Column, timestamp_text: Column) -> Column:
     """V9: the raw-stream heuristic (a different rule set from validation)."""
-    return (value.isNull() | (value > 1000) | (value < 0)
-            | F.coalesce(metric.startswith("unknown"), F.lit(False))
-            | F.coalesce(timestamp_text.startswith("2099"), F.lit(False)))
+    return (value.isNull() | (value > RAW_EXTREME_ABOVE) | (value < 0)
+            | F.coalesce(metric.startswith(RAW_UNKNOWN_METRIC_PREFIX), F.lit(False))
+            | F.coalesce(timestamp_text.startswith(RAW_FUTURE_PREFIX), F.lit(False)))

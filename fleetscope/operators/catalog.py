@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetscope.schema import (
-    DECLARED_NOT_NULL, QUALITY_GREEN, QUALITY_YELLOW, STALE_AFTER_MINUTES,
+    BAND_GREEN, BAND_NONE, BAND_RED, BAND_YELLOW, DECLARED_NOT_NULL, QUALITY_GREEN,
+    QUALITY_YELLOW, STALE_AFTER_MINUTES, STATUS_DEGRADED, STATUS_HEALTHY,
 )
 
 TABLE_ORDER = ("clean_events", "dead_letter", "hourly_aggregates")
@@ -77,10 +78,10 @@ def dataset_totals(tables: DataFrame) -> DataFrame:
 
 def quality_band(score: Column) -> Column:
     """Green >= 0.9, yellow >= 0.7, else red; no score -> N/A."""
-    return (F.when(score.isNull(), F.lit("N/A"))
-            .when(score >= QUALITY_GREEN, F.lit("green"))
-            .when(score >= QUALITY_YELLOW, F.lit("yellow"))
-            .otherwise(F.lit("red")))
+    return (F.when(score.isNull(), F.lit(BAND_NONE))
+            .when(score >= QUALITY_GREEN, F.lit(BAND_GREEN))
+            .when(score >= QUALITY_YELLOW, F.lit(BAND_YELLOW))
+            .otherwise(F.lit(BAND_RED)))
 
 
 def quality_bands(tables: DataFrame) -> DataFrame:
@@ -106,5 +107,5 @@ def storage_status(fresh: DataFrame) -> DataFrame:
     """Healthy iff no table is stale."""
     return fresh.agg(
         F.count_if("is_stale").alias("stale_tables"),
-        F.when(F.coalesce(F.bool_or("is_stale"), F.lit(False)), F.lit("degraded"))
-         .otherwise(F.lit("healthy")).alias("status"))
+        F.when(F.coalesce(F.bool_or("is_stale"), F.lit(False)), F.lit(STATUS_DEGRADED))
+         .otherwise(F.lit(STATUS_HEALTHY)).alias("status"))

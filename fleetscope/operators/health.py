@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetscope.schema import (
+    BADGE_FAIL, BADGE_OK, RUN_FAILED, RUN_SUCCESS, STATUS_DEGRADED, STATUS_HEALTHY,
+    STATUS_RUNNING, STATUS_UNHEALTHY,
+)
+
 
 def run_rollup(runs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """H1: all success -> healthy; else any failed -> degraded; else running.
@@ -17,19 +22,19 @@ def run_rollup(runs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     st = F.col("state")
     return runs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("runs"),
-        F.bool_and(st == "success").alias("_all_ok"),
-        F.bool_or(st == "failed").alias("_any_failed"),
+        F.bool_and(st == RUN_SUCCESS).alias("_all_ok"),
+        F.bool_or(st == RUN_FAILED).alias("_any_failed"),
     ).select(*keys, "runs",
-             F.when(F.col("_all_ok"), F.lit("healthy"))
-              .when(F.col("_any_failed"), F.lit("degraded"))
-              .otherwise(F.lit("running")).alias("overall_status"))
+             F.when(F.coalesce(F.col("_all_ok"), F.lit(True)), F.lit(STATUS_HEALTHY))
+              .when(F.col("_any_failed"), F.lit(STATUS_DEGRADED))
+              .otherwise(F.lit(STATUS_RUNNING)).alias("overall_status"))
 
 
 def run_timeline(runs: DataFrame) -> DataFrame:
     """H2: per-run badge; anything but success shows FAIL."""
     return runs.select("dag_id", "run_id", "state", "execution_date", "duration_seconds",
-                       F.when(F.col("state") == "success", F.lit("OK"))
-                        .otherwise(F.lit("FAIL")).alias("badge"))
+                       F.when(F.col("state") == RUN_SUCCESS, F.lit(BADGE_OK))
+                        .otherwise(F.lit(BADGE_FAIL)).alias("badge"))
 
 
 def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:
@@ -46,7 +51,7 @@ def ingest_health(lag: DataFrame, topic: str) -> DataFrame:
     return lag.agg(F.count(F.lit(1)).alias("partitions"),
                    F.sum("lag").alias("total_lag")).select(
         F.lit(topic).alias("topic"), "partitions", "total_lag",
-        F.when(F.col("partitions") > 0, F.lit("healthy")).otherwise(F.lit("unhealthy"))
+        F.when(F.col("partitions") > 0, F.lit(STATUS_HEALTHY)).otherwise(F.lit(STATUS_UNHEALTHY))
          .alias("status"))
 
 

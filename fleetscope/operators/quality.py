@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.schema import (
-    MAX_NULL_RATE, MIN_ROW_COUNT, NULL_CHECK_COLUMNS, QUALITY_CHECKS, RANGE_MAX,
-    RANGE_MIN,
+    DETAIL_DUPLICATES, DETAIL_NO_DATA, DETAIL_NULL_RATE, DETAIL_NULLS_OK, DETAIL_RANGE,
+    DETAIL_ROW_COUNT, GATE_FAIL, GATE_PASS, MAX_NULL_RATE, MIN_ROW_COUNT, NULL_CHECK_COLUMNS,
+    QUALITY_CHECKS, RANGE_MAX, RANGE_MIN,
 )
 
-NO_DATA = "No data to check"
+NO_DATA = DETAIL_NO_DATA
 
 
 def _check(name: str, passed: Column, detail: Column) -> Column:
@@ -45,7 +46,7 @@ def distinct_ids(clean: DataFrame) -> Column:
 
 def row_count_check(p: DataFrame, min_threshold: int = MIN_ROW_COUNT) -> Column:
     return _check("row_count", F.col("total") >= min_threshold,
-                  F.format_string(f"Total rows: %d (threshold: >= {int(min_threshold)})",
+                  F.format_string(DETAIL_ROW_COUNT.format(threshold=int(min_threshold)),
                                   F.col("total")))
 
 
@@ -55,13 +56,13 @@ def null_rate_check(p: DataFrame, max_null_rate: float = MAX_NULL_RATE,
     total = F.col("total")
     failures = F.concat_ws("; ", *[
         F.when(F.col(f"null_{c}") / total > max_null_rate,
-               F.format_string(f"{c}: %.2f%% null (>{limit_text})",
+               F.format_string(DETAIL_NULL_RATE.format(column=c, limit=limit_text),
                                F.col(f"null_{c}") * 100.0 / total))
         for c in columns])
     empty = total == 0
     passed = ~empty & (failures == "")
     detail = (F.when(empty, F.lit(NO_DATA))
-              .when(failures == "", F.lit("All columns within threshold"))
+              .when(failures == "", F.lit(DETAIL_NULLS_OK))
               .otherwise(failures))
     return _check("null_rates", passed, detail)
 
@@ -70,7 +71,7 @@ def value_range_check(p: DataFrame) -> Column:
     empty = F.col("total") == 0
     passed = ~empty & (F.col("negative_count") == 0) & (F.col("extreme_count") == 0)
     detail = F.when(empty, F.lit(NO_DATA)).otherwise(F.format_string(
-        f"Range: [%.2f, %.2f], negatives: %d, extremes(>{int(RANGE_MAX)}): %d",
+        DETAIL_RANGE.format(limit=int(RANGE_MAX)),
         F.col("min_val"), F.col("max_val"), F.col("negative_count"),
         F.col("extreme_count")))
     return _check("value_ranges", passed, detail)
@@ -79,7 +80,7 @@ def value_range_check(p: DataFrame) -> Column:
 def duplicate_check(p: DataFrame) -> Column:
     dup = F.col("total") - F.col("unique_ids")
     return _check("duplicates", dup == 0, F.format_string(
-        "Total: %d, Unique: %d, Duplicates: %d", F.col("total"), F.col("unique_ids"), dup))
+        DETAIL_DUPLICATES, F.col("total"), F.col("unique_ids"), dup))
 
 
 def _rows(p: DataFrame, checks: list[Column]) -> DataFrame:
@@ -128,7 +129,7 @@ def gate(report: DataFrame) -> DataFrame:
         F.array_join(F.transform(failed, lambda x: x["check"]), ",").alias("failed_checks"),
     ).select(
         "all_passed",
-        F.when(F.col("all_passed"), F.lit("aggregate")).otherwise(F.lit("alert")).alias("action"),
+        F.when(F.col("all_passed"), F.lit(GATE_PASS)).otherwise(F.lit(GATE_FAIL)).alias("action"),
         "failed_checks",
     )
 

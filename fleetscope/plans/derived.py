@@ -15,7 +15,9 @@ from fleetscope.functions.joins import checked_small
 from fleetscope.operators import rollup as A
 from fleetscope.operators import validate as V
 from fleetscope.plans import frames
-from fleetscope.schema import FUTURE_YEAR, METRICS
+from fleetscope.schema import (
+    DAG_TELEMETRY, DAG_TRAINING, FUTURE_YEAR, METRICS, RUN_FAILED, RUN_RUNNING, RUN_SUCCESS,
+)
 from fleetscope.sources.tables import read_table, spread
 
 # --- commit log ---------------------------------------------------------------
@@ -66,12 +68,12 @@ def dag_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scheduler runs: one per event; state failed/running on fixed residues."""
     ev = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value"))
     return ev.select(
-        F.when(F.col("user_id") % 2 == 0, F.lit("telemetry_pipeline"))
-         .otherwise(F.lit("ml_training_pipeline")).alias("dag_id"),
+        F.when(F.col("user_id") % 2 == 0, F.lit(DAG_TELEMETRY))
+         .otherwise(F.lit(DAG_TRAINING)).alias("dag_id"),
         F.col("event_id").cast("string").alias("run_id"),
-        F.when(F.col("event_id") % 50 == 0, F.lit("failed"))
-         .when(F.col("event_id") % 50 == 1, F.lit("running"))
-         .otherwise(F.lit("success")).alias("state"),
+        F.when(F.col("event_id") % 50 == 0, F.lit(RUN_FAILED))
+         .when(F.col("event_id") % 50 == 1, F.lit(RUN_RUNNING))
+         .otherwise(F.lit(RUN_SUCCESS)).alias("state"),
         F.col("ts").alias("execution_date"),
         F.col("value").alias("duration_seconds"),
     )

@@ -13,18 +13,19 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import quality as Q
 from fleetscope.operators import rollup as A
+from fleetscope.schema import GATE_FAIL, GATE_PASS
 from fleetscope.sources import store
 
 
 @dataclass
 class GateOutcome:
-    action: str                 # "aggregate" or "alert"
+    action: str                 # GATE_PASS ("aggregate") or GATE_FAIL ("alert")
     checks: list[dict]          # the four check rows
     rows_written: int = 0
 
     @property
     def exit_code(self) -> int:
-        return 0 if self.action == "aggregate" else 1
+        return 0 if self.action == GATE_PASS else 1
 
 
 def run_quality_gate(spark: SparkSession, root: str, as_of: int | None = None,
@@ -33,8 +34,8 @@ def run_quality_gate(spark: SparkSession, root: str, as_of: int | None = None,
     report = Q.quality_report(clean).orderBy("check_order").collect()  # 4 rows
     checks = [{"check": r["check"], "passed": r["passed"], "detail": r["detail"]} for r in report]
     if not all(c["passed"] for c in checks):
-        return GateOutcome("alert", checks)
-    return GateOutcome("aggregate", checks, run_aggregation(spark, root, as_of, mode))
+        return GateOutcome(GATE_FAIL, checks)
+    return GateOutcome(GATE_PASS, checks, run_aggregation(spark, root, as_of, mode))
 
 
 def run_aggregation(spark: SparkSession, root: str, as_of: int | None = None,
