@@ -87,6 +87,12 @@ class Prepared:
         return FT.chronological_split(self.normalized, self.keys, n=self.n).persist(
             StorageLevel.MEMORY_AND_DISK)
 
+    def release(self) -> None:
+        """Drop the persisted pivot and split (call when done with the frames)."""
+        for name in ("pivoted", "split"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+
     def part(self, name: str) -> DataFrame:
         return self.split.where(F.col("split") == name)
 

@@ -17,6 +17,20 @@ _REQUIRED = {
 }
 
 
+# Starting points for a large cluster (pass as ``extra``): input splits near
+# 256 MB, many initial shuffle partitions that AQE coalesces to ~128 MB by
+# size rather than by parallelism, and skewed join partitions split at 4x the
+# median. Tests and local runs keep Spark's defaults.
+CLUSTER_PROFILE = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+}
+
+
 def build_session(master: str | None = None, app: str = "fleetscope",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

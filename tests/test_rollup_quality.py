@@ -96,3 +96,10 @@ def test_null_rate_threshold_is_strict(spark):
     assert checks(clean_df(spark, rows))["null_rates"][0] is True       # exactly 1 %
     rows = [row(i, t, 1.0, loc=None if i < 2 else "x") for i in range(100)]
     assert checks(clean_df(spark, rows))["null_rates"] == (False, "location: 2.00% null (>1%)")
+
+
+def test_other_widths_use_tumbling_windows(spark):
+    t = dt.datetime(2026, 4, 2, 14, 31)
+    r = A.hourly_aggregates(clean_df(spark, [row(1, t, 1.0), row(2, t + dt.timedelta(minutes=20), 3.0)]),
+                            width="15 minutes").orderBy("hour_window").collect()
+    assert [x["hour_window"] for x in r] == [dt.datetime(2026, 4, 2, 14, 30), dt.datetime(2026, 4, 2, 14, 45)]

@@ -90,3 +90,14 @@ def test_large_registry_join_matches_inline_list(spark):
     rows = (flagged.select("offset", device_rule(F.col("device_id"), known=F.col("_known")).alias("r"))
             .orderBy("offset").collect())
     assert [r["r"] for r in rows] == [None, "unknown device_id: device_077"]
+
+
+def test_encode_then_decode_round_trips(spark):
+    from fleetscope.sources.messages import encode_events
+    rows = [("e1", "2026-04-02T14:30:00Z", "device_003", "disk_io", 12.5, "mbps", None)]
+    df = spark.createDataFrame(rows, "event_id string, timestamp string, device_id string, "
+                               "metric_name string, value double, unit string, location string")
+    back = decode(encode_events(df)).first()
+    assert (back["event_id"], back["device_id"], back["value"], back["location"]) == \
+        ("e1", "device_003", 12.5, None)
+    assert V.validate(decode(encode_events(df))).first()["rejection_reason"] is None
