@@ -387,7 +387,7 @@ _TRAINED: dict = {}
 
 
 def _trained(spark, sf_dir):
-    key = (sf_dir, QUERY_EPOCHS)
+    key = (spark.sparkContext.applicationId, sf_dir, QUERY_EPOCHS)
     if key not in _TRAINED:
         p = _prepared(spark, sf_dir)
         res = TR.train(spark, p.part("train"), p.part("val"), epochs=QUERY_EPOCHS)

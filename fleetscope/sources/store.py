@@ -115,20 +115,29 @@ def read_snapshots(spark: SparkSession, root: str, table: str,
 
 
 def write_daily(df: DataFrame, root: str, table: str, day_col: str = "event_day",
-                mode: str = "overwrite", day_source: str = "hour_window") -> int:
+                mode: str = "overwrite", day_source: str = "hour_window",
+                snapshot_id: int | None = None) -> int:
     """Write by day. ``overwrite`` replaces only the days present in
     ``df`` (dynamic partition overwrite), so a rerun recomputes whole days
     instead of appending duplicates; ``append`` keeps the duplicate-on-rerun
-    behaviour of a plain append."""
+    behaviour of a plain append. The commit's ``snapshot_id`` records the
+    input high-water mark (default: previous + 1). Returns the rows written."""
     spark = df.sparkSession
     path = os.path.join(root, table)
     out = _conform(df, table).withColumn(day_col, F.to_date(F.col(day_source)))
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day_col).parquet(path))
-    rows = spark.read.parquet(path).count()
-    last = latest_snapshot(spark, root, table)
-    commit(spark, root, table, (last or 0) + 1, "overwrite" if mode == "overwrite" else "append", rows)
-    return rows
+    out = out.persist()
+    try:
+        written = out.count()
+        if written:
+            (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+                .partitionBy(day_col).parquet(path))
+    finally:
+        out.unpersist()
+    if snapshot_id is None:
+        snapshot_id = (latest_snapshot(spark, root, table) or 0) + 1
+    commit(spark, root, table, snapshot_id, "overwrite" if mode == "overwrite" else "append",
+           written)
+    return written
 
 
 def read_daily(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -103,13 +103,36 @@ def test_gate_alerts_on_fixture_and_aggregates_when_clean(spark, tmp_root):
     assert out.action == "aggregate" and out.exit_code == 0
     n1 = store.read_daily(spark, good, "hourly_aggregates").count()
     assert n1 == out.rows_written > 0
-    # A rerun rewrites the same day instead of appending duplicates
-    run_aggregation(spark, good)
+    # A rerun without new snapshots has nothing to do; a full rerun
+    # rewrites the same day instead of appending duplicates
+    assert run_aggregation(spark, good) == 0
+    run_aggregation(spark, good, incremental=False)
     assert store.read_daily(spark, good, "hourly_aggregates").count() == n1
     run_aggregation(spark, good, mode="append")
     assert store.read_daily(spark, good, "hourly_aggregates").count() == 2 * n1
 
 
+def test_incremental_rollup_rewrites_only_touched_days(spark, tmp_root):
+    from fleetscope.operators import rollup as A
+    proc = TelemetryProcessor(tmp_root)
+    day1 = [event(event_id=f"a{i}", value=float(i), timestamp=f"2026-04-01T{i % 24:02d}:00:00Z")
+            for i in range(48)]
+    day2 = [event(event_id=f"b{i}", value=float(i), timestamp=f"2026-04-02T{i % 24:02d}:00:00Z")
+            for i in range(48)]
+    to_df = lambda ts: spark.createDataFrame([(bytearray(t.encode()),) for t in ts], "value binary")
+    proc.process_batch(to_df(day1 + day2), 1)
+    assert run_aggregation(spark, tmp_root) == 48
+    # a late event for day 1 arrives in a new batch: only day 1 is recomputed
+    late = [event(event_id="late", value=500.0, timestamp="2026-04-01T05:30:00Z")]
+    proc.process_batch(to_df(late), 2)
+    assert run_aggregation(spark, tmp_root) == 24
+    stored = store.read_daily(spark, tmp_root, "hourly_aggregates").drop("computed_at", "event_day")
+    full = A.hourly_aggregates(store.read_snapshots(spark, tmp_root, "clean_events"))
+    assert stored.count() == full.count() == 48
+    assert stored.exceptAll(full.select(*stored.columns)).count() == 0
+    assert stored.where(F.col("event_count") == 3).count() == 1
+
+
 def test_missing_tables_read_empty_with_schema(spark, tmp_root):
     df = store.read_snapshots(spark, tmp_root, "dead_letter")
     assert df.count() == 0 and "rejection_reason" in df.columns
