@@ -66,7 +66,12 @@ def default_rules() -> list[tuple[str, Column]]:
 
 
 def raw_anomaly(value: Column, metric: Column, timestamp_text: Column) -> Column:
-    """V9: the raw-stream heuristic (a different rule set from validation)."""
-    return (value.isNull() | (value > RAW_EXTREME_ABOVE) | (value < 0)
+    """V9: the raw-stream heuristic (a different rule set from validation).
+
+    NaN is neither above nor below a bound here (Spark otherwise orders NaN
+    above every number).
+    """
+    extreme = (value > RAW_EXTREME_ABOVE) & ~F.isnan(value)
+    return (value.isNull() | extreme | (value < 0)
             | F.coalesce(metric.startswith(RAW_UNKNOWN_METRIC_PREFIX), F.lit(False))
             | F.coalesce(timestamp_text.startswith(RAW_FUTURE_PREFIX), F.lit(False)))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def experiment_list(logs: DataFrame, evals: DataFrame) -> DataFrame:
-    """One row per run log, metrics left-joined from its evaluation.
+    """One row per run log in id order, metrics left-joined from its
+    evaluation.
 
     A plain equi-join: AQE measures the evaluation side at runtime and
     broadcasts it only when it is small.
@@ -19,7 +20,7 @@ def experiment_list(logs: DataFrame, evals: DataFrame) -> DataFrame:
         F.col("results.best_val_loss").alias("best_val_loss"),
         F.col("hyperparameters.epochs_completed").alias("epochs_completed"),
         F.col("results.device").alias("device"),
-    ).join(m, "experiment_id", "left")
+    ).join(m, "experiment_id", "left").orderBy("experiment_id")
 
 
 def experiment_detail(logs: DataFrame, evals: DataFrame, experiment_id: str) -> DataFrame:

@@ -31,10 +31,11 @@ def run_rollup(runs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def run_timeline(runs: DataFrame) -> DataFrame:
-    """H2: per-run badge; anything but success shows FAIL."""
+    """H2: per-run badge, newest first; anything but success shows FAIL."""
     return runs.select("dag_id", "run_id", "state", "execution_date", "duration_seconds",
                        F.when(F.col("state") == RUN_SUCCESS, F.lit(BADGE_OK))
-                        .otherwise(F.lit(BADGE_FAIL)).alias("badge"))
+                        .otherwise(F.lit(BADGE_FAIL)).alias("badge")) \
+        .orderBy(F.col("execution_date").desc(), "dag_id", "run_id")
 
 
 def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ SELECT regexp_replace(r.reason, ':.*$', '') AS reason, CAST(count(*) AS BIGINT)
 FROM dead, unnest(string_split(rejection_reason, '; ')) AS r(reason)
 GROUP BY 1"""
 
-_RAW_FLAG = """(value IS NULL OR value > 1000 OR value < 0
+_RAW_FLAG = """(value IS NULL OR (value > 1000 AND NOT isnan(value)) OR value < 0
    OR coalesce(starts_with(metric_name, 'unknown'), false)
    OR coalesce(starts_with(ts_text, '2099'), false))"""
 

@@ -101,3 +101,9 @@ def test_encode_then_decode_round_trips(spark):
     assert (back["event_id"], back["device_id"], back["value"], back["location"]) == \
         ("e1", "device_003", 12.5, None)
     assert V.validate(decode(encode_events(df))).first()["rejection_reason"] is None
+
+
+def test_raw_flags_treat_nan_as_in_range(spark):
+    nan = ('{"event_id": "n", "timestamp": "2026-04-02T14:30:00Z", "device_id": "device_002", '
+           '"metric_name": "disk_io", "value": NaN}')
+    assert V.raw_anomaly_flags(messages_df(spark, [nan])).first()["is_anomaly"] is False
