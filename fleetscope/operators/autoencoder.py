@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from fleetscope.schema import METRICS
+from fleetscope.session import ship_package
 
 HIDDEN = (64, 32, 16, 32, 64)
 DROPOUT_AFTER = (0, 1, 3, 4)      # layer indexes followed by dropout in training
@@ -134,6 +135,7 @@ def reconstructor(spark, theta: np.ndarray, metrics: Sequence[str] = METRICS):
     The weights are broadcast once; each task reconstructs its Arrow batches
     with matrix products, no per-row Python.
     """
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(np.asarray(theta, dtype=float))
     metrics = list(metrics)
 
@@ -158,6 +160,7 @@ def reconstructor(spark, theta: np.ndarray, metrics: Sequence[str] = METRICS):
 def latent(spark, df: DataFrame, theta: np.ndarray, keep: Sequence[str],
            metrics: Sequence[str] = METRICS) -> DataFrame:
     """M2 over a frame: ``keep`` columns plus ``latent array<double>``."""
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(np.asarray(theta, dtype=float))
     keep, metrics = list(keep), list(metrics)
     schema = StructType([df.schema[k] for k in keep]
@@ -178,6 +181,8 @@ def latent(spark, df: DataFrame, theta: np.ndarray, keep: Sequence[str],
 SHARD_RESULT = StructType([
     StructField("rows", LongType()),
     StructField("loss_sum", DoubleType()),
+    StructField("val_rows", LongType()),
+    StructField("val_sq_sum", DoubleType()),
     StructField("theta", ArrayType(DoubleType())),
     StructField("m", ArrayType(DoubleType())),
     StructField("v", ArrayType(DoubleType())),
@@ -187,14 +192,20 @@ SHARD_RESULT = StructType([
 
 def train_epoch(spark, shards: DataFrame, theta: np.ndarray, opt: Adam, epoch: int,
                 batch_size: int = 32, seed: int = 0, metrics: Sequence[str] = METRICS,
-                dropout: float = 0.2) -> DataFrame:
-    """M3: one epoch as one Spark job.
-
-    Every shard (partition) starts from the broadcast weights and optimiser
-    state, runs shuffled mini-batches of ``batch_size`` with Adam, and emits
-    one row: its rows, summed batch loss x rows, final weights and moments.
-    The caller averages the shard rows (bounded by the shard count).
+                dropout: float = 0.2, train_steps: bool = True) -> DataFrame:
+    """M3 + M4: one epoch as one Spark job.
+
+    ``shards`` holds training rows and validation rows (``_val`` true). Every
+    shard (partition) first scores its validation rows with the incoming
+    weights -- the previous epoch's averaged weights, eval mode -- and then,
+    starting from the same broadcast weights and optimiser state, runs
+    shuffled mini-batches of ``batch_size`` with Adam over its training rows.
+    It emits one row: training rows, summed batch loss x rows, validation
+    rows and squared-error sum, final weights and moments. The caller
+    averages the shard rows (bounded by the shard count).
+    ``train_steps=False`` only scores (the final validation pass).
     """
+    ship_package(spark)
     state = spark.sparkContext.broadcast(
         (np.asarray(theta, float), opt.m, opt.v, opt.t, opt.lr))
     metrics = list(metrics)
@@ -202,23 +213,30 @@ def train_epoch(spark, shards: DataFrame, theta: np.ndarray, opt: Adam, epoch: i
     def run(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        x = [b[metrics].to_numpy(dtype=float) for b in batches if len(b)]
-        if not x:
+        parts = [b for b in batches if len(b)]
+        if not parts:
             return
-        x = np.concatenate(x)
+        pdf = pd.concat(parts, ignore_index=True)
+        is_val = pdf["_val"].to_numpy(dtype=bool)
+        xall = pdf[metrics].to_numpy(dtype=float)
+        x, xv = xall[~is_val], xall[is_val]
         w, m, v, t, lr = state.value
+        val_sq = float(np.sum((forward(w, xv) - xv) ** 2)) if len(xv) else 0.0
         local = Adam(len(w), lr=lr, m=m, v=v, t=t)
-        rng = np.random.default_rng([seed, epoch, pid])
-        order = rng.permutation(len(x))
         total = 0.0
-        for s in range(0, len(x), batch_size):
-            xb = x[order[s:s + batch_size]]
-            loss, g = loss_and_grad(w, xb, rng, dropout)
-            w = local.step(w, g)
-            total += loss * len(xb)
-        yield pd.DataFrame({"rows": [len(x)], "loss_sum": [total], "theta": [w.tolist()],
-                            "m": [local.m.tolist()], "v": [local.v.tolist()], "t": [local.t]})
-    return shards.select(*metrics).mapInPandas(run, SHARD_RESULT)
+        if train_steps and len(x):
+            rng = np.random.default_rng([seed, epoch, pid])
+            order = rng.permutation(len(x))
+            for s in range(0, len(x), batch_size):
+                xb = x[order[s:s + batch_size]]
+                loss, g = loss_and_grad(w, xb, rng, dropout)
+                w = local.step(w, g)
+                total += loss * len(xb)
+        yield pd.DataFrame({"rows": [len(x) if train_steps else 0], "loss_sum": [total],
+                            "val_rows": [len(xv)], "val_sq_sum": [val_sq],
+                            "theta": [w.tolist()], "m": [local.m.tolist()],
+                            "v": [local.v.tolist()], "t": [local.t]})
+    return shards.select(*metrics, "_val").mapInPandas(run, SHARD_RESULT)
 
 
 def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:

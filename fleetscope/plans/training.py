@@ -1,9 +1,14 @@
 """M3-M5: the training loop (driver keeps only the weights and two losses).
 
-Each epoch is one Spark job over the persisted training shards, followed by
-one job for the validation loss; the driver averages the shard results
-(parameter averaging, weighted by rows), applies early stopping with
-patience on strict improvement and keeps the best weights.
+Each epoch is one Spark job over persisted shards that hold both splits:
+every shard first scores the validation rows with the weights it received
+(the previous epoch's average) and then trains on its training rows. The
+driver averages the shard results (parameter averaging, weighted by rows).
+The validation loss of epoch e therefore arrives with job e+1, and one
+scoring-only job closes the loop; early stopping (patience, strict
+improvement) and the kept best weights are exactly those of a separate
+validation pass -- a stop found one job late just discards that job's
+training.
 """
 
 from __future__ import annotations
@@ -44,15 +49,38 @@ def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: f
           seed: int = 0) -> TrainResult:
     t0 = time.time()
     shards = shards or spark.sparkContext.defaultParallelism
-    data = AE.shard(train_df.select(*METRICS), shards, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    val = val_df.select(*METRICS).persist(StorageLevel.MEMORY_AND_DISK)
+    both = (train_df.select(*METRICS, F.lit(False).alias("_val"))
+            .unionByName(val_df.select(*METRICS, F.lit(True).alias("_val"))))
+    data = AE.shard(both, shards, seed).persist(StorageLevel.MEMORY_AND_DISK)
     theta = AE.init_params(len(METRICS), seed)
     opt = AE.Adam(theta.size, lr=lr)
     res = TrainResult(theta.copy())
-    waited = 0
+    waited, pending = 0, None       # pending: (epoch, weights) awaiting their val loss
+    dim = float(len(METRICS))
+
+    def settle(val_rows, val_sq) -> bool:
+        """Record the pending epoch's validation loss; True when training stops."""
+        nonlocal waited
+        ep, w = pending
+        v = val_sq / (val_rows * dim) if val_rows else float("nan")
+        res.val_losses.append(v)
+        res.epochs_completed = ep
+        if v < res.best_val_loss:
+            res.best_val_loss, res.best_epoch, res.theta, waited = v, ep, w.copy(), 0
+        else:
+            waited += 1
+        return waited >= patience or ep >= epochs
+
     try:
-        for epoch in range(1, epochs + 1):
-            rows = AE.train_epoch(spark, data, theta, opt, epoch, batch_size, seed).collect()
+        epoch = 0
+        while True:
+            epoch += 1
+            training = epoch <= epochs
+            rows = AE.train_epoch(spark, data, theta, opt, epoch, batch_size, seed,
+                                  train_steps=training).collect()
+            if pending is not None and settle(sum(r["val_rows"] for r in rows),
+                                              sum(r["val_sq_sum"] for r in rows)):
+                break
             n = sum(r["rows"] for r in rows)
             if n == 0:
                 raise ValueError("empty training split")
@@ -62,17 +90,9 @@ def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: f
             opt.v = sum(w * np.array(r["v"]) for w, r in zip(wts, rows))
             opt.t = max(r["t"] for r in rows)
             res.train_losses.append(sum(r["loss_sum"] for r in rows) / n)
-            v = mean_loss(spark, val, theta)
-            res.val_losses.append(v)
-            res.epochs_completed = epoch
-            if v < res.best_val_loss:
-                res.best_val_loss, res.best_epoch, res.theta, waited = v, epoch, theta.copy(), 0
-            else:
-                waited += 1
-            if waited >= patience:
-                break
+            pending = (epoch, theta)
     finally:
         data.unpersist()
-        val.unpersist()
+    res.train_losses = res.train_losses[:res.epochs_completed]
     res.seconds = round(time.time() - t0, 2)
     return res

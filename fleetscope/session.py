@@ -58,12 +58,41 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session settings the jobs depend on (idempotent).
 
     Called by every registered query so results do not depend on the host
-    time zone of whoever created the session.
+    time zone of whoever created the session, and so the executors can
+    import this package for the few Python-side operators.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fleetscope`` importable on the executors (once per application).
+
+    The package is zipped on the driver and added with ``addPyFile``; Spark's
+    file server distributes it, so executors need no shared folder and no
+    installation.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="fleetscope-pkg-"), "fleetscope.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, setting a local one only if unset.
 

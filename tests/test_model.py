@@ -57,6 +57,10 @@ def test_training_reduces_loss_and_reports(spark):
     assert res.epochs_completed >= 2
     assert res.train_losses[-1] < res.train_losses[0]
     assert res.best_val_loss == min(res.val_losses)
+    assert len(res.train_losses) == len(res.val_losses) == res.epochs_completed
+    # the in-job validation loss equals an independent scoring pass
+    from fleetscope.plans.training import mean_loss
+    assert mean_loss(spark, p.part("val"), res.theta) == pytest.approx(res.best_val_loss, rel=1e-9)
     rep = evaluate(spark, p, res.theta, "exp_test")
     assert [f.name for f in rep.schema.fields] == [f.name for f in EVALUATION.fields]
     r = rep.first()
