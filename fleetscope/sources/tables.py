@@ -14,19 +14,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+# Spread a scan only when it would keep fewer than this share of the cores busy.
+SPREAD_BELOW_UTILISATION = 0.25
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster only when it has too few splits.
-
-    A large table already arrives in thousands of splits and is left alone
-    (no extra shuffle); a file too small to split -- one row group -- would
-    otherwise run every per-row stage before the first shuffle in one task.
-    Rows are placed by a hash of the whole row: deterministic on retry
-    without the local sort a round-robin repartition needs, and even unless
-    rows are duplicated wholesale.
+    """Spread a scan over the cluster only when it would leave most cores idle.
+
+    A large table arrives in many splits and is left alone: no extra shuffle.
+    A file that cannot be split (one row group) would otherwise run every
+    per-row stage before the first shuffle in one task. Rows are placed by a
+    hash of the whole row, which is deterministic on retry without the local
+    sort a round-robin repartition needs, and even unless rows are
+    duplicated wholesale.
     """
     spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD access (e.g. a remote session)
+        return df
+    if have >= want * SPREAD_BELOW_UTILISATION:
         return df
     return df.repartition(want, F.xxhash64(*[F.col(c) for c in df.columns]))
