@@ -49,15 +49,19 @@ def sorted_rank(df: DataFrame, order: Sequence[str | Column],
                 rank_col: str = "_rank") -> DataFrame:
     """0-based global position for any sort key, for frames of any size.
 
-    A range-partitioned sort spreads the rows over tasks; each row's position
-    inside its range partition comes from ``monotonically_increasing_id``.
+    A range-partitioned sort spreads the rows over tasks (ties split by a
+    seeded random key); each row's position inside its range partition comes
+    from ``monotonically_increasing_id``.
     The sorted frame is checkpointed (reliable storage in the cluster's
     ``spark.checkpoint.dir``) so positions and partition counts come from one
     materialisation even if executors are lost. The offsets frame has one row
     per partition -- a bound known before it is broadcast.
     """
     checkpoint_dir(df.sparkSession)
-    s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    # A seeded random tiebreak lets the range partitioner split a value that
+    # a third of the rows share; tied rows are interchangeable for positions.
+    s = (df.withColumn("_tie", F.rand(seed=17)).orderBy(*order, "_tie")
+         .drop("_tie").withColumn("_mid", F.monotonically_increasing_id()))
     s = s.checkpoint(eager=True)
     parts = s.rdd.getNumPartitions()
     if parts > MAX_OFFSET_ROWS:

@@ -137,3 +137,21 @@ def test_keyed_split_orders_by_window_then_key(spark):
     keys = [(r["time_window"], r["device_id"]) for r in s]
     assert keys == sorted(keys)
     assert [r["split"] for r in s].count("train") == 21
+
+
+def test_sorted_rank_splits_a_hot_value(spark):
+    from pyspark.sql import functions as F
+    # a third of the rows share one value
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(5.0))
+                                  .otherwise(F.col("id").cast("double")).alias("v")).repartition(6)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep the range partitions apart on tiny data
+    try:
+        ranked = sorted_rank(df, ["v"])
+        assert sorted(r["_rank"] for r in ranked.collect()) == list(range(3000))
+        hot = (ranked.where(F.col("v") == 5.0)
+               .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.set(key, old)
+    assert hot > 1
