@@ -136,3 +136,24 @@ def test_incremental_rollup_rewrites_only_touched_days(spark, tmp_root):
 def test_missing_tables_read_empty_with_schema(spark, tmp_root):
     df = store.read_snapshots(spark, tmp_root, "dead_letter")
     assert df.count() == 0 and "rejection_reason" in df.columns
+
+
+def test_processing_time_trigger_picks_up_new_files_and_stops(spark, tmp_root):
+    import time
+    src = tempfile.mkdtemp(prefix="fleetscope-live-")
+    proc = TelemetryProcessor(tmp_root)
+    q = proc.start(text_stream_source(spark, src), os.path.join(tmp_root, "_ckpt"),
+                   processing_time="1 second")
+    try:
+        for i in range(2):
+            with open(os.path.join(src, f".m{i}.tmp"), "w") as f:
+                f.write(event(event_id=f"live{i}") + "\n")
+            os.rename(os.path.join(src, f".m{i}.tmp"), os.path.join(src, f"m{i}.txt"))
+            deadline = time.time() + 60
+            while time.time() < deadline and len(proc.last_counts) <= i:
+                time.sleep(0.5)
+        assert q.isActive
+    finally:
+        stop(q, 5)
+    assert not q.isActive
+    assert store.read_snapshots(spark, tmp_root, "clean_events").count() == 2
