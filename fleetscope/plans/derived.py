@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.functions.joins import checked_small
-from fleetscope.operators import rollup as A
 from fleetscope.operators import validate as V
 from fleetscope.plans import frames
 from fleetscope.schema import (
@@ -29,23 +28,32 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     A snapshot is one delivery batch; each sink commits when its batch is
     processed, stamped with the newest event time it wrote (the batch runs
     right after its last event). The hourly table is rewritten per batch for
-    the days the batch touched (dynamic partition overwrite). One pass over
-    the validated messages gives both sinks' counts and times.
+    the days the batch touched (dynamic partition overwrite), so its rows per
+    snapshot are the batch's distinct (hour, device, metric) groups.
+
+    One pass over the validated messages, aggregated in two levels: first
+    per (snapshot, hour, device, metric, valid) -- dead rows collapse to one
+    group per snapshot -- then per snapshot. Partial aggregation absorbs hot
+    groups before either shuffle.
     """
     val = frames.validated(spark, sf_dir)
     ok = V.is_valid()
     ts = F.col("timestamp")
     real_ts = F.when(F.year(ts) < FUTURE_YEAR, ts)
-    per_batch = val.groupBy("snapshot_id").agg(
-        F.count_if(ok).alias("clean_rows"),
-        F.max(F.when(ok, real_ts)).alias("clean_at"),
-        F.count_if(~ok).alias("dead_rows"),
-        F.max(F.when(~ok, real_ts)).alias("dead_at"),
+    groups = val.groupBy(
+        "snapshot_id", ok.alias("_ok"),
+        F.when(ok, F.date_trunc("hour", ts)).alias("_hour"),
+        F.when(ok, F.col("device_id")).alias("_device"),
+        F.when(ok, F.col("metric_name")).alias("_metric"),
+    ).agg(F.count(F.lit(1)).alias("_n"), F.max(real_ts).alias("_at"))
+    g_ok = F.col("_ok")
+    b = groups.groupBy("snapshot_id").agg(
+        F.coalesce(F.sum(F.when(g_ok, F.col("_n"))), F.lit(0)).alias("clean_rows"),
+        F.max(F.when(g_ok, F.col("_at"))).alias("clean_at"),
+        F.coalesce(F.sum(F.when(~g_ok, F.col("_n"))), F.lit(0)).alias("dead_rows"),
+        F.max(F.when(~g_ok, F.col("_at"))).alias("dead_at"),
+        F.count_if(g_ok & F.col("_hour").isNotNull()).alias("hourly_rows"),
     )
-    hourly = checked_small(
-        A.hourly_aggregates(V.clean_side(val, keep=("snapshot_id",)), keep=("snapshot_id",))
-        .groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("hourly_rows")))
-    b = per_batch.join(hourly, "snapshot_id", "left")
     rows = F.array(
         F.struct(F.lit("clean_events").alias("table_name"), F.col("clean_at").alias("committed_at"),
                  F.lit("append").alias("operation"), F.col("clean_rows").alias("rows")),
@@ -53,7 +61,7 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("append").alias("operation"), F.col("dead_rows").alias("rows")),
         F.struct(F.lit("hourly_aggregates").alias("table_name"),
                  F.col("clean_at").alias("committed_at"), F.lit("overwrite").alias("operation"),
-                 F.coalesce(F.col("hourly_rows"), F.lit(0)).cast("long").alias("rows")),
+                 F.col("hourly_rows").alias("rows")),
     )
     out = b.select(F.col("snapshot_id").cast("long").alias("snapshot_id"), F.inline(rows))
     return out.where(F.col("rows") > 0).select(
