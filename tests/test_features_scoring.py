@@ -155,3 +155,14 @@ def test_sorted_rank_splits_a_hot_value(spark):
     finally:
         spark.conf.set(key, old)
     assert hot > 1
+
+
+def test_approx_thresholds_are_close(spark):
+    rng = np.random.default_rng(3)
+    vals = rng.exponential(size=5000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "error double")
+    exact = M.thresholds(df).first()
+    approx = M.thresholds(df, approx=True).first()
+    assert exact["p95"] == pytest.approx(np.percentile(vals, 95), rel=1e-12)
+    # the sketch returns an element of the data within its rank error
+    assert abs(np.searchsorted(np.sort(vals), approx["p95"]) - 0.95 * 5000) < 5000 * 0.001 + 2
