@@ -468,3 +468,23 @@ FROM elist WHERE experiment_id = (SELECT max(experiment_id) FROM elist)"""
 ORACLE["loss_curve"] = f"WITH {LOGS_CTE}\n" + """
 SELECT experiment_id, CAST(i AS INTEGER) AS epoch, round(train[i], 6) AS train, round(val[i], 6) AS validation
 FROM logs, range(1, len(train) + 1) t(i)"""
+
+ORACLE["evaluation_summary"] = _S + """
+, st AS (SELECT avg(error) FILTER (WHERE split = 'train') AS train_mean,
+               stddev_pop(error) FILTER (WHERE split = 'train') AS train_std,
+               avg(error) FILTER (WHERE split = 'test') AS test_mean,
+               stddev_pop(error) FILTER (WHERE split = 'test') AS test_std FROM err),
+pr AS (SELECT true_positives / greatest(true_positives + false_positives, 1) AS precision,
+              true_positives / greatest(n_syn, 1) AS recall FROM cm),
+sz AS (SELECT CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS train_size,
+              CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS test_size FROM lab)
+SELECT cm.true_positives, cm.false_positives,
+       CAST(cm.n_syn - cm.true_positives AS BIGINT) AS false_negatives,
+       CAST(cm.n_test - cm.false_positives AS BIGINT) AS true_negatives,
+       round(thr.p95, 6) AS p95, round(thr.p99, 6) AS p99,
+       round(st.train_mean, 6) AS train_mean, round(st.train_std, 6) AS train_std,
+       round(st.test_mean, 6) AS test_mean, round(st.test_std, 6) AS test_std,
+       sz.train_size, sz.test_size, CAST(greatest(sz.test_size, 5) AS BIGINT) AS synthetic_anomalies,
+       round(pr.precision, 6) AS precision, round(pr.recall, 6) AS recall,
+       round(2.0 * pr.precision * pr.recall / greatest(pr.precision + pr.recall, 1e-8), 6) AS f1
+FROM cm, thr, st, pr, sz"""

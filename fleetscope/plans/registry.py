@@ -231,8 +231,8 @@ def anomaly_flags(spark, sf_dir):
                     "flag_p95", "flag_p99")
 
 
-def _synthetic(spark, sf_dir):
-    p, recon, errors, limits = _scored(spark, sf_dir)
+def _synthetic(spark, sf_dir, scored=None):
+    p, recon, errors, limits = scored or _scored(spark, sf_dir)
     n_test = p.size_of("test")
     lim = M.threshold_values(limits)
     syn = M.synthetic_anomalies(spark, n_test)
@@ -376,6 +376,30 @@ def loss_curve(spark, sf_dir):
                     r6(F.col("validation")).alias("validation"))
 
 
+@query("evaluation_summary")
+def evaluation_summary(spark, sf_dir):
+    """M13 flattened, for the fixed mean reconstructor: thresholds, error
+    statistics, confusion counts, metrics and sizes in one row."""
+    scored = _scored(spark, sf_dir)
+    p, recon, errors, limits = scored
+    syn, test = _synthetic(spark, sf_dir, scored)
+    cm = M.confusion(test, syn)
+    met = M.detection_metrics(cm)
+    stats = M.error_stats(errors).first()
+    lim = M.threshold_values(limits)
+    n_test = p.size_of("test")
+    out = cm.select("*", *[F.lit(float(v)).alias(k) for k, v in lim.items()],
+                    *[F.lit(stats[k]).cast("double").alias(k) for k in stats.asDict()],
+                    F.lit(p.size_of("train")).cast("long").alias("train_size"),
+                    F.lit(n_test).cast("long").alias("test_size"),
+                    F.lit(max(n_test, 5)).cast("long").alias("synthetic_anomalies"))
+    m = met.first()
+    out = out.select("*", *[F.lit(float(m[k])).alias(k) for k in ("precision", "recall", "f1")])
+    doubles = ["p95", "p99", "train_mean", "train_std", "test_mean", "test_std",
+               "precision", "recall", "f1"]
+    return out.select(*[r6(F.col(c)).alias(c) if c in doubles else F.col(c) for c in out.columns])
+
+
 # --- autoencoder (rows-only: training is iterative) ---------------------------
 
 from fleetscope.operators import autoencoder as AE  # noqa: E402
