@@ -488,3 +488,15 @@ SELECT cm.true_positives, cm.false_positives,
        round(pr.precision, 6) AS precision, round(pr.recall, 6) AS recall,
        round(2.0 * pr.precision * pr.recall / greatest(pr.precision + pr.recall, 1e-8), 6) AS f1
 FROM cm, thr, st, pr, sz"""
+
+_CLEAN_COLUMNS = [("event_id", "STRING", False), ("timestamp", "TIMESTAMP", False),
+                  ("device_id", "STRING", False), ("metric_name", "STRING", False),
+                  ("value", "DOUBLE", False), ("unit", "STRING", False),
+                  ("location", "STRING", False), ("processed_at", "TIMESTAMP", True)]
+ORACLE["table_detail"] = _C + """
+SELECT t.table_name, t.row_count, t.last_updated, t.snapshot_count, t.quality_score,
+       c.position, c.column_name, c.data_type, c.nullable
+FROM tables t, (VALUES """ + ", ".join(
+    f"({i + 1}, '{n}', '{ty}', {str(nl).lower()})" for i, (n, ty, nl) in enumerate(_CLEAN_COLUMNS)
+) + """) AS c(position, column_name, data_type, nullable)
+WHERE t.table_name = 'clean_events'"""
