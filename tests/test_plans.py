@@ -73,3 +73,19 @@ def test_snapshot_read_prunes_partitions(spark, tmp_root):
 def test_small_sides_are_broadcast_after_a_size_check(spark):
     p = plan(QUERIES["consumer_lag"](spark, SF001))
     assert "BroadcastHashJoin" in p
+
+
+def test_incremental_rollup_pushes_the_day_range_to_parquet(spark, tmp_root):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from fleetscope.sources import store
+    from fleetscope.streaming.processor import TelemetryProcessor
+    TelemetryProcessor(tmp_root).process_batch(spark.createDataFrame(
+        [(bytearray(event(event_id="p1").encode()),)], "value binary"), 1)
+    clean = store.read_snapshots(spark, tmp_root, "clean_events")
+    lo, hi = dt.date(2026, 4, 2), dt.date(2026, 4, 3)
+    df = clean.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
+                     & (F.col("timestamp") < F.lit(hi).cast("timestamp")))
+    p = plan(df)
+    pushed = p.split("PushedFilters:")[1][:400]  # the list is cut with "..." when long
+    assert "GreaterThanOrEqual(timestamp" in pushed and "LessThan(timestamp" in pushed
