@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope.functions.ranking import bucketed_rank
@@ -81,6 +81,43 @@ def pivot_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict:
     }
 
 
+# Most day rows the stats pass may return to the driver (~270 years of days).
+MAX_DAY_ROWS = 100_000
+
+
+def pivot_day_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict | None:
+    """Like :func:`pivot_stats`, plus the rows per day, from one job.
+
+    The pivot is aggregated per day (count, and per metric sum, count, min,
+    max) and the day rows -- bounded by the time span, checked against
+    ``MAX_DAY_ROWS`` -- are folded on the driver into the global fits and the
+    exclusive running count per day that the chronological split needs.
+    Returns None when there are too many days (use :func:`pivot_stats`).
+    """
+    day = F.date_trunc("day", F.col("time_window")).alias("day")
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for m in metrics:
+        aggs += [F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"c_{m}"),
+                 F.min(m).alias(f"lo_{m}"), F.max(m).alias(f"hi_{m}")]
+    per_day = pivoted.groupBy(day).agg(*aggs)
+    rows = per_day.limit(MAX_DAY_ROWS + 1).collect()
+    if len(rows) > MAX_DAY_ROWS:
+        return None
+    rows.sort(key=lambda r: r["day"])
+    offsets, run = {}, 0
+    for r in rows:
+        offsets[r["day"]] = run
+        run += r["n"]
+    means, scaler = {}, {}
+    for m in metrics:
+        cnt = sum(r[f"c_{m}"] for r in rows)
+        means[m] = (sum(r[f"s_{m}"] for r in rows if r[f"s_{m}"] is not None) / cnt) if cnt else None
+        los = [r[f"lo_{m}"] for r in rows if r[f"lo_{m}"] is not None]
+        his = [r[f"hi_{m}"] for r in rows if r[f"hi_{m}"] is not None]
+        scaler[m] = (min(los), max(his)) if los else (0.0, 0.0)
+    return {"n": run, "means": means, "scaler": scaler, "day_offsets": offsets}
+
+
 def impute(pivoted: DataFrame, metrics: Sequence[str] = METRICS,
            means: dict | None = None) -> DataFrame:
     """F4 + F5: fill a missing cell with its column mean over the pivoted rows
@@ -138,7 +175,8 @@ def split_bounds(n: int, train_ratio: float = TRAIN_RATIO,
 
 def chronological_split(features: DataFrame, keys: Sequence[str] = (),
                         train_ratio: float = TRAIN_RATIO,
-                        val_ratio: float = VAL_RATIO, n: int | None = None) -> DataFrame:
+                        val_ratio: float = VAL_RATIO, n: int | None = None,
+                        day_offsets: dict | None = None) -> DataFrame:
     """positional split by time -- first int(n*0.7) train, up to
     int(n*(0.7+0.15)) validation, the rest test (truncation in doubles).
 
@@ -149,9 +187,17 @@ def chronological_split(features: DataFrame, keys: Sequence[str] = (),
     """
     # A day of fleet vectors is at most 1,440 rows; with keys a single minute
     # (one row per key) is the bucket, so a task never holds a day of keys.
-    bucket = (F.col("time_window") if keys
-              else F.date_trunc("day", F.col("time_window")))
-    ranked = bucketed_rank(features, bucket, ["time_window", *keys], rank_col="position")
+    if day_offsets is not None and not keys:
+        # offsets already known per day: a map lookup, no join and no job
+        day = F.date_trunc("day", F.col("time_window"))
+        lookup = F.create_map(*[x for d, o in sorted(day_offsets.items())
+                                for x in (F.lit(d), F.lit(int(o)))])
+        local = F.row_number().over(Window.partitionBy(day).orderBy("time_window")) - 1
+        ranked = features.withColumn("position", F.element_at(lookup, day) + local)
+    else:
+        bucket = (F.col("time_window") if keys
+                  else F.date_trunc("day", F.col("time_window")))
+        ranked = bucketed_rank(features, bucket, ["time_window", *keys], rank_col="position")
     n = features.count() if n is None else n
     t_end, v_end = split_bounds(n, train_ratio, val_ratio)
     train_end, val_end = F.lit(t_end), F.lit(v_end)

@@ -44,8 +44,14 @@ class Prepared:
 
     @cached_property
     def stats(self) -> dict:
-        """Means, min/max and the vector count from one job over the pivot."""
-        return FT.pivot_stats(self.pivoted.persist(StorageLevel.MEMORY_AND_DISK))
+        """Means, min/max, the vector count (and, without keys, rows per day)
+        from one job over the pivot."""
+        piv = self.pivoted.persist(StorageLevel.MEMORY_AND_DISK)
+        if not self.keys:
+            st = FT.pivot_day_stats(piv)
+            if st is not None:
+                return st
+        return FT.pivot_stats(piv)
 
     @property
     def n(self) -> int:
@@ -84,7 +90,8 @@ class Prepared:
     @cached_property
     def split(self) -> DataFrame:
         # Reused by every fit and score downstream; bounded like the features.
-        return FT.chronological_split(self.normalized, self.keys, n=self.n).persist(
+        return FT.chronological_split(self.normalized, self.keys, n=self.n,
+                                      day_offsets=self.stats.get("day_offsets")).persist(
             StorageLevel.MEMORY_AND_DISK)
 
     def release(self) -> None:
