@@ -500,3 +500,14 @@ FROM tables t, (VALUES """ + ", ".join(
     f"({i + 1}, '{n}', '{ty}', {str(nl).lower()})" for i, (n, ty, nl) in enumerate(_CLEAN_COLUMNS)
 ) + """) AS c(position, column_name, data_type, nullable)
 WHERE t.table_name = 'clean_events'"""
+
+ORACLE["device_time_split"] = with_base() + """
+, kp AS (SELECT date_trunc('minute', "timestamp") AS time_window, device_id
+         FROM clean WHERE "timestamp" IS NOT NULL GROUP BY 1, 2),
+kr AS (SELECT *, row_number() OVER (ORDER BY time_window, device_id) - 1 AS position,
+              count(*) OVER () AS n FROM kp)
+SELECT time_window, device_id, position,
+       CASE WHEN position < CAST(trunc(n * 0.7::DOUBLE) AS BIGINT) THEN 'train'
+            WHEN position < CAST(trunc(n * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) THEN 'val'
+            ELSE 'test' END AS split
+FROM kr"""

@@ -188,6 +188,13 @@ def time_split(spark, sf_dir):
     return s.select(ntz("time_window").alias("time_window"), "position", "split")
 
 
+@query("device_time_split")
+def device_time_split(spark, sf_dir):
+    """F3 with keys: one vector per (minute, device), split in (time, device) order."""
+    s = _prepared(spark, sf_dir, keys=("device_id",)).split
+    return s.select(ntz("time_window").alias("time_window"), "device_id", "position", "split")
+
+
 @query("split_sizes")
 def split_sizes(spark, sf_dir):
     return _prepared(spark, sf_dir).sizes()
