@@ -23,8 +23,10 @@ class Prepared:
     before the split, a leak); ``fit_on="train"`` fits it on the training part
     only. A given ``scaler`` (F8) is applied as is. ``min_rows`` raises when
     fewer vectors exist (F6) -- an early ``limit(n).count()``, not a full count.
-    The feature frame is persisted once it is needed by a fit: it is bounded
-    by the number of windows (x keys), not by the event volume.
+    The pivot and the split are persisted once a fit needs them: both are
+    bounded by the number of windows (x keys), not by the event volume. All
+    default fits (imputation means, scaler min/max, the vector count and, for
+    fleet vectors, the rows per day that place the split) come from one job.
     """
 
     def __init__(self, clean: DataFrame, snapshot_id: int | None = None,
