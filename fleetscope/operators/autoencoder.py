@@ -190,7 +190,13 @@ SHARD_RESULT = StructType([
 ])
 
 
-def train_epoch(spark, shards: DataFrame, theta: np.ndarray, opt: Adam, epoch: int,
+def broadcast_state(spark, theta: np.ndarray, opt: Adam):
+    """Weights and optimiser state for one epoch (release with ``unpersist``)."""
+    ship_package(spark)
+    return spark.sparkContext.broadcast((np.asarray(theta, float), opt.m, opt.v, opt.t, opt.lr))
+
+
+def train_epoch(spark, shards: DataFrame, state, epoch: int,
                 batch_size: int = 32, seed: int = 0, metrics: Sequence[str] = METRICS,
                 dropout: float = 0.2, train_steps: bool = True) -> DataFrame:
     """M3 + M4: one epoch as one Spark job.
@@ -203,11 +209,9 @@ def train_epoch(spark, shards: DataFrame, theta: np.ndarray, opt: Adam, epoch: i
     It emits one row: training rows, summed batch loss x rows, validation
     rows and squared-error sum, final weights and moments. The caller
     averages the shard rows (bounded by the shard count).
-    ``train_steps=False`` only scores (the final validation pass).
+    ``train_steps=False`` only scores (the final validation pass). ``state``
+    comes from :func:`broadcast_state`.
     """
-    ship_package(spark)
-    state = spark.sparkContext.broadcast(
-        (np.asarray(theta, float), opt.m, opt.v, opt.t, opt.lr))
     metrics = list(metrics)
 
     def run(batches):

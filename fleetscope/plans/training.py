@@ -44,11 +44,19 @@ def mean_loss(spark, df: DataFrame, theta: np.ndarray) -> float:
     return float("nan") if v is None else float(v)
 
 
+MIN_BATCHES_PER_SHARD = 64
+
+
 def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: float = 1e-3,
           patience: int = 5, batch_size: int = 32, shards: int | None = None,
           seed: int = 0) -> TrainResult:
     t0 = time.time()
-    shards = shards or spark.sparkContext.defaultParallelism
+    if not shards:
+        # enough rows per shard for MIN_BATCHES_PER_SHARD mini-batches: small
+        # training sets stay close to sequential mini-batch Adam
+        n_rows = train_df.count()
+        shards = max(1, min(spark.sparkContext.defaultParallelism,
+                            n_rows // (batch_size * MIN_BATCHES_PER_SHARD)))
     both = (train_df.select(*METRICS, F.lit(False).alias("_val"))
             .unionByName(val_df.select(*METRICS, F.lit(True).alias("_val"))))
     data = AE.shard(both, shards, seed).persist(StorageLevel.MEMORY_AND_DISK)
@@ -76,8 +84,12 @@ def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: f
         while True:
             epoch += 1
             training = epoch <= epochs
-            rows = AE.train_epoch(spark, data, theta, opt, epoch, batch_size, seed,
-                                  train_steps=training).collect()
+            state = AE.broadcast_state(spark, theta, opt)
+            try:
+                rows = AE.train_epoch(spark, data, state, epoch, batch_size, seed,
+                                      train_steps=training).collect()
+            finally:
+                state.unpersist()
             if pending is not None and settle(sum(r["val_rows"] for r in rows),
                                               sum(r["val_sq_sum"] for r in rows)):
                 break
