@@ -243,6 +243,69 @@ def train_epoch(spark, shards: DataFrame, state, epoch: int,
     return shards.select(*metrics, "_val").mapInPandas(run, SHARD_RESULT)
 
 
+RUN_RESULT = StructType([
+    StructField("train_losses", ArrayType(DoubleType())),
+    StructField("val_losses", ArrayType(DoubleType())),
+    StructField("theta", ArrayType(DoubleType())),
+    StructField("best_theta", ArrayType(DoubleType())),
+    StructField("m", ArrayType(DoubleType())),
+    StructField("v", ArrayType(DoubleType())),
+    StructField("t", LongType()),
+])
+
+
+def train_epochs_one_shard(spark, shard_df: DataFrame, state, first_epoch: int, last_epoch: int,
+                           best: float, waited: int, patience: int, batch_size: int = 32,
+                           seed: int = 0, metrics: Sequence[str] = METRICS,
+                           dropout: float = 0.2) -> DataFrame:
+    """M3-M5 for a single-shard training set: several epochs in one job.
+
+    With one shard the local weights are the global weights, so running
+    epochs ``first_epoch..last_epoch`` back to back -- same per-epoch random
+    streams, validation after each epoch, early stopping on strict
+    improvement -- gives exactly what one job per epoch gives, with a
+    fraction of the jobs. Only used when the training set is small enough
+    for one shard (a bound the caller checks).
+    """
+    metrics = list(metrics)
+
+    def run(batches):
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True)
+        is_val = pdf["_val"].to_numpy(dtype=bool)
+        xall = pdf[metrics].to_numpy(dtype=float)
+        x, xv = xall[~is_val], xall[is_val]
+        w, m, v, t, lr = state.value
+        opt = Adam(len(w), lr=lr, m=m, v=v, t=t)
+        best_w, best_v, wait = w.copy(), best, waited
+        tl, vl = [], []
+        for epoch in range(first_epoch, last_epoch + 1):
+            rng = np.random.default_rng([seed, epoch, 0])
+            order = rng.permutation(len(x))
+            total = 0.0
+            for s in range(0, len(x), batch_size):
+                xb = x[order[s:s + batch_size]]
+                loss, g = loss_and_grad(w, xb, rng, dropout)
+                w = opt.step(w, g)
+                total += loss * len(xb)
+            tl.append(total / max(len(x), 1))
+            val = float(np.sum((forward(w, xv) - xv) ** 2)) / (len(xv) * xv.shape[1]) \
+                if len(xv) else float("nan")
+            vl.append(val)
+            if val < best_v:
+                best_v, best_w, wait = val, w.copy(), 0
+            else:
+                wait += 1
+            if wait >= patience:
+                break
+        yield pd.DataFrame({"train_losses": [tl], "val_losses": [vl], "theta": [w.tolist()],
+                            "best_theta": [best_w.tolist()], "m": [opt.m.tolist()],
+                            "v": [opt.v.tolist()], "t": [opt.t]})
+    return shard_df.select(*metrics, "_val").mapInPandas(run, RUN_RESULT)
+
+
 def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """Spread the training rows over ``shards`` partitions by a hash of the
     row (not by time), so every shard sees the whole period."""

@@ -47,9 +47,37 @@ def mean_loss(spark, df: DataFrame, theta: np.ndarray) -> float:
 MIN_BATCHES_PER_SHARD = 64
 
 
+def _train_one_shard(spark, data, theta, opt, res, epochs, patience, batch_size, seed,
+                     epochs_per_job) -> None:
+    """Single-shard training, ``epochs_per_job`` epochs per Spark job (exact)."""
+    epoch, waited = 1, 0
+    while epoch <= epochs and waited < patience:
+        last = min(epochs, epoch + epochs_per_job - 1)
+        state = AE.broadcast_state(spark, theta, opt)
+        try:
+            r = AE.train_epochs_one_shard(spark, data, state, epoch, last, res.best_val_loss,
+                                          waited, patience, batch_size, seed).first()
+        finally:
+            state.unpersist()
+        for v in r["val_losses"]:
+            ep = len(res.val_losses) + 1
+            if v < res.best_val_loss:
+                res.best_val_loss, res.best_epoch, waited = v, ep, 0
+            else:
+                waited += 1
+            res.val_losses.append(v)
+        res.train_losses += list(r["train_losses"])
+        res.epochs_completed = len(res.val_losses)
+        if res.best_epoch > epoch - 1:
+            res.theta = np.array(r["best_theta"])
+        theta = np.array(r["theta"])
+        opt.m, opt.v, opt.t = np.array(r["m"]), np.array(r["v"]), r["t"]
+        epoch = res.epochs_completed + 1
+
+
 def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: float = 1e-3,
           patience: int = 5, batch_size: int = 32, shards: int | None = None,
-          seed: int = 0) -> TrainResult:
+          seed: int = 0, epochs_per_job: int = 25) -> TrainResult:
     t0 = time.time()
     if not shards:
         # enough rows per shard for MIN_BATCHES_PER_SHARD mini-batches: small
@@ -63,6 +91,14 @@ def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: f
     theta = AE.init_params(len(METRICS), seed)
     opt = AE.Adam(theta.size, lr=lr)
     res = TrainResult(theta.copy())
+    if shards == 1 and epochs_per_job > 1:
+        try:
+            _train_one_shard(spark, data, theta, opt, res, epochs, patience, batch_size,
+                             seed, epochs_per_job)
+        finally:
+            data.unpersist()
+        res.seconds = round(time.time() - t0, 2)
+        return res
     waited, pending = 0, None       # pending: (epoch, weights) awaiting their val loss
     dim = float(len(METRICS))
 

@@ -70,3 +70,16 @@ def test_training_reduces_loss_and_reports(spark):
     log = run_log(spark, p, res, "exp_test", {"epochs": 6, "lr": 1e-3, "batch_size": 32, "patience": 2})
     assert [f.name for f in log.schema.fields] == [f.name for f in RUN_LOG.fields]
     assert log.first()["hyperparameters"]["epochs_completed"] == res.epochs_completed
+
+
+def test_single_shard_multi_epoch_jobs_match_one_job_per_epoch(spark):
+    p = prepare(frames.clean(spark, SF001))
+    a = train(spark, p.part("train"), p.part("val"), epochs=12, patience=3, shards=1,
+              epochs_per_job=1)
+    b = train(spark, p.part("train"), p.part("val"), epochs=12, patience=3, shards=1,
+              epochs_per_job=5)
+    assert a.epochs_completed == b.epochs_completed
+    assert np.allclose(a.val_losses, b.val_losses, rtol=1e-12, atol=0)
+    assert np.allclose(a.train_losses, b.train_losses, rtol=1e-12, atol=0)
+    assert a.best_epoch == b.best_epoch
+    assert np.allclose(a.theta, b.theta, rtol=1e-12, atol=0)
