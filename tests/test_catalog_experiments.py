@@ -110,3 +110,29 @@ def test_report_table_roundtrip(spark, tmp_root):
         logs.select(F.sum(F.size("losses.train"))).first()[0]
     ev = derived.evaluations(spark, SF001)
     assert set(ev.columns) <= {f.name for f in EVALUATION.fields}
+
+
+def test_catalog_over_a_live_store(spark, tmp_root):
+    from fleetscope.operators import quality as Q
+    from fleetscope.plans.gate import run_aggregation
+    from fleetscope.sources import store
+    from fleetscope.sources.fixtures import telemetry_messages
+    from fleetscope.streaming.processor import TelemetryProcessor
+    msgs = telemetry_messages(spark, SF001)
+    proc = TelemetryProcessor(tmp_root)
+    for sid in (1, 2, 3):
+        proc.process_batch(msgs.where(F.col("snapshot_id") == sid).select("value"), sid)
+    run_aggregation(spark, tmp_root)
+    commits = store.commits(spark, tmp_root)
+    clean = store.read_snapshots(spark, tmp_root, "clean_events")
+    tables = {r["table_name"]: r for r in
+              C.dataset_list(commits, Q.quality_report(clean)).collect()}
+    assert tables["clean_events"]["row_count"] == 940 and tables["clean_events"]["snapshot_count"] == 3
+    assert tables["dead_letter"]["row_count"] == 60
+    assert tables["hourly_aggregates"]["row_count"] == store.read_daily(
+        spark, tmp_root, "hourly_aggregates").count()
+    assert tables["clean_events"]["quality_score"] == 0.25
+    fresh = {r["table_name"]: r["is_stale"] for r in C.freshness(C.dataset_list(commits)).collect()}
+    assert fresh == {"clean_events": False, "dead_letter": False, "hourly_aggregates": False}
+    snaps = C.snapshot_list(commits, "clean_events").collect()
+    assert sorted(r["snapshot_id"] for r in snaps) == ["1", "2", "3"]
