@@ -12,6 +12,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetscope.functions.numeric import python_float_text
+
 from fleetscope.schema import (
     DEVICE_IDS, FUTURE_YEAR, METRICS, MISSING_TEXT, RAW_EXTREME_ABOVE, RAW_FUTURE_PREFIX,
     RAW_UNKNOWN_METRIC_PREFIX, REASON_NEGATIVE_VALUE, REASON_TIMESTAMP_FUTURE,
@@ -47,7 +49,7 @@ def device_rule(device: Column, registry: Sequence[str] = DEVICE_IDS,
 
 def value_rule(value: Column) -> Column:
     return (F.when(value.isNull(), F.lit(REASON_VALUE_NULL))
-            .when(value < 0, F.concat(F.lit(REASON_NEGATIVE_VALUE), value.cast("string"))))
+            .when(value < 0, F.concat(F.lit(REASON_NEGATIVE_VALUE), python_float_text(value))))
 
 
 def metric_rule(metric: Column, allowed: Sequence[str] = METRICS) -> Column:

@@ -107,3 +107,13 @@ def test_raw_flags_treat_nan_as_in_range(spark):
     nan = ('{"event_id": "n", "timestamp": "2026-04-02T14:30:00Z", "device_id": "device_002", '
            '"metric_name": "disk_io", "value": NaN}')
     assert V.raw_anomaly_flags(messages_df(spark, [nan])).first()["is_anomaly"] is False
+
+
+def test_negative_value_text_follows_python_float_printing(spark):
+    from pyspark.sql import functions as F
+    from fleetscope.functions.numeric import python_float_text
+    vals = [-146.17, -1.0, -0.01, -0.0005, -1e-05, -1.5e-07, -12345678.9, -100000000.0,
+            -1e16, -2.5e20, -0.001, -999999.99]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r[0] for r in df.select(python_float_text(F.col("v"))).collect()]
+    assert got == [str(v) for v in vals]
