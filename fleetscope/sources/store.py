@@ -145,3 +145,35 @@ def read_daily(spark: SparkSession, root: str, table: str) -> DataFrame:
     if not _exists(spark, path) or latest_snapshot(spark, root, table) is None:
         return empty_table(spark, table, with_snapshot=False)
     return spark.read.parquet(path)
+
+
+def register_tables(spark: SparkSession, root: str, database: str = "telemetry_db") -> list[str]:
+    """S7 for SQL users: ``database`` plus one view per table over the store.
+
+    Idempotent (``CREATE DATABASE IF NOT EXISTS``, ``CREATE OR REPLACE VIEW``).
+    Each snapshot table's view is bounded by the newest committed snapshot
+    when it is (re)registered, so ``SELECT ... FROM telemetry_db.clean_events``
+    sees committed batches only; call again after new commits. Views over
+    missing tables are empty with the declared schema.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for table in TABLES:
+        if table == "hourly_aggregates":
+            df = read_daily(spark, root, table)
+        else:
+            df = read_snapshots(spark, root, table)
+        path = os.path.join(root, table)
+        cols = ", ".join(f"`{f.name}`" for f in df.schema.fields)
+        if _exists(spark, path) and (table == "hourly_aggregates"
+                                     or latest_snapshot(spark, root, table) is not None):
+            bound = latest_snapshot(spark, root, table)
+            where = "" if table == "hourly_aggregates" else f" WHERE snapshot_id <= {int(bound)}"
+            body = f"SELECT {cols} FROM parquet.`{path}`{where}"
+        else:
+            typed = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                              for f in df.schema.fields)
+            body = f"SELECT {typed} WHERE false"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS {body}")
+        names.append(f"{database}.{table}")
+    return names

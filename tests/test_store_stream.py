@@ -157,3 +157,27 @@ def test_processing_time_trigger_picks_up_new_files_and_stops(spark, tmp_root):
         stop(q, 5)
     assert not q.isActive
     assert store.read_snapshots(spark, tmp_root, "clean_events").count() == 2
+
+
+def test_sql_views_over_the_store(spark, tmp_root):
+    proc = TelemetryProcessor(tmp_root)
+    proc.process_batch(telemetry_messages(spark, SF001).select("value"), 1)
+    run_aggregation(spark, tmp_root)
+    # an uncommitted batch directory must stay invisible to SQL too
+    extra = store.read_snapshots(spark, tmp_root, "clean_events").drop("snapshot_id")
+    extra.write.mode("overwrite").parquet(os.path.join(tmp_root, "clean_events", "snapshot_id=9"))
+    store.register_tables(spark, tmp_root)
+    store.register_tables(spark, tmp_root)  # idempotent
+    total = spark.sql("SELECT COUNT(*) AS total_rows FROM telemetry_db.clean_events").first()[0]
+    assert total == 940
+    nulls = spark.sql("SELECT SUM(CASE WHEN location IS NULL THEN 1 ELSE 0 END) AS n "
+                      "FROM telemetry_db.clean_events").first()[0]
+    assert nulls > 0
+    assert spark.sql("SELECT COUNT(*) FROM telemetry_db.dead_letter").first()[0] == 60
+    assert spark.sql("SELECT COUNT(*) FROM telemetry_db.hourly_aggregates").first()[0] > 0
+
+
+def test_sql_views_on_an_empty_store(spark, tmp_root):
+    store.register_tables(spark, tmp_root, database="empty_db")
+    assert spark.sql("SELECT COUNT(*) FROM empty_db.clean_events").first()[0] == 0
+    assert "rejection_reason" in spark.table("empty_db.dead_letter").columns
