@@ -38,10 +38,19 @@ def run_quality_gate(spark: SparkSession, root: str, as_of: int | None = None,
     return GateOutcome(GATE_PASS, checks, run_aggregation(spark, root, as_of, mode))
 
 
-def touched_days(clean, since: int) -> list:
-    """Days with events in snapshots newer than ``since`` (a handful per run)."""
+MAX_TOUCHED_DAYS = 10_000
+
+
+def touched_days(clean, since: int) -> list | None:
+    """Days with events in snapshots newer than ``since`` (a handful per run);
+    None when a backfill touches more than ``MAX_TOUCHED_DAYS`` days (the
+    caller then recomputes everything)."""
     new = clean.where(F.col("snapshot_id") > F.lit(since)).where(F.col("timestamp").isNotNull())
-    return sorted(r[0] for r in new.select(F.to_date("timestamp")).distinct().collect())
+    days = new.select(F.to_date("timestamp").alias("d")).distinct() \
+        .limit(MAX_TOUCHED_DAYS + 1).collect()
+    if len(days) > MAX_TOUCHED_DAYS:
+        return None
+    return sorted(r[0] for r in days)
 
 
 def run_aggregation(spark: SparkSession, root: str, as_of: int | None = None,
@@ -64,13 +73,14 @@ def run_aggregation(spark: SparkSession, root: str, as_of: int | None = None,
     done = store.latest_snapshot(spark, root, "hourly_aggregates")
     if incremental and mode == "overwrite" and done is not None:
         days = touched_days(clean, done)
-        if not days:
+        if days is not None and not days:
             return 0
-        # the range predicate reaches the Parquet scan; the exact day list follows
-        lo = F.lit(days[0]).cast("timestamp")
-        hi = F.date_add(F.lit(days[-1]), 1).cast("timestamp")
-        clean = clean.where((F.col("timestamp") >= lo) & (F.col("timestamp") < hi)
-                            & F.to_date("timestamp").isin(days))
+        if days is not None:
+            # the range predicate reaches the Parquet scan; the exact day list follows
+            lo = F.lit(days[0]).cast("timestamp")
+            hi = F.date_add(F.lit(days[-1]), 1).cast("timestamp")
+            clean = clean.where((F.col("timestamp") >= lo) & (F.col("timestamp") < hi)
+                                & F.to_date("timestamp").isin(days))
     agg = (A.hourly_aggregates(clean)
            .withColumn("computed_at", F.current_timestamp())
            .withColumn("event_day", F.to_date("hour_window")))
