@@ -81,8 +81,11 @@ def pivot_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict:
     }
 
 
-# Most day rows the stats pass may return to the driver (~270 years of days).
+# Most day rows the stats pass may return to the driver (~270 years of days),
+# and most days placed through a literal map (beyond it the split joins a
+# small offsets frame instead).
 MAX_DAY_ROWS = 100_000
+MAX_MAP_DAYS = 5_000
 
 
 def pivot_day_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict | None:
@@ -187,7 +190,7 @@ def chronological_split(features: DataFrame, keys: Sequence[str] = (),
     """
     # A day of fleet vectors is at most 1,440 rows; with keys a single minute
     # (one row per key) is the bucket, so a task never holds a day of keys.
-    if day_offsets is not None and not keys:
+    if day_offsets is not None and not keys and len(day_offsets) <= MAX_MAP_DAYS:
         # offsets already known per day: a map lookup, no join and no job
         day = F.date_trunc("day", F.col("time_window"))
         lookup = F.create_map(*[x for d, o in sorted(day_offsets.items())

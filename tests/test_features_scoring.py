@@ -166,3 +166,13 @@ def test_approx_thresholds_are_close(spark):
     assert exact["p95"] == pytest.approx(np.percentile(vals, 95), rel=1e-12)
     # the sketch returns an element of the data within its rank error
     assert abs(np.searchsorted(np.sort(vals), approx["p95"]) - 0.95 * 5000) < 5000 * 0.001 + 2
+
+
+def test_split_same_with_and_without_day_map(spark, monkeypatch):
+    import fleetscope.operators.features as FTM
+    from fleetscope.plans import frames as fr
+    clean = fr.clean(spark, "/root/testdata/sf0.001")
+    a = {(r["time_window"], r["position"], r["split"]) for r in prepare(clean).split.collect()}
+    monkeypatch.setattr(FTM, "MAX_MAP_DAYS", 0)
+    b = {(r["time_window"], r["position"], r["split"]) for r in prepare(clean).split.collect()}
+    assert a == b and len(a) > 0
