@@ -181,3 +181,12 @@ def test_sql_views_on_an_empty_store(spark, tmp_root):
     store.register_tables(spark, tmp_root, database="empty_db")
     assert spark.sql("SELECT COUNT(*) FROM empty_db.clean_events").first()[0] == 0
     assert "rejection_reason" in spark.table("empty_db.dead_letter").columns
+
+
+def test_gate_on_an_empty_store_alerts_and_writes_nothing(spark, tmp_root):
+    out = run_quality_gate(spark, tmp_root)
+    assert out.action == "alert" and out.exit_code == 1
+    assert [c["check"] for c in out.checks] == ["row_count", "null_rates", "value_ranges", "duplicates"]
+    assert out.checks[0]["detail"] == "Total rows: 0 (threshold: >= 1)"
+    assert run_aggregation(spark, tmp_root) == 0
+    assert store.read_daily(spark, tmp_root, "hourly_aggregates").count() == 0
