@@ -88,6 +88,12 @@ MAX_DAY_ROWS = 100_000
 MAX_MAP_DAYS = 5_000
 
 
+def day_number(ts: Column) -> Column:
+    """Whole UTC days since the epoch: an integer key that survives a trip
+    to the driver unchanged (no local-time conversion of timestamps)."""
+    return F.floor(F.unix_seconds(ts) / F.lit(86400)).cast("long")
+
+
 def pivot_day_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict | None:
     """Like :func:`pivot_stats`, plus the rows per day, from one job.
 
@@ -97,7 +103,7 @@ def pivot_day_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dic
     exclusive running count per day that the chronological split needs.
     Returns None when there are too many days (use :func:`pivot_stats`).
     """
-    day = F.date_trunc("day", F.col("time_window")).alias("day")
+    day = day_number(F.col("time_window")).alias("day")
     aggs = [F.count(F.lit(1)).alias("n")]
     for m in metrics:
         aggs += [F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"c_{m}"),
@@ -192,7 +198,7 @@ def chronological_split(features: DataFrame, keys: Sequence[str] = (),
     # (one row per key) is the bucket, so a task never holds a day of keys.
     if day_offsets is not None and not keys and len(day_offsets) <= MAX_MAP_DAYS:
         # offsets already known per day: a map lookup, no join and no job
-        day = F.date_trunc("day", F.col("time_window"))
+        day = day_number(F.col("time_window"))
         lookup = F.create_map(*[x for d, o in sorted(day_offsets.items())
                                 for x in (F.lit(d), F.lit(int(o)))])
         local = F.row_number().over(Window.partitionBy(day).orderBy("time_window")) - 1

@@ -176,3 +176,23 @@ def test_split_same_with_and_without_day_map(spark, monkeypatch):
     monkeypatch.setattr(FTM, "MAX_MAP_DAYS", 0)
     b = {(r["time_window"], r["position"], r["split"]) for r in prepare(clean).split.collect()}
     assert a == b and len(a) > 0
+
+
+def test_split_positions_survive_a_dst_change_in_the_driver_zone(spark):
+    import os
+    import time as _time
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "Europe/London"
+    _time.tzset()
+    try:
+        base = dt.datetime(2024, 10, 25)
+        rows = [(base + dt.timedelta(minutes=37 * i), "device_001", METRICS[i % 5], float(i), 1)
+                for i in range(800)]
+        s = prepare(spark.createDataFrame(rows, EV_DDL)).split.collect()
+        assert sorted(r["position"] for r in s) == list(range(len(s)))
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        _time.tzset()
