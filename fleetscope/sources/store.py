@@ -89,7 +89,7 @@ def write_snapshot(df: DataFrame, root: str, table: str, snapshot_id: int,
 def commit(spark: SparkSession, root: str, table: str, snapshot_id: int,
            operation: str, rows: int) -> None:
     """Record a commit; the row for (table, snapshot) is replaced on replay."""
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = _dt.datetime.now(_dt.timezone.utc)  # zone-aware: no local-time reinterpretation
     row = spark.createDataFrame([(table, int(snapshot_id), now, operation, int(rows))], COMMITS)
     (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("table_name", "snapshot_id").parquet(os.path.join(root, COMMITS_DIR)))
