@@ -82,3 +82,28 @@ def text_stream_source(spark: SparkSession, path: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path).select(F.col("value").cast("binary").alias("value"))
+
+
+def _keyed_json(events: DataFrame, key: str | None) -> DataFrame:
+    cols = [f.name for f in WIRE_SCHEMA.fields]
+    return events.select(*([F.col(key).cast("string").alias("key")] if key else []),
+                         F.to_json(F.struct(*cols)).cast("binary").alias("value"))
+
+
+def write_messages(events: DataFrame, servers: str, topic: str, key: str | None = None):
+    """S9 sink: encode each event as JSON and publish it (batch write).
+
+    Unkeyed by default, so the producer spreads messages over partitions; a
+    ``key`` keeps one device's events ordered in one partition, at the price
+    of a hot partition when one device dominates. Needs the Kafka connector.
+    """
+    (_keyed_json(events, key).write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+
+
+def stream_messages(events: DataFrame, servers: str, topic: str, checkpoint: str,
+                    key: str | None = None):
+    """S9 sink for a streaming frame of events (checkpointed, at least once)."""
+    return (_keyed_json(events, key).writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", servers).option("topic", topic)
+            .option("checkpointLocation", checkpoint).start())

@@ -117,3 +117,14 @@ def test_negative_value_text_follows_python_float_printing(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r[0] for r in df.select(python_float_text(F.col("v"))).collect()]
     assert got == [str(v) for v in vals]
+
+
+def test_keyed_json_body_decodes(spark):
+    from fleetscope.sources.messages import _keyed_json
+    rows = [("e1", "2026-04-02T14:30:00Z", "device_003", "disk_io", 12.5, "mbps", "x")]
+    df = spark.createDataFrame(rows, "event_id string, timestamp string, device_id string, "
+                               "metric_name string, value double, unit string, location string")
+    body = _keyed_json(df, "device_id")
+    assert body.columns == ["key", "value"]
+    back = decode(body.select("value")).first()
+    assert back["device_id"] == "device_003" and back["value"] == 12.5
