@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -66,3 +67,24 @@ def offsets_from_progress(progress: dict) -> list[tuple[str, int, int]]:
                 if isinstance(parts, dict):
                     out += [(topic, int(p), int(o)) for p, o in parts.items()]
     return out
+
+
+def lag_from_progress(spark, progress: dict) -> DataFrame:
+    """H3 live values: per (topic, partition) the processed offset
+    (``endOffset``), the topic head (``latestOffset``) and their difference,
+    from one StreamingQueryProgress (``query.lastProgress``)."""
+    rows = []
+    for src in progress.get("sources", []) or []:
+        end, head = src.get("endOffset") or {}, src.get("latestOffset") or {}
+        if isinstance(end, str) or isinstance(head, str):
+            end = json.loads(end) if isinstance(end, str) else end
+            head = json.loads(head) if isinstance(head, str) else head
+        for topic, parts in (head or {}).items():
+            for p, latest in parts.items():
+                done = (end or {}).get(topic, {}).get(p)
+                rows.append((topic, int(p), int(latest), None if done is None else int(done)))
+    df = spark.createDataFrame(rows, "topic string, partition int, latest_offset long, "
+                                     "committed_offset long")
+    return df.select("topic", "partition", "latest_offset", "committed_offset",
+                     (F.col("latest_offset") - F.coalesce(F.col("committed_offset"), F.lit(0)))
+                     .alias("lag"))

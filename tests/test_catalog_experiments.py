@@ -136,3 +136,12 @@ def test_catalog_over_a_live_store(spark, tmp_root):
     assert fresh == {"clean_events": False, "dead_letter": False, "hourly_aggregates": False}
     snaps = C.snapshot_list(commits, "clean_events").collect()
     assert sorted(r["snapshot_id"] for r in snaps) == ["1", "2", "3"]
+
+
+def test_live_lag_from_progress(spark):
+    prog = {"sources": [{"description": "KafkaV2[Subscribe[telemetry.raw]]",
+                         "endOffset": {"telemetry.raw": {"0": 100, "1": 80}},
+                         "latestOffset": {"telemetry.raw": {"0": 120, "1": 80, "2": 5}}}]}
+    got = {r["partition"]: r["lag"] for r in H.lag_from_progress(spark, prog).collect()}
+    assert got == {0: 20, 1: 0, 2: 5}
+    assert H.lag_from_progress(spark, {"sources": []}).count() == 0
