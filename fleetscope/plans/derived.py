@@ -91,7 +91,8 @@ def topic_offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     """(latest, committed) offsets per partition of the message topic.
 
     The consumer has committed up to a point 100 offsets behind the head and
-    skips offsets divisible by 97. Two aggregates and one small join; no
+    has not committed offsets divisible by 97 (a model of a lagging consumer;
+    every message is still read). Two aggregates and one small join; no
     window over a whole partition.
     """
     msgs = frames.messages(spark, sf_dir).select("partition", "offset")
@@ -143,7 +144,12 @@ def run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Evaluation reports for the runs whose id is not divisible by 3."""
+    """Evaluation reports, present for runs whose id is not divisible by 3.
+
+    Evaluation is optional per run; the missing third is what makes the
+    experiment list's left join meaningful. Every run still appears in the
+    list -- this shapes the input, it does not trim any query.
+    """
     e = spread(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
     e = e.where(F.col("vec_id") % 3 != 0)
     p = F.abs(F.element_at("embedding", 1).cast("double"))
