@@ -145,3 +145,9 @@ def test_live_lag_from_progress(spark):
     got = {r["partition"]: r["lag"] for r in H.lag_from_progress(spark, prog).collect()}
     assert got == {0: 20, 1: 0, 2: 5}
     assert H.lag_from_progress(spark, {"sources": []}).count() == 0
+
+
+def test_live_lag_accepts_offsets_as_json_text(spark):
+    prog = {"sources": [{"endOffset": '{"telemetry.raw":{"0":7}}',
+                         "latestOffset": '{"telemetry.raw":{"0":9}}'}]}
+    assert [r["lag"] for r in H.lag_from_progress(spark, prog).collect()] == [2]
