@@ -119,3 +119,20 @@ def op10(spark, sf_dir):
     from fleetscope.llm import urls as U
     judged = U.judge_urls(read_table(spark, sf_dir, "pages", "page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+# --- 1: embedding near-duplicates ----------------------------------------------
+
+@query("op1_embedding_near_dedup")
+def op1(spark, sf_dir):
+    from fleetscope.llm import embeddings as E
+    return E.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+# --- 4: SimHash near-duplicates ------------------------------------------------
+
+@query("op4_simhash_near_dedup")
+def op4(spark, sf_dir):
+    from fleetscope.llm import simhash as H
+    found = H.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
