@@ -136,3 +136,36 @@ def op4(spark, sf_dir):
     from fleetscope.llm import simhash as H
     found = H.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# --- 3: benchmark decontamination ----------------------------------------------
+
+DECONTAMINATION_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(10, len(words)) AS n,
+             unnest(list_transform(range(greatest(1, len(words) - 9)), lambda i: array_to_string(words[i + 1:i + 10], ' '))) AS gram
+      FROM b WHERE len(words) > 0),
+lengths AS (SELECT DISTINCT n FROM g),
+d AS (SELECT doc_id, n, unnest(range(len(words) - n + 1)) AS pos,
+             unnest(list_transform(range(len(words) - n + 1), lambda i: array_to_string(words[i + 1:i + n], ' '))) AS gram
+      FROM w, lengths WHERE len(words) >= n),
+h AS (SELECT d.doc_id, d.pos, d.n, g.item_id FROM d JOIN g ON d.gram = g.gram AND d.n = g.n),
+k AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+      FROM h GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN k USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+
+@query("op3_benchmark_decontamination", DECONTAMINATION_SQL)
+def op3(spark, sf_dir):
+    from fleetscope.llm import decontaminate as D
+    found = D.report(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
