@@ -72,7 +72,7 @@ FROM d LEFT JOIN a USING (doc_id)
 
 @query("op6_secret_scans", _secrets_sql())
 def op6(spark, sf_dir):
-    from fleetscope.llm import secrets as S
+    from fleetscope.llm import secret_scan as S
     base = [r.kind for r in S.BASE_RULES]
     found = S.scan(documents(spark, sf_dir))
     n = lambda kind: F.size(F.filter("findings", lambda x: x.kind == kind)).cast("long")
@@ -169,3 +169,12 @@ def op3(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+# --- 2: toxicity ---------------------------------------------------------------
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    from fleetscope.llm import toxicity as X
+    docs = documents(spark, sf_dir)
+    return X.score(docs, X.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic")))

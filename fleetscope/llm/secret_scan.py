@@ -61,7 +61,6 @@ _FINDINGS = T.StructType([
     T.StructField("version", T.IntegerType()), T.StructField("start", T.LongType()),
     T.StructField("stop", T.LongType())])
 _SCANNED = T.StructType(_FINDINGS.fields[:3])
-_NONE_FOUND = F.array().cast("array<struct<start:bigint,rank:int,kind:string,stop:bigint>>")
 
 
 def blob_id(text: Column) -> Column:
@@ -164,7 +163,8 @@ def scan(df: DataFrame, path: str = "doc_id", text: str = "text", rules=RULES,
     found = update_ledger(df, path, text, rules, ledger)
     held = df.select(F.col(path).alias("path"), blob_id(F.col(text)).alias("blob"))
     return held.join(found, "blob", "left").select(
-        F.col("path").alias(path), "blob", F.coalesce("findings", _NONE_FOUND).alias("findings"))
+        F.col("path").alias(path), "blob", F.coalesce(
+            "findings", F.array().cast("array<struct<start:bigint,rank:int,kind:string,stop:bigint>>")).alias("findings"))
 
 
 def redact(df: DataFrame, path: str = "doc_id", text: str = "text", rules=RULES,
