@@ -178,3 +178,28 @@ def op2(spark, sf_dir):
     from fleetscope.llm import toxicity as X
     docs = documents(spark, sf_dir)
     return X.score(docs, X.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
+# --- 9: substring deduplication ------------------------------------------------
+
+SUBSTRINGS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT doc_id, unnest(range(len(words) - 19)) AS pos,
+             unnest(list_transform(range(len(words) - 19), lambda i: array_to_string(words[i + 1:i + 20], ' '))) AS gram
+      FROM w WHERE len(words) >= 20),
+r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS k FROM g),
+c AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS p FROM r WHERE k > 1),
+e AS (SELECT doc_id, unnest(range(len(words))) AS p, unnest(words) AS word FROM w),
+a AS (SELECT e.doc_id, count(c.p) AS n_removed, string_agg(CASE WHEN c.p IS NULL THEN word END, ' ' ORDER BY e.p) AS kept
+      FROM e LEFT JOIN c USING (doc_id, p) GROUP BY e.doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN a USING (doc_id)
+"""
+
+
+@query("op9_substring_dedup", SUBSTRINGS_SQL)
+def op9(spark, sf_dir):
+    from fleetscope.llm import substrings as U
+    found = U.repeats_removed(documents(spark, sf_dir))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x.stop - x.start))
+    return found.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
