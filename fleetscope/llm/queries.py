@@ -203,3 +203,30 @@ def op9(spark, sf_dir):
     found = U.repeats_removed(documents(spark, sf_dir))
     n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x.stop - x.start))
     return found.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# --- 5: language-model scores --------------------------------------------------
+
+LM_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x20\x09-\x0D]+') AS words FROM documents),
+t AS (SELECT doc_id, len(words) AS size, unnest(words) AS word, unnest(list_prepend(NULL, words[:-2])) AS prev FROM w WHERE len(words) > 0),
+c1 AS (SELECT word, count(*) AS n FROM t GROUP BY ALL), d1 AS (SELECT doc_id, word, count(*) AS n FROM t GROUP BY ALL),
+c2 AS (SELECT prev, word, count(*) AS n FROM t WHERE prev IS NOT NULL GROUP BY ALL),
+d2 AS (SELECT doc_id, prev, word, count(*) AS n FROM t WHERE prev IS NOT NULL GROUP BY ALL),
+s AS (SELECT t.doc_id, c1.n - d1.n AS one, c2.n - d2.n AS two, p1.n - q1.n AS context,
+             greatest((SELECT count(*) FROM t) - size, 1) AS rest
+      FROM t JOIN c1 ON t.word = c1.word JOIN d1 ON t.doc_id = d1.doc_id AND t.word = d1.word
+      LEFT JOIN c2 ON t.prev = c2.prev AND t.word = c2.word LEFT JOIN d2 ON t.doc_id = d2.doc_id AND t.prev = d2.prev AND t.word = d2.word
+      LEFT JOIN c1 p1 ON t.prev = p1.word LEFT JOIN d1 q1 ON t.doc_id = q1.doc_id AND t.prev = q1.word),
+a AS (SELECT doc_id, sum(CASE WHEN two > 0 THEN ln(two / context) ELSE ln(greatest(one, 1) / rest)
+             + CASE WHEN two IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END END) AS score, count(*) FILTER (two = 0) AS n_backoff FROM s GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, round(coalesce(score, 0), 6) AS log_score, coalesce(n_backoff, 0)::BIGINT AS n_backoff
+FROM w LEFT JOIN a USING (doc_id)
+"""
+
+
+@query("op5_lm_scores", LM_SQL)
+def op5(spark, sf_dir):
+    from fleetscope.llm import lm_scores as L
+    return L.scores(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 6))
