@@ -230,3 +230,14 @@ FROM w LEFT JOIN a USING (doc_id)
 def op5(spark, sf_dir):
     from fleetscope.llm import lm_scores as L
     return L.scores(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 6))
+
+
+# --- 7: suffix-array deduplication ---------------------------------------------
+
+@query("op7_suffix_array_dedup")
+def op7(spark, sf_dir):
+    from fleetscope.llm import suffixes as S
+    found = S.repeats_removed(documents(spark, sf_dir))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x.stop - x.start))
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
