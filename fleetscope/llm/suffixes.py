@@ -13,11 +13,11 @@ A bucket sorts the suffixes of its distinct stretches that start an anchored
 string: its part of the enhanced suffix array, with the common prefix lengths
 of neighbours. One scan with a stack yields the tree of intervals with common
 prefixes of ``LENGTH`` and more. An outermost interval is one repeated string
-with all its occurrences: its smallest row decides for all of them. An inner
-or outer interval whose members are preceded by different bytes cannot be extended to the
-left: a maximal repeat group. Stretches end ``LENGTH`` bytes after the
-last anchored start, so a repeat is seen up to 76 bytes in one group; a longer one
-is a chain of overlapping groups, and their spans are joined.
+with all its occurrences: its smallest row decides for all of them. An interval
+whose members are preceded by different bytes cannot be extended to the left:
+a maximal repeat group. A stretch reaches from the first to the end of the
+last string of its anchor, so a group is maximal within up to 2 * ``LENGTH`` - ``GRAM``
+bytes; a longer repeat is a chain of overlapping groups, whose spans are joined.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ FINER = 8
 #: Bytes hashed at a time.
 SEGMENT = 1 << 20
 _LAST = np.iinfo(np.int64).max
-#: Stands for the start of a text: it differs from every byte, and from itself.
+#: Before the start of a stretch: differs from every byte, and from itself.
 _EDGE = 256
 
 
@@ -115,13 +115,6 @@ class _Stretches:
         self.starts = np.array([len(t) - length + 1 for t in self.texts], np.int64)
         self.least = np.full(len(seen), _LAST)
         np.minimum.at(self.least, self.entry, a.ids[a.row[self.anchor]])
-        # the byte before; a text's start or two different bytes count as diverse
-        before = np.where(a.first == a.heads[a.row], _EDGE, a.data[np.maximum(a.first, 1) - 1] if len(a.data) else 0)
-        left = before[self.anchor] if len(self.anchor) else np.zeros(0, np.int64)
-        low, high = np.full(len(seen), _EDGE), np.full(len(seen), -1)
-        np.minimum.at(low, self.entry, left)
-        np.maximum.at(high, self.entry, left)
-        self.left = np.where(low == high, low, _EDGE)
         self.count = np.bincount(self.entry, minlength=len(seen))
         hashes = np.zeros(len(seen), np.uint64)
         hashes[self.entry] = a.hash[self.anchor]
@@ -132,8 +125,7 @@ class _Stretches:
 
     def asks(self) -> dict[int, bytes]:
         return {b: chunks.frame(self.starts[p].astype(np.uint16).tobytes(), b"".join([self.texts[i] for i in p.tolist()]),
-                                pack_any(self.least[p].view(np.uint64)), self.left[p].astype(np.uint16).tobytes(),
-                                pack_any(self.count[p])) for b, p in self.of.items()}
+                                pack_any(self.least[p].view(np.uint64)), pack_any(self.count[p])) for b, p in self.of.items()}
 
 
 class SuffixBucket:
@@ -146,8 +138,7 @@ class SuffixBucket:
         self.length = length
         self.starts = np.concatenate(starts)                     # of each entry
         self.least = np.concatenate([unpack_any(p[2], n) for p, n in zip(parts, self.sizes)]).view(np.int64)
-        left = np.concatenate([np.frombuffer(p[3], np.uint16) for p in parts]).astype(np.int64)
-        count = np.concatenate([unpack_any(p[4], n) for p, n in zip(parts, self.sizes)]).astype(np.int64)
+        count = np.concatenate([unpack_any(p[3], n) for p, n in zip(parts, self.sizes)]).astype(np.int64)
         seen: dict[bytes, int] = {}
         distinct = []
         for p, s in zip(parts, starts):
@@ -159,10 +150,6 @@ class SuffixBucket:
         n = len(self.texts)
         self.text_least = np.full(n, _LAST)
         np.minimum.at(self.text_least, self.text_of, self.least)
-        low, high = np.full(n, _EDGE), np.full(n, -1)
-        np.minimum.at(low, self.text_of, left)
-        np.maximum.at(high, self.text_of, left)
-        text_left = np.where(low == high, low, _EDGE)
         self.text_count = np.bincount(self.text_of, weights=count, minlength=n).astype(np.int64)
 
         # suffixes that start an anchored string, padded by zeros (a zero byte counts as 255)
@@ -184,7 +171,7 @@ class SuffixBucket:
         equal = np.where(same.all(axis=1), width, same.argmin(axis=1)) if len(rows) > 1 else np.zeros(0, np.int64)
         self.lcp = np.minimum(equal, np.minimum(valid[1:], valid[:-1]))
         self.doc = self.text_least[self.stretch]
-        self.left = np.where(self.offset == 0, text_left[self.stretch], raw[at[self.order] - 1])
+        self.left = np.where(self.offset == 0, _EDGE, raw[at[self.order] - 1].astype(np.int64))
 
     def intervals(self) -> list[tuple[int, int, int, bool]]:
         """(common prefix, first, last suffix, outermost) of the intervals of
@@ -318,7 +305,7 @@ def maximal_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     """The maximal repeat groups with all their occurrences: group (the repeated
     bytes), n_occurrences of the group, key, start (byte) and the group's
     first_key. A group is a string of ``length`` and more bytes (see above for the most)
-    that two rows or more hold and that has different bytes before it, or one
+    under a repeated anchor that occurs with different bytes before it, or one
     stretch of text that occurs more than once. Rows as in :func:`repeats_removed`."""
     docs, anchors, n = _staged_anchors(df, key, text, length, gram)
     kind = docs.schema["key"].dataType.simpleString()

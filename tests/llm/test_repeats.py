@@ -101,7 +101,7 @@ def test_suffix_tree_intervals():
 
     from fleetscope.llm.rolling import pack_any
     ask = chunks.frame(np.array([len(t) - 2 for t in texts], np.uint16).tobytes(), b"".join(texts),
-                       pack_any(np.array([5, 3, 4])), np.array([1, 2, 3], np.uint16).tobytes(), pack_any(np.array([1, 1, 1])))
+                       pack_any(np.array([5, 3, 4])), pack_any(np.array([1, 1, 1])))
     b = S.SuffixBucket([ask], 3)
     got = {(lcp, b.texts[b.stretch[i]][b.offset[i]:b.offset[i] + lcp]): j - i + 1 for lcp, i, j, _ in b.intervals()}
     assert got[5, b"banan"] == 3 and got[6, b"banana"] == 2 and got[3, b"ana"] == 5 and got[5, b"anana"] == 2
