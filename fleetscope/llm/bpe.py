@@ -177,26 +177,30 @@ def decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id",
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id",
-               text: str = "text") -> DataFrame:
+               text: str = "text", with_ids: bool = False) -> DataFrame:
     """Digest of encoding and decoding in one pass, so that ids and bytes need
     not leave the worker: key, n_tokens, ids_sha256 (decimal ids joined by one
-    space), decoded_sha256 (bytes decoded from those ids). Rows as in
-    :func:`encode`."""
+    space), decoded_sha256 (bytes decoded from those ids), and the ids
+    themselves if asked for. Rows as in :func:`encode`."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):
         c = coder(path, pattern)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in _parts(batches):
-            n, a, d = [], [], []
+            n, a, d, every = [], [], [], []
             for x in b.column(1).to_pylist():
                 listed = c.encoded_text(x or "")
                 ids = [int(i) for i in listed.split()]
                 n.append(len(ids))
+                every.append(ids if with_ids else None)
                 a.append(sha(listed.encode()))
                 d.append(sha(c.decode(ids)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(d)],
-                [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
+            if with_ids:
+                columns.append(pa.array(every, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names[:len(columns)])
+    names = [key, "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     return df.select(key, F.col(text).cast("string").alias("text")).mapInArrow(
-        run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+             + ", ids array<int>" * with_ids)

@@ -100,7 +100,7 @@ def _spans(texts: DataFrame, rules) -> DataFrame:
     sized = one.select("blob", "kind", "version", "least", "pos",
                        F.length("col.gaps").cast("long").alias("gap"),
                        F.length("col.hits").cast("long").alias("len"),
-                       F.length("col.kept").alias("judged"))
+                       F.length("col.kept").alias("judged")).distinct()  # equal rows may hold the text
     # the start of a match: all gaps up to it and all matches before it
     upto = Window.partitionBy("blob", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     ends = sized.withColumn("stop", F.sum(F.col("gap") + F.col("len")).over(upto))

@@ -266,21 +266,22 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     carry = [c for c in (carry or [key]) if c not in ("held_out", "score", "predicted", "evidence")]
     kind = df.schema[key].dataType.simpleString()
     sent = df.sparkSession.sparkContext.broadcast(model)
-    columns = df.select(*[F.col(c) for c in carry], held_out(key).alias("held_out"),
-                        F.encode(F.col(text).cast("string"), "UTF-8").alias("__text"))
+    own = [] if text in carry else [F.col(text).cast("string").alias("__text")]
+    columns = df.select(*[F.col(c) for c in carry], held_out(key).alias("held_out"), *own)
+    at = carry.index(text) if text in carry else len(carry) + 1
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batches):
         m = sent.value
         for b in batches:
-            results = [m.score(x) for x in b.column(b.num_columns - 1).to_pylist()]
+            results = [m.score((x.as_py() or "").encode()) for x in b.column(at)]
             scores = np.array([s for s, _ in results], float)
             evidence = [[{"id": m.ids[i], "label": m.labels[i], "cosine": c} for c, i in e] for _, e in results]
             id_type = b.column(carry.index(key)).type if key in carry else pa.int64()
             kinds = pa.list_(pa.struct([("id", id_type), ("label", pa.int32()), ("cosine", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(scores), pa.array((scores >= REJECT).astype(np.int32)),
-                 pa.array(evidence, kinds)], [*b.schema.names[:-1], "score", "predicted", "evidence"])
+                [*b.columns[:len(carry) + 1], pa.array(scores), pa.array((scores >= REJECT).astype(np.int32)),
+                 pa.array(evidence, kinds)], [*carry, "held_out", "score", "predicted", "evidence"])
     return columns.mapInArrow(
         run, f"{fields}, held_out boolean, score double, predicted int,"
              f" evidence array<struct<id:{kind},label:int,cosine:double>>")
