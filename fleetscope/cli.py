@@ -1,12 +1,17 @@
 """Command-line entry points with the platform's defaults.
 
-    python -m fleetscope.cli stream    --source DIR --store DIR --checkpoint DIR [--once]
+    python -m fleetscope.cli stream    (--source DIR | --servers HOSTS --topic T) --store DIR
+                                       --checkpoint DIR [--once]
+    python -m fleetscope.cli replay    --servers HOSTS --topic T  (raw-stream summary, V9 V10)
     python -m fleetscope.cli aggregate --store DIR [--append]
     python -m fleetscope.cli quality   --store DIR            (exit code 0 pass / 1 fail)
     python -m fleetscope.cli gate      --store DIR            (quality, then aggregate or alert)
     python -m fleetscope.cli train     --store DIR --experiments DIR [--epochs 50 --lr 0.001
                                        --patience 5 --batch-size 32 --snapshot-id N]
     python -m fleetscope.cli evaluate  --store DIR --experiments DIR [--experiment ID]
+    python -m fleetscope.cli catalog   --store DIR [--table T [--snapshots | --sample [--snapshot-id N] [--limit 10]]]
+    python -m fleetscope.cli health    --store DIR [--as-of ISO] [--max-age 30]
+    python -m fleetscope.cli experiments --experiments DIR [--experiment ID [--loss] | --latest]
 """
 
 from __future__ import annotations
@@ -15,12 +20,21 @@ import argparse
 import json
 import sys
 
+from pyspark.sql import functions as F
+
+from fleetscope.operators import catalog as C
+from fleetscope.schema import STALE_AFTER_MINUTES, STATUS_HEALTHY
+from fleetscope.sources.fixtures import TOPIC
+
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="fleetscope")
     sub = ap.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("stream")
-    s.add_argument("--source", required=True, help="folder of JSON-lines message files")
+    src = s.add_mutually_exclusive_group(required=True)
+    src.add_argument("--source", help="folder of JSON-lines message files")
+    src.add_argument("--servers", help="Kafka bootstrap servers (needs the connector)")
+    s.add_argument("--topic", default=TOPIC)
     s.add_argument("--store", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--once", action="store_true", help="drain what is available, then stop")
@@ -40,15 +54,35 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--store", required=True)
     e.add_argument("--experiments", required=True)
     e.add_argument("--experiment", default=None)
+    r = sub.add_parser("replay")
+    r.add_argument("--servers", required=True)
+    r.add_argument("--topic", default=TOPIC)
+    c = sub.add_parser("catalog")
+    c.add_argument("--store", required=True)
+    c.add_argument("--table", default=None)
+    c.add_argument("--snapshots", action="store_true")
+    c.add_argument("--sample", action="store_true")
+    c.add_argument("--snapshot-id", type=int, default=None)
+    c.add_argument("--limit", type=int, default=10)
+    h = sub.add_parser("health")
+    h.add_argument("--store", required=True)
+    h.add_argument("--as-of", default=None, help="ISO time; default: now")
+    h.add_argument("--max-age", type=int, default=STALE_AFTER_MINUTES)
+    x = sub.add_parser("experiments")
+    x.add_argument("--experiments", required=True)
+    x.add_argument("--experiment", default=None)
+    x.add_argument("--latest", action="store_true")
+    x.add_argument("--loss", action="store_true")
     args = ap.parse_args(argv)
 
     from fleetscope.session import build_session
     spark = build_session(app=f"fleetscope-{args.cmd}")
     if args.cmd == "stream":
-        from fleetscope.sources.messages import text_stream_source
+        from fleetscope.sources import messages
         from fleetscope.streaming.processor import TelemetryProcessor
-        q = TelemetryProcessor(args.store).start(text_stream_source(spark, args.source),
-                                                 args.checkpoint, available_now=args.once)
+        source = (messages.text_stream_source(spark, args.source) if args.source
+                  else messages.stream_source(spark, args.servers, args.topic))
+        q = TelemetryProcessor(args.store).start(source, args.checkpoint, available_now=args.once)
         try:
             q.awaitTermination()
         except KeyboardInterrupt:
@@ -82,7 +116,48 @@ def main(argv: list[str] | None = None) -> int:
         r = run_evaluation(spark, args.store, args.experiments, args.experiment).first()
         print(json.dumps(r.asDict(recursive=True), default=str))
         return 0
-    return 2
+    if args.cmd == "replay":
+        from fleetscope.operators import validate as V
+        from fleetscope.sources.messages import replay_source
+        _show(V.raw_anomaly_summary(V.raw_anomaly_flags(replay_source(spark, args.servers, args.topic))))
+        return 0
+    from fleetscope.plans import serving
+    try:
+        if args.cmd == "catalog":
+            if args.table is None:
+                _show(serving.tables(spark, args.store).orderBy("table_name"))
+            elif args.snapshots:
+                _show(serving.snapshots(spark, args.store, args.table).orderBy(F.col("snapshot_id").cast("long")))
+            elif args.sample:
+                _show(serving.sample(spark, args.store, args.table, args.snapshot_id, args.limit))
+            else:
+                _show(serving.table_detail(spark, args.store, args.table).orderBy("position"))
+        elif args.cmd == "health":
+            now = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
+            fresh = serving.freshness(spark, args.store, now, args.max_age).persist()
+            _show(fresh.orderBy("table_name"))
+            status = C.storage_status(fresh)
+            _show(status)
+            return 0 if status.first()["status"] == STATUS_HEALTHY else 1
+        elif args.latest:
+            _show(serving.latest_model(spark, args.experiments))
+        elif args.experiment and args.loss:
+            _show(serving.loss_curve(spark, args.experiments, args.experiment))
+        elif args.experiment:
+            _show(serving.experiment(spark, args.experiments, args.experiment))
+        else:
+            _show(serving.experiments(spark, args.experiments))
+    except KeyError as e:
+        print(e.args[0], file=sys.stderr)
+        return 1
+    return 0
+
+
+def _show(df) -> None:
+    """Rows as JSON lines. The commands end in a few rows by their nature: tables,
+    commits, columns, runs, or a limit."""
+    for row in df.toJSON().toLocalIterator():
+        print(row)
 
 
 if __name__ == "__main__":

@@ -40,6 +40,8 @@ def python_float_text(v: Column) -> Column:
     mant = F.regexp_replace(F.regexp_extract(java, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
     sci = F.concat(mant, F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
                    F.lpad(F.abs(e).cast("string"), 2, "0"))
-    return (F.when(e.isNull() | F.isnan(v), java)
+    return (F.when(F.abs(v) == float("inf"), F.when(v < 0, "-inf").otherwise("inf"))
+            .when(F.isnan(v), "nan")
+            .when(e.isNull(), java)
             .when((e >= -4) & (e < 16), plain)
             .otherwise(sci))

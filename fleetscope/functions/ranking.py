@@ -1,118 +1,110 @@
-"""Global positions and exact quantiles without a single-task window.
-
-A ``row_number()`` over the whole frame moves every row into one task. Both
-helpers here compute global positions in two levels instead: small per-bucket
-counts become cumulative offsets, and positions within a bucket are local.
-"""
+"""Global positions and exact quantiles without a single-task window."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.functions.joins import checked_small
 from fleetscope.session import checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
-MAX_OFFSET_ROWS = 1_000_000  # size bound checked before an offsets table is broadcast
-
-
-def _offsets(counts: DataFrame, bucket: str, n: str = "_n") -> DataFrame:
-    """Exclusive running sum of bucket sizes in bucket order (one small frame)."""
-    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(bucket, F.coalesce(F.sum(n).over(w), F.lit(0)).alias("_offset"))
-
-
-def bucketed_rank(df: DataFrame, bucket: Column, order: Sequence[str | Column],
-                  rank_col: str = "_rank") -> DataFrame:
-    """0-based global position ordered by (bucket, order...).
-
-    ``bucket`` must be monotone in the ordering (e.g. the day of a time key),
-    so a bucket holds a contiguous run of positions. Positions inside a bucket
-    come from a window partitioned by the bucket; the per-bucket counts (one
-    row per bucket) become offsets joined back on the bucket key, broadcast
-    once their row count is checked (``checked_small``).
-    """
-    b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = checked_small(_offsets(counts, "_bucket"))
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1
-    return (b.withColumn("_local", local)
-            .join(offsets, "_bucket")
-            .withColumn(rank_col, F.col("_offset") + F.col("_local"))
-            .drop("_bucket", "_local", "_offset"))
 
 
 def sorted_rank(df: DataFrame, order: Sequence[str | Column],
                 rank_col: str = "_rank") -> DataFrame:
-    """0-based global position for any sort key, for frames of any size.
-
-    A range-partitioned sort spreads the rows over tasks (ties split by a
-    seeded random key); each row's position inside its range partition comes
-    from ``monotonically_increasing_id``.
-    The sorted frame is checkpointed (reliable storage in the cluster's
-    ``spark.checkpoint.dir``) so positions and partition counts come from one
-    materialisation even if executors are lost. The offsets frame has one row
-    per partition -- a bound known before it is broadcast.
+    """0-based global position in the order of the sort keys, at any size.
+
+    A range-partitioned sort spreads the rows over tasks. A random last key lets
+    it split a run of equal keys, whose positions are interchangeable. A row's place inside its range
+    partition comes from ``monotonically_increasing_id``. The sorted frame is
+    checkpointed (reliable storage, ``spark.checkpoint.dir``), so positions and
+    partition counts come from one materialisation even if executors are lost.
+    The driver adds up one count per partition; the offsets it sends back are
+    as many numbers as there are shuffle partitions.
     """
-    checkpoint_dir(df.sparkSession)
-    # A seeded random tiebreak lets the range partitioner split a value that
-    # a third of the rows share; tied rows are interchangeable for positions.
-    s = (df.withColumn("_tie", F.rand(seed=17)).orderBy(*order, "_tie")
-         .drop("_tie").withColumn("_mid", F.monotonically_increasing_id()))
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    s = (df.withColumn("_tie", F.rand(seed=17)).orderBy(*order, "_tie").drop("_tie")
+         .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.checkpoint(eager=True)
-    parts = s.rdd.getNumPartitions()
-    if parts > MAX_OFFSET_ROWS:
-        raise ValueError(f"{parts} partitions exceed the offsets broadcast bound")
-    s = (s.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
+    s = (s.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS).cast("long"))
           .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
-    counts = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _offsets(counts, "_part")
-    return (s.join(F.broadcast(offsets), "_part")
+    run, offsets = 0, []
+    for part, n in sorted(map(tuple, s.groupBy("_part").count().collect())):
+        offsets.append((part, run))
+        run += n
+    table = spark.createDataFrame(offsets, "_part long, _offset long")
+    return (s.join(F.broadcast(table), "_part")
             .withColumn(rank_col, F.col("_offset") + F.col("_local"))
             .drop("_mid", "_part", "_local", "_offset"))
 
 
-# Largest input the single-buffer ``percentile`` aggregate may take: its final
-# task holds every distinct value (16 MB of doubles at this bound).
-SINGLE_TASK_QUANTILE_ROWS = 2_000_000
+#: Distinct values that are fetched to read a quantile off.
+BRACKET = 10_000
+#: Accuracy of the sketches that narrow the bracket.
+SKETCH = 10_000
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, n: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default method).
 
     For n values sorted ascending, q(p) = v[lo] + (v[hi] - v[lo]) * frac with
-    pos = p * (n - 1), lo = floor(pos), hi = ceil(pos). The row count is
-    checked first: up to ``SINGLE_TASK_QUANTILE_ROWS`` values Spark's exact
-    ``percentile`` aggregate (same interpolation, one job) is used; beyond it
-    the values are ranked by a distributed sort and only the rows at the
-    needed positions are kept. The result is one row, a column per
-    probability.
+    pos = p * (n - 1), lo = floor(pos), hi = ceil(pos). Mergeable sketches give
+    a bracket around each position; exact counts of what lies below and inside
+    prove it, and a further sketch of the bracket narrows it, until few values
+    are left. These come back with their counts and the positions are read
+    off. Every pass is one aggregate, and no buffer holds the input. One row,
+    a column for each probability; nulls are skipped; no values give nulls.
     """
+    spark = df.sparkSession
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    n = vals.count() if n is None else n  # an upper bound is enough for the choice
-    if n <= SINGLE_TASK_QUANTILE_ROWS:
-        q = F.percentile("_v", [float(p) for p in probs])
-        return vals.agg(q.alias("_q")).select(
-            *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-    ranked = sorted_rank(vals, ["_v"])
-    n = ranked.count()
+    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    v = F.col("_v")
+    n = vals.count()
     if n == 0:
-        return ranked.agg(*[F.lit(None).cast("double").alias(x) for x in names])
-    pos = [F.lit(float(p) * (n - 1)) for p in probs]
-    wanted = F.array(*[F.floor(x) for x in pos] + [F.ceil(x) for x in pos])
-    picks = ranked.where(F.array_contains(wanted, F.col("_rank")))
-    outs = []
-    for p, name in zip(probs, names):
-        x = F.lit(float(p) * (n - 1))
-        lo = F.max(F.when(F.col("_rank") == F.floor(x), F.col("_v")))
-        hi = F.max(F.when(F.col("_rank") == F.ceil(x), F.col("_v")))
-        outs.append((lo + (hi - lo) * (x - F.floor(x))).alias(name))
-    return picks.agg(*outs)
+        return spark.range(1).select(*[F.lit(None).cast("double").alias(x) for x in names])
+    low, high = -math.inf, math.inf
+    ranks = [(math.floor(p * (n - 1)), math.ceil(p * (n - 1))) for p in probs]
+    brackets = [(low, high, 0, n)] * len(probs)  # from, to, rows below, rows inside
+
+    def inside(b):
+        # NaN sorts above every number, and so above any bracket that is not open
+        return (v >= b[0]) & ((v <= b[1]) | F.lit(b[1] == high))
+
+    while True:
+        wide = [i for i, b in enumerate(brackets) if b[3] > BRACKET and b[0] < b[1]]
+        if not wide:
+            break
+        sketches = vals.agg(*[F.percentile_approx(
+            F.when(inside(brackets[i]), v),
+            [min(1.0, max(0.0, (r - brackets[i][2]) / brackets[i][3] + e))
+             for r, e in zip(ranks[i], (-2 / SKETCH, 2 / SKETCH))], SKETCH).alias(f"b{i}") for i in wide]).first()
+        tried = {i: (sketches[f"b{i}"][0], sketches[f"b{i}"][1]) for i in wide}
+        counts = vals.agg(*[x for i, (a, b) in tried.items() for x in (
+            F.count_if(v < a).alias(f"below{i}"), F.count_if((v >= a) & (v <= b)).alias(f"in{i}"))]).first()
+        moved = False
+        for i, (a, b) in tried.items():
+            below, held = counts[f"below{i}"], counts[f"in{i}"]
+            if below <= ranks[i][0] and ranks[i][1] < below + held and held < brackets[i][3]:
+                brackets[i], moved = (a, b, below, held), True
+        if not moved:  # what is left are a few values with many rows each
+            break
+    out = []
+    for p, (lo, hi), b in zip(probs, ranks, brackets):
+        found = vals.where(inside(b)).groupBy("_v").count().collect()
+        at, picked = b[2], {}
+        for value, rows in sorted(map(tuple, found), key=lambda x: (x[0] != x[0], x[0])):
+            for r in (lo, hi):
+                if at <= r < at + rows:
+                    picked[r] = value
+            at += rows
+        frac = p * (n - 1) - lo
+        out.append(picked[lo] + (picked[hi] - picked[lo]) * frac if frac else picked[lo])
+    return spark.range(1).select(*[F.lit(float(q)).alias(x) for q, x in zip(out, names)])
 
 
 def approx_quantiles(df: DataFrame, col: str, probs: Sequence[float],

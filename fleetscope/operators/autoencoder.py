@@ -179,6 +179,7 @@ def latent(spark, df: DataFrame, theta: np.ndarray, keep: Sequence[str],
 
 
 SHARD_RESULT = StructType([
+    StructField("shard", LongType()),
     StructField("rows", LongType()),
     StructField("loss_sum", DoubleType()),
     StructField("val_rows", LongType()),
@@ -196,117 +197,90 @@ def broadcast_state(spark, theta: np.ndarray, opt: Adam):
     return spark.sparkContext.broadcast((np.asarray(theta, float), opt.m, opt.v, opt.t, opt.lr))
 
 
+def _minibatches(parts, size: int):
+    """Batches of ``size`` rows (the last may be smaller) from a stream of arrays."""
+    held = None
+    for x in parts:
+        held = x if held is None else np.concatenate((held, x))
+        whole = len(held) // size * size
+        for s in range(0, whole, size):
+            yield held[s:s + size]
+        held = held[whole:]
+    if held is not None and len(held):
+        yield held
+
+
 def train_epoch(spark, shards: DataFrame, state, epoch: int,
                 batch_size: int = 32, seed: int = 0, metrics: Sequence[str] = METRICS,
                 dropout: float = 0.2, train_steps: bool = True) -> DataFrame:
-    """M3 + M4: one epoch as one Spark job.
-
-    ``shards`` holds training rows and validation rows (``_val`` true). Every
-    shard (partition) first scores its validation rows with the incoming
-    weights -- the previous epoch's averaged weights, eval mode -- and then,
-    starting from the same broadcast weights and optimiser state, runs
-    shuffled mini-batches of ``batch_size`` with Adam over its training rows.
-    It emits one row: training rows, summed batch loss x rows, validation
-    rows and squared-error sum, final weights and moments. The caller
-    averages the shard rows (bounded by the shard count).
-    ``train_steps=False`` only scores (the final validation pass). ``state``
-    comes from :func:`broadcast_state`.
+    """M3 + M4: one epoch as one Spark job; one row for each shard.
+
+    ``shards`` holds training rows and validation rows (``_val`` true), dealt
+    by :func:`shard`. Every shard (partition) is sorted by a hash of the key and the
+    epoch, so the order of its mini-batches does not depend on how rows
+    arrived, and a retried task repeats its result. It scores its validation
+    rows with the incoming weights -- the previous epoch's averaged weights,
+    eval mode -- and runs mini-batches of ``batch_size`` with Adam over its
+    training rows, starting from the same broadcast weights and optimiser
+    state. Rows stream through in Arrow batches; a task holds one of them.
+    ``train_steps=False`` only scores. ``state`` comes from :func:`broadcast_state`.
     """
     metrics = list(metrics)
 
     def run(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        is_val = pdf["_val"].to_numpy(dtype=bool)
-        xall = pdf[metrics].to_numpy(dtype=float)
-        x, xv = xall[~is_val], xall[is_val]
-        w, m, v, t, lr = state.value
-        val_sq = float(np.sum((forward(w, xv) - xv) ** 2)) if len(xv) else 0.0
-        local = Adam(len(w), lr=lr, m=m, v=v, t=t)
-        total = 0.0
-        if train_steps and len(x):
-            rng = np.random.default_rng([seed, epoch, pid])
-            order = rng.permutation(len(x))
-            for s in range(0, len(x), batch_size):
-                xb = x[order[s:s + batch_size]]
-                loss, g = loss_and_grad(w, xb, rng, dropout)
-                w = local.step(w, g)
-                total += loss * len(xb)
-        yield pd.DataFrame({"rows": [len(x) if train_steps else 0], "loss_sum": [total],
-                            "val_rows": [len(xv)], "val_sq_sum": [val_sq],
+        w0, m, v, t, lr = state.value
+        local, w = Adam(len(w0), lr=lr, m=m, v=v, t=t), w0
+        rng = np.random.default_rng([seed, epoch, pid])
+        val = [0, 0.0]
+
+        def training():
+            for pdf in batches:
+                is_val = pdf["_val"].to_numpy(dtype=bool)
+                x = pdf[metrics].to_numpy(dtype=float)
+                xv = x[is_val]
+                val[0] += len(xv)
+                val[1] += float(np.sum((forward(w0, xv) - xv) ** 2)) if len(xv) else 0.0
+                if train_steps and not is_val.all():
+                    yield x[~is_val]
+
+        rows, total = 0, 0.0
+        for xb in _minibatches(training(), batch_size):
+            loss, g = loss_and_grad(w, xb, rng, dropout)
+            w = local.step(w, g)
+            rows += len(xb)
+            total += loss * len(xb)
+        yield pd.DataFrame({"shard": [pid], "rows": [rows], "loss_sum": [total],
+                            "val_rows": [val[0]], "val_sq_sum": [val[1]],
                             "theta": [w.tolist()], "m": [local.m.tolist()],
                             "v": [local.v.tolist()], "t": [local.t]})
-    return shards.select(*metrics, "_val").mapInPandas(run, SHARD_RESULT)
-
-
-RUN_RESULT = StructType([
-    StructField("train_losses", ArrayType(DoubleType())),
-    StructField("val_losses", ArrayType(DoubleType())),
-    StructField("theta", ArrayType(DoubleType())),
-    StructField("best_theta", ArrayType(DoubleType())),
-    StructField("m", ArrayType(DoubleType())),
-    StructField("v", ArrayType(DoubleType())),
-    StructField("t", LongType()),
-])
+    order = F.xxhash64(F.lit(seed), F.lit(epoch), F.col("_key"))
+    return (shards.select(*metrics, "_val", "_key").sortWithinPartitions(order, "_key")
+            .mapInPandas(run, SHARD_RESULT))
 
 
-def train_epochs_one_shard(spark, shard_df: DataFrame, state, first_epoch: int, last_epoch: int,
-                           best: float, waited: int, patience: int, batch_size: int = 32,
-                           seed: int = 0, metrics: Sequence[str] = METRICS,
-                           dropout: float = 0.2) -> DataFrame:
-    """M3-M5 for a single-shard training set: several epochs in one job.
+def averaged(results: DataFrame) -> DataFrame:
+    """Shard results averaged by rows, on the executors: one row for each weight.
 
-    With one shard the local weights are the global weights, so running
-    epochs ``first_epoch..last_epoch`` back to back -- same per-epoch random
-    streams, validation after each epoch, early stopping on strict
-    improvement -- gives exactly what one job per epoch gives, with a
-    fraction of the jobs. Only used when the training set is small enough
-    for one shard (a bound the caller checks).
+    ``pos``, the averaged ``theta``, ``m`` and ``v`` at it, and the sums over all
+    shards. Terms are added in shard order, so the sums do not depend on how
+    tasks finished; what reaches the driver does not grow with the shards.
     """
-    metrics = list(metrics)
-
-    def run(batches):
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        is_val = pdf["_val"].to_numpy(dtype=bool)
-        xall = pdf[metrics].to_numpy(dtype=float)
-        x, xv = xall[~is_val], xall[is_val]
-        w, m, v, t, lr = state.value
-        opt = Adam(len(w), lr=lr, m=m, v=v, t=t)
-        best_w, best_v, wait = w.copy(), best, waited
-        tl, vl = [], []
-        for epoch in range(first_epoch, last_epoch + 1):
-            rng = np.random.default_rng([seed, epoch, 0])
-            order = rng.permutation(len(x))
-            total = 0.0
-            for s in range(0, len(x), batch_size):
-                xb = x[order[s:s + batch_size]]
-                loss, g = loss_and_grad(w, xb, rng, dropout)
-                w = opt.step(w, g)
-                total += loss * len(xb)
-            tl.append(total / max(len(x), 1))
-            val = float(np.sum((forward(w, xv) - xv) ** 2)) / (len(xv) * xv.shape[1]) \
-                if len(xv) else float("nan")
-            vl.append(val)
-            if val < best_v:
-                best_v, best_w, wait = val, w.copy(), 0
-            else:
-                wait += 1
-            if wait >= patience:
-                break
-        yield pd.DataFrame({"train_losses": [tl], "val_losses": [vl], "theta": [w.tolist()],
-                            "best_theta": [best_w.tolist()], "m": [opt.m.tolist()],
-                            "v": [opt.v.tolist()], "t": [opt.t]})
-    return shard_df.select(*metrics, "_val").mapInPandas(run, RUN_RESULT)
+    n = F.col("rows").cast("double")
+    parts = results.select(
+        "shard", "rows", "loss_sum", "val_rows", "val_sq_sum", "t", n.alias("n"),
+        F.posexplode(F.arrays_zip("theta", "m", "v")).alias("pos", "p"))
+    numbers = ["n", "loss_sum", "val_rows", "val_sq_sum", "theta", "m", "v"]
+    one = F.struct("shard", *[F.col(c).cast("double").alias(c) for c in numbers[:4]],
+                   *[(F.col(f"p.{c}") * n).alias(c) for c in numbers[4:]])
+    kept = parts.groupBy("pos").agg(F.sort_array(F.collect_list(one)).alias("s"), F.max("t").alias("t"))
+    total = lambda c: F.aggregate("s", F.lit(0.0), lambda a, x: a + x[c])
+    return kept.select("pos", "t", *[total(c).alias(c) for c in numbers])
 
 
 def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
-    """Spread the training rows over ``shards`` partitions by a hash of the
-    row (not by time), so every shard sees the whole period."""
-    return df.repartition(shards, F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
+    """Spread the training rows over ``shards`` partitions by a hash of ``_key``
+    (not by time), so every shard sees the whole period. The key is an integer:
+    the last bits of a mean, which depend on how it was summed, must not move a row."""
+    return df.repartition(shards, F.xxhash64(F.lit(seed), F.col("_key")))

@@ -20,16 +20,23 @@ TABLE_ORDER = ("clean_events", "dead_letter", "hourly_aggregates")
 
 
 def dataset_list(commits: DataFrame, quality: DataFrame | None = None,
-                 scored_table: str = "clean_events") -> DataFrame:
+                 scored_table: str = "clean_events", counts: DataFrame | None = None) -> DataFrame:
     """Per table row count, last update, snapshot count, quality score.
 
     ``quality_score`` is the share of passed quality checks for
-    ``scored_table`` and null for the others.
+    ``scored_table`` and null for the others. ``counts`` (table_name,
+    row_count): the rows that the tables hold now; a table that is missing
+    there, or without it all, is the sum of its commits, which is right for tables that are
+    only appended to.
     """
     out = commits.groupBy("table_name").agg(
         F.sum("rows").alias("row_count"),
         F.max("committed_at").alias("last_updated"),
         F.count(F.lit(1)).alias("snapshot_count"))
+    if counts is not None:
+        now = counts.select("table_name", F.col("row_count").alias("_now"))
+        out = (out.join(now, "table_name", "left")
+               .withColumn("row_count", F.coalesce("_now", "row_count")).drop("_now"))
     score: Column = F.lit(None).cast("double")
     if quality is not None:
         s = quality.select(F.avg(F.col("passed").cast("double"))).scalar()
@@ -53,7 +60,10 @@ def table_detail(name: str, schema: StructType, tables: DataFrame) -> DataFrame:
 
 
 def snapshot_list(commits: DataFrame, table: str | None = None) -> DataFrame:
-    """The commits of one table (or all), id as text like the API."""
+    """The commits of one table (or all), id as text like the API; an
+    unknown table raises as in C2."""
+    if table is not None and table not in DECLARED_NOT_NULL:
+        raise KeyError(f"Table '{table}' not found")
     c = commits if table is None else commits.where(F.col("table_name") == table)
     return c.select("table_name", F.col("snapshot_id").cast("string").alias("snapshot_id"),
                     "committed_at", "operation", "rows")
@@ -90,14 +100,10 @@ def quality_bands(tables: DataFrame) -> DataFrame:
                          F.round(s * 100).alias("percent"))
 
 
-def freshness(tables: DataFrame, as_of: Column | None = None,
+def freshness(tables: DataFrame, as_of: Column,
               max_age_minutes: int = STALE_AFTER_MINUTES) -> DataFrame:
-    """Stale when the last commit is older than ``max_age`` before ``as_of``.
-
-    ``as_of`` defaults to the newest commit of any table (the data's "now").
-    """
-    if as_of is None:
-        as_of = tables.select(F.max("last_updated")).scalar()
+    """Stale when the last commit is older than ``max_age`` before ``as_of``
+    (the caller's clock; a table that was never written is stale)."""
     limit = as_of - F.make_dt_interval(mins=F.lit(max_age_minutes))
     return tables.select("table_name", "last_updated", "row_count",
                          F.coalesce(F.col("last_updated") < limit, F.lit(True)).alias("is_stale"))

@@ -35,17 +35,14 @@ def experiment_detail(logs: DataFrame, evals: DataFrame, experiment_id: str) ->
 
 
 def latest_model(logs: DataFrame, evals: DataFrame, root: str = "experiments") -> DataFrame:
-    """The run with the greatest id (ids embed their start time).
-
-    A global ``max`` (partial per task, one tiny merge) picks the id; no sort
-    of the logs is needed.
-    """
-    best = logs.agg(F.max("experiment_id").alias("experiment_id"))
-    lst = experiment_list(logs, evals)
-    return (lst.join(best, "experiment_id")
+    """The run with the greatest id (ids embed their start time), as a
+    top-1 of the logs before the join; no runs give no row. ``model_path`` is
+    the folder that holds its weights."""
+    best = logs.orderBy(F.desc("experiment_id")).limit(1)
+    return (experiment_list(best, evals)
             .select("experiment_id",
-                    F.concat(F.lit(root.rstrip("/") + "/"), F.col("experiment_id"),
-                             F.lit("/model.pt")).alias("model_path"),
+                    F.concat(F.lit(root.rstrip("/") + "/models/experiment_id="), F.col("experiment_id"))
+                    .alias("model_path"),
                     "best_val_loss", "precision", "recall", "f1"))
 
 

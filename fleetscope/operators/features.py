@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.functions.ranking import bucketed_rank
+from fleetscope.functions.ranking import sorted_rank
 from fleetscope.schema import METRICS, TRAIN_RATIO, VAL_RATIO
 
 FEATURE_INPUT = ("timestamp", "device_id", "metric_name", "value")
@@ -24,8 +24,8 @@ FEATURE_INPUT = ("timestamp", "device_id", "metric_name", "value")
 def load_events(clean: DataFrame, snapshot_id: int | None = None) -> DataFrame:
     """F1 + S4: four columns, optionally as of a snapshot (falsy = latest).
 
-    ``snapshot_id`` is the table's partition column, so the predicate prunes
-    whole snapshot directories at the scan.
+    Where ``snapshot_id`` is the table's partition column (the versioned
+    store), the predicate prunes whole snapshot directories at the scan.
     """
     df = clean
     if snapshot_id:
@@ -52,13 +52,16 @@ def pivot_metrics(events: DataFrame, grain: str = "1 minute",
     then a second one for the pivot). The metric list is fixed, so no job
     discovers it and the output columns are stable. Groups are bounded by the
     number of windows; partial aggregation absorbs a dominant device or
-    metric map-side.
+    metric map-side. NaN values are skipped like nulls; a window without any
+    value is no row.
     """
     metric = F.col("metric_name")
+    value = F.when(~F.isnan("value"), F.col("value"))
     return (events.where(F.col("timestamp").isNotNull())
             .withColumn("time_window", time_window(F.col("timestamp"), grain))
             .groupBy("time_window", *keys)
-            .agg(*[F.avg(F.when(metric == m, F.col("value"))).alias(m) for m in metrics]))
+            .agg(*[F.avg(F.when(metric == m, value)).alias(m) for m in metrics])
+            .dropna("all", subset=list(metrics)))
 
 
 def pivot_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict:
@@ -81,52 +84,6 @@ def pivot_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict:
     }
 
 
-# Most day rows the stats pass may return to the driver (~270 years of days),
-# and most days placed through a literal map (beyond it the split joins a
-# small offsets frame instead).
-MAX_DAY_ROWS = 100_000
-MAX_MAP_DAYS = 5_000
-
-
-def day_number(ts: Column) -> Column:
-    """Whole UTC days since the epoch: an integer key that survives a trip
-    to the driver unchanged (no local-time conversion of timestamps)."""
-    return F.floor(F.unix_seconds(ts) / F.lit(86400)).cast("long")
-
-
-def pivot_day_stats(pivoted: DataFrame, metrics: Sequence[str] = METRICS) -> dict | None:
-    """Like :func:`pivot_stats`, plus the rows per day, from one job.
-
-    The pivot is aggregated per day (count, and per metric sum, count, min,
-    max) and the day rows -- bounded by the time span, checked against
-    ``MAX_DAY_ROWS`` -- are folded on the driver into the global fits and the
-    exclusive running count per day that the chronological split needs.
-    Returns None when there are too many days (use :func:`pivot_stats`).
-    """
-    day = day_number(F.col("time_window")).alias("day")
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for m in metrics:
-        aggs += [F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"c_{m}"),
-                 F.min(m).alias(f"lo_{m}"), F.max(m).alias(f"hi_{m}")]
-    per_day = pivoted.groupBy(day).agg(*aggs)
-    rows = per_day.limit(MAX_DAY_ROWS + 1).collect()
-    if len(rows) > MAX_DAY_ROWS:
-        return None
-    rows.sort(key=lambda r: r["day"])
-    offsets, run = {}, 0
-    for r in rows:
-        offsets[r["day"]] = run
-        run += r["n"]
-    means, scaler = {}, {}
-    for m in metrics:
-        cnt = sum(r[f"c_{m}"] for r in rows)
-        means[m] = (sum(r[f"s_{m}"] for r in rows if r[f"s_{m}"] is not None) / cnt) if cnt else None
-        los = [r[f"lo_{m}"] for r in rows if r[f"lo_{m}"] is not None]
-        his = [r[f"hi_{m}"] for r in rows if r[f"hi_{m}"] is not None]
-        scaler[m] = (min(los), max(his)) if los else (0.0, 0.0)
-    return {"n": run, "means": means, "scaler": scaler, "day_offsets": offsets}
-
-
 def impute(pivoted: DataFrame, metrics: Sequence[str] = METRICS,
            means: dict | None = None) -> DataFrame:
     """F4 + F5: fill a missing cell with its column mean over the pivoted rows
@@ -184,34 +141,18 @@ def split_bounds(n: int, train_ratio: float = TRAIN_RATIO,
 
 def chronological_split(features: DataFrame, keys: Sequence[str] = (),
                         train_ratio: float = TRAIN_RATIO,
-                        val_ratio: float = VAL_RATIO, n: int | None = None,
-                        day_offsets: dict | None = None) -> DataFrame:
+                        val_ratio: float = VAL_RATIO, n: int | None = None) -> DataFrame:
     """positional split by time -- first int(n*0.7) train, up to
     int(n*(0.7+0.15)) validation, the rest test (truncation in doubles).
 
-    The global position is computed in two levels: rows per bucket ->
-    offsets, ``row_number`` within a bucket. Buckets are days (without keys)
-    or single windows (with keys), so no task receives more than a day of
-    fleet vectors or one window of keyed vectors.
+    Positions come from a range-partitioned sort on (window, keys): a window
+    with a third of all vectors is spread over as many tasks as any other third.
     """
-    # A day of fleet vectors is at most 1,440 rows; with keys a single minute
-    # (one row per key) is the bucket, so a task never holds a day of keys.
-    if day_offsets is not None and not keys and len(day_offsets) <= MAX_MAP_DAYS:
-        # offsets already known per day: a map lookup, no join and no job
-        day = day_number(F.col("time_window"))
-        lookup = F.create_map(*[x for d, o in sorted(day_offsets.items())
-                                for x in (F.lit(d), F.lit(int(o)))])
-        local = F.row_number().over(Window.partitionBy(day).orderBy("time_window")) - 1
-        ranked = features.withColumn("position", F.element_at(lookup, day) + local)
-    else:
-        bucket = (F.col("time_window") if keys
-                  else F.date_trunc("day", F.col("time_window")))
-        ranked = bucketed_rank(features, bucket, ["time_window", *keys], rank_col="position")
     n = features.count() if n is None else n
+    ranked = sorted_rank(features, ["time_window", *keys], rank_col="position")
     t_end, v_end = split_bounds(n, train_ratio, val_ratio)
-    train_end, val_end = F.lit(t_end), F.lit(v_end)
-    split = (F.when(F.col("position") < train_end, F.lit("train"))
-             .when(F.col("position") < val_end, F.lit("val"))
+    split = (F.when(F.col("position") < t_end, F.lit("train"))
+             .when(F.col("position") < v_end, F.lit("val"))
              .otherwise(F.lit("test")))
     return ranked.withColumn("split", split)
 

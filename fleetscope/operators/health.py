@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.schema import (
@@ -39,13 +39,15 @@ def run_timeline(runs: DataFrame) -> DataFrame:
         .orderBy(F.col("execution_date").desc(), "dag_id", "run_id")
 
 
+def _lag() -> Column:
+    return F.col("latest_offset") - F.coalesce(F.col("committed_offset"), F.lit(-1))
+
+
 def consumer_lag(latest: DataFrame, committed: DataFrame) -> DataFrame:
-    """H3: per partition, latest minus committed offset (0 when nothing is
-    uncommitted; the full backlog when nothing was ever committed)."""
+    """H3: per partition, latest minus committed offset: 0 when all is
+    committed, ``latest + 1`` when nothing ever was (``committed`` null, as if -1)."""
     return (latest.join(committed, "partition", "left")
-            .select("partition", "latest_offset", "committed_offset",
-                    (F.col("latest_offset") - F.coalesce(F.col("committed_offset"), F.lit(-1)))
-                    .alias("lag")))
+            .select("partition", "latest_offset", "committed_offset", _lag().alias("lag")))
 
 
 def ingest_health(lag: DataFrame, topic: str) -> DataFrame:
@@ -59,32 +61,25 @@ def ingest_health(lag: DataFrame, topic: str) -> DataFrame:
 
 def offsets_from_progress(progress: dict) -> list[tuple[str, int, int]]:
     """Latest offsets per (topic, partition) from a StreamingQueryProgress dict."""
-    out = []
-    for src in progress.get("sources", []):
-        end = src.get("endOffset") or {}
-        if isinstance(end, dict):
-            for topic, parts in end.items():
-                if isinstance(parts, dict):
-                    out += [(topic, int(p), int(o)) for p, o in parts.items()]
-    return out
+    return [(topic, int(p), int(o)) for src in progress.get("sources", [])
+            for topic, parts in (src.get("endOffset") or {}).items() if isinstance(parts, dict)
+            for p, o in parts.items()]
 
 
 def lag_from_progress(spark, progress: dict) -> DataFrame:
-    """H3 live values: per (topic, partition) the processed offset
-    (``endOffset``), the topic head (``latestOffset``) and their difference,
-    from one StreamingQueryProgress (``query.lastProgress``)."""
+    """H3 live values from one StreamingQueryProgress (``query.lastProgress``), per
+    (topic, partition). Its offsets name the next message; here, as in
+    :func:`consumer_lag`, an offset is that of the last message, and
+    ``committed_offset`` is null where nothing was processed."""
     rows = []
     for src in progress.get("sources", []) or []:
         end, head = src.get("endOffset") or {}, src.get("latestOffset") or {}
-        if isinstance(end, str) or isinstance(head, str):
-            end = json.loads(end) if isinstance(end, str) else end
-            head = json.loads(head) if isinstance(head, str) else head
-        for topic, parts in (head or {}).items():
+        end = json.loads(end) if isinstance(end, str) else end
+        head = json.loads(head) if isinstance(head, str) else head
+        for topic, parts in head.items():
             for p, latest in parts.items():
-                done = (end or {}).get(topic, {}).get(p)
-                rows.append((topic, int(p), int(latest), None if done is None else int(done)))
+                done = end.get(topic, {}).get(p)
+                rows.append((topic, int(p), int(latest) - 1, int(done) - 1 if done else None))
     df = spark.createDataFrame(rows, "topic string, partition int, latest_offset long, "
                                      "committed_offset long")
-    return df.select("topic", "partition", "latest_offset", "committed_offset",
-                     (F.col("latest_offset") - F.coalesce(F.col("committed_offset"), F.lit(0)))
-                     .alias("lag"))
+    return df.withColumn("lag", _lag())

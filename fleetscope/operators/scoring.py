@@ -46,15 +46,14 @@ def reconstruction_errors(df: DataFrame, recon: Reconstructor,
     return out.drop(*[f"xhat_{m}" for m in metrics])
 
 
-def thresholds(train_errors: DataFrame, approx: bool = False, n: int | None = None) -> DataFrame:
+def thresholds(train_errors: DataFrame, approx: bool = False) -> DataFrame:
     """M7: p95 and p99 of the training errors (exact, linear interpolation).
 
-    ``n`` (rows, or an upper bound) saves a count; ``approx=True`` swaps in a
-    mergeable quantile sketch.
+    ``approx=True`` swaps in a mergeable quantile sketch.
     """
     if approx:
         return approx_quantiles(train_errors, "error", THRESHOLD_QUANTILES, ["p95", "p99"])
-    return exact_quantiles(train_errors, "error", THRESHOLD_QUANTILES, ["p95", "p99"], n=n)
+    return exact_quantiles(train_errors, "error", THRESHOLD_QUANTILES, ["p95", "p99"])
 
 
 def error_stats(errors: DataFrame) -> DataFrame:

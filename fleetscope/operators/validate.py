@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions.rules import default_rules, raw_anomaly
-from fleetscope.functions.joins import checked_small
 from fleetscope.schema import DEAD_LETTER_DEFAULT_ID, REASON_SEP
 from fleetscope.sources.messages import decode_fields
 
@@ -20,12 +19,13 @@ def validate(decoded: DataFrame,
              rules: Sequence[tuple[str, Column]] | None = None) -> DataFrame:
     """V1-V5: add ``rejection_reason`` (null when the row passes every rule).
 
-    Every applicable reason is kept, joined by "; " in rule order. One
-    projection, no shuffle, no UDF.
+    Every applicable reason is kept, joined by "; " in rule order, and as an
+    array ``reasons`` (empty for a valid row). One projection, no shuffle, no UDF.
     """
     rules = list(rules) if rules is not None else default_rules()
-    reasons = F.concat_ws(REASON_SEP, *[c for _, c in rules])
-    return decoded.withColumn("rejection_reason", F.nullif(reasons, F.lit("")))
+    reasons = F.array_compact(F.array(*[c for _, c in rules]))
+    return (decoded.withColumn("reasons", reasons)
+            .withColumn("rejection_reason", F.nullif(F.array_join("reasons", REASON_SEP), F.lit(""))))
 
 
 def is_valid() -> Column:
@@ -62,18 +62,16 @@ def route_labels(validated: DataFrame) -> DataFrame:
     )
 
 
-def rejection_summary(dead: DataFrame) -> DataFrame:
-    """Rows per individual reason (a row with two reasons counts twice).
+def rejection_summary(validated: DataFrame) -> DataFrame:
+    """Rows per rule outcome (a row with two reasons counts twice).
 
-    Reasons are split back into their parts and the per-reason counts use a
-    partial + final hash aggregate, so a reason that dominates the input is
-    pre-aggregated map-side.
+    Counts the array of reasons, not the joined text: a value that holds the
+    separator cannot make up reasons. The offending value is dropped (all that
+    follows the first colon), so there is one row per outcome and a partial
+    aggregate absorbs a dominant one.
     """
-    # Keep only the rule part of the text (drop the offending value) so the
-    # summary has one row per rule outcome rather than one per value.
-    reason = F.explode(F.split(F.col("rejection_reason"), REASON_SEP, -1)).alias("reason")
-    return (dead.select(reason)
-            .select(F.regexp_replace("reason", r":.*$", "").alias("reason"))
+    return (validated.where(~is_valid()).select(F.explode("reasons").alias("reason"))
+            .select(F.regexp_replace("reason", r"(?s):.*$", "").alias("reason"))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("event_count")))
 
 
@@ -81,9 +79,14 @@ def raw_anomaly_flags(messages: DataFrame) -> DataFrame:
     """V9: flag each raw message by the consumer-side heuristic (on the raw
     timestamp text, before any parsing)."""
     d = decode_fields(messages, keep=("offset",))
+    # a value sent as text is decoded as null, but it is not missing: the
+    # heuristic compares numbers only
+    sent = F.get_json_object("raw_value", "$.value")
+    is_text = F.col("value").isNull() & sent.isNotNull()
+    value = F.when(is_text, F.lit(0.0)).otherwise(F.col("value"))
     return d.select(
         "offset", "event_id",
-        raw_anomaly(F.col("value"), F.col("metric_name"), F.col("timestamp")).alias("is_anomaly"),
+        raw_anomaly(value, F.col("metric_name"), F.col("timestamp")).alias("is_anomaly"),
     )
 
 
@@ -103,10 +106,10 @@ def registry_flag(df: DataFrame, registry: DataFrame, col: str,
     """V2 for registries too large to inline as an ``IN`` list.
 
     A left equi-join against the distinct ids adds ``flag`` (true when known,
-    null otherwise; feed it to ``device_rule(known=...)``). The registry is
-    broadcast once its size is checked; a registry over the bound is joined
-    by shuffle instead. Null ids never match.
+    null otherwise; feed it to ``device_rule(known=...)``). Spark broadcasts the
+    registry when its measured size allows, and else splits hot ids of the
+    shuffle join. Null ids never match.
     """
-    reg = checked_small(registry.select(F.col(registry.columns[0]).alias("_rid")).distinct()
-                        .withColumn(flag, F.lit(True)))
+    reg = (registry.select(F.col(registry.columns[0]).alias("_rid")).distinct()
+           .withColumn(flag, F.lit(True)))
     return df.join(reg, df[col] == reg["_rid"], "left").drop("_rid")

@@ -9,10 +9,10 @@ Spark rounds a double (half-up on its shortest decimal text).
 from __future__ import annotations
 
 from fleetscope.schema import (
-    DEVICE_IDS, LOCATIONS, METRIC_UNITS, METRICS, NULL_CHECK_COLUMNS,
+    DEVICE_IDS, METRIC_UNITS, METRICS, NULL_CHECK_COLUMNS,
     STALE_AFTER_MINUTES,
 )
-from fleetscope.sources.fixtures import EVENT_TYPE_METRIC, DEFAULT_METRIC
+from fleetscope.sources.fixtures import DEFAULT_METRIC, EVENT_TYPE_METRIC, LOCATIONS
 
 
 def _in_list(values) -> str:
@@ -55,13 +55,13 @@ frows AS (
                   '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ts_text,
          CASE WHEN sid % 100 = 91 THEN 'device_999'
               ELSE 'device_' || lpad(CAST(user_id % 50 + 1 AS VARCHAR), 3, '0') END AS device_id,
-         CASE WHEN sid % 100 = 83 THEN 'unknown_sensor_xyz' ELSE base_metric END AS metric_name,
+         CASE WHEN sid % 100 = 83 THEN 'unknown_probe' ELSE base_metric END AS metric_name,
          CASE WHEN sid % 100 = 7 THEN NULL
               WHEN sid % 100 = 23 THEN round(sval + 1000, 2)
               WHEN sid % 100 = 59 THEN -sval
               ELSE sval END AS value,
          {_case('base_metric', METRIC_UNITS, None)} AS unit,
-         CASE WHEN sid % 40 = 5 THEN NULL ELSE {_LOCS}[user_id % 10 + 1] END AS location,
+         CASE WHEN sid % 40 = 5 THEN NULL ELSE {_LOCS}[user_id % {len(LOCATIONS)} + 1] END AS location,
          sid % 100 = 71 AS malformed,
          ts AS src_ts
   FROM src
@@ -462,7 +462,7 @@ elist AS (
   FROM logs l LEFT JOIN evals e USING (experiment_id))"""
 ORACLE["experiment_list"] = f"WITH {LOGS_CTE}\nSELECT * FROM elist"
 ORACLE["latest_model"] = f"WITH {LOGS_CTE}\n" + """
-SELECT experiment_id, 'experiments/' || experiment_id || '/model.pt' AS model_path,
+SELECT experiment_id, 'experiments/models/experiment_id=' || experiment_id AS model_path,
        best_val_loss, precision, recall, f1
 FROM elist WHERE experiment_id = (SELECT max(experiment_id) FROM elist)"""
 ORACLE["loss_curve"] = f"WITH {LOGS_CTE}\n" + """
@@ -493,13 +493,22 @@ _CLEAN_COLUMNS = [("event_id", "STRING", False), ("timestamp", "TIMESTAMP", Fals
                   ("device_id", "STRING", False), ("metric_name", "STRING", False),
                   ("value", "DOUBLE", False), ("unit", "STRING", False),
                   ("location", "STRING", False), ("processed_at", "TIMESTAMP", True)]
+_DEAD_COLUMNS = [("event_id", "STRING", False), ("original_data", "STRING", False),
+                 ("rejection_reason", "STRING", False), ("rejected_at", "TIMESTAMP", True)]
+_HOURLY_COLUMNS = [("hour_window", "TIMESTAMP", False), ("device_id", "STRING", False),
+                   ("metric_name", "STRING", False), ("avg_value", "DOUBLE", True),
+                   ("min_value", "DOUBLE", True), ("max_value", "DOUBLE", True),
+                   ("stddev_value", "DOUBLE", True), ("event_count", "BIGINT", False),
+                   ("computed_at", "TIMESTAMP", True)]
 ORACLE["table_detail"] = _C + """
 SELECT t.table_name, t.row_count, t.last_updated, t.snapshot_count, t.quality_score,
        c.position, c.column_name, c.data_type, c.nullable
-FROM tables t, (VALUES """ + ", ".join(
-    f"({i + 1}, '{n}', '{ty}', {str(nl).lower()})" for i, (n, ty, nl) in enumerate(_CLEAN_COLUMNS)
-) + """) AS c(position, column_name, data_type, nullable)
-WHERE t.table_name = 'clean_events'"""
+FROM tables t JOIN (VALUES """ + ", ".join(
+    f"('{t}', {i + 1}, '{n}', '{ty}', {str(nl).lower()})"
+    for t, columns in (("clean_events", _CLEAN_COLUMNS), ("dead_letter", _DEAD_COLUMNS),
+                       ("hourly_aggregates", _HOURLY_COLUMNS))
+    for i, (n, ty, nl) in enumerate(columns)
+) + """) AS c(table_name, position, column_name, data_type, nullable) USING (table_name)"""
 
 ORACLE["device_time_split"] = with_base() + """
 , kp AS (SELECT date_trunc('minute', "timestamp") AS time_window, device_id

@@ -20,13 +20,13 @@ class Prepared:
     """Compose F1-F10 over clean events.
 
     ``fit_on="all"`` keeps the reference behaviour (scaler fitted on every row
-    before the split, a leak); ``fit_on="train"`` fits it on the training part
-    only. A given ``scaler`` (F8) is applied as is. ``min_rows`` raises when
+    before the split, a leak, and likewise the imputation means);
+    ``fit_on="train"`` fits both on the training part only. A given ``scaler`` (F8) is applied as is. ``min_rows`` raises when
     fewer vectors exist (F6) -- an early ``limit(n).count()``, not a full count.
     The pivot and the split are persisted once a fit needs them: both are
     bounded by the number of windows (x keys), not by the event volume. All
-    default fits (imputation means, scaler min/max, the vector count and, for
-    fleet vectors, the rows per day that place the split) come from one job.
+    default fits (imputation means, scaler min/max, the vector count) come
+    from one job. Call :meth:`release` when done with the frames.
     """
 
     def __init__(self, clean: DataFrame, snapshot_id: int | None = None,
@@ -44,16 +44,19 @@ class Prepared:
     def pivoted(self) -> DataFrame:
         return FT.pivot_metrics(self.events, self.grain, self.keys)
 
+    @cached_property
+    def ordered(self) -> DataFrame:
+        """The pivot with positions and split (its row count does not change later)."""
+        return FT.chronological_split(self.pivoted, self.keys).persist(StorageLevel.MEMORY_AND_DISK)
+
     @cached_property
     def stats(self) -> dict:
-        """Means, min/max, the vector count (and, without keys, rows per day)
-        from one job over the pivot."""
-        piv = self.pivoted.persist(StorageLevel.MEMORY_AND_DISK)
-        if not self.keys:
-            st = FT.pivot_day_stats(piv)
-            if st is not None:
-                return st
-        return FT.pivot_stats(piv)
+        """Means, min/max and the vector count from one job over the pivot; with
+        ``fit_on="train"`` means and min/max of its training part only."""
+        if self.fit_on == "train":
+            fitted = FT.pivot_stats(self.ordered.where(F.col("split") == "train"))
+            return fitted | {"n": self.ordered.count()}
+        return FT.pivot_stats(self.pivoted.persist(StorageLevel.MEMORY_AND_DISK))
 
     @property
     def n(self) -> int:
@@ -66,7 +69,7 @@ class Prepared:
 
     @cached_property
     def features(self) -> DataFrame:
-        f = FT.impute(self.pivoted, means=self.stats["means"])
+        f = FT.impute(self.ordered if self.fit_on == "train" else self.pivoted, means=self.stats["means"])
         if self.min_rows is not None:
             have = f.limit(self.min_rows).count()
             if have < self.min_rows:
@@ -78,27 +81,26 @@ class Prepared:
     def scaler(self) -> DataFrame:
         if self._scaler is not None:
             return self._scaler
-        if self.fit_on == "train":
-            order = FT.chronological_split(self.features, self.keys, n=self.n)
-            return FT.fit_scaler(order.where(F.col("split") == "train"))
-        return FT.fit_scaler(self.features)
+        f = self.features
+        return FT.fit_scaler(f.where(F.col("split") == "train") if self.fit_on == "train" else f)
 
     @cached_property
     def normalized(self) -> DataFrame:
-        if self._scaler is None and self.fit_on != "train":
+        if self._scaler is None:
             return FT.apply_scaler(self.features, params=self.stats["scaler"])
         return FT.apply_scaler(self.features, self.scaler)
 
     @cached_property
     def split(self) -> DataFrame:
         # Reused by every fit and score downstream; bounded like the features.
-        return FT.chronological_split(self.normalized, self.keys, n=self.n,
-                                      day_offsets=self.stats.get("day_offsets")).persist(
+        if self.fit_on == "train":
+            return self.normalized.persist(StorageLevel.MEMORY_AND_DISK)
+        return FT.chronological_split(self.normalized, self.keys, n=self.n).persist(
             StorageLevel.MEMORY_AND_DISK)
 
     def release(self) -> None:
         """Drop the persisted pivot and split (call when done with the frames)."""
-        for name in ("pivoted", "split"):
+        for name in ("pivoted", "ordered", "split"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
 
@@ -112,7 +114,3 @@ class Prepared:
 def prepare(clean: DataFrame, **kw) -> Prepared:
     return Prepared(clean, **kw)
 
-
-def feature_array(metrics=METRICS, name: str = "x"):
-    """The model-boundary view: the five features as one array column."""
-    return F.array(*[F.col(m) for m in metrics]).alias(name)

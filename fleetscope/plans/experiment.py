@@ -51,14 +51,14 @@ def run_training(spark: SparkSession, store_root: str, exp_root: str, epochs: in
      .partitionBy("experiment_id").parquet(paths["models"]))
     if evaluate_after:
         runlogs.write_reports(evaluate(spark, p, res.theta, exp_id), paths["evaluations"])
+    p.release()
     return exp_id
 
 
 def read_logs(spark: SparkSession, exp_root: str) -> tuple[DataFrame, DataFrame]:
     paths = _paths(exp_root)
     return (runlogs.read_reports(spark, paths["run_logs"], RUN_LOG),
-            runlogs.read_reports(spark, paths["evaluations"], EVALUATION)
-            if os.path.exists(paths["evaluations"]) else spark.createDataFrame([], EVALUATION))
+            runlogs.read_reports(spark, paths["evaluations"], EVALUATION))
 
 
 def load_weights(spark: SparkSession, exp_root: str, experiment_id: str) -> np.ndarray:
@@ -94,4 +94,5 @@ def run_evaluation(spark: SparkSession, store_root: str, exp_root: str,
     p = prepare(clean, scaler=stored_scaler(logs, experiment_id), min_rows=5)
     report = evaluate(spark, p, load_weights(spark, exp_root, experiment_id), experiment_id)
     runlogs.write_reports(report, _paths(exp_root)["evaluations"])
+    p.release()
     return report

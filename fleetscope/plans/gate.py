@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.operators import quality as Q
@@ -38,19 +38,10 @@ def run_quality_gate(spark: SparkSession, root: str, as_of: int | None = None,
     return GateOutcome(GATE_PASS, checks, run_aggregation(spark, root, as_of, mode))
 
 
-MAX_TOUCHED_DAYS = 10_000
-
-
-def touched_days(clean, since: int) -> list | None:
-    """Days with events in snapshots newer than ``since`` (a handful per run);
-    None when a backfill touches more than ``MAX_TOUCHED_DAYS`` days (the
-    caller then recomputes everything)."""
-    new = clean.where(F.col("snapshot_id") > F.lit(since)).where(F.col("timestamp").isNotNull())
-    days = new.select(F.to_date("timestamp").alias("d")).distinct() \
-        .limit(MAX_TOUCHED_DAYS + 1).collect()
-    if len(days) > MAX_TOUCHED_DAYS:
-        return None
-    return sorted(r[0] for r in days)
+def touched_days(clean: DataFrame, since: int) -> DataFrame:
+    """The distinct days with events in snapshots newer than ``since``."""
+    new = clean.where((F.col("snapshot_id") > F.lit(since)) & F.col("timestamp").isNotNull())
+    return new.select(F.to_date("timestamp").alias("_day")).distinct()
 
 
 def run_aggregation(spark: SparkSession, root: str, as_of: int | None = None,
@@ -71,16 +62,19 @@ def run_aggregation(spark: SparkSession, root: str, as_of: int | None = None,
     if high is None or clean.isEmpty():
         return 0
     done = store.latest_snapshot(spark, root, "hourly_aggregates")
+    if done is not None and high < done:
+        raise ValueError(f"the hourly table covers snapshot {done}; it cannot go back to {high}")
     if incremental and mode == "overwrite" and done is not None:
-        days = touched_days(clean, done)
-        if days is not None and not days:
+        # at most the first and last touched day come back: the range reaches the
+        # Parquet scan, and the days themselves stay a semi-join
+        days = touched_days(clean, done).persist()
+        lo, hi = days.agg(F.min("_day"), F.max("_day")).first()
+        if lo is None:
             return 0
-        if days is not None:
-            # the range predicate reaches the Parquet scan; the exact day list follows
-            lo = F.lit(days[0]).cast("timestamp")
-            hi = F.date_add(F.lit(days[-1]), 1).cast("timestamp")
-            clean = clean.where((F.col("timestamp") >= lo) & (F.col("timestamp") < hi)
-                                & F.to_date("timestamp").isin(days))
+        clean = clean.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
+                            & (F.col("timestamp") < F.date_add(F.lit(hi), 1).cast("timestamp")))
+        clean = (clean.withColumn("_day", F.to_date("timestamp"))
+                 .join(days, "_day", "left_semi").drop("_day"))
     agg = (A.hourly_aggregates(clean)
            .withColumn("computed_at", F.current_timestamp())
            .withColumn("event_day", F.to_date("hour_window")))

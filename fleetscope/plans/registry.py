@@ -10,14 +10,14 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetscope.operators import rollup as A
 from fleetscope.operators import validate as V
 from fleetscope.plans import frames
 from fleetscope.plans.frames import ntz
-from fleetscope.session import prepare
+from fleetscope import session
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +28,7 @@ def query(name: str):
     def deco(fn: Query) -> Query:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare(spark)
+            session.prepare(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         return fn
@@ -63,7 +63,7 @@ def dead_letter(spark, sf_dir):
 
 @query("rejection_summary")
 def rejection_summary(spark, sf_dir):
-    return V.rejection_summary(frames.dead(spark, sf_dir))
+    return V.rejection_summary(frames.validated(spark, sf_dir))
 
 
 @query("raw_anomaly_flags")
@@ -147,7 +147,8 @@ def _publish(df, metrics=METRICS):
 
 @query("snapshot_scan")
 def snapshot_scan(spark, sf_dir):
-    """S4 + F1: the four feature inputs as of snapshot 2 (pruned by snapshot)."""
+    """S4 + F1: the four feature inputs as of snapshot 2. The batch number derives
+    from the event time here; the versioned store prunes by directory."""
     ev = FT.load_events(frames.clean(spark, sf_dir), snapshot_id=2)
     return ev.withColumn("timestamp", ntz("timestamp"))
 
@@ -206,7 +207,7 @@ def _scored(spark, sf_dir):
     p = _prepared(spark, sf_dir)
     recon = M.mean_reconstructor(p.part("train"))
     errors = M.reconstruction_errors(p.split, recon)
-    limits = M.thresholds(errors.where(F.col("split") == "train"), n=p.size_of("train"))
+    limits = M.thresholds(errors.where(F.col("split") == "train"))
     return p, recon, errors, limits
 
 
@@ -274,7 +275,7 @@ from fleetscope.operators import catalog as C  # noqa: E402
 from fleetscope.operators import experiments as E  # noqa: E402
 from fleetscope.operators import health as H  # noqa: E402
 from fleetscope.plans import derived  # noqa: E402
-from fleetscope.schema import CLEAN_EVENTS  # noqa: E402
+from fleetscope.schema import TABLES  # noqa: E402
 from fleetscope.sources.fixtures import TOPIC  # noqa: E402
 
 
@@ -290,7 +291,10 @@ def dataset_list(spark, sf_dir):
 
 @query("table_detail")
 def table_detail(spark, sf_dir):
-    return C.table_detail("clean_events", CLEAN_EVENTS, _tables(spark, sf_dir))
+    """C2 for every table: the columns with their types, and the table's summary."""
+    tables = _tables(spark, sf_dir)
+    return functools.reduce(DataFrame.unionByName, [
+        C.table_detail(name, schema, tables) for name, schema in TABLES.items()])
 
 
 @query("snapshot_list")
@@ -314,14 +318,21 @@ def quality_band(spark, sf_dir):
     return C.quality_bands(_tables(spark, sf_dir))
 
 
+def _fresh(spark, sf_dir):
+    """Freshness at the data's own "now": the newest commit of the three tables."""
+    newest = F.max("last_updated").over(Window.partitionBy())  # three rows
+    tables = _tables(spark, sf_dir).withColumn("_now", newest)
+    return C.freshness(tables, F.col("_now"))
+
+
 @query("freshness")
 def freshness(spark, sf_dir):
-    return C.freshness(_tables(spark, sf_dir))
+    return _fresh(spark, sf_dir)
 
 
 @query("storage_status")
 def storage_status(spark, sf_dir):
-    return C.storage_status(C.freshness(_tables(spark, sf_dir)))
+    return C.storage_status(_fresh(spark, sf_dir))
 
 
 # --- health -----------------------------------------------------------------
@@ -413,17 +424,12 @@ from fleetscope.operators import autoencoder as AE  # noqa: E402
 from fleetscope.plans import evaluation as EV  # noqa: E402
 from fleetscope.plans import training as TR  # noqa: E402
 
-QUERY_EPOCHS = 5      # epochs for the registered model queries (the CLI default is 50)
-_TRAINED: dict = {}
-
 
 def _trained(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir, QUERY_EPOCHS)
-    if key not in _TRAINED:
-        p = _prepared(spark, sf_dir)
-        res = TR.train(spark, p.part("train"), p.part("val"), epochs=QUERY_EPOCHS)
-        _TRAINED[key] = (p, res)
-    return _TRAINED[key]
+    """Prepared features and a full training run on them: up to 50 epochs,
+    patience 5. Each query trains its own; nothing is kept between queries."""
+    p = _prepared(spark, sf_dir)
+    return p, TR.train(spark, p.part("train"), p.part("val"))
 
 
 @query("training_history")

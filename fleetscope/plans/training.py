@@ -1,9 +1,9 @@
 """M3-M5: the training loop (driver keeps only the weights and two losses).
 
 Each epoch is one Spark job over persisted shards that hold both splits:
-every shard first scores the validation rows with the weights it received
-(the previous epoch's average) and then trains on its training rows. The
-driver averages the shard results (parameter averaging, weighted by rows).
+every shard scores its validation rows with the weights it received (the
+previous epoch's average) and trains on its training rows. The shard results
+are averaged on the executors (parameter averaging, weighted by rows).
 The validation loss of epoch e therefore arrives with job e+1, and one
 scoring-only job closes the loop; early stopping (patience, strict
 improvement) and the kept best weights are exactly those of a separate
@@ -44,61 +44,24 @@ def mean_loss(spark, df: DataFrame, theta: np.ndarray) -> float:
     return float("nan") if v is None else float(v)
 
 
-MIN_BATCHES_PER_SHARD = 64
-
-
-def _train_one_shard(spark, data, theta, opt, res, epochs, patience, batch_size, seed,
-                     epochs_per_job) -> None:
-    """Single-shard training, ``epochs_per_job`` epochs per Spark job (exact)."""
-    epoch, waited = 1, 0
-    while epoch <= epochs and waited < patience:
-        last = min(epochs, epoch + epochs_per_job - 1)
-        state = AE.broadcast_state(spark, theta, opt)
-        try:
-            r = AE.train_epochs_one_shard(spark, data, state, epoch, last, res.best_val_loss,
-                                          waited, patience, batch_size, seed).first()
-        finally:
-            state.unpersist()
-        for v in r["val_losses"]:
-            ep = len(res.val_losses) + 1
-            if v < res.best_val_loss:
-                res.best_val_loss, res.best_epoch, waited = v, ep, 0
-            else:
-                waited += 1
-            res.val_losses.append(v)
-        res.train_losses += list(r["train_losses"])
-        res.epochs_completed = len(res.val_losses)
-        if res.best_epoch > epoch - 1:
-            res.theta = np.array(r["best_theta"])
-        theta = np.array(r["theta"])
-        opt.m, opt.v, opt.t = np.array(r["m"]), np.array(r["v"]), r["t"]
-        epoch = res.epochs_completed + 1
+#: Shards of the training rows. Part of the model's definition, like the batch
+#: size: parameter averaging over other shards gives other weights. Never
+#: derived from the data or the cluster.
+SHARDS = 8
 
 
 def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: float = 1e-3,
-          patience: int = 5, batch_size: int = 32, shards: int | None = None,
-          seed: int = 0, epochs_per_job: int = 25) -> TrainResult:
+          patience: int = 5, batch_size: int = 32, shards: int = SHARDS,
+          seed: int = 0, key: str = "position") -> TrainResult:
+    """Train to early stopping. ``key``: an integer column that tells the rows of
+    both frames apart; with the seed it fixes shards and mini-batches."""
     t0 = time.time()
-    if not shards:
-        # enough rows per shard for MIN_BATCHES_PER_SHARD mini-batches: small
-        # training sets stay close to sequential mini-batch Adam
-        n_rows = train_df.count()
-        shards = max(1, min(spark.sparkContext.defaultParallelism,
-                            n_rows // (batch_size * MIN_BATCHES_PER_SHARD)))
-    both = (train_df.select(*METRICS, F.lit(False).alias("_val"))
-            .unionByName(val_df.select(*METRICS, F.lit(True).alias("_val"))))
+    both = (train_df.select(*METRICS, F.lit(False).alias("_val"), F.col(key).alias("_key"))
+            .unionByName(val_df.select(*METRICS, F.lit(True).alias("_val"), F.col(key).alias("_key"))))
     data = AE.shard(both, shards, seed).persist(StorageLevel.MEMORY_AND_DISK)
     theta = AE.init_params(len(METRICS), seed)
     opt = AE.Adam(theta.size, lr=lr)
     res = TrainResult(theta.copy())
-    if shards == 1 and epochs_per_job > 1:
-        try:
-            _train_one_shard(spark, data, theta, opt, res, epochs, patience, batch_size,
-                             seed, epochs_per_job)
-        finally:
-            data.unpersist()
-        res.seconds = round(time.time() - t0, 2)
-        return res
     waited, pending = 0, None       # pending: (epoch, weights) awaiting their val loss
     dim = float(len(METRICS))
 
@@ -119,25 +82,21 @@ def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: f
         epoch = 0
         while True:
             epoch += 1
-            training = epoch <= epochs
             state = AE.broadcast_state(spark, theta, opt)
             try:
-                rows = AE.train_epoch(spark, data, state, epoch, batch_size, seed,
-                                      train_steps=training).collect()
+                rows = AE.averaged(AE.train_epoch(spark, data, state, epoch, batch_size, seed,
+                                                  train_steps=epoch <= epochs)).toPandas().sort_values("pos")
             finally:
                 state.unpersist()
-            if pending is not None and settle(sum(r["val_rows"] for r in rows),
-                                              sum(r["val_sq_sum"] for r in rows)):
+            sums = rows.iloc[0] if len(rows) else None
+            if pending is not None and settle(sums["val_rows"], sums["val_sq_sum"]):
                 break
-            n = sum(r["rows"] for r in rows)
+            n = sums["n"] if sums is not None else 0
             if n == 0:
                 raise ValueError("empty training split")
-            wts = np.array([r["rows"] / n for r in rows])
-            theta = sum(w * np.array(r["theta"]) for w, r in zip(wts, rows))
-            opt.m = sum(w * np.array(r["m"]) for w, r in zip(wts, rows))
-            opt.v = sum(w * np.array(r["v"]) for w, r in zip(wts, rows))
-            opt.t = max(r["t"] for r in rows)
-            res.train_losses.append(sum(r["loss_sum"] for r in rows) / n)
+            theta, opt.m, opt.v = (rows[c].to_numpy() / n for c in ("theta", "m", "v"))
+            opt.t = int(sums["t"])
+            res.train_losses.append(float(sums["loss_sum"] / n))
             pending = (epoch, theta)
     finally:
         data.unpersist()

@@ -17,20 +17,6 @@ _REQUIRED = {
 }
 
 
-# Starting points for a large cluster (pass as ``extra``): input splits near
-# 256 MB, many initial shuffle partitions that AQE coalesces to ~128 MB by
-# size rather than by parallelism, and skewed join partitions split at 4x the
-# median. Tests and local runs keep Spark's defaults.
-CLUSTER_PROFILE = {
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
-}
-
-
 def build_session(master: str | None = None, app: str = "fleetscope",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -97,7 +83,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a session without it (tests, local runs) gets a fresh temp folder.
+    is; without it a cluster session raises, since a temp folder of one machine
+    is not seen by the others. A local session without it gets a fresh temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -105,6 +92,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="fleetscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -20,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.schema import LOCATIONS, METRIC_UNITS
+from fleetscope.schema import METRIC_UNITS
 from fleetscope.sources.tables import read_table, spread
 
 TOPIC = "telemetry.raw"
 PARTITIONS = 4
+# Places of our own invention; no operator looks at them.
+LOCATIONS = tuple(f"hall-{hall}/row-{row}" for hall in "abcd" for row in range(1, 4))
 
 # Fixed mapping of the generator's event types onto the five metrics.
 EVENT_TYPE_METRIC = {
@@ -34,7 +36,7 @@ EVENT_TYPE_METRIC = {
     "signup": "disk_io",
 }
 DEFAULT_METRIC = "network_latency"
-UNKNOWN_METRIC = "unknown_sensor_xyz"
+UNKNOWN_METRIC = "unknown_probe"
 UNKNOWN_DEVICE = "device_999"
 FUTURE_TS = "2099-01-01 00:00:00"
 MALFORMED_TEXT = "not-json"

@@ -10,10 +10,12 @@ from fleetscope.schema import WIRE_SCHEMA
 PASSTHROUGH = ("partition", "offset", "snapshot_id")
 
 
-def encode_events(df: DataFrame, columns=None) -> DataFrame:
-    """Event rows -> one JSON message per row in a binary ``value``."""
+def encode_events(df: DataFrame, columns=None, key: str | None = None) -> DataFrame:
+    """Event rows -> one JSON message per row in a binary ``value``, with
+    the text of column ``key`` as ``key`` if one is named."""
     cols = list(columns or [f.name for f in WIRE_SCHEMA.fields])
-    return df.select(F.to_json(F.struct(*cols)).cast("binary").alias("value"))
+    return df.select(*([F.col(key).cast("string").alias("key")] if key else []),
+                     F.to_json(F.struct(*cols)).cast("binary").alias("value"))
 
 
 def raw_text(col: str = "value") -> Column:
@@ -84,12 +86,6 @@ def text_stream_source(spark: SparkSession, path: str,
     return reader.load(path).select(F.col("value").cast("binary").alias("value"))
 
 
-def _keyed_json(events: DataFrame, key: str | None) -> DataFrame:
-    cols = [f.name for f in WIRE_SCHEMA.fields]
-    return events.select(*([F.col(key).cast("string").alias("key")] if key else []),
-                         F.to_json(F.struct(*cols)).cast("binary").alias("value"))
-
-
 def write_messages(events: DataFrame, servers: str, topic: str, key: str | None = None):
     """S9 sink: encode each event as JSON and publish it (batch write).
 
@@ -97,13 +93,13 @@ def write_messages(events: DataFrame, servers: str, topic: str, key: str | None
     ``key`` keeps one device's events ordered in one partition, at the price
     of a hot partition when one device dominates. Needs the Kafka connector.
     """
-    (_keyed_json(events, key).write.format("kafka")
+    (encode_events(events, key=key).write.format("kafka")
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
 
 
 def stream_messages(events: DataFrame, servers: str, topic: str, checkpoint: str,
                     key: str | None = None):
     """S9 sink for a streaming frame of events (checkpointed, at least once)."""
-    return (_keyed_json(events, key).writeStream.format("kafka")
+    return (encode_events(events, key=key).writeStream.format("kafka")
             .option("kafka.bootstrap.servers", servers).option("topic", topic)
             .option("checkpointLocation", checkpoint).start())

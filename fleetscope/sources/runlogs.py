@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.schema import EVALUATION, RUN_LOG
+from fleetscope.sources import store
 
 _ID_FROM_PATH = r".*/(exp_[^/]+)/[^/]+$"
 
 
 def _read_documents(spark: SparkSession, root: str, file_name: str, schema) -> DataFrame:
+    if not store.matches(spark, os.path.join(root, "exp_*", file_name)):
+        return spark.createDataFrame([], schema)
     df = (spark.read.schema(schema).option("multiLine", True)
           .json(os.path.join(root, "exp_*", file_name)))
     path_id = F.regexp_extract(F.col("_metadata.file_path"), _ID_FROM_PATH, 1)
@@ -48,4 +51,6 @@ def read_reports(spark: SparkSession, path: str, schema) -> DataFrame:
     fields = [f for f in schema.fields if f.name != "experiment_id"]
     from pyspark.sql.types import StringType, StructField, StructType
     sch = StructType(fields + [StructField("experiment_id", StringType())])
+    if not store.matches(spark, path):
+        return spark.createDataFrame([], sch)
     return spark.read.schema(sch).json(path)

@@ -7,10 +7,13 @@ cluster)::
     <root>/hourly_aggregates/event_day=<d>/...      day partitions (A6)
     <root>/_commits/table_name=<t>/snapshot_id=<n>/ one commit row each
 
-A writer overwrites exactly its own snapshot directory and writes its commit
-row last, so a replayed batch rewrites the same files (effectively once) and
+Snapshot ids count from 1 and come from the commit log: a stream batch is known
+by its key (stream, batch id) and takes the next free number; replayed, it
+finds its own number there, and another stream's batch never has the same one. A writer
+overwrites exactly its own snapshot directory and writes its commit row last, so
+a replayed batch rewrites the same files (effectively once) and
 a half-written batch is invisible: readers take snapshots up to the newest
-committed id. Reading "as of" a snapshot is a filter on the partition column,
+committed id. One stream at a time writes to a store. Reading "as of" a snapshot is a filter on the partition column,
 which prunes directories at the scan.
 """
 
@@ -35,6 +38,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob pattern names anything, in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def empty_table(spark: SparkSession, table: str, with_snapshot: bool = True) -> DataFrame:
     """An empty frame with the table's declared schema."""
     fields = list(TABLES[table].fields)
@@ -66,6 +76,15 @@ def latest_snapshot(spark: SparkSession, root: str, table: str) -> int | None:
     return None if row is None else row[0]
 
 
+def snapshot_for(spark: SparkSession, root: str, batch_key: str) -> int:
+    """The snapshot id of a stream batch: its own one if it has committed any of
+    its tables before, else the next after all commits of the stream tables."""
+    row = (commits(spark, root).where(F.col("table_name").isin("clean_events", "dead_letter"))
+           .agg(F.max("snapshot_id"), F.max(F.when(F.col("batch_key") == batch_key, F.col("snapshot_id"))))
+           .first())
+    return row[1] if row[1] is not None else (row[0] or 0) + 1
+
+
 def _conform(df: DataFrame, table: str) -> DataFrame:
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name) for f in TABLES[table].fields]
@@ -73,7 +92,7 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, root: str, table: str, snapshot_id: int,
-                   operation: str = "append") -> int:
+                   operation: str = "append", batch_key: str | None = None) -> int:
     """Write one batch as snapshot ``snapshot_id`` and commit it.
 
     Returns the rows written (read from the Parquet footers, not a rescan).
@@ -82,15 +101,15 @@ def write_snapshot(df: DataFrame, root: str, table: str, snapshot_id: int,
     path = os.path.join(root, table, f"snapshot_id={int(snapshot_id)}")
     _conform(df, table).write.mode("overwrite").parquet(path)
     rows = spark.read.parquet(path).count()
-    commit(spark, root, table, snapshot_id, operation, rows)
+    commit(spark, root, table, snapshot_id, operation, rows, batch_key)
     return rows
 
 
 def commit(spark: SparkSession, root: str, table: str, snapshot_id: int,
-           operation: str, rows: int) -> None:
+           operation: str, rows: int, batch_key: str | None = None) -> None:
     """Record a commit; the row for (table, snapshot) is replaced on replay."""
     now = _dt.datetime.now(_dt.timezone.utc)  # zone-aware: no local-time reinterpretation
-    row = spark.createDataFrame([(table, int(snapshot_id), now, operation, int(rows))], COMMITS)
+    row = spark.createDataFrame([(table, int(snapshot_id), now, operation, int(rows), batch_key)], COMMITS)
     (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("table_name", "snapshot_id").parquet(os.path.join(root, COMMITS_DIR)))
 

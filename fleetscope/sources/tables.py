@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from fleetscope.session import table_path
 
+#: Session setting: tasks over which :func:`spread` deals a scan (unset: off).
+SCAN_PARTITIONS = "spark.fleetscope.scanPartitions"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Scan one parquet table; naming columns prunes the ReadSchema."""
@@ -14,26 +17,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-# Spread a scan only when it would keep fewer than this share of the cores busy.
-SPREAD_BELOW_UTILISATION = 0.25
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster only when it would leave most cores idle.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows of a scan over ``partitions`` tasks if the caller asks for it.
 
-    A large table arrives in many splits and is left alone: no extra shuffle.
-    A file that cannot be split (one row group) would otherwise run every
-    per-row stage before the first shuffle in one task. Rows are placed by a
-    hash of the whole row, which is deterministic on retry without the local
-    sort a round-robin repartition needs, and even unless rows are
-    duplicated wholesale.
+    A file that cannot be split (one row group) otherwise runs every per-row
+    stage before the first shuffle in one task; a table in many splits needs
+    nothing. The caller decides: ``partitions``, or the session's
+    ``spark.fleetscope.scanPartitions``; unset means off. Rows are placed by a
+    hash of the whole row, which is the same on a retry.
     """
-    spark = df.sparkSession
-    try:
-        want = spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD access (e.g. a remote session)
-        return df
-    if have >= want * SPREAD_BELOW_UTILISATION:
-        return df
-    return df.repartition(want, F.xxhash64(*[F.col(c) for c in df.columns]))
+    n = partitions or int(df.sparkSession.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(n, F.xxhash64(*[F.col(c) for c in df.columns])) if n else df

@@ -24,18 +24,29 @@ from fleetscope.sources.messages import decode
 
 
 class TelemetryProcessor:
-    """foreachBatch sink writing clean events and dead letters per batch."""
+    """foreachBatch sink writing clean events and dead letters per batch.
+
+    A batch is known by (stream, batch id). ``stream`` is the id that Spark keeps
+    in the query's checkpoint: a restart goes on under it, a new checkpoint has a
+    new one, and its batches, which count from 0 again, replace nothing.
+    """
 
     def __init__(self, root: str, rules: Sequence[tuple[str, Column]] | None = None):
         self.root = root
+        self.stream = "manual"
         self.rules = rules
         self.last_counts: dict[int, tuple[int, int]] = {}
 
+    def _stream_id(self, spark) -> str:
+        return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or self.stream
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         """T1 body; V12: an empty batch writes nothing."""
         if batch.isEmpty():
             return
-        prepare(batch.sparkSession)
+        spark = prepare(batch.sparkSession)
+        key = f"{self._stream_id(spark)}/{batch_id}"
+        snapshot = store.snapshot_for(spark, self.root, key)
         validated = V.validate(decode(batch.select("value")), self.rules)
         validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -44,10 +55,10 @@ class TelemetryProcessor:
             stamp = F.current_timestamp()  # V8: audit stamps only in the sink
             if counts["ok"]:
                 store.write_snapshot(V.clean_side(validated).withColumn("processed_at", stamp),
-                                     self.root, "clean_events", batch_id)
+                                     self.root, "clean_events", snapshot, batch_key=key)
             if counts["bad"]:
                 store.write_snapshot(V.dead_side(validated).withColumn("rejected_at", stamp),
-                                     self.root, "dead_letter", batch_id)
+                                     self.root, "dead_letter", snapshot, batch_key=key)
             self.last_counts[batch_id] = (counts["ok"], counts["bad"])
         finally:
             validated.unpersist()

@@ -40,9 +40,10 @@ def test_bands_and_freshness(spark):
     t = spark.createDataFrame([("x", "2026-01-01 10:00:00", 1), ("y", "2026-01-01 10:31:00", 1)],
                               "table_name string, last_updated string, row_count long") \
         .withColumn("last_updated", F.col("last_updated").cast("timestamp_ntz"))
-    fr = {r["table_name"]: r["is_stale"] for r in C.freshness(t).collect()}
+    now = F.lit("2026-01-01 10:31:00").cast("timestamp_ntz")
+    fr = {r["table_name"]: r["is_stale"] for r in C.freshness(t, now).collect()}
     assert fr == {"x": True, "y": False}
-    assert C.storage_status(C.freshness(t)).first()["status"] == "degraded"
+    assert C.storage_status(C.freshness(t, now)).first()["status"] == "degraded"
 
 
 def test_run_rollup_verdicts(spark):
@@ -132,8 +133,10 @@ def test_catalog_over_a_live_store(spark, tmp_root):
     assert tables["hourly_aggregates"]["row_count"] == store.read_daily(
         spark, tmp_root, "hourly_aggregates").count()
     assert tables["clean_events"]["quality_score"] == 0.25
-    fresh = {r["table_name"]: r["is_stale"] for r in C.freshness(C.dataset_list(commits)).collect()}
+    fresh = {r["table_name"]: r["is_stale"] for r in C.freshness(C.dataset_list(commits), F.current_timestamp()).collect()}
     assert fresh == {"clean_events": False, "dead_letter": False, "hourly_aggregates": False}
+    later = F.current_timestamp() + F.expr("INTERVAL 31 MINUTES")  # a pipeline that has stopped
+    assert all(r["is_stale"] for r in C.freshness(C.dataset_list(commits), later).collect())
     snaps = C.snapshot_list(commits, "clean_events").collect()
     assert sorted(r["snapshot_id"] for r in snaps) == ["1", "2", "3"]
 

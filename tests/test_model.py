@@ -72,14 +72,29 @@ def test_training_reduces_loss_and_reports(spark):
     assert log.first()["hyperparameters"]["epochs_completed"] == res.epochs_completed
 
 
-def test_single_shard_multi_epoch_jobs_match_one_job_per_epoch(spark):
-    p = prepare(frames.clean(spark, SF001))
-    a = train(spark, p.part("train"), p.part("val"), epochs=12, patience=3, shards=1,
-              epochs_per_job=1)
-    b = train(spark, p.part("train"), p.part("val"), epochs=12, patience=3, shards=1,
-              epochs_per_job=5)
-    assert a.epochs_completed == b.epochs_completed
-    assert np.allclose(a.val_losses, b.val_losses, rtol=1e-12, atol=0)
-    assert np.allclose(a.train_losses, b.train_losses, rtol=1e-12, atol=0)
-    assert a.best_epoch == b.best_epoch
-    assert np.allclose(a.theta, b.theta, rtol=1e-12, atol=0)
+def test_training_does_not_depend_on_the_cores(spark):
+    """Full run to early stopping; the same losses on two and on eight threads."""
+    import json
+    import os
+    import subprocess
+    import sys
+    code = (
+        "import json, sys; from fleetscope.session import build_session\n"
+        "s = build_session(sys.argv[1], shuffle_partitions=int(sys.argv[2]),"
+        " extra={'spark.ui.showConsoleProgress': 'false'})\n"
+        "from fleetscope.plans import frames; from fleetscope.plans.dataset import prepare\n"
+        "from fleetscope.plans.training import train\n"
+        f"p = prepare(frames.clean(s, {SF001!r}))\n"
+        "r = train(s, p.part('train'), p.part('val'))\n"
+        "print('OUT', json.dumps([r.train_losses, r.val_losses, r.best_epoch, r.epochs_completed]))\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = []
+    for master, parts in (("local[2]", "4"), ("local[8]", "11")):
+        done = subprocess.run([sys.executable, "-c", code, master, parts], cwd=root, timeout=600,
+                              capture_output=True, text=True, check=True)
+        out.append(json.loads(next(x for x in done.stdout.splitlines() if x.startswith("OUT"))[4:]))
+    assert out[0][2:] == out[1][2:]
+    assert np.allclose(out[0][0], out[1][0], rtol=0, atol=1e-9)
+    assert np.allclose(out[0][1], out[1][1], rtol=0, atol=1e-9)
+    assert out[0][2] == 1 + int(np.argmin(out[0][1]))
+    assert out[0][3] == 50 or out[0][3] == out[0][2] + 5

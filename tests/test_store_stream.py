@@ -51,10 +51,14 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_root):
     cols = list(V.CLEAN_COLUMNS)
     assert clean.select(*cols).exceptAll(batch_clean.select(*cols)).count() == 0
     assert clean.where(F.col("processed_at").isNull()).count() == 0
-    assert sorted(r[0] for r in store.commits(spark, tmp_root).select("snapshot_id").distinct().collect()) == [0, 1, 2]
+    assert sorted(r[0] for r in store.commits(spark, tmp_root).select("snapshot_id").distinct().collect()) == [1, 2, 3]
 
-    # replaying batch 0 by hand rewrites its snapshot: nothing is duplicated
+    # replaying batch 0 of that stream rewrites its snapshot: nothing is duplicated
+    keys = {r["batch_key"] for r in store.commits(spark, tmp_root).collect()}
+    stream = next(iter(keys)).partition("/")[0]
+    assert keys == {f"{stream}/{i}" for i in range(3)} and stream != "manual"
     proc = TelemetryProcessor(tmp_root)
+    proc.stream = stream
     replay = spark.read.text(os.path.join(src, "m0.txt")).select(F.col("value").cast("binary"))
     proc.process_batch(replay, 0)
     assert store.read_snapshots(spark, tmp_root, "clean_events").count() == 940
@@ -63,12 +67,22 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_root):
     run_stream(spark, src, tmp_root, ckpt)
     assert store.read_snapshots(spark, tmp_root, "clean_events").count() == 940
 
-    # time travel: as of snapshot 1 the third batch is not visible yet
-    # (a falsy id -- 0 or None -- means the latest committed snapshot)
+    # time travel: as of snapshot 1 only the first batch is visible
+    # (a falsy id -- 0 or None -- means the latest committed snapshot; ids count from 1)
     first = store.read_snapshots(spark, tmp_root, "clean_events", as_of=1)
-    assert 0 < first.count() < 940
+    want = frames.clean(spark, SF001).where("snapshot_id = 1").count()
+    assert first.count() == want
     assert store.read_snapshots(spark, tmp_root, "clean_events", as_of=0).count() == 940
 
+    # a new checkpoint counts its batches from 0 again and replaces nothing
+    again = tempfile.mkdtemp(prefix="fleetscope-again-")
+    with open(os.path.join(again, "n0.txt"), "w") as f:
+        f.write(event(event_id="fresh") + "\n")
+    run_stream(spark, again, tmp_root, os.path.join(tmp_root, "_ckpt2"))
+    assert store.read_snapshots(spark, tmp_root, "clean_events").count() == 941
+    assert store.latest_snapshot(spark, tmp_root, "clean_events") == 4
+    assert store.read_snapshots(spark, tmp_root, "clean_events", as_of=3).count() == 940
+
 
 def test_empty_batch_writes_nothing(spark, tmp_root):
     empty = spark.createDataFrame([], "value binary")
@@ -83,7 +97,7 @@ def test_uncommitted_snapshot_is_invisible(spark, tmp_root):
     proc.process_batch(msgs, 0)
     # a writer died after its files but before its commit row
     extra = store.read_snapshots(spark, tmp_root, "clean_events").drop("snapshot_id")
-    extra.write.mode("overwrite").parquet(os.path.join(tmp_root, "clean_events", "snapshot_id=1"))
+    extra.write.mode("overwrite").parquet(os.path.join(tmp_root, "clean_events", "snapshot_id=2"))
     assert store.read_snapshots(spark, tmp_root, "clean_events").count() == 1
 
 

@@ -120,11 +120,31 @@ def test_negative_value_text_follows_python_float_printing(spark):
 
 
 def test_keyed_json_body_decodes(spark):
-    from fleetscope.sources.messages import _keyed_json
+    from fleetscope.sources.messages import encode_events
     rows = [("e1", "2026-04-02T14:30:00Z", "device_003", "disk_io", 12.5, "mbps", "x")]
     df = spark.createDataFrame(rows, "event_id string, timestamp string, device_id string, "
                                "metric_name string, value double, unit string, location string")
-    body = _keyed_json(df, "device_id")
+    body = encode_events(df, key="device_id")
     assert body.columns == ["key", "value"]
     back = decode(body.select("value")).first()
     assert back["device_id"] == "device_003" and back["value"] == 12.5
+
+
+def test_infinite_values_print_like_python(spark):
+    from pyspark.sql import functions as F
+    from fleetscope.functions.numeric import python_float_text
+    vals = [float("-inf"), float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert [r[0] for r in df.select(python_float_text(F.col("v"))).collect()] == [str(v) for v in vals]
+
+
+def test_a_value_with_the_separator_makes_up_no_reasons(spark):
+    d = decode(messages_df(spark, [event(device_id="a; b: c; timestamp is null", value=-1), event(value=None)]))
+    got = {r["reason"]: r["event_count"] for r in V.rejection_summary(V.validate(d)).collect()}
+    assert got == {"unknown device_id": 1, "negative value": 1, "value is null": 1}
+
+
+def test_raw_flags_call_text_values_normal(spark):
+    msgs = messages_df(spark, [event(value="12.5"), event(value="abc"), event(value=None), "not json"])
+    assert [r["is_anomaly"] for r in V.raw_anomaly_flags(msgs).orderBy("offset").collect()] == [
+        False, False, True, True]
