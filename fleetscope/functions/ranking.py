@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 
@@ -93,11 +94,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                 brackets[i], moved = (a, b, below, held), True
         if not moved:  # what is left are a few values with many rows each
             break
+    some = functools.reduce(lambda x, y: x | y, map(inside, brackets))
+    found = sorted(map(tuple, vals.where(some).groupBy("_v").count().collect()),
+                   key=lambda x: (x[0] != x[0], x[0]))
     out = []
     for p, (lo, hi), b in zip(probs, ranks, brackets):
-        found = vals.where(inside(b)).groupBy("_v").count().collect()
         at, picked = b[2], {}
-        for value, rows in sorted(map(tuple, found), key=lambda x: (x[0] != x[0], x[0])):
+        for value, rows in found:
+            if value < b[0] or (value > b[1]):
+                continue
             for r in (lo, hi):
                 if at <= r < at + rows:
                     picked[r] = value

@@ -56,14 +56,15 @@ def thresholds(train_errors: DataFrame, approx: bool = False) -> DataFrame:
     return exact_quantiles(train_errors, "error", THRESHOLD_QUANTILES, ["p95", "p99"])
 
 
-def error_stats(errors: DataFrame) -> DataFrame:
-    """M8: mean and population std of the errors, train and test."""
+def error_stats(errors: DataFrame, *more: Column) -> DataFrame:
+    """M8: mean and population std of the errors, train and test (and what
+    else the caller wants from the same pass)."""
     def on(part: str) -> Column:
         return F.when(F.col("split") == part, F.col("error"))
     return errors.agg(F.avg(on("train")).alias("train_mean"),
                       F.stddev_pop(on("train")).alias("train_std"),
                       F.avg(on("test")).alias("test_mean"),
-                      F.stddev_pop(on("test")).alias("test_std"))
+                      F.stddev_pop(on("test")).alias("test_std"), *more)
 
 
 def threshold_values(limits: DataFrame) -> dict[str, float]:
@@ -100,25 +101,22 @@ def synthetic_anomalies(spark: SparkSession, n_test: int,
 def confusion(test_flags: DataFrame, synthetic_flags: DataFrame) -> DataFrame:
     """Synthetic rows flagged are true positives, test rows flagged are
     false positives (the test split holds only validated data)."""
-    tp = synthetic_flags.select(F.count_if("flag_p95")).scalar()
-    n_syn = synthetic_flags.select(F.count(F.lit(1))).scalar()
-    agg = test_flags.agg(F.count_if("flag_p95").alias("false_positives"),
-                         F.count(F.lit(1)).alias("n_test"))
-    return agg.select(
-        tp.alias("true_positives"),
-        "false_positives",
-        (n_syn - tp).alias("false_negatives"),
-        (F.col("n_test") - F.col("false_positives")).alias("true_negatives"),
-    )
-
-
-def detection_metrics(cm: DataFrame) -> DataFrame:
+    sides = (test_flags.select("flag_p95", F.lit(False).alias("synthetic"))
+             .unionByName(synthetic_flags.select("flag_p95", F.lit(True).alias("synthetic"))))
+    flagged, syn = F.col("flag_p95"), F.col("synthetic")
+    return sides.agg(F.count_if(syn & flagged).alias("true_positives"),
+                     F.count_if(~syn & flagged).alias("false_positives"),
+                     F.count_if(syn & ~flagged).alias("false_negatives"),
+                     F.count_if(~syn & ~flagged).alias("true_negatives"))
+
+
+def detection_metrics(cm: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Precision, recall and F1 with the reference's floors."""
     tp, fp, fn = (F.col("true_positives"), F.col("false_positives"),
                   F.col("false_negatives"))
     precision = tp / F.greatest(tp + fp, F.lit(1))
     recall = tp / F.greatest(tp + fn, F.lit(1))
-    return cm.select(precision.alias("precision"), recall.alias("recall")).select(
-        "precision", "recall",
+    return cm.select(*keep, precision.alias("precision"), recall.alias("recall")).select(
+        *keep, "precision", "recall",
         (F.lit(2.0) * F.col("precision") * F.col("recall")
          / F.greatest(F.col("precision") + F.col("recall"), F.lit(F1_FLOOR))).alias("f1"))

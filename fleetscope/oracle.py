@@ -461,6 +461,16 @@ elist AS (
          round(e.precision, 6) AS precision, round(e.recall, 6) AS recall, round(e.f1, 6) AS f1
   FROM logs l LEFT JOIN evals e USING (experiment_id))"""
 ORACLE["experiment_list"] = f"WITH {LOGS_CTE}\nSELECT * FROM elist"
+ORACLE["experiment_detail"] = f"WITH {LOGS_CTE}\n" + """
+SELECT l.experiment_id, l."timestamp", CAST(50 AS BIGINT) AS epochs_max, CAST(len(train) AS BIGINT) AS epochs_completed,
+       0.001::DOUBLE AS learning_rate, CAST(32 AS BIGINT) AS batch_size, CAST(5 AS BIGINT) AS patience,
+       CAST(5 AS BIGINT) AS input_dim, 0.2::DOUBLE AS dropout_rate, round(list_min(val), 6) AS best_val_loss,
+       round(train[-1], 6) AS final_train_loss, round(len(train) * 0.1::DOUBLE, 6) AS training_time_seconds, 'cpu' AS device,
+       round(e.precision, 6) AS precision, round(e.recall, 6) AS recall, round(e.f1, 6) AS f1,
+       CAST(len(train) AS BIGINT) AS train_losses, CAST(len(val) AS BIGINT) AS val_losses,
+       'cpu_usage,memory_usage,temperature,disk_io,network_latency' AS feature_names
+FROM logs l JOIN evals e USING (experiment_id)
+WHERE l.experiment_id = (SELECT min(experiment_id) FROM evals)"""
 ORACLE["latest_model"] = f"WITH {LOGS_CTE}\n" + """
 SELECT experiment_id, 'experiments/models/experiment_id=' || experiment_id AS model_path,
        best_val_loss, precision, recall, f1
@@ -469,7 +479,7 @@ ORACLE["loss_curve"] = f"WITH {LOGS_CTE}\n" + """
 SELECT experiment_id, CAST(i AS INTEGER) AS epoch, round(train[i], 6) AS train, round(val[i], 6) AS validation
 FROM logs, range(1, len(train) + 1) t(i)"""
 
-ORACLE["evaluation_summary"] = _S + """
+_SUMMARY = """
 , st AS (SELECT avg(error) FILTER (WHERE split = 'train') AS train_mean,
                stddev_pop(error) FILTER (WHERE split = 'train') AS train_std,
                avg(error) FILTER (WHERE split = 'test') AS test_mean,
@@ -488,6 +498,46 @@ SELECT cm.true_positives, cm.false_positives,
        round(pr.precision, 6) AS precision, round(pr.recall, 6) AS recall,
        round(2.0 * pr.precision * pr.recall / greatest(pr.precision + pr.recall, 1e-8), 6) AS f1
 FROM cm, thr, st, pr, sz"""
+ORACLE["evaluation_summary"] = _S + _SUMMARY
+
+
+# --- the network with weights from a formula ------------------------------------
+
+def _network_ctes() -> list[str]:
+    dims = [5, 64, 32, 16, 32, 64, 5]
+    theta = lambda k: f"(({k}) * 7919 % 2003) / 2003::DOUBLE - 0.5::DOUBLE"
+    weights, at = [], 0
+    for n, (i, o) in enumerate(zip(dims[:-1], dims[1:])):
+        weights.append(f"list_transform(range({o}), lambda j: list_transform(range({i}), lambda i: "
+                       f"{theta(f'{at} + i * {o} + j')})) AS w{n}")
+        weights.append(f"list_transform(range({o}), lambda j: {theta(f'{at + i * o} + j')}) AS b{n}")
+        at += i * o + o
+    ctes = [f"net AS MATERIALIZED (SELECT {', '.join(weights)})",
+            f"""x0 AS (SELECT time_window, split, [{', '.join(METRICS)}] AS x, [{', '.join(METRICS)}] AS h FROM lab
+                UNION ALL SELECT NULL, 'synthetic', [{', '.join(METRICS)}], [{', '.join(METRICS)}] FROM syn)"""]
+    for n, o in enumerate(dims[1:]):
+        z = f"list_dot_product(h, w{n}[j + 1]) + b{n}[j + 1]"
+        z = f"1 / (1 + exp(-({z})))" if n == len(dims) - 2 else f"greatest({z}, 0::DOUBLE)"
+        ctes.append(f"x{n + 1} AS (SELECT time_window, split, x, list_transform(range({o}), lambda j: {z}) AS h FROM x{n}, net)")
+    ctes.append("neterr AS (SELECT time_window, split, list_sum(list_transform(range(5), "
+                "lambda j: (x[j + 1] - h[j + 1]) * (x[j + 1] - h[j + 1]))) / 5.0 AS error FROM x6)")
+    return ctes
+
+
+_NET = with_base(*[c for c in SCORING_CTES if c.split()[0] not in ("mu", "err", "thr", "synerr", "cm")],
+                 *_network_ctes())
+ORACLE["network_scores"] = _NET + """
+SELECT time_window, split, round(error, 6) AS error FROM neterr WHERE split <> 'synthetic'"""
+ORACLE["network_latent"] = _NET + """
+SELECT time_window, split, CAST(unnest(range(16)) AS INTEGER) AS dim, round(unnest(h), 6) AS value
+FROM x3 WHERE split <> 'synthetic'"""
+ORACLE["network_report"] = _NET + """
+, err AS (SELECT * FROM neterr WHERE split <> 'synthetic'),
+thr AS (SELECT quantile_cont(error, 0.95) AS p95, quantile_cont(error, 0.99) AS p99 FROM err WHERE split = 'train'),
+cm AS (SELECT CAST(count(*) FILTER (WHERE split = 'synthetic' AND error > p95) AS BIGINT) AS true_positives,
+              CAST(count(*) FILTER (WHERE split = 'test' AND error > p95) AS BIGINT) AS false_positives,
+              count(*) FILTER (WHERE split = 'synthetic') AS n_syn,
+              count(*) FILTER (WHERE split = 'test') AS n_test FROM neterr, thr)""" + _SUMMARY
 
 _CLEAN_COLUMNS = [("event_id", "STRING", False), ("timestamp", "TIMESTAMP", False),
                   ("device_id", "STRING", False), ("metric_name", "STRING", False),

@@ -17,50 +17,61 @@ from fleetscope.operators import autoencoder as AE
 from fleetscope.operators import scoring as M
 from fleetscope.plans.dataset import Prepared
 from fleetscope.plans.training import TrainResult
-from fleetscope.schema import METRICS
+from fleetscope.schema import METRICS, SYNTHETIC_MIN_ROWS
 
 
-def evaluate(spark: SparkSession, prepared: Prepared, theta: np.ndarray,
-             experiment_id: str, approx: bool = False) -> DataFrame:
-    """The evaluation report as one nested row (EVALUATION schema)."""
-    recon = AE.reconstructor(spark, theta)
-    errors = M.reconstruction_errors(prepared.split, recon).persist()
+def measure(spark: SparkSession, prepared: Prepared, recon: M.Reconstructor,
+            approx: bool = False) -> dict:
+    """All numbers of the report. The splits and the synthetic rows are scored
+    together, once; thresholds, statistics and confusion counts are read off
+    the kept (split, error) pairs in one aggregate."""
+    n_test = prepared.size_of("test")
+    syn = M.synthetic_anomalies(spark, n_test).select(*METRICS, F.lit("synthetic").alias("split"))
+    rows = prepared.split.select(*METRICS, "split").unionByName(syn)
+    errors = M.reconstruction_errors(rows, recon).select("split", "error").persist()
     try:
-        limits = M.thresholds(errors.where(F.col("split") == "train"), approx=approx)
-        lim = limits.first()
-        stats = M.error_stats(errors).first()
-        test = M.flag(errors.where(F.col("split") == "test"), limits)
-        n_test = test.count()
-        syn = M.flag(M.reconstruction_errors(M.synthetic_anomalies(spark, n_test), recon), limits)
-        sizes = {r["split"]: r["rows"] for r in prepared.sizes().collect()}
-        metrics = M.detection_metrics(M.confusion(test, syn))
-        cm = M.confusion(test, syn)
-        row = metrics.select(
-            F.lit(experiment_id).alias("experiment_id"),
-            F.lit(_dt.datetime.now().isoformat()).alias("evaluation_timestamp"),
-            F.struct(F.lit(lim["p95"]).alias("p95"), F.lit(lim["p99"]).alias("p99")).alias("thresholds"),
-            F.struct(*[F.lit(stats[k]).cast("double").alias(k)
-                       for k in ("train_mean", "train_std", "test_mean", "test_std")])
-             .alias("error_statistics"),
-            F.struct("precision", "recall", "f1").alias("metrics"),
-        )
-        cmr = cm.first()
-        return row.select(
-            "*",
-            F.struct(*[F.lit(int(cmr[k])).alias(k) for k in cm.columns]).alias("confusion_matrix"),
-            F.struct(F.lit(int(sizes.get("train", 0))).alias("train_size"),
-                     F.lit(int(n_test)).alias("test_size"),
-                     F.lit(max(int(n_test), 5)).cast("long").alias("synthetic_anomalies"))
-             .alias("dataset"),
-        )
+        lim = M.threshold_values(M.thresholds(errors.where(F.col("split") == "train"), approx=approx))
+        flagged = F.col("error") > F.lit(lim["p95"])
+        on = lambda part, hit: F.count_if((F.col("split") == part) & hit)
+        stats = M.error_stats(errors, on("synthetic", flagged).alias("true_positives"),
+                              on("test", flagged).alias("false_positives"),
+                              on("synthetic", ~flagged).alias("false_negatives"),
+                              on("test", ~flagged).alias("true_negatives")).first().asDict()
     finally:
         errors.unpersist()
+    return lim | stats | {"train_size": prepared.size_of("train"), "test_size": n_test,
+                          "synthetic_anomalies": max(n_test, SYNTHETIC_MIN_ROWS)}
+
+
+COUNTS = ("true_positives", "false_positives", "false_negatives", "true_negatives")
+STATS = ("train_mean", "train_std", "test_mean", "test_std")
+SIZES = ("train_size", "test_size", "synthetic_anomalies")
+
+
+def summary(spark: SparkSession, numbers: dict) -> DataFrame:
+    """The numbers of :func:`measure` with the metrics of the counts, as one row."""
+    row = spark.range(1).select(
+        *[F.lit(int(numbers[k])).cast("long").alias(k) for k in (*COUNTS, *SIZES)],
+        *[F.lit(numbers[k]).cast("double").alias(k) for k in ("p95", "p99", *STATS)])
+    return M.detection_metrics(row, keep=row.columns)
+
+
+def evaluate(spark: SparkSession, prepared: Prepared, theta: np.ndarray,
+             experiment_id: str, approx: bool = False) -> DataFrame:
+    """The evaluation report as one nested row (EVALUATION schema)."""
+    row = summary(spark, measure(spark, prepared, AE.reconstructor(spark, theta), approx))
+    return row.select(
+        F.lit(experiment_id).alias("experiment_id"),
+        F.lit(_dt.datetime.now().isoformat()).alias("evaluation_timestamp"),
+        F.struct("p95", "p99").alias("thresholds"), F.struct(*STATS).alias("error_statistics"),
+        F.struct("precision", "recall", "f1").alias("metrics"),
+        F.struct(*COUNTS).alias("confusion_matrix"), F.struct(*SIZES).alias("dataset"))
 
 
 def run_log(spark: SparkSession, prepared: Prepared, result: TrainResult, experiment_id: str,
             hyper: dict, snapshot_id=None) -> DataFrame:
     """The run log as one nested row (RUN_LOG schema)."""
-    sizes = {r["split"]: r["rows"] for r in prepared.sizes().collect()}
+    sizes = {k: prepared.size_of(k) for k in ("train", "val", "test")}
     scaler = prepared.scaler.orderBy("feature_index").collect()
     base = prepared.scaler.agg(F.count(F.lit(1)).alias("_n"))
     return base.select(

@@ -129,9 +129,13 @@ def quality_gate(spark, sf_dir):
 
 # --- features ---------------------------------------------------------------
 
+import numpy as np  # noqa: E402
+
 from fleetscope.functions.numeric import r6  # noqa: E402
+from fleetscope.operators import autoencoder as AE  # noqa: E402
 from fleetscope.operators import features as FT  # noqa: E402
 from fleetscope.operators import scoring as M  # noqa: E402
+from fleetscope.plans import evaluation as EV  # noqa: E402
 from fleetscope.plans.dataset import prepare  # noqa: E402
 from fleetscope.schema import METRICS  # noqa: E402
 
@@ -239,8 +243,8 @@ def anomaly_flags(spark, sf_dir):
                     "flag_p95", "flag_p99")
 
 
-def _synthetic(spark, sf_dir, scored=None):
-    p, recon, errors, limits = scored or _scored(spark, sf_dir)
+def _synthetic(spark, sf_dir):
+    p, recon, errors, limits = _scored(spark, sf_dir)
     n_test = p.size_of("test")
     lim = M.threshold_values(limits)
     syn = M.synthetic_anomalies(spark, n_test)
@@ -375,9 +379,14 @@ def experiment_list(spark, sf_dir):
 
 @query("experiment_detail")
 def experiment_detail(spark, sf_dir):
+    """E2 for the first run that has an evaluation, flattened."""
     logs, evals = _logs(spark, sf_dir)
-    first = logs.agg(F.min("experiment_id")).first()[0]
-    return E.experiment_detail(logs, evals, first)
+    d = E.experiment_detail(logs, evals, evals.agg(F.min("experiment_id")).first()[0])
+    flat = d.select("experiment_id", "timestamp", "hyperparameters.*", "results.*", "evaluation.metrics.*",
+                    F.size("losses.train").cast("long").alias("train_losses"),
+                    F.size("losses.val").cast("long").alias("val_losses"),
+                    F.array_join("scaler_params.feature_names", ",").alias("feature_names"))
+    return _rounded(flat)
 
 
 @query("latest_model")
@@ -398,30 +407,51 @@ def loss_curve(spark, sf_dir):
 def evaluation_summary(spark, sf_dir):
     """M13 flattened, for the fixed mean reconstructor: thresholds, error
     statistics, confusion counts, metrics and sizes in one row."""
-    scored = _scored(spark, sf_dir)
-    p, recon, errors, limits = scored
-    syn, test = _synthetic(spark, sf_dir, scored)
-    cm = M.confusion(test, syn)
-    met = M.detection_metrics(cm)
-    stats = M.error_stats(errors).first()
-    lim = M.threshold_values(limits)
-    n_test = p.size_of("test")
-    out = cm.select("*", *[F.lit(float(v)).alias(k) for k, v in lim.items()],
-                    *[F.lit(stats[k]).cast("double").alias(k) for k in stats.asDict()],
-                    F.lit(p.size_of("train")).cast("long").alias("train_size"),
-                    F.lit(n_test).cast("long").alias("test_size"),
-                    F.lit(max(n_test, 5)).cast("long").alias("synthetic_anomalies"))
-    m = met.first()
-    out = out.select("*", *[F.lit(float(m[k])).alias(k) for k in ("precision", "recall", "f1")])
-    doubles = ["p95", "p99", "train_mean", "train_std", "test_mean", "test_std",
-               "precision", "recall", "f1"]
-    return out.select(*[r6(F.col(c)).alias(c) if c in doubles else F.col(c) for c in out.columns])
+    p = _prepared(spark, sf_dir)
+    out = EV.summary(spark, EV.measure(spark, p, M.mean_reconstructor(p.part("train"))))
+    return _rounded(out)
+
+
+def _rounded(df):
+    """Doubles at the published scale; integer columns as they are."""
+    return df.select(*[r6(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+# --- the network with weights from a formula (checked by SQL) ------------------
+
+def formula_weights():
+    """5,973 weights that any engine can compute."""
+    k = np.arange(AE.parameter_count())
+    return (k * 7919 % 2003) / 2003.0 - 0.5
+
+
+@query("network_scores")
+def network_scores(spark, sf_dir):
+    """M1 + M6: errors of the network."""
+    p = _prepared(spark, sf_dir)
+    e = M.reconstruction_errors(p.split, AE.reconstructor(spark, formula_weights()))
+    return e.select(ntz("time_window").alias("time_window"), "split", r6(F.col("error")).alias("error"))
+
+
+@query("network_latent")
+def network_latent(spark, sf_dir):
+    """M2: the latent vector, a row for each dimension."""
+    p = _prepared(spark, sf_dir)
+    z = AE.latent(spark, p.split, formula_weights(), ["time_window", "split"])
+    return z.select(ntz("time_window").alias("time_window"), "split",
+                    F.posexplode("latent").alias("dim", "value")).withColumn("value", r6(F.col("value")))
+
+
+@query("network_report")
+def network_report(spark, sf_dir):
+    """The report of the network."""
+    p = _prepared(spark, sf_dir)
+    numbers = EV.measure(spark, p, AE.reconstructor(spark, formula_weights()))
+    return _rounded(EV.summary(spark, numbers))
 
 
 # --- autoencoder (rows-only: training is iterative) ---------------------------
 
-from fleetscope.operators import autoencoder as AE  # noqa: E402
-from fleetscope.plans import evaluation as EV  # noqa: E402
 from fleetscope.plans import training as TR  # noqa: E402
 
 
