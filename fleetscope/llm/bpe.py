@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces and pairs that a worker keeps; the memo is emptied when it is full.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 1_000_000
 MEMO_PAIRS = 1_000_000
 #: Rows in a result batch.
 BATCH_ROWS = 256
@@ -46,6 +46,7 @@ class BytePairCoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
+        self.bytes_of_text = {str(v): k for k, v in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.memo: dict[str, str] = {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
@@ -130,6 +131,10 @@ class BytePairCoder:
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids])
 
+    def decode_text(self, ids: list[str]) -> bytes:
+        """Like :meth:`decode`, from decimal ids."""
+        return b"".join(map(self.bytes_of_text.__getitem__, ids))
+
 
 _CODERS: dict[tuple[str, str], BytePairCoder] = {}
 
@@ -191,11 +196,11 @@ def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id",
             n, a, d, every = [], [], [], []
             for x in b.column(1).to_pylist():
                 listed = c.encoded_text(x or "")
-                ids = [int(i) for i in listed.split()]
+                ids = listed.split(" ") if listed else []
                 n.append(len(ids))
-                every.append(ids if with_ids else None)
+                every.append([int(i) for i in ids] if with_ids else None)
                 a.append(sha(listed.encode()))
-                d.append(sha(c.decode(ids)))
+                d.append(sha(c.decode_text(ids)))
             columns = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
             if with_ids:
                 columns.append(pa.array(every, pa.list_(pa.int32())))
