@@ -13,7 +13,7 @@ from fleetscope.schema import DEVICE_IDS, METRICS
 from fleetscope.sources.messages import decode
 
 DEVICES = st.sampled_from([*DEVICE_IDS[:3], "device_000", "device_051", "dev", None])
-METRIC = st.sampled_from([*METRICS, "unknown_sensor_xyz", "", None])
+METRIC = st.sampled_from([*METRICS, "unknown_probe", "", None])
 VALUE = st.one_of(st.none(), st.floats(-1e4, 1e4, allow_nan=False).map(lambda v: round(v, 2)))
 TS = st.one_of(st.none(), st.just("nope"),
                st.datetimes(dt.datetime(2000, 1, 1), dt.datetime(2100, 12, 31))

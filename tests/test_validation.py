@@ -48,8 +48,8 @@ def test_nan_passes_validation(spark):
 
 
 def test_reasons_in_rule_order(spark):
-    res = outcome(spark, [event(metric_name="unknown_sensor_xyz", value=-1)])
-    assert res[0][1] == "negative value: -1.0; unknown metric: unknown_sensor_xyz"
+    res = outcome(spark, [event(metric_name="unknown_probe", value=-1)])
+    assert res[0][1] == "negative value: -1.0; unknown metric: unknown_probe"
 
 
 def test_empty_id_defaults_on_dead_letter(spark):
