@@ -178,8 +178,12 @@ def latent(spark, df: DataFrame, theta: np.ndarray, keep: Sequence[str],
     return df.select(*keep, *metrics).mapInPandas(run, schema)
 
 
+#: Parts of the weight vector that are averaged in parallel.
+BLOCKS = 8
+
 SHARD_RESULT = StructType([
     StructField("shard", LongType()),
+    StructField("block", LongType()),
     StructField("rows", LongType()),
     StructField("loss_sum", DoubleType()),
     StructField("val_rows", LongType()),
@@ -213,7 +217,7 @@ def _minibatches(parts, size: int):
 def train_epoch(spark, shards: DataFrame, state, epoch: int,
                 batch_size: int = 32, seed: int = 0, metrics: Sequence[str] = METRICS,
                 dropout: float = 0.2, train_steps: bool = True) -> DataFrame:
-    """M3 + M4: one epoch as one Spark job; one row for each shard.
+    """M3 + M4: one epoch as one Spark job; one row for each shard and weight block.
 
     ``shards`` holds training rows and validation rows (``_val`` true), dealt
     by :func:`shard`. Every shard (partition) is sorted by a hash of the key and the
@@ -251,32 +255,30 @@ def train_epoch(spark, shards: DataFrame, state, epoch: int,
             w = local.step(w, g)
             rows += len(xb)
             total += loss * len(xb)
-        yield pd.DataFrame({"shard": [pid], "rows": [rows], "loss_sum": [total],
-                            "val_rows": [val[0]], "val_sq_sum": [val[1]],
-                            "theta": [w.tolist()], "m": [local.m.tolist()],
-                            "v": [local.v.tolist()], "t": [local.t]})
+        split = lambda a: [x.tolist() for x in np.array_split(a, BLOCKS)]
+        yield pd.DataFrame({"shard": pid, "block": range(BLOCKS), "rows": rows, "loss_sum": total,
+                            "val_rows": val[0], "val_sq_sum": val[1], "theta": split(w),
+                            "m": split(local.m), "v": split(local.v), "t": local.t})
     order = F.xxhash64(F.lit(seed), F.lit(epoch), F.col("_key"))
     return (shards.select(*metrics, "_val", "_key").sortWithinPartitions(order, "_key")
             .mapInPandas(run, SHARD_RESULT))
 
 
 def averaged(results: DataFrame) -> DataFrame:
-    """Shard results averaged by rows, on the executors: one row for each weight.
+    """Shard results added up on the executors, block by block: one row for each block.
 
-    ``pos``, the averaged ``theta``, ``m`` and ``v`` at it, and the sums over all
+    ``theta``, ``m`` and ``v`` are sums weighted by rows, the rest sums over all
     shards. Terms are added in shard order, so the sums do not depend on how
     tasks finished; what reaches the driver does not grow with the shards.
     """
-    n = F.col("rows").cast("double")
-    parts = results.select(
-        "shard", "rows", "loss_sum", "val_rows", "val_sq_sum", "t", n.alias("n"),
-        F.posexplode(F.arrays_zip("theta", "m", "v")).alias("pos", "p"))
-    numbers = ["n", "loss_sum", "val_rows", "val_sq_sum", "theta", "m", "v"]
-    one = F.struct("shard", *[F.col(c).cast("double").alias(c) for c in numbers[:4]],
-                   *[(F.col(f"p.{c}") * n).alias(c) for c in numbers[4:]])
-    kept = parts.groupBy("pos").agg(F.sort_array(F.collect_list(one)).alias("s"), F.max("t").alias("t"))
-    total = lambda c: F.aggregate("s", F.lit(0.0), lambda a, x: a + x[c])
-    return kept.select("pos", "t", *[total(c).alias(c) for c in numbers])
+    def total(pdf):
+        pdf = pdf.sort_values("shard")
+        n = pdf["rows"].to_numpy(dtype=float)
+        weighted = lambda c: (n @ np.stack(pdf[c].to_list())).tolist()
+        return pd.DataFrame({"shard": [len(pdf)], "block": [pdf["block"].iloc[0]],
+                             **{c: [pdf[c].sum()] for c in ("rows", "loss_sum", "val_rows", "val_sq_sum")},
+                             **{c: [weighted(c)] for c in ("theta", "m", "v")}, "t": [pdf["t"].max()]})
+    return results.groupBy("block").applyInPandas(total, SHARD_RESULT)
 
 
 def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:

@@ -84,17 +84,18 @@ def train(spark, train_df: DataFrame, val_df: DataFrame, epochs: int = 50, lr: f
             epoch += 1
             state = AE.broadcast_state(spark, theta, opt)
             try:
-                rows = AE.averaged(AE.train_epoch(spark, data, state, epoch, batch_size, seed,
-                                                  train_steps=epoch <= epochs)).toPandas().sort_values("pos")
+                rows = sorted(AE.averaged(AE.train_epoch(
+                    spark, data, state, epoch, batch_size, seed, train_steps=epoch <= epochs)).collect(),
+                    key=lambda r: r["block"])
             finally:
                 state.unpersist()
-            sums = rows.iloc[0] if len(rows) else None
+            sums = rows[0] if rows else None
             if pending is not None and settle(sums["val_rows"], sums["val_sq_sum"]):
                 break
-            n = sums["n"] if sums is not None else 0
+            n = sums["rows"] if sums is not None else 0
             if n == 0:
                 raise ValueError("empty training split")
-            theta, opt.m, opt.v = (rows[c].to_numpy() / n for c in ("theta", "m", "v"))
+            theta, opt.m, opt.v = (np.concatenate([r[c] for r in rows]) / n for c in ("theta", "m", "v"))
             opt.t = int(sums["t"])
             res.train_losses.append(float(sums["loss_sum"] / n))
             pending = (epoch, theta)

@@ -51,6 +51,54 @@ def test_distinct_count_without_expand(spark):
     assert "Expand" not in p
 
 
+def test_quality_report_is_one_scan_and_one_keyed_shuffle(spark):
+    p = plan(QUERIES["quality_report"](spark, SF001))
+    assert p.count("FileScan") == 1 and p.count("from_json(") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(event_id", p)) == 1
+
+
+def test_confusion_scores_the_synthetic_rows_once(spark):
+    p = plan(QUERIES["confusion_matrix"](spark, SF001))
+    assert p.count("Range (") == 1 and "Subquery" not in p
+
+
+def test_no_scan_is_dealt_out_unless_asked(spark):
+    assert "REPARTITION_BY_NUM" not in plan(QUERIES["validate_route"](spark, SF001))
+    spark.conf.set("spark.fleetscope.scanPartitions", "4")
+    try:
+        assert "REPARTITION_BY_NUM" in plan(QUERIES["validate_route"](spark, SF001))
+    finally:
+        spark.conf.unset("spark.fleetscope.scanPartitions")
+
+
+def test_split_positions_need_no_window_or_day_task(spark):
+    spark.catalog.clearCache()
+    for name in ("time_split", "device_time_split"):
+        p = plan(QUERIES[name](spark, SF001))
+        assert "Window" not in p
+        spark.catalog.clearCache()
+
+
+def test_reports_score_each_row_once(spark):
+    from fleetscope.plans import registry
+    plans = []
+    original = registry.AE.reconstructor
+
+    def watched(*args):
+        recon = original(*args)
+
+        def run(df):
+            plans.append(df)
+            return recon(df)
+        return run
+    registry.AE.reconstructor = watched
+    try:
+        df = QUERIES["network_report"](spark, SF001)
+    finally:
+        registry.AE.reconstructor = original
+    assert len(plans) == 1 and "MapInPandas" not in plan(df)
+
+
 def test_scan_reads_only_needed_columns(spark):
     p = plan(QUERIES["run_timeline"](spark, SF001))
     schema = re.search(r"ReadSchema: (struct<[^>]*>)", p).group(1)
