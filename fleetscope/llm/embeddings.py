@@ -37,22 +37,27 @@ def _finite(v: Column) -> Column:
     return F.coalesce((F.size(v) > 0) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """Lists of one length as the rows of a matrix of doubles."""
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+
+
 def _hashed(tables: int, bits: int, seed: int):
     planes: dict[int, np.ndarray] = {}
 
     def run(batches):
         for b in batches:
-            vectors = b.column("v").to_pylist()
-            codes = []
-            for x in vectors:
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng([seed, len(x)]).standard_normal((len(x), tables * bits))
-                v = np.asarray(x, np.float64)
-                signs = (v / np.abs(v).max()) @ planes[len(x)] > 0
-                codes.append(signs.reshape(tables, bits) @ (1 << np.arange(bits)))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([c.astype(np.int32) for c in codes], pa.list_(pa.int32()))],
-                [*b.schema.names, "codes"])
+            dims = b.column("dim").to_numpy()
+            codes = np.zeros((b.num_rows, tables), np.int32)
+            for dim in np.unique(dims).tolist():
+                if dim not in planes:
+                    planes[dim] = np.random.default_rng([seed, dim]).standard_normal((dim, tables * bits))
+                own = np.flatnonzero(dims == dim)
+                v = _matrix(b.column("v").take(pa.array(own)))
+                signs = (v / np.abs(v).max(axis=1, keepdims=True)) @ planes[dim] > 0
+                codes[own] = signs.reshape(-1, tables, bits) @ (1 << np.arange(bits))
+            lists = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, tables, dtype=np.int32), codes.ravel())
+            yield pa.RecordBatch.from_arrays([*b.columns, lists], [*b.schema.names, "codes"])
     return run
 
 
@@ -61,8 +66,8 @@ def _unit(threshold: float):
         n = table.num_rows
         column = lambda c: table.column(c).to_numpy()
         cid, mult, block = column("cid"), column("mult"), column("__block")
-        v = np.array(table.column("v").to_pylist(), np.float64)
-        codes = np.array(table.column("codes").to_pylist(), np.int32)
+        v = _matrix(table.column("v").combine_chunks())
+        codes = _matrix(table.column("codes").combine_chunks()).astype(np.int32)
         lo, hi, blocks, t = (column(c)[0] for c in ("__lo", "__hi", "__n", "t"))
         v /= np.abs(v).max(axis=1, keepdims=True)  # keeps the squares in range
         v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
