@@ -265,7 +265,7 @@ def spans(df: DataFrame, phrases: DataFrame, key: str = "doc_id", text: str = "t
     whole = one.groupBy("key", "digest").agg(
         F.first("m").alias("m"), F.first("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("phrase_ids"))).alias("phrase_ids"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("phrase_ids")))).alias("phrase_ids"))
     return whole.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).select(
         F.col("key").alias(key), "digest", "n_words", _joined("spans").alias("spans"), "phrase_ids")
 
@@ -306,11 +306,13 @@ def report(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     strings whose windows occur). Null texts have no words; an empty benchmark
     hits nothing; null keys and repeated rows are kept."""
     phrases, items = phrases_of(benchmark, item, item_text)
-    found = written(spans(df, phrases, key, text).withColumn("__row", F.monotonically_increasing_id()), "hits")
-    named = (found.select("__row", F.explode("phrase_ids").alias("phrase_id")).join(items, "phrase_id")
-             .groupBy("__row").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")))
+    found = written(spans(df, phrases, key, text), "hits")
+    # documents with the same phrases (copies, a shared passage) are one set: its items are named once
+    sets = found.where("size(phrase_ids) > 0").select("phrase_ids").distinct()
+    named = (sets.select("phrase_ids", F.explode("phrase_ids").alias("phrase_id")).join(items, "phrase_id")
+             .groupBy("phrase_ids").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x.stop - x.start))
-    return found.join(named, "__row", "left").select(
+    return found.join(named, "phrase_ids", "left").select(
         key, "n_words", n_hit.alias("n_hit"), "spans",
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
