@@ -9,9 +9,11 @@ answers. So only packed questions and answers cross the network, never rows
 for single items, and an item that a third of all documents hold is asked about
 once by each chunk: no bucket grows with the copies of an item.
 
-Memory: a task holds one chunk, or one bucket of questions; the bucket count is
-the session's shuffle partition count, the chunk size a parameter. Raise both with the data:
-chunks x buckets is the number of packed rows.
+Memory: a task holds one chunk, or the questions of one bucket. There are as many
+buckets as there are chunks' worths of text (and at least as many as shuffle
+partitions), so neither grows with the data. ``chunk_bytes`` is the one size to
+choose: the packed rows number chunks x buckets, so it should grow with the square root of the
+data; 8 MB suit some 100 GB, 128 MB suit 100 TB.
 """
 
 from __future__ import annotations
@@ -31,13 +33,13 @@ from fleetscope.llm.common import shared_path, written
 CHUNK_BYTES = 8 << 20
 
 
-def buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def staged(df: DataFrame, key: str, text: str, chunk_bytes: int | None = None) -> tuple[DataFrame, int]:
+    """(chunk, key, text binary), and the number of hash buckets for its items.
 
-
-def staged(df: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, key, text binary): null texts are empty; rows and nulls of the key stay."""
+    Null texts are empty; rows and nulls of the key stay."""
+    chunk_bytes = chunk_bytes or CHUNK_BYTES
     spark = df.sparkSession
+    partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -50,15 +52,18 @@ def staged(df: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -
                     seq, size = seq + 1, 0
                 size += n
                 chunk[i] = first + seq
-            yield pa.RecordBatch.from_arrays([pa.array(chunk), b.column(0), b.column(1)], ["chunk", "key", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(chunk), b.column(0), b.column(1), pa.array(lengths)],
+                                             ["chunk", "key", "text", "size"])
 
     rows = df.select(F.col(key).alias("key"),
                      F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8").alias("text"))
     name = f"staged_{uuid.uuid4().hex}"
-    (rows.mapInArrow(run, f"chunk long, key {kind}, text binary")
-     .write.bucketBy(buckets(df), "chunk").option("compression", "zstd").option("path", shared_path(spark, "staged"))
+    (rows.mapInArrow(run, f"chunk long, key {kind}, text binary, size long")
+     .write.bucketBy(partitions, "chunk").option("compression", "zstd").option("path", shared_path(spark, "staged"))
      .saveAsTable(name))
-    return spark.table(name)
+    table = spark.table(name)
+    size = table.agg(F.sum("size")).first()[0] or 0
+    return table.drop("size"), max(partitions, -(-size // chunk_bytes))
 
 
 def _questions(run: Callable, *sides: DataFrame) -> DataFrame:

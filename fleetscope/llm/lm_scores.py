@@ -94,8 +94,7 @@ def scores(df: DataFrame, key: str = "doc_id", text: str = "text", order: int =
     empty texts have no words and score 0. Rows are documents: repeated rows
     count for each other. Null keys are kept; no rows give none.
     """
-    n = chunks.buckets(df)
-    docs = chunks.staged(df, key, text)
+    docs, n = chunks.staged(df, key, text)
     kind = docs.schema["key"].dataType.simpleString()
 
     def ask(table, _):

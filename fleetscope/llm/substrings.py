@@ -135,8 +135,7 @@ def repeats_removed(df: DataFrame, key: str = "doc_id", text: str = "text", wind
     """
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block at any place")
-    n = chunks.buckets(df)
-    docs = chunks.staged(df, key, text)
+    docs, n = chunks.staged(df, key, text)
     kind = docs.schema["key"].dataType.simpleString()
 
     def probe(table, _):

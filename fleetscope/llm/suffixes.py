@@ -238,8 +238,7 @@ class SuffixBucket:
 
 
 def _staged_anchors(df: DataFrame, key: str, text: str, length: int, gram: int):
-    n = chunks.buckets(df)
-    docs = chunks.staged(df, key, text)
+    docs, n = chunks.staged(df, key, text)
 
     def ask(table, _):
         dealt, two = _ask_anchors(_Anchored(table, length, gram), n)

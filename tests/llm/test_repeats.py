@@ -62,7 +62,7 @@ def made_up(seed, n=60):
 
 @pytest.mark.parametrize("seed,chunk,segment", [(1, 8 << 20, 1 << 20), (2, 400, 1 << 20), (3, 2000, 97)])
 def test_suffix_dedup_edges_and_chunks(spark, monkeypatch, seed, chunk, segment):
-    monkeypatch.setattr(chunks.staged, "__defaults__", (chunk,))
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", chunk)
     monkeypatch.setattr(S, "SEGMENT", segment)
     rows = made_up(seed)
     df = spark.createDataFrame([(*r, 1, b"x") for r in rows], "doc_id long, text string, chunk int, kept binary")
@@ -142,7 +142,7 @@ def test_substring_dedup_matches_brute_force(spark):
 
 @pytest.mark.parametrize("seed,chunk", [(1, 8 << 20), (2, 300)])
 def test_substring_dedup_edges_and_chunks(spark, monkeypatch, seed, chunk):
-    monkeypatch.setattr(chunks.staged, "__defaults__", (chunk,))
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", chunk)
     rnd = random.Random(seed)
     shared = [[rnd.choice("abcdé") for _ in range(rnd.randint(5, 60))] for _ in range(6)]
     rows = []
@@ -185,7 +185,7 @@ def lm_expected(rows, order, alpha=0.4):
 
 @pytest.mark.parametrize("order,chunk", [(1, 8 << 20), (2, 200), (3, 8 << 20), (4, 500)])
 def test_lm_scores_match_brute_force(spark, monkeypatch, order, chunk):
-    monkeypatch.setattr(chunks.staged, "__defaults__", (chunk,))
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", chunk)
     rnd = random.Random(order)
     rows = [(d, " ".join(rnd.choice("aAbcde") for _ in range(rnd.randint(0, 40)))) for d in range(40)]
     rows += [(50, None), (51, ""), (None, "a b c"), (1, rows[1][1]), (52, "zzz a b"), (53, "q " * 2000)]
