@@ -13,7 +13,7 @@ Memory: a task holds one chunk, or the questions of one bucket. There are as man
 buckets as there are chunks' worths of text (and at least as many as shuffle
 partitions), so neither grows with the data. ``chunk_bytes`` is the one size to
 choose: the packed rows number chunks x buckets, so it should grow with the square root of the
-data; 8 MB suit some 100 GB, 128 MB suit 100 TB.
+data; 6 MB suit some 100 GB, 128 MB suit 100 TB.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from fleetscope.llm.common import shared_path, written
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 
 
 def staged(df: DataFrame, key: str, text: str, chunk_bytes: int | None = None) -> tuple[DataFrame, int]:

@@ -11,7 +11,10 @@ products whose results are a count for each class and a spanning forest.
 With ``BITS`` 10 and ``TABLES`` 20 a pair at cosine 0.93 is met with
 probability 1 - (1 - (1 - acos(0.93) / pi) ** 10) ** 20 = 0.998, more above.
 The vectors are sent once for each table; that is the price for comparing
-without any list of candidate pairs.
+without any list of candidate pairs. A bucket holds about 1 / 2 ** bits of a
+label and is compared whole, so for labels of far more than a million distinct
+vectors raise ``bits`` by one for each doubling, and ``tables`` to keep the
+recall that the formula gives.
 """
 
 from __future__ import annotations

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fleetscope.llm import chunks
-from fleetscope.llm.rolling import Slices, Words, pack, pack_any, unpack, unpack_any
+from fleetscope.llm.rolling import Words, pack, pack_any, slice_hashes, unpack, unpack_any
 
 ORDER = 2
 BACKOFF = 0.4
@@ -35,9 +35,8 @@ class _Grams:
 
     def __init__(self, table: pa.Table, order: int, n: int):
         self.words = w = Words([t.lower() for t in table.column("text").to_pylist()])  # bytes: A-Z only
-        slices = Slices(w.data)
         self.at = [w.windows(o) for o in range(1, order + 1)]
-        parts = [slices.hash(w.starts[at], w.stops[at + o]) for o, at in enumerate(self.at)]
+        parts = [slice_hashes(w.data, w.starts[at], w.stops[at + o]) for o, at in enumerate(self.at)]
         self.dealt = chunks.Dealt(np.concatenate([np.array([_ALL_WORDS]), *parts]), n)
         self.counts = np.bincount(self.dealt.item, minlength=self.dealt.n_items)
         self.all_words = self.dealt.item[0]

@@ -54,6 +54,19 @@ class Slices:
         return mix((self.sums[n:] - self.sums[:-n]) * self.inverse[:len(self.sums) - n])
 
 
+def slice_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+    """Hashes of slices whose starts are sorted, over ``step`` bytes of the buffer at a time."""
+    out = np.zeros(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        base = int(starts[at])
+        to = int(np.searchsorted(starts, base + step))
+        part = Slices(data[base:int(stops[at:to].max())])
+        out[at:to] = part.hash(starts[at:to] - base, stops[at:to] - base)
+        at = to
+    return out
+
+
 def pack(a: np.ndarray) -> bytes:
     """Sorted unsigned numbers as byte planes of their differences; the shuffle's
     own compression then removes the empty planes."""

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from fleetscope.llm import chunks
-from fleetscope.llm.rolling import Slices, Words, pack, pack_any, unpack, unpack_any
+from fleetscope.llm.rolling import Words, pack, pack_any, slice_hashes, unpack, unpack_any
 
 WINDOW = 20
 BLOCK = 10
@@ -38,7 +38,7 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
 def _probes(words: Words, block: int, n: int) -> tuple[np.ndarray, chunks.Dealt]:
     """Starts of the rolling windows, and their hashes dealt to buckets."""
     at = words.windows(block)
-    hashes = Slices(words.data).hash(words.starts[at], words.stops[at + block - 1])
+    hashes = slice_hashes(words.data, words.starts[at], words.stops[at + block - 1])
     return at, chunks.Dealt(hashes, n, bits=40)
 
 
@@ -131,7 +131,7 @@ def repeats_removed(df: DataFrame, key: str = "doc_id", text: str = "text", wind
     A word is removed if a window of ``window`` words that covers it also starts
     in a row with a smaller key, or earlier in the same row, judged on the input.
     Rows with equal keys do not count as smaller than each other; a null
-    key is larger than all. Null and empty texts have no words.
+    key is larger than all. Null and empty texts have no words. Keys are integers.
     """
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block at any place")

@@ -254,7 +254,7 @@ def repeats_removed(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     A byte of the UTF-8 text is removed if a string of ``length`` bytes that
     covers it also starts in a row with a smaller key; judged on the input, and
     never across rows. Equal keys are not smaller than each other; a null key is
-    larger than all. Null and empty texts have no bytes.
+    larger than all. Null and empty texts have no bytes. Keys are integers.
     """
     docs, anchors, n = _staged_anchors(df, key, text, length, gram)
     kind = docs.schema["key"].dataType.simpleString()
