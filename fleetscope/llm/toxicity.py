@@ -42,6 +42,8 @@ MEMO_WORDS = 300_000
 NEIGHBOURS = 15
 BLOCK = 64
 PRIOR = 0.05
+#: Rows in a result batch.
+BATCH_ROWS = 1024
 #: Distance added to all, so that equal vectors have a finite vote.
 SHARP = 0.05
 REJECT = 0.7
@@ -172,6 +174,18 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _smallest(train: DataFrame, y: int, texts: int) -> list:
+    """The ``EXAMPLES`` smallest digests of a class. Digests are uniform, so those below a
+    bound that some four times as many fall under are enough; few rows pass it in any task."""
+    own, share = train.where(F.col("y") == y), 4 * EXAMPLES / texts
+    place = F.conv(F.substring("digest", 1, 12), 16, 10).cast("double") / 16 ** 12
+    while True:
+        found = own.where(place < share).orderBy("digest").limit(EXAMPLES).collect()
+        if len(found) == EXAMPLES or share >= 1:
+            return found
+        share *= 4
+
+
 def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
         label: str = "toxic") -> Model:
     """Learn from the labelled rows of ``df`` that are not held out.
@@ -187,12 +201,11 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     train = keyed.join(known, "key").groupBy("y", "digest").agg(F.min("key").alias("key"), F.count("*").alias("n"))
     train = train.persist()
     try:
-        rows_of = {r.y: r.n for r in train.groupBy("y").agg(F.sum("n").alias("n")).collect()}
-        chosen = [(r.y, r.digest, r.key) for y in (0, 1)
-                  for r in train.where(F.col("y") == y).orderBy("digest").limit(EXAMPLES).collect()]
+        sizes = train.groupBy("y").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).collect()
+        rows_of = {r.y: r.n for r in sizes}
+        chosen = [(r.y, r.digest, r.key) for s in sorted(sizes) for r in _smallest(train, s.y, s.texts)]
     finally:
         train.unpersist()
-    place = {(y, d): i for i, (y, d, _) in enumerate(chosen)}
     spark = df.sparkSession
     kept = spark.sparkContext.broadcast({d: None for _, d, _ in chosen})
 
@@ -217,7 +230,8 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     found = picked.mapInArrow(counted, "digest string, term binary, n long").groupBy("digest", "term").agg(
         F.max("n").alias("n"))
     classes = spark.createDataFrame(pa.table({"digest": pa.array([d for _, d, _ in chosen], pa.string()),
-                                              "y": pa.array([y for y, *_ in chosen], pa.int32())}))
+                                              "y": pa.array([y for y, *_ in chosen], pa.int32()),
+                                              "i": pa.array(range(len(chosen)), pa.int32())}))
     found = found.join(F.broadcast(classes), "digest").persist()
     try:
         m = Counter(y for y, *_ in chosen)
@@ -231,8 +245,8 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         table = spark.createDataFrame(pa.table({"term": pa.array(terms, pa.binary()),
                                                 "t": pa.array(range(len(terms)), pa.int32())}))
         counts: dict[int, dict[int, int]] = {}
-        for r in found.join(F.broadcast(table), "term").select("y", "digest", "t", "n").collect():
-            counts.setdefault(place[r.y, r.digest], {})[r.t] = r.n
+        for i, t, n in found.join(F.broadcast(table), "term").select("i", "t", "n").collect():
+            counts.setdefault(i, {})[t] = n
     finally:
         found.unpersist()
 
@@ -273,7 +287,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
 
     def run(batches):
         m = sent.value
-        for b in batches:
+        for b in (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS)):
             results = [m.score((x.as_py() or "").encode()) for x in b.column(at)]
             scores = np.array([s for s, _ in results], float)
             evidence = [[{"id": m.ids[i], "label": m.labels[i], "cosine": c} for c, i in e] for _, e in results]
