@@ -1,15 +1,16 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
 The examples are a bounded sample of the labelled rows (``EXAMPLES`` distinct
-texts of each class, those with the smallest hash of the text). Terms are words
-and beginnings of words (``STEMS`` characters) whose presence differs between
-the classes of the sample; their document
+texts of each class, those with the smallest hash of the text). Terms are all words
+of the examples and the beginnings of words (``STEMS`` characters); no term is left out,
+so their number is bounded by the examples' texts alone. Their document
 frequencies, like the class sizes, are counted over all rows. The example
-vectors form a block-max inverted index: examples that share their heaviest
-term lie in the same blocks; each block has posting lists by term, and for each term the largest
-weight in the block. A document bounds its cosine to every block by those
-maxima, opens blocks in the order of their bounds, and stops when no bound
-reaches its k-th best cosine: the k nearest examples are exact.
+vectors form a block-max inverted index: examples that share their most telling common
+term lie in the same blocks. Rare terms have posting lists; a common term (in more than
+one of ``COMMON`` examples) has its weights by block, and the largest of each block.
+A document adds up its rare terms exactly, bounds its cosine to every block by the best
+of these sums and the maxima of its common terms, opens blocks in the order of their
+bounds, and stops when no bound reaches its k-th best cosine: the k nearest examples are exact.
 
 Votes are weighted by 1 / (1 - cosine) and by how many labelled rows an example
 of its class stands for, with ``PRIOR`` votes for the share of the class in all
@@ -32,15 +33,15 @@ from fleetscope.llm.decontaminate import words
 
 #: Distinct labelled texts of each class that serve as examples.
 EXAMPLES = 1500
-#: Terms of the index at most, and the least chi-square of a term (2 x 2 table).
-TERMS, CHI_SQUARE = 512, 40.0
 #: Longer words are no terms (bytes).
 TERM_BYTES = 64
 STEMS = range(3, 9)
 #: Words whose terms a worker remembers; emptied when it is full.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 NEIGHBOURS = 15
 BLOCK = 64
+#: A term in more than one of so many examples is common.
+COMMON = 8
 PRIOR = 0.05
 #: Rows in a result batch.
 BATCH_ROWS = 1024
@@ -57,43 +58,70 @@ def features(word: bytes) -> list[bytes]:
     return [word, *(letters[:n].encode() + b"-" for n in STEMS if n < len(letters))]
 
 
-class BlockMaxIndex:
-    """Exact nearest examples of unit vectors over few terms."""
+def _arrays(vector) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and weights of a vector: a dict, or these arrays already."""
+    if isinstance(vector, dict):
+        return np.fromiter(vector.keys(), np.int64, len(vector)), np.fromiter(vector.values(), float, len(vector))
+    return vector
+
 
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int):
-        self.order = sorted((i for i, v in enumerate(vectors) if v),
-                            key=lambda i: (max(vectors[i], key=lambda t: (vectors[i][t], -t)), i))
+class BlockMaxIndex:
+    """Exact nearest examples of unit vectors."""
+
+    def __init__(self, vectors: list, n_terms: int):
+        pairs = [_arrays(v) for v in vectors]
+        held = np.bincount(np.concatenate([t for t, _ in pairs]), minlength=n_terms) if pairs else np.zeros(n_terms)
+        telling = [int(t[np.lexsort((t, -w * held[t]))[0]]) if len(t) else -1 for t, w in pairs]
+        self.order = np.array(sorted((i for i, t in enumerate(telling) if t >= 0), key=lambda i: (telling[i], i)), np.int64)
+        n = len(self.order)
+        self.heads = np.arange(0, n, BLOCK)
+        if not n:
+            return
+        place = np.repeat(np.arange(n, dtype=np.int32), [len(pairs[i][0]) for i in self.order])
+        term = np.concatenate([pairs[i][0] for i in self.order])
+        weight = np.concatenate([pairs[i][1] for i in self.order])
+        #: Number of a common term, -1 for a rare one.
+        self.common = np.full(n_terms, -1, np.int32)
+        many = np.flatnonzero(held * COMMON > len(vectors))
+        self.common[many] = np.arange(len(many))
+        number = self.common[term]
+        rare = np.flatnonzero(number < 0)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.cuts = np.searchsorted(term[rare], np.arange(n_terms + 1))
+        self.places, self.weights = place[rare], weight[rare]
         self.blocks = []
-        self.most = np.zeros((n_terms, -(-len(self.order) // BLOCK)))
-        for b in range(self.most.shape[1]):
-            own = self.order[b * BLOCK:(b + 1) * BLOCK]
-            lists: dict[int, tuple[list, list]] = {}
-            for place, i in enumerate(own):
-                for t, w in vectors[i].items():
-                    ids, weights = lists.setdefault(t, ([], []))
-                    ids.append(place)
-                    weights.append(w)
-                    self.most[t, b] = max(self.most[t, b], w)
-            self.blocks.append((np.array(own), {t: (np.array(i), np.array(w)) for t, (i, w) in lists.items()}))
-
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
+        for head in self.heads.tolist():
+            i, j = np.searchsorted(place, (head, head + BLOCK))
+            some = i + np.flatnonzero(number[i:j] >= 0)
+            block = np.zeros((len(many), min(BLOCK, n - head)))
+            block[number[some], place[some] - head] = weight[some]
+            self.blocks.append(block)
+        self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if len(many) else np.zeros((0, len(self.blocks)))
+
+    def nearest(self, query, k: int, without: int = -1) -> list[tuple[float, int]]:
         """Up to k (cosine, example) with cosine above 0, best first, ties by example."""
+        term, weight = _arrays(query)
         best: list[tuple[float, int]] = []
-        if not query or not self.blocks:
+        if not len(term) or not len(self.order):
             return best
-        bounds = np.fromiter(query.values(), float) @ self.most[list(query)]
+        number = self.common[term]
+        rare = number < 0
+        number, w = number[~rare], weight[~rare]
+        first = self.cuts[term[rare]]
+        size = self.cuts[term[rare] + 1] - first
+        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        summed = np.bincount(self.places[at], np.repeat(weight[rare], size) * self.weights[at], len(self.order))
+        bounds = np.maximum.reduceat(summed, self.heads) + w @ self.most[number]
         for b in np.argsort(-bounds, kind="stable").tolist():
             if bounds[b] <= 0 or len(best) == k and bounds[b] * (1 + 1e-9) < best[-1][0]:
                 break
-            own, lists = self.blocks[b]
-            cosine = np.zeros(len(own))
-            for t, w in query.items():
-                if t in lists:
-                    ids, weights = lists[t]
-                    cosine[ids] += w * weights
+            head = b * BLOCK
+            cosine = summed[head:head + BLOCK] + w @ self.blocks[b][number]
             some = np.flatnonzero(cosine > (best[-1][0] - 1e-12 if len(best) == k else 0))
-            best += [(min(1.0, c), i) for c, i in zip(cosine[some].tolist(), own[some].tolist()) if i != without]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
+            if len(some):
+                best += [(min(1.0, c), i) for c, i in zip(cosine[some].tolist(), self.order[head + some].tolist())
+                         if i != without]
+                best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
         return best
 
 
@@ -101,9 +129,9 @@ class Model:
     """Terms, weights, examples, their index and the fitted scale."""
 
     def __init__(self, terms: list[bytes], idf: list[float], examples: list, rows_of: dict[int, int]):
-        """``examples``: (id, label, counts by term number)."""
+        """``examples``: (id, label, term numbers, counts)."""
         self.terms = {t: i for i, t in enumerate(terms)}
-        self.idf = idf
+        self.idf = np.array(idf, float)
         self.ids = [e[0] for e in examples]
         self.labels = [e[1] for e in examples]
         held = Counter(self.labels)
@@ -112,17 +140,16 @@ class Model:
         self.prior = rows_of.get(1, 0) / n if n else 0.5
         self.mean_share = sum(self.share) / 2 or 1.0
         self.memo: dict[bytes, tuple[int, ...]] = {}
-        vectors = [self.weighted(e[2]) for e in examples]
+        vectors = [self.weighted(*e[2:]) for e in examples]
         self.index = BlockMaxIndex(vectors, len(terms))
         self.steps = ([0.0, 1.0], [0.0, 1.0])
         if held[0] and held[1]:
             raw = [self._raw(self.index.nearest(v, NEIGHBOURS, i)) for i, v in enumerate(vectors)]
             self.steps = isotonic(raw, self.labels, [self.share[y] for y in self.labels])
 
-    def weighted(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1 + math.log(c)) * self.idf[t] for t, c in sorted(counts.items())}
-        norm = math.sqrt(sum(x * x for x in v.values()))
-        return {t: x / norm for t, x in v.items()}
+    def weighted(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(counts)) * self.idf[terms]
+        return terms, w / math.sqrt(w @ w) if len(w) else w
 
     def terms_of(self, word: bytes) -> tuple[int, ...]:
         known = self.memo.get(word)
@@ -132,9 +159,13 @@ class Model:
             known = self.memo[word] = tuple(self.terms[f] for f in features(word) if f in self.terms)
         return known
 
-    def counts(self, text: bytes | None) -> Counter:
-        found = map(self.memo.get, ws := words(text))
-        return Counter([t for w, ts in zip(ws, found) if ts is None or ts for t in ts or self.terms_of(w)])
+    def counts(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the text's terms, and how often it has each."""
+        found: list[int] = []
+        for w in words(text):
+            ts = self.memo.get(w)
+            found += self.terms_of(w) if ts is None else ts
+        return np.unique(np.array(found, np.int64), return_counts=True)
 
     def _raw(self, found: list[tuple[float, int]]) -> float:
         votes = [0.0, 0.0]
@@ -145,7 +176,7 @@ class Model:
         return (votes[1] + extra * self.prior) / (sum(votes) + extra)
 
     def score(self, text: bytes | None) -> tuple[float, list[tuple[float, int]]]:
-        found = self.index.nearest(self.weighted(self.counts(text)), NEIGHBOURS)
+        found = self.index.nearest(self.weighted(*self.counts(text)), NEIGHBOURS)
         return float(np.interp(self._raw(found), *self.steps)), found
 
 
@@ -207,7 +238,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     finally:
         train.unpersist()
     spark = df.sparkSession
-    kept = spark.sparkContext.broadcast({d: None for _, d, _ in chosen})
+    kept = sorted(d for _, d, _ in chosen) if len(rows_of) == 2 else []  # one class alone has no terms
 
     def counted(batches):
         # the chosen texts as (digest, term, count); copies of a text come out alike
@@ -224,49 +255,46 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.string()), pa.array(w, pa.binary()),
                                               pa.array(n, pa.int64())], ["digest", "term", "n"])
 
-    digests = spark.createDataFrame(pa.table({"digest": pa.array(sorted(kept.value), pa.string())}))
+    digests = spark.createDataFrame(pa.table({"digest": pa.array(kept, pa.string())}))
     picked = (df.select(F.sha2(raw, 256).alias("digest"), raw.alias("text"))
               .join(F.broadcast(digests), "digest", "left_semi"))  # at most 2 x EXAMPLES digests
     found = picked.mapInArrow(counted, "digest string, term binary, n long").groupBy("digest", "term").agg(
         F.max("n").alias("n"))
     classes = spark.createDataFrame(pa.table({"digest": pa.array([d for _, d, _ in chosen], pa.string()),
-                                              "y": pa.array([y for y, *_ in chosen], pa.int32()),
                                               "i": pa.array(range(len(chosen)), pa.int32())}))
-    found = found.join(F.broadcast(classes), "digest").persist()
-    try:
-        m = Counter(y for y, *_ in chosen)
-        by_term = found.groupBy("term").agg(F.count_if(F.col("y") == 1).cast("double").alias("a"),
-                                            F.count_if(F.col("y") == 0).cast("double").alias("b"))
-        c, d, n = m[1] - F.col("a"), m[0] - F.col("b"), m[1] + m[0]
-        chi = n * (F.col("a") * d - F.col("b") * c) ** 2 / ((F.col("a") + F.col("b")) * (c + d) * m[1] * m[0])
-        terms = [bytes(r.term) for r in by_term.where((c + d > 0) & F.lit(min(m[0], m[1]) > 0))
-                 .withColumn("chi", F.when(F.lit(min(m[0], m[1]) > 0), chi)).where(F.col("chi") >= CHI_SQUARE)
-                 .orderBy(F.desc("chi"), "term").limit(TERMS).select("term").collect()]
-        table = spark.createDataFrame(pa.table({"term": pa.array(terms, pa.binary()),
-                                                "t": pa.array(range(len(terms)), pa.int32())}))
-        counts: dict[int, dict[int, int]] = {}
-        for i, t, n in found.join(F.broadcast(table), "term").select("i", "t", "n").collect():
-            counts.setdefault(i, {})[t] = n
-    finally:
-        found.unpersist()
+    # all terms of the examples, as columns: no object for each
+    listed = found.join(F.broadcast(classes), "digest").select("i", "term", "n").toArrow()
+    coded = listed.column("term").combine_chunks().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    ranked = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)
+    terms = [names[j] for j in ranked.tolist()]
+    number = np.empty(len(names), np.int64)
+    number[ranked] = np.arange(len(names))
+    own, t, n = listed.column("i").to_numpy(), number[coded.indices.to_numpy()], listed.column("n").to_numpy()
+    del listed, coded, names
+    order = np.lexsort((t, own))
+    cuts = np.searchsorted(own[order], np.arange(1, len(chosen)))
+    counts = list(zip(np.split(t[order], cuts), np.split(n[order], cuts)))
+    del own, t, n, order
 
     at = spark.sparkContext.broadcast(Model(terms, [], [], {}))
 
     def held(batches):
+        m = at.value
+        n = np.zeros(len(m.terms) + 1, np.int64)
         for b in batches:
-            m = at.value
-            n = np.zeros(len(m.terms) + 1, np.int64)
             for x in b.column(0).to_pylist():
-                n[list(m.counts(x))] += 1
-            n[-1] = b.num_rows
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["t", "n"])
-
-    held_by = {r.t: r.n for r in df.select(raw.alias("text")).mapInArrow(held, "t long, n long")
-               .groupBy("t").agg(F.sum("n").alias("n")).collect()}
-    total = held_by.get(len(terms), 0)
-    idf = [float(np.log((1 + total) / (1 + held_by.get(i, 0))) + 1) for i in range(len(terms))]
-    return Model(terms, idf, [(k, y, counts.get(i, {})) for i, (y, _, k) in enumerate(chosen)], rows_of)
+                n[m.counts(x)[0]] += 1
+            n[-1] += b.num_rows
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["t", "n"])
+
+    held_by = (df.select(raw.alias("text")).mapInArrow(held, "t long, n long")
+               .groupBy("t").agg(F.sum("n").alias("n")).toArrow())
+    rows = np.zeros(len(terms) + 1)
+    rows[held_by.column("t").to_numpy()] = held_by.column("n").to_numpy()
+    idf = np.log((1 + rows[-1]) / (1 + rows[:-1])) + 1
+    return Model(terms, idf, [(k, y, *c) for (y, _, k), c in zip(chosen, counts)], rows_of)
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",

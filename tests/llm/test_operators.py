@@ -230,3 +230,18 @@ def test_toxicity_edges(spark):
     for other in (labels.limit(0), labels.where("toxic = 1")):
         assert len(X.score(df, X.fit(df, other)).collect()) == len(docs)
     assert X.score(df.limit(0), X.fit(df.limit(0), labels)).collect() == []
+
+
+def test_toxicity_keeps_all_terms_of_few_examples(spark, tmp_path):
+    import corpus_pipeline as C
+
+    toxic = [f"you moron and scum number t{i}" for i in range(9)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(toxic + [f"the road to town number c{i}" for i in range(21)])],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 9)) for i in range(30)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    model = X.fit(docs, labels)
+    learnt = [r.text for r in docs.where(~X.held_out("doc_id")).collect()]
+    assert set(model.terms) == {f for t in learnt for w in t.encode().split() for f in X.features(w)}
+    assert any(r.held_out for r in X.score(docs, model).where("doc_id < 9").collect())
+    assert sorted(r.doc_id for r in C.drop_toxic(spark, docs, str(tmp_path)).collect()) == list(range(9, 30))
