@@ -232,6 +232,39 @@ def op5(spark, sf_dir):
     return L.scores(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 6))
 
 
+LM3_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x20\x09-\x0D]+') AS words FROM documents),
+t AS (SELECT doc_id, len(words) AS size, unnest(words) AS word, unnest(list_prepend(NULL, words)[:len(words)]) AS prev,
+             unnest(list_prepend(NULL, list_prepend(NULL, words))[:len(words)]) AS prev2 FROM w WHERE len(words) > 0),
+c1 AS (SELECT word, count(*) AS n FROM t GROUP BY ALL), d1 AS (SELECT doc_id, word, count(*) AS n FROM t GROUP BY ALL),
+c2 AS (SELECT prev, word, count(*) AS n FROM t WHERE prev IS NOT NULL GROUP BY ALL),
+d2 AS (SELECT doc_id, prev, word, count(*) AS n FROM t WHERE prev IS NOT NULL GROUP BY ALL),
+c3 AS (SELECT prev2, prev, word, count(*) AS n FROM t WHERE prev2 IS NOT NULL GROUP BY ALL),
+d3 AS (SELECT doc_id, prev2, prev, word, count(*) AS n FROM t WHERE prev2 IS NOT NULL GROUP BY ALL),
+s AS (SELECT t.doc_id, c1.n - d1.n AS one, c2.n - d2.n AS two, c3.n - d3.n AS three, p1.n - q1.n AS context, p2.n - q2.n AS context2,
+             greatest((SELECT count(*) FROM t) - size, 1) AS rest
+      FROM t JOIN c1 ON t.word = c1.word JOIN d1 ON t.doc_id = d1.doc_id AND t.word = d1.word
+      LEFT JOIN c2 ON t.prev = c2.prev AND t.word = c2.word LEFT JOIN d2 ON t.doc_id = d2.doc_id AND t.prev = d2.prev AND t.word = d2.word
+      LEFT JOIN c3 ON t.prev2 = c3.prev2 AND t.prev = c3.prev AND t.word = c3.word
+      LEFT JOIN d3 ON t.doc_id = d3.doc_id AND t.prev2 = d3.prev2 AND t.prev = d3.prev AND t.word = d3.word
+      LEFT JOIN c1 p1 ON t.prev = p1.word LEFT JOIN d1 q1 ON t.doc_id = q1.doc_id AND t.prev = q1.word
+      LEFT JOIN c2 p2 ON t.prev2 = p2.prev AND t.prev = p2.word LEFT JOIN d2 q2 ON t.doc_id = q2.doc_id AND t.prev2 = q2.prev AND t.prev = q2.word),
+a AS (SELECT doc_id, sum(CASE WHEN three > 0 THEN ln(three / context2) ELSE CASE WHEN three IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END
+             + CASE WHEN two > 0 THEN ln(two / context) ELSE ln(greatest(one, 1) / rest)
+               + CASE WHEN two IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END END END) AS score,
+             count(*) FILTER (three = 0) + count(*) FILTER (two = 0) AS n_backoff FROM s GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, round(coalesce(score, 0), 6) AS log_score, coalesce(n_backoff, 0)::BIGINT AS n_backoff
+FROM w LEFT JOIN a USING (doc_id)
+"""
+
+
+@query("op5_lm_scores_order3", LM3_SQL)
+def op5_order3(spark, sf_dir):
+    from fleetscope.llm import lm_scores as L
+    return L.scores(documents(spark, sf_dir), order=3).withColumn("log_score", F.round("log_score", 6))
+
+
 # --- 7: suffix-array deduplication ---------------------------------------------
 
 @query("op7_suffix_array_dedup")

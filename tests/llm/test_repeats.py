@@ -197,6 +197,17 @@ def test_lm_scores_match_brute_force(spark, monkeypatch, order, chunk):
     assert L.scores(df.limit(0)).collect() == []
 
 
+def test_a_registered_query_backs_off_from_trigrams(spark, tmp_path):
+    from fleetscope.llm.queries import QUERIES
+    rnd = random.Random(9)
+    rows = [(d, " ".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 30)))) for d in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, QUERIES["op5_lm_scores_order3"](spark, str(tmp_path)).collect()), key=str)
+    want = lm_expected(rows, 3)
+    assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want] and want != lm_expected(rows, 2)
+    assert all(abs(g[2] - w[2]) < 1e-5 for g, w in zip(got, want))
+
+
 def test_kept_bytes_digest(spark):
     df = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
     r = S.repeats_removed(df).first()
