@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 
 from fleetscope.llm import chunks
 from fleetscope.llm.common import written
-from fleetscope.llm.rolling import Slices, pack, pack_any, unpack, unpack_any
+from fleetscope.llm.rolling import Slices, pack, pack_any, slice_hashes, unpack, unpack_any
 
 LENGTH = 50
 GRAM = 24
 #: Buckets of stretches for each bucket of anchors.
 FINER = 8
+#: An anchor of more places is hot: its strings are dealt one by one. Chunks count exactly beyond ``MANY``.
+HOT, MANY = 4096, 16
 #: Bytes hashed at a time.
 SEGMENT = 1 << 20
 _LAST = np.iinfo(np.int64).max
@@ -87,37 +89,78 @@ def _ask_anchors(a: _Anchored, n: int) -> tuple[chunks.Dealt, np.ndarray]:
     return dealt, low < high
 
 
+def _asked(dealt: chunks.Dealt, two: np.ndarray) -> dict[int, bytes]:
+    """What a chunk says of its anchors: in two rows or not, and places of the frequent ones."""
+    places = np.bincount(dealt.item, minlength=dealt.n_items)
+    out = {}
+    for b, v in dealt.values.items():
+        of = dealt.of[b]
+        many = np.flatnonzero(places[of] > MANY)
+        out[b] = chunks.frame(pack(v), np.packbits(two[of]).tobytes(), pack(many), pack_any(places[of][many]))
+    return out
+
+
+def _bits(answers: dict, dealt: chunks.Dealt) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the items are repeated, and whether they are hot."""
+    repeated, hot = {}, {}
+    for b, v in dealt.values.items():
+        raw = np.unpackbits(np.frombuffer(answers[1, b], np.uint8)).astype(bool)
+        n = -(-len(v) // 8) * 8
+        repeated[b] = raw[:len(v)]
+        hot[b] = raw[n:n + len(v)] if len(raw) > n else np.zeros(len(v), bool)
+    return dealt.gathered(repeated, bool), dealt.gathered(hot, bool)
+
+
 def _repeated(asks: list[bytes]) -> list[bytes]:
-    """One bit for each anchor: it stands in two rows."""
+    """One bit for each anchor: it stands in two rows; then, if any is hot, one for that."""
     parts = [chunks.unframe(a) for a in asks]
     values = [unpack(p[0]) for p in parts]
     flags = [np.unpackbits(np.frombuffer(p[1], np.uint8), count=len(v)) for p, v in zip(parts, values)]
     every, item = np.unique(np.concatenate(values), return_inverse=True)
-    rows = np.bincount(item, weights=1 + np.concatenate(flags), minlength=len(every))
+    least = [1 + f.astype(np.int64) for f in flags]
+    rows = np.bincount(item, weights=np.concatenate(least), minlength=len(every))
+    for n, p in zip(least, parts):
+        if len(many := unpack(p[2]).astype(np.int64)):
+            n[many] = unpack_any(p[3], len(many))
+    hot = np.bincount(item, weights=np.concatenate(least), minlength=len(every)) > HOT
     cuts = np.cumsum([len(v) for v in values])[:-1]
-    return [np.packbits(x).tobytes() for x in np.split((rows > 1)[item], cuts)]
+    return [np.packbits(x).tobytes() + (np.packbits(h).tobytes() if h.any() else b"")
+            for x, h in zip(np.split((rows > 1)[item], cuts), np.split(hot[item], cuts))]
 
 
 class _Stretches:
-    """The distinct stretches of a chunk under repeated anchors, by bucket."""
+    """The distinct stretches of a chunk under repeated anchors, by bucket.
+
+    ``split``: a stretch under a hot anchor is cut into its strings of ``length`` bytes, each dealt by
+    its own hash, so that a hot anchor with many surroundings fills no single bucket. Equal strings
+    have equal anchors, so either all of them are cut or none."""
 
-    def __init__(self, a: _Anchored, answers: dict, n: int, length: int):
+    def __init__(self, a: _Anchored, answers: dict, n: int, length: int, split: bool = False):
         self.a = a
         dealt, _ = _ask_anchors(a, n)
-        bits = dealt.gathered({b: np.unpackbits(np.frombuffer(answers[1, b], np.uint8), count=len(v)).astype(bool)
-                               for b, v in dealt.values.items()}, bool)
-        self.anchor = np.flatnonzero(bits[dealt.item]) if len(a.hash) else np.zeros(0, np.int64)
+        bits, hot = _bits(answers, dealt)
+        anchor = np.flatnonzero(bits[dealt.item]) if len(a.hash) else np.zeros(0, np.int64)
+        first, last, cut = a.first[anchor], a.last[anchor], np.zeros(len(anchor), bool)
+        if split and len(anchor) and (cut := hot[dealt.item[anchor]]).any():
+            pieces = np.where(cut, last - first + 1, 1)
+            anchor, cut = np.repeat(anchor, pieces), np.repeat(cut, pieces)
+            first = np.repeat(first, pieces) + np.arange(len(anchor)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            last = np.where(cut, first, a.last[anchor])
+        self.anchor, self.first = anchor, first
         text = a.data.tobytes()
         seen: dict[bytes, int] = {}
         self.entry = np.array([seen.setdefault(text[i:j], len(seen)) for i, j in zip(
-            a.first[self.anchor].tolist(), (a.last[self.anchor] + length).tolist())], np.int64)
+            first.tolist(), (last + length).tolist())], np.int64)
         self.texts = list(seen)
         self.starts = np.array([len(t) - length + 1 for t in self.texts], np.int64)
         self.least = np.full(len(seen), _LAST)
         np.minimum.at(self.least, self.entry, a.ids[a.row[self.anchor]])
         self.count = np.bincount(self.entry, minlength=len(seen))
         hashes = np.zeros(len(seen), np.uint64)
-        hashes[self.entry] = a.hash[self.anchor]
+        own = a.hash[self.anchor]
+        own[cut] = slice_hashes(a.data, first[cut], first[cut] + length)
+        # a whole stretch may equal a cut string only if the anchor is the same, so both are cut
+        hashes[self.entry] = own
         bucket = ((hashes & np.uint64(0xFFFFFF)) % np.uint64(n * FINER)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -241,8 +284,7 @@ def _staged_anchors(df: DataFrame, key: str, text: str, length: int, gram: int):
     docs, n = chunks.staged(df, key, text)
 
     def ask(table, _):
-        dealt, two = _ask_anchors(_Anchored(table, length, gram), n)
-        return {b: chunks.frame(pack(v), np.packbits(two[dealt.of[b]]).tobytes()) for b, v in dealt.values.items()}
+        return _asked(*_ask_anchors(_Anchored(table, length, gram), n))
     return docs, chunks.asked(docs, ask, _repeated, 1), n
 
 
@@ -260,13 +302,13 @@ def repeats_removed(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     kind = docs.schema["key"].dataType.simpleString()
 
     def stretches(table, answers):
-        return _Stretches(_Anchored(table, length, gram), answers, n, length).asks()
+        return _Stretches(_Anchored(table, length, gram), answers, n, length, split=True).asks()
 
     later = chunks.asked(docs, stretches, lambda asks: SuffixBucket(asks, length).later(), 2, before=anchors)
 
     def cut(table, answers):
         a = _Anchored(table, length, gram)
-        s = _Stretches(a, answers, n, length)
+        s = _Stretches(a, answers, n, length, split=True)
         # by entry and start: a smaller row elsewhere
         base = np.cumsum(s.starts) - s.starts
         bits = np.zeros(int(s.starts.sum()), bool)
@@ -279,7 +321,7 @@ def repeats_removed(df: DataFrame, key: str = "doc_id", text: str = "text", leng
         offset = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         gone = bits[np.repeat(base[s.entry], sizes) + offset]
         gone |= np.repeat(a.ids[a.row[s.anchor]] > s.least[s.entry], sizes)
-        starts = (np.repeat(a.first[s.anchor], sizes) + offset)[gone]
+        starts = (np.repeat(s.first, sizes) + offset)[gone]
         removed = np.zeros(len(a.data) + 1, np.int32)
         removed[starts + 1] = 1
         removed = np.cumsum(removed, dtype=np.int32)

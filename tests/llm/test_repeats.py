@@ -71,6 +71,20 @@ def test_suffix_dedup_edges_and_chunks(spark, monkeypatch, seed, chunk, segment)
     assert S.repeats_removed(df.limit(0)).collect() == []
 
 
+def test_a_hot_anchor_is_dealt_to_many_buckets(spark):
+    import pyarrow as pa
+    rnd = random.Random(5)
+    side = lambda: "".join(rnd.choice("abcdefgh") for _ in range(20))
+    rows = [(d, f"{side()}One line that very many of the documents hold.. {side()}") for d in range(4500)]
+    a = S._Anchored(pa.table({"key": [d for d, _ in rows], "text": [t.encode() for _, t in rows]}), 50, 24)
+    dealt, two = S._ask_anchors(a, 64)
+    answers = {(1, b): S._repeated([q])[0] for b, q in S._asked(dealt, two).items()}
+    most = {split: max(map(len, S._Stretches(a, answers, 64, 50, split).of.values())) for split in (False, True)}
+    assert most[True] < S.HOT < most[False]  # an anchor of fewer places stays whole
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert suffix_result(df) == bytes_removed(rows, 50)
+
+
 def test_maximal_repeat_groups_hold_all_occurrences(spark):
     rows = list(dict(r for r in made_up(4) if r[0] is not None).items())  # each id once
     df = spark.createDataFrame(rows, "doc_id long, text string")
