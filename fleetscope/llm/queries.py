@@ -274,3 +274,124 @@ def op7(spark, sf_dir):
     n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x.stop - x.start))
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# --- 11: license scans ---------------------------------------------------------
+
+def _licenses_sql() -> str:
+    from fleetscope.llm import licenses as C
+    words = lambda p: "[" + ", ".join(f"'{w}'" for w in p) + "]"
+    phrases = C._phrases(C.TEMPLATES)
+    starts = ", ".join(f"CASE WHEN list_has_all(words, {words(p)}) THEN list_filter(range(len(words) - {len(p) - 1}), "
+                       f"lambda s: words[s + 1:s + {len(p)}] = {words(p)}) ELSE [] END AS p{i}" for i, p in enumerate(phrases))
+    base = [phrases.index(tuple(C.words_of(k))) for t in C.BASE for k in t.keys]
+    labels, shares = [], []
+    for t in C.TEMPLATES:
+        text, keys = C.words_of(t.text), [tuple(C.words_of(k)) for k in t.keys]
+        stands = " AND ".join(f"len(p{phrases.index(k)}) > 0" for k in keys)
+        labels.append(f"CASE WHEN {stands} THEN '{t.label}' END")
+        for k in keys:
+            at = C._place(text, list(k))
+            shares.append(f"CASE WHEN {stands} THEN list_max(list_transform(p{phrases.index(k)}, lambda s: len(list_filter(range({len(text)}), "
+                          f"lambda i: s - {at} + i >= 0 AND words[s - {at} + i + 1] = {words(text)}[i + 1])) / {len(text)})) END")
+    joined = lambda x: f"array_to_string(list_sort(list_distinct([{', '.join(x)}])), ',')"
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+p AS (SELECT doc_id, words, {starts} FROM w),
+b AS (SELECT *, list_concat({', '.join(f'p{i}' for i in base)}) AS places FROM p)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word,
+       list_max(places)::BIGINT AS last_word, {joined(labels[:len(C.BASE)])} AS base_labels, {joined(labels)} AS labels,
+       coalesce(greatest({', '.join(shares)}), 0)::DOUBLE AS score
+FROM b
+"""
+
+
+@query("op11_license_scans", _licenses_sql())
+def op11(spark, sf_dir):
+    from fleetscope.llm import licenses as C
+    found = C.scan(documents(spark, sf_dir))
+    label = {" ".join(C.words_of(k)): t.label for t in C.BASE for k in t.keys}
+    base = F.filter("places", lambda x: x.phrase.isin(*label))
+    starts = found.withColumn("starts", F.transform(base, lambda x: x.start)).withColumn("phrases", F.transform(base, lambda x: x.phrase))
+    names = F.filter(F.array(*[F.when(F.array_contains("phrases", p), F.lit(v)) for p, v in label.items()]), lambda x: x.isNotNull())
+    return starts.select("doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
+                         F.array_min("starts").alias("first_word"), F.array_max("starts").alias("last_word"),
+                         F.array_join(F.sort_array(F.array_distinct(names)), ",").alias("base_labels"),
+                         F.array_join("labels", ",").alias("labels"), "score")
+
+
+# --- 12: periodic runs ---------------------------------------------------------
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents of the contract: in every tenth one (by checksum) the words
+    from some place on repeat with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+                       .alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    rows = rows.select("doc_id", "text", "words", "g", F.when(n > 0, n).alias("n"))
+    rows = rows.select("*", F.when(F.col("n").isNotNull(), F.col("g") % F.col("n")).cast("int").alias("a"))
+    rows = rows.select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p"))
+    tail = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(tail / F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), tail)), " ")
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    from fleetscope.llm import periodic as P
+    found = P.periodic_runs(with_planted_runs(documents(spark, sf_dir)))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return (found.select("doc_id", "runs", "collapsed", best.alias("best"))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+                    F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+                    F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+                    F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+# --- 13: conversation prefix trie ----------------------------------------------
+
+def _crc32_sql(text: str) -> str:
+    bit = "xor(c >> 1, 3988292384 * (c & 1))"
+    byte = f"list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: unicode(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {byte}), 4294967295)"
+
+
+CONVERSATIONS_SQL = f"""
+WITH t AS (SELECT conv_id AS c, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+                  ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, turns, c - c % 5 AS base, {_crc32_sql('c::VARCHAR')} % 9 AS h FROM t),
+r AS (SELECT h.c, list_concat(coalesce(b.turns, [])[1:h], h.turns[h + 1:]) AS path FROM h LEFT JOIN t b ON b.c = h.base),
+m AS (SELECT c, len(path) = d AS ends, d, path[1:d] AS path FROM (SELECT c, path, unnest(range(len(path) + 1)) AS d FROM r)),
+n AS (SELECT path, d, min(c) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ends FROM m GROUP BY path, d),
+k AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(n.path[d].text) END AS own
+      FROM n LEFT JOIN k ON n.path = k.path),
+u AS (SELECT path[1:e] AS path, sum(own) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(d + 1)) AS e FROM v) GROUP BY ALL)
+SELECT v.conv_id, v.d::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs, v.n_children::BIGINT AS n_children,
+       u.n_leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM v JOIN u ON v.path = u.path LEFT JOIN n p ON v.d > 0 AND p.path = v.path[1:v.d - 1]
+"""
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """The conversations of the contract: the first turns of every fifth one before their own later ones."""
+    c, h = F.col("conv_id"), (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    own = turns.select("conv_id", "tokens", (c - c % 5).alias("base"), h.alias("h"))
+    base = turns.select(F.col("conv_id").alias("base"), F.col("tokens").alias("first"))
+    first = F.coalesce("first", F.array().cast("array<string>"))
+    later = F.slice("tokens", F.col("h") + 1, F.greatest(F.size("tokens") - F.col("h"), F.lit(0)))
+    return own.join(base, "base", "left").select("conv_id", F.concat(F.slice(first, F.lit(1), F.col("h")), later).alias("tokens"))
+
+
+@query("op13_conversation_trie", CONVERSATIONS_SQL)
+def op13(spark, sf_dir):
+    from fleetscope.llm import conversations as C
+    turns = C.turn_tokens(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return C.prefix_trie(rebuilt(turns)).drop("node", "parent")
