@@ -5,39 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetscope.functions import exact
+
 AGG_KEYS = ("hour_window", "device_id", "metric_name")
 SAMPLE_COLUMNS = ("hour_window", "device_id", "metric_name", "avg_value",
                   "min_value", "max_value", "event_count")
 
 
-def hourly_aggregates(clean: DataFrame, width: str = "1 hour",
-                      keep: tuple[str, ...] = ()) -> DataFrame:
-    """A1-A3: tumbling, epoch-aligned windows x device x metric.
+def hourly_states(clean: DataFrame, width: str = "1 hour",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """Mergeable statistics: exact sums per window x device x metric (and exponent bin).
 
-    avg/min/max/sample stddev rounded to 2 decimals plus ``count(*)``.
-    Planned as partial hash aggregate -> exchange on the group key -> final
-    aggregate: map-side combining collapses a hot device to one partial row
-    per (task, hour, metric) before anything is shuffled. Null timestamps
-    fall out of ``window``. ``keep`` adds extra grouping columns (e.g. the
-    day partition of the sink).
+    Map-side combining collapses a hot device to one partial row per (task,
+    hour, metric, bin) before anything is shuffled. Null timestamps fall out of
+    ``window``. ``keep`` adds extra grouping columns.
     """
     if width in ("1 hour", "hour"):
         # Same epoch-aligned UTC buckets as window(), but a flat timestamp key
         # hashes cheaper than the window struct.
         src = clean.where(F.col("timestamp").isNotNull())
-        key = F.date_trunc("hour", F.col("timestamp")).alias("hour_window")
+        key = F.date_trunc("hour", F.col("timestamp"))
     else:
-        src = clean
-        key = F.window("timestamp", width).start.alias("hour_window")
-    return (src.groupBy(key, "device_id", "metric_name", *keep)
-            .agg(F.round(F.avg("value"), 2).alias("avg_value"),
-                 F.round(F.min("value"), 2).alias("min_value"),
-                 F.round(F.max("value"), 2).alias("max_value"),
-                 F.round(F.stddev_samp("value"), 2).alias("stddev_value"),
-                 F.count(F.lit(1)).alias("event_count"))
-            .select("hour_window", "device_id", "metric_name",
-                    "avg_value", "min_value", "max_value", "stddev_value",
-                    "event_count", *keep))
+        src = clean.where(F.col("timestamp").isNotNull())
+        key = F.window("timestamp", width).start
+    src = src.select(key.alias("hour_window"), "device_id", "metric_name", *keep, "value")
+    return exact.states(src, [*AGG_KEYS, *keep])
+
+
+def merged_states(parts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The states of several runs as those of one run over all their rows, in any order."""
+    return exact.merged(parts, [*AGG_KEYS, *keep])
+
+
+def hourly_from_states(states: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A2 over states: avg/min/max/sample stddev rounded to 2 decimals plus ``count(*)``."""
+    s = exact.statistics(states, [*AGG_KEYS, *keep])
+    return s.select("hour_window", "device_id", "metric_name",
+                    F.round("mean", 2).alias("avg_value"), F.round("low", 2).alias("min_value"),
+                    F.round("high", 2).alias("max_value"), F.round("deviation", 2).alias("stddev_value"),
+                    F.col("n_rows").alias("event_count"), *keep)
+
+
+def hourly_aggregates(clean: DataFrame, width: str = "1 hour",
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """A1-A3: tumbling, epoch-aligned windows x device x metric.
+
+    The sums are exact (see :mod:`fleetscope.functions.exact`), so mean, deviation and
+    their rounding do not depend on partitions or on the order of rows. Two
+    exchanges, both of aggregated rows: on the key and its bin, then on the key.
+    """
+    return hourly_from_states(hourly_states(clean, width, keep), keep)
 
 
 def hourly_sample(aggregates: DataFrame, n: int = 10) -> DataFrame:

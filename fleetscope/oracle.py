@@ -126,15 +126,29 @@ def with_base(*ctes: str) -> str:
     return f"WITH {MESSAGES_CTE}{extra}\n"
 
 
-HOURLY_CTE = f"""hourly AS (
-  SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") AS hour_window, device_id, metric_name,
-         {spark_round2('avg(value)')} AS avg_value,
-         {spark_round2('min(value)')} AS min_value,
-         {spark_round2('max(value)')} AS max_value,
-         {spark_round2('stddev_samp(value)')} AS stddev_value,
-         CAST(count(*) AS BIGINT) AS event_count
+#: The sum of the values without rounding errors, as integers in units of 2**-20 and 2**-60
+#: (a value with two decimals has no binary places beyond 2**-60), then rounded once.
+EXACT_SUM = ("(sum(floor(value * 1048576)::BIGINT)::DOUBLE / 1048576 + "
+             "sum(((value * 1048576 - floor(value * 1048576)) * 1099511627776)::BIGINT)::DOUBLE / 1152921504606846976)")
+
+HOURLY_CTE = f"""hourly_rows AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") AS hour_window, device_id, metric_name, value
   FROM clean WHERE "timestamp" IS NOT NULL
-  GROUP BY ALL
+),
+hourly_means AS (
+  SELECT hour_window, device_id, metric_name, {EXACT_SUM} / count(value) AS mean,
+         min(value) AS low, max(value) AS high, count(value) AS n, CAST(count(*) AS BIGINT) AS event_count
+  FROM hourly_rows GROUP BY ALL
+),
+hourly_spread AS (
+  SELECT hour_window, device_id, metric_name, fsum((value - mean) * (value - mean)) AS squares, fsum(value - mean) AS rest
+  FROM hourly_rows JOIN hourly_means USING (hour_window, device_id, metric_name) GROUP BY ALL
+),
+hourly AS (
+  SELECT hour_window, device_id, metric_name, {spark_round2('mean')} AS avg_value,
+         {spark_round2('low')} AS min_value, {spark_round2('high')} AS max_value,
+         {spark_round2('CASE WHEN n > 1 THEN sqrt((squares - rest * rest / n) / (n - 1)) END')} AS stddev_value, event_count
+  FROM hourly_means JOIN hourly_spread USING (hour_window, device_id, metric_name)
 )"""
 
 ORACLE: dict[str, str] = {}

@@ -29,11 +29,12 @@ def test_no_python_in_column_paths(spark, name):
     assert "EvalPython" not in p and "PythonUDF" not in p and "MapInPandas" not in p
 
 
-def test_rollup_is_one_shuffle_with_partial_aggregation(spark):
+def test_rollup_shuffles_aggregated_rows_only(spark):
+    """Two keyed exchanges: of the states by key and bin, and of a key's few bins."""
     p = plan(QUERIES["hourly_aggregates"](spark, SF001))
-    keyed = [e for e in re.findall(r"Exchange hashpartitioning\(([^,]+)", p)
-             if not e.startswith("xxhash64")]
-    assert len(keyed) == 1 and "partial_avg" in p and "partial_stddev_samp" in p
+    keyed = [e for e in re.findall(r"Exchange hashpartitioning\(([^)]+)", p) if not e.startswith("xxhash64")]
+    assert sorted("bin#" in e for e in keyed) == [False, True]
+    assert "partial_sum(s0" in p and "partial_collect_list" in p and "BatchEvalPython" not in p
 
 
 def test_pivot_is_one_shuffle(spark):
