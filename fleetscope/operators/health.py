@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 import json
 from collections.abc import Sequence
 
@@ -59,27 +60,53 @@ def ingest_health(lag: DataFrame, topic: str) -> DataFrame:
          .alias("status"))
 
 
-def offsets_from_progress(progress: dict) -> list[tuple[str, int, int]]:
-    """Latest offsets per (topic, partition) from a StreamingQueryProgress dict."""
-    return [(topic, int(p), int(o)) for src in progress.get("sources", [])
-            for topic, parts in (src.get("endOffset") or {}).items() if isinstance(parts, dict)
-            for p, o in parts.items()]
-
-
-def lag_from_progress(spark, progress: dict) -> DataFrame:
-    """H3 live values from one StreamingQueryProgress (``query.lastProgress``), per
-    (topic, partition). Its offsets name the next message; here, as in
-    :func:`consumer_lag`, an offset is that of the last message, and
-    ``committed_offset`` is null where nothing was processed."""
+def lag_rows(progress) -> list[tuple[str, int, int, int | None]]:
+    """(topic, partition, latest, committed offset) from one StreamingQueryProgress. Its
+    offsets name the next message; here, as in :func:`consumer_lag`, an offset is that of
+    the last message, and committed is None where nothing was processed."""
     rows = []
     for src in progress.get("sources", []) or []:
         end, head = src.get("endOffset") or {}, src.get("latestOffset") or {}
-        end = json.loads(end) if isinstance(end, str) else end
-        head = json.loads(head) if isinstance(head, str) else head
+        end, head = (_offsets(x) for x in (end, head))
         for topic, parts in head.items():
             for p, latest in parts.items():
                 done = end.get(topic, {}).get(p)
                 rows.append((topic, int(p), int(latest) - 1, int(done) - 1 if done else None))
-    df = spark.createDataFrame(rows, "topic string, partition int, latest_offset long, "
-                                     "committed_offset long")
+    return rows
+
+
+def _offsets(x) -> dict:
+    """Offsets by topic and partition, from a dict, its JSON or (as PySpark's progress
+    objects give them) its Python text; sources of another kind (files) have none."""
+    if isinstance(x, str):
+        try:
+            x = json.loads(x)
+        except ValueError:
+            x = ast.literal_eval(x)
+    return {t: p for t, p in x.items() if isinstance(p, dict)} if isinstance(x, dict) else {}
+
+
+def lag_from_progress(spark, progress) -> DataFrame:
+    """H3 live values from one StreamingQueryProgress (``query.lastProgress``), per
+    (topic, partition)."""
+    df = spark.createDataFrame(lag_rows(progress), "topic string, partition int, latest_offset long, "
+                                                   "committed_offset long")
     return df.withColumn("lag", _lag())
+
+
+def latest_lag(history: DataFrame) -> DataFrame:
+    """H3 over the ingest history (see fleetscope.streaming.history): the lag per (topic,
+    partition) as of each stream's newest batch."""
+    newest = history.groupBy("stream").agg(F.max_by("lag", F.struct("at", "batch_id")).alias("lag"))
+    return newest.select("stream", F.inline("lag")).withColumn("lag", _lag())
+
+
+def ingest_totals(history: DataFrame) -> DataFrame:
+    """V11 over the ingest history: valid, rejected and rejections by rule of each stream. A batch
+    that was replayed counts once, as it went last."""
+    last = (history.groupBy("stream", "batch_id").agg(F.max_by(F.struct("valid", "rejected", "rules"), "at").alias("b"))
+            .select("stream", "b.*"))
+    counts = last.groupBy("stream").agg(F.sum("valid").alias("valid"), F.sum("rejected").alias("rejected"))
+    rules = (last.select("stream", F.explode("rules").alias("rule", "n")).groupBy("stream", "rule").agg(F.sum("n").alias("n"))
+             .groupBy("stream").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("rule", "n")))).alias("rules")))
+    return counts.join(rules, "stream", "left")

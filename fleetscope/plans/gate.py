@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import quality as Q
 from fleetscope.operators import rollup as A
-from fleetscope.schema import GATE_FAIL, GATE_PASS
+from fleetscope.schema import GATE_FAIL, GATE_PASS, TABLES
 from fleetscope.sources import store
 
 
@@ -38,44 +38,54 @@ def run_quality_gate(spark: SparkSession, root: str, as_of: int | None = None,
     return GateOutcome(GATE_PASS, checks, run_aggregation(spark, root, as_of, mode))
 
 
-def touched_days(clean: DataFrame, since: int) -> DataFrame:
-    """The distinct days with events in snapshots newer than ``since``."""
-    new = clean.where((F.col("snapshot_id") > F.lit(since)) & F.col("timestamp").isNotNull())
-    return new.select(F.to_date("timestamp").alias("_day")).distinct()
-
-
 def run_aggregation(spark: SparkSession, root: str, as_of: int | None = None,
                     mode: str = "overwrite", incremental: bool = True) -> int:
-    """Roll up the clean table into day partitions.
+    """Merge what is new into the hourly table.
 
     A4: an empty table writes nothing (``isEmpty`` reads one row, not all).
-    With ``incremental`` (and overwrite), only the days touched by snapshots
-    committed since the last run are recomputed -- over every snapshot, so
-    late events join their day -- and only those day partitions are
-    rewritten. The hourly commit records the clean high-water mark it covers.
-    Returns the rows written.
+    With ``incremental`` (and overwrite), a run reads only the snapshots committed
+    since the last one. It rolls them up to states of exact sums, keeps those, and
+    adds them to the kept states of the same days, whose rows it rewrites. So
+    late events join their hour, older snapshots are not read again, and snapshots
+    merged in any grouping and order give the rows of one rollup over all,
+    bit for bit. Without, the states start anew from all snapshots, which
+    also compacts them. ``append`` adds the rows of the whole table again, as a plain
+    append would. States and rows become visible together, by one manifest row that
+    records the clean snapshot they cover. Returns the rows written.
     """
-    clean = store.read_snapshots(spark, root, "clean_events", as_of)
     high = store.latest_snapshot(spark, root, "clean_events")
     if as_of:
         high = min(int(as_of), high) if high is not None else None
-    if high is None or clean.isEmpty():
+    if high is None:
         return 0
-    done = store.latest_snapshot(spark, root, "hourly_aggregates")
+    last, done, base = store.hourly_runs(spark, root)
     if done is not None and high < done:
         raise ValueError(f"the hourly table covers snapshot {done}; it cannot go back to {high}")
-    if incremental and mode == "overwrite" and done is not None:
-        # at most the first and last touched day come back: the range reaches the
-        # Parquet scan, and the days themselves stay a semi-join
-        days = touched_days(clean, done).persist()
-        lo, hi = days.agg(F.min("_day"), F.max("_day")).first()
-        if lo is None:
-            return 0
-        clean = clean.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
-                            & (F.col("timestamp") < F.date_add(F.lit(hi), 1).cast("timestamp")))
-        clean = (clean.withColumn("_day", F.to_date("timestamp"))
-                 .join(days, "_day", "left_semi").drop("_day"))
-    agg = (A.hourly_aggregates(clean)
-           .withColumn("computed_at", F.current_timestamp())
-           .withColumn("event_day", F.to_date("hour_window")))
-    return store.write_daily(agg, root, "hourly_aggregates", mode=mode, snapshot_id=high)
+    clean = store.read_snapshots(spark, root, "clean_events", high)
+    merge = incremental and mode == "overwrite" and done is not None
+    if merge:
+        clean = new_events(clean, done)
+    if clean.isEmpty():
+        return 0
+    run, day = last + 1, F.to_date("hour_window").alias("event_day")
+    states = A.hourly_states(clean).select("*", day)
+    if mode == "append":
+        operation = store.APPEND
+    else:
+        operation = store.MERGE if merge else store.REBUILD
+        added = store.write_run(states, root, store.STATES, run)
+        days = spark.read.schema(states.schema).parquet(added).select("event_day").distinct()
+        states = store.read_states(spark, root, states.schema, base if merge else run, run)
+        if merge:
+            states = A.merged_states(states.join(days, "event_day", "left_semi"), ("event_day",))
+    rows = (A.hourly_from_states(states, ("event_day",)).withColumn("computed_at", F.current_timestamp())
+            .select(*[f.name for f in TABLES["hourly_aggregates"].fields], "event_day"))
+    path = store.write_run(rows, root, "hourly_aggregates", run)
+    written = spark.read.schema(rows.schema).parquet(path).count()  # from the footers
+    store.commit(spark, root, {"hourly_aggregates": written}, run, operation, unit=store.HOURLY, covers=high)
+    return written
+
+
+def new_events(clean: DataFrame, since: int) -> DataFrame:
+    """The events of the snapshots newer than ``since``: other directories are not scanned."""
+    return clean.where(F.col("snapshot_id") > F.lit(since))

@@ -19,6 +19,7 @@ from fleetscope.operators import quality as Q
 from fleetscope.plans.experiment import read_logs
 from fleetscope.schema import STALE_AFTER_MINUTES, TABLES
 from fleetscope.sources import store
+from fleetscope.streaming.history import ingest_history
 
 _ORDER = {"clean_events": ["timestamp", "event_id"], "dead_letter": ["event_id", "original_data"],
           "hourly_aggregates": ["hour_window", "device_id", "metric_name"]}
@@ -97,6 +98,16 @@ def ingest_health(spark: SparkSession, progress: dict, topic: str) -> DataFrame:
     return H.ingest_health(H.lag_from_progress(spark, progress).where(F.col("topic") == topic), topic)
 
 
+def past_ingest_health(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """H3 as of the newest batches that the store's ingest history holds."""
+    return H.ingest_health(H.latest_lag(ingest_history(spark, root)).where(F.col("topic") == topic), topic)
+
+
+def ingest_totals(spark: SparkSession, root: str) -> DataFrame:
+    """V11 over all batches of every stream."""
+    return H.ingest_totals(ingest_history(spark, root))
+
+
 def experiments(spark: SparkSession, exp_root: str) -> DataFrame:
     """E1."""
     return E.experiment_list(*read_logs(spark, exp_root))

@@ -62,11 +62,6 @@ def test_lag_without_commits_is_whole_backlog(spark):
     assert H.consumer_lag(latest, committed).first()["lag"] == 10
 
 
-def test_offsets_from_progress():
-    prog = {"sources": [{"endOffset": {"telemetry.raw": {"0": 10, "1": 12}}}]}
-    assert sorted(H.offsets_from_progress(prog)) == [("telemetry.raw", 0, 10), ("telemetry.raw", 1, 12)]
-
-
 def write_reference_layout(root, logs, evals):
     for log in logs:
         d = os.path.join(root, log["experiment_id"])
