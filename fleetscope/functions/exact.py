@@ -3,151 +3,165 @@
 A sum of doubles depends on the order of its terms in the last bits, and so on
 partitions and retries. Here every value is cut, without any error, into
 integer limbs on the grid of its exponent bin (32 binary exponents a bin), and
-so are its square and the square's own rounding error. Long sums of limbs are
-exact and associative: the states of any partitions, runs or snapshots, merged in any
-order, are equal. Only the last step turns the limbs back into doubles, bin by
-bin from the largest, with a compensated sum whose order is fixed.
+so is its square, given by two doubles, the rounded square and the rounding's error. Long
+sums of limbs are exact and associative: the states of any partitions, runs or snapshots,
+merged in any order, are equal. Only the last step turns the limbs back into pairs of
+doubles, and adds a key's bins from the largest down.
 
-All of it is column expressions in generated code; a state row is a key, a bin
-and a dozen numbers, and partial aggregation collapses a hot key in each task. A limb
-has 30 bits, so a state counts up to 2**33 rows of one key and bin.
+All of it is column expressions, written as SQL text (one parse instead of hundreds of
+calls); a state row is a key, a bin and a dozen numbers, and partial aggregation
+collapses a hot key in each task. A limb has 30 bits, so a state counts up to 2**33 rows of
+one key and bin.
 
 Domain: values below 2**-448 count as zero. Beyond 2**511 the squares overflow and
-the deviation is infinite, as a double's would be. NaN and infinities give what Spark's
-own ``avg`` and ``stddev_samp`` give.
+the deviation is infinite. NaN and infinities give what Spark's own ``avg`` and
+``stddev_samp`` give. The mean is the exact sum, rounded once, by the count; the deviation is
+good to some 2**-100 of the mean square.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 #: Binary exponents in a bin, and the bins of the domain; squares are kept up to ``SQUARED``.
 WIDTH, LOWEST, HIGHEST, SQUARED = 32, -14, 31, 15
-#: Binary places of the limbs, counted from a bin's lowest exponent (squares: from twice that).
-_PLACES = {"s": (2, -28, -58), "q": (34, 4, -26, -56), "e": (-18, -48, -78, -108)}
-LIMBS = [f"{part}{i}" for part, places in _PLACES.items() for i in range(len(places))]
+#: Binary places of the limbs: of the value from a bin's lowest exponent, of the square from twice
+#: that. 30 places apart.
+VALUE_PLACES, SQUARE_PLACES = (2, -28, -58), (34, 4, -26, -56, -86, -116)
+LIMBS = [f"s{i}" for i in range(len(VALUE_PLACES))] + [f"q{i}" for i in range(len(SQUARE_PLACES))]
 STATE = ["bin", "n_rows", "n_values", *LIMBS, "low", "high"]
+_SPLIT = "134217729D"  # 2**27 + 1: halves a double's digits
 
 
-def _limbs(part: str, scaled: Column) -> list[Column]:
-    """Integers that add up, at their places, to ``scaled`` exactly."""
-    out, rest = [], scaled
-    for place in _PLACES[part]:
-        limb = (rest * F.lit(2.0 ** -place)).cast("long")
-        out.append(limb)
-        rest = rest - limb.cast("double") * F.lit(2.0 ** place)
-    return out
+class _Layers:
+    """Nested selects as one SQL text over a frame: analysed once, not select by select."""
 
+    def __init__(self, df: DataFrame):
+        self.df, self.sql = df, "{source}"
 
-def states(df: DataFrame, keys: Sequence[Column | str], value: str = "value") -> DataFrame:
+    def selectExpr(self, *exprs: str) -> "_Layers":
+        return self._wrap(", ".join(exprs))
+
+    def grouped(self, keys: Sequence[str], *exprs: str) -> "_Layers":
+        return self._wrap(", ".join([*keys, *exprs]), f" GROUP BY {', '.join(keys)}" if keys else "")
+
+    def _wrap(self, what: str, tail: str = "") -> "_Layers":
+        source = self.sql if self.sql == "{source}" else f"({self.sql})"
+        self.sql = f"SELECT {what} FROM {source}{tail}"
+        return self
+
+    def frame(self) -> DataFrame:
+        return self.df.sparkSession.sql(self.sql, source=self.df)
+
+
+def _power(exponent: int) -> str:
+    return f"{2.0 ** exponent!r}D"
+
+
+def _limb(x: str, place: int, first: bool) -> str:
+    """The part of ``x`` that is rounded to ``place`` beyond what is rounded to the place before, as
+    a whole number; both are doubles without error."""
+    here = f"rint({x} * {_power(-place)})"
+    return here if first else f"({here} - rint({x} * {_power(-place - 30)}) * {_power(30)})"
+
+
+def states(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """One row for each key and exponent bin: the columns ``STATE``, to be merged by
     :func:`merged` and read by :func:`statistics`. ``n_rows`` counts nulls, too."""
-    names = [k if isinstance(k, str) else f"_k{i}" for i, k in enumerate(keys)]
-    v = F.col(value).cast("double")
-    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-    rows = df.select(*[F.col(k) if isinstance(k, str) else k for k in keys], v.alias("_v"),
-                     F.when(finite & (F.abs(v) >= F.lit(2.0 ** (WIDTH * LOWEST))), v).otherwise(F.lit(0.0)).alias("_x"))
-    columns = rows.columns[:len(names)]
-    bin_ = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.floor(F.log2(F.abs("_x")) / WIDTH)))
-    rows = rows.select(*columns, "_v", "_x", F.when(F.col("_x") == 0, 0).otherwise(bin_).cast("int").alias("bin"))
-    # the square in two doubles: its rounding, and the rounding's error by splitting the factor
-    x = F.when(F.col("bin") <= SQUARED, F.col("_x")).otherwise(F.lit(0.0))
-    wide = x * F.lit(134217729.0)
-    rows = rows.select(*columns, "_v", "bin", (F.col("_x") * F.pow(F.lit(2.0), -F.col("bin") * WIDTH)).alias("_s"),
-                       F.pow(F.lit(2.0), -F.col("bin") * (2 * WIDTH)).alias("_unit"), x.alias("_x"), (wide - (wide - x)).alias("_top"))
-    low = F.col("_x") - F.col("_top")
-    square = F.col("_x") * F.col("_x")
-    error = ((F.col("_top") * F.col("_top") - square) + F.lit(2.0) * F.col("_top") * low) + low * low
-    scaled = F.when(F.col("bin") <= SQUARED, F.col("_unit")).otherwise(F.lit(0.0))
-    rows = rows.select(*columns, "_v", "bin", "_s", (square * scaled).alias("_q"), (error * scaled).alias("_e"))
-    cut = [c.alias(f"{part}{i}") for part in _PLACES for i, c in enumerate(_limbs(part, F.col(f"_{part}")))]
-    return rows.select(*columns, "_v", "bin", *cut).groupBy(*columns, "bin").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("_v").alias("n_values"), *[F.sum(c).alias(c) for c in LIMBS],
-        F.min("_v").alias("low"), F.max("_v").alias("high"))
+    k = [f"`{c}`" for c in keys]
+    size = f"abs(_v) >= {_power(WIDTH * LOWEST)} AND abs(_v) < double('infinity')"   # NaN is above all
+    rows = _Layers(df).selectExpr(*k, f"CAST(`{value}` AS DOUBLE) AS _v").selectExpr(*k, "_v", f"CASE WHEN {size} THEN _v ELSE 0D END AS _x")
+    rows = rows.selectExpr(*k, "_v", "_x", "CASE WHEN _x = 0 THEN 0 ELSE CAST(greatest(%d, least(%d, floor(log2(abs(_x)) / %d))) AS INT) END AS bin"
+                           % (LOWEST, HIGHEST, WIDTH))
+    rows = rows.selectExpr(*k, "_v", "bin", f"_x * pow(2D, -{WIDTH} * bin) AS _s", f"CASE WHEN bin <= {SQUARED} THEN _x ELSE 0D END AS _y",
+                           f"CASE WHEN bin <= {SQUARED} THEN pow(2D, -{2 * WIDTH} * bin) ELSE 0D END AS _u")
+    rows = rows.selectExpr(*k, "_v", "bin", "_s", "_y", "_u", f"_y * {_SPLIT} - (_y * {_SPLIT} - _y) AS _t")
+    rows = rows.selectExpr(*k, "_v", "bin", "_s", "_y * _y * _u AS _q",
+                           "(((_t * _t - _y * _y) + 2D * _t * (_y - _t)) + (_y - _t) * (_y - _t)) * _u AS _e")
+    cut = [_limb("_s", p, i == 0) for i, p in enumerate(VALUE_PLACES)]
+    for i, p in enumerate(SQUARE_PLACES):
+        parts = ([_limb("_q", p, i == 0)] if p >= -56 else []) + ([_limb("_e", p, i == 1)] if i else [])
+        cut.append(" + ".join(parts))
+    rows = rows.selectExpr(*k, "_v", "bin", *[f"CAST({c} AS BIGINT) AS {name}" for name, c in zip(LIMBS, cut)])
+    return rows.grouped([*k, "bin"], "count(1) AS n_rows", "count(_v) AS n_values", *[f"sum({c}) AS {c}" for c in LIMBS],
+                        "min(_v) AS low", "max(_v) AS high").frame()
 
 
 def merged(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """States of several parts as those of the whole; the order does not matter."""
-    return parts.groupBy(*keys, "bin").agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_values", *LIMBS)],
-                                           F.min("low").alias("low"), F.max("high").alias("high"))
-
-
-def _total(parts: Sequence[str]) -> Column:
-    """The limbs of ``parts`` over all bins as a double and what is missing to it."""
-    def terms(b: Column) -> Column:
-        out = []
-        for part in parts:
-            step = WIDTH * (1 if part == "s" else 2)
-            for i, place in enumerate(_PLACES[part]):
-                unit = F.pow(F.lit(2.0), b.bin * step + place)
-                limb = b[f"{part}{i}"]
-                high = F.shiftright(limb, 32)   # a long as two doubles, both exact
-                out += [high.cast("double") * F.lit(2.0 ** 32) * unit, (limb - F.shiftleft(high, 32)).cast("double") * unit]
-        return F.array(*out)
-
-    def add(acc: Column, x: Column) -> Column:
-        total = acc.high + x
-        back = total - acc.high
-        return F.struct(total.alias("high"), (acc.low + ((acc.high - (total - back)) + (x - back))).alias("low"))
-    zero = F.struct(F.lit(0.0).alias("high"), F.lit(0.0).alias("low"))
-    return F.aggregate(F.flatten(F.transform("bins", terms)), zero, add)
-
-
-def _renormal(pair: str) -> list[Column]:
-    """A pair as the nearest double and the rest."""
-    high, low = F.col(f"{pair}.high"), F.col(f"{pair}.low")
-    total = high + low
-    return [total.alias(f"{pair}_h"), (low - (total - high)).alias(f"{pair}_l")]
-
-
-def _product(a: str, b: str, name: str) -> tuple[list[Column], Column]:
-    """a * b as a rounded product and its error, from the halves of both factors."""
-    halves = []
-    for f in (a, b):
-        wide = F.col(f) * F.lit(134217729.0)
-        halves.append((wide - (wide - F.col(f))).alias(f"_{name}_{f}"))
-    ta, tb = F.col(f"_{name}_{a}"), F.col(f"_{name}_{b}")
-    la, lb = F.col(a) - ta, F.col(b) - tb
-    rounded = F.col(a) * F.col(b)
-    return halves if a != b else halves[:1], ((ta * tb - rounded) + ta * lb + la * tb) + la * lb
+    return _Layers(parts).grouped([*[f"`{c}`" for c in keys], "bin"], *[f"sum({c}) AS {c}" for c in ("n_rows", "n_values", *LIMBS)],
+                                  "min(low) AS low", "max(high) AS high").frame()
+
+
+def _carried(name: str, n: int) -> list[str]:
+    """The limbs, last first, with what exceeds 30 bits carried to the one before; the first takes all."""
+    out, carry = [], "0L"
+    for i in range(n - 1, -1, -1):
+        whole = f"({name}{i} + {carry})"
+        out.append(whole if i == 0 else f"({whole} & 1073741823L)")
+        carry = f"shiftright({whole}, 30)"
+    return out[::-1]
+
+
+def _pairs(parts: DataFrame, kept: list[str]) -> _Layers:
+    """The sum and the sum of squares of each state row as pairs of doubles: ``sh + sl``, ``qh + ql``."""
+    s, q = _carried("s", 3), _carried("q", 6)
+    # the first limb, then two limbs a number: 60 bits, of which a double takes 53
+    whole = {"s0": s[0], "s1": f"{s[1]} * 1073741824L + {s[2]}", "q0": q[0], "q1": f"{q[1]} * 1073741824L + {q[2]}",
+             "q2": f"{q[3]} * 1073741824L + {q[4]}", "q3": q[5]}
+    g = _Layers(parts).selectExpr(*kept, "bin", *[f"{e} AS _{c}" for c, e in whole.items()])
+    unit = {"s0": 2, "s1": -58, "q0": 34, "q1": -26, "q2": -86, "q3": -116}
+    g = g.selectExpr(*kept, "bin", *[f"CAST(_{c} AS DOUBLE) * {_power(u)} AS {c}" for c, u in unit.items()],
+                     *[f"CAST(_{c} - CAST(CAST(_{c} AS DOUBLE) AS BIGINT) AS DOUBLE) * {_power(unit[c])} AS {c}r" for c in ("s0", "s1", "q0", "q1", "q2")])
+    g = g.selectExpr(*kept, "bin", "s0 + s1 AS s", f"{_missing('s0', 's1')} + (s0r + s1r) AS sr",
+                     "q0 + q1 AS q", f"{_missing('q0', 'q1')} AS e", "q2", "(q0r + q1r) + (q2r + q3) AS qr")
+    g = g.selectExpr(*kept, "bin", "s", "sr", "q + q2 AS q", f"(e + {_missing('q', 'q2')}) + qr AS qr")
+    value, square = f"pow(2D, {WIDTH} * bin)", f"CASE WHEN bin <= {SQUARED} THEN pow(2D, {2 * WIDTH} * bin) ELSE 0D END"
+    return g.selectExpr(*kept, "bin", f"(s + sr) * {value} AS sh", f"(sr - ((s + sr) - s)) * {value} AS sl",
+                        f"(q + qr) * {square} AS qh", f"(qr - ((q + qr) - q)) * {square} AS ql")
+
+
+def _missing(a: str, b: str) -> str:
+    """What the rounded a + b lacks."""
+    return f"(({a} - (({a} + {b}) - (({a} + {b}) - {a}))) + ({b} - (({a} + {b}) - {a})))"
+
+
+def _product_error(a: str, b: str, ta: str, tb: str) -> str:
+    """What the rounded a * b lacks, from the upper halves of both."""
+    return f"((({ta} * {tb} - {a} * {b}) + {ta} * ({b} - {tb}) + ({a} - {ta}) * {tb}) + ({a} - {ta}) * ({b} - {tb}))"
 
 
 def statistics(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys, ``n_rows``, ``n_values``, ``mean``, ``deviation`` (of the sample), ``low`` and ``high``.
 
-    ``parts``: states, one row for each key and bin. The mean is the exact sum, rounded
-    once, by the count; null without values. The deviation is null for
-    fewer than two values and exactly zero where all are equal."""
-    keys = list(keys)
-    bins = F.sort_array(F.collect_list(F.struct("bin", *LIMBS)), asc=False)  # a key has each bin once
-    g = parts.groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_values").alias("n_values"),
-                                 F.min("low").alias("low"), F.max("high").alias("high"), bins.alias("bins"),
-                                 F.max("bin").alias("top"))
-    kept = [*keys, "n_rows", "n_values", "low", "high", "top"]
-    g = g.select(*kept, F.col("n_values").cast("double").alias("n"), _total("s").alias("s"), _total(("q", "e")).alias("q"))
-    g = g.select(*kept, "n", *_renormal("s"), *_renormal("q"))
+    ``parts``: states, one row for each key and bin. The mean is null without values, the
+    deviation for fewer than two; it is exactly zero where all are equal."""
+    k = [f"`{c}`" for c in keys]
+    rows = _pairs(parts, [*k, "n_rows", "n_values", "low", "high"])
+    # a key has each bin once; most keys have one
+    add = lambda h, l: (f"named_struct('h', (acc.h + x.{h}), 'l', acc.l + x.{l} + "
+                        + _missing("acc.h", f"x.{h}") + ")")
+    over = lambda h, l: (f"CASE WHEN size(bins) = 1 THEN named_struct('h', bins[0].{h}, 'l', bins[0].{l}) ELSE "
+                         f"aggregate(bins, named_struct('h', 0D, 'l', 0D), (acc, x) -> {add(h, l)}) END")
+    g = rows.grouped(k, "sum(n_rows) AS n_rows", "sum(n_values) AS n_values", "min(low) AS low", "max(high) AS high",
+                     "sort_array(collect_list(struct(bin, sh, sl, qh, ql)), false) AS bins")
+    kept = [*k, "n_rows", "n_values", "low", "high"]
+    g = g.selectExpr(*kept, "CAST(n_values AS DOUBLE) AS n", "bins[0].bin AS top", f"{over('sh', 'sl')} AS s", f"{over('qh', 'ql')} AS q")
+    kept += ["n", "top"]
+    g = g.selectExpr(*kept, "s.h + s.l AS sh", "s.l - ((s.h + s.l) - s.h) AS sl", "q.h + q.l AS qh", "q.l - ((q.h + q.l) - q.h) AS ql")
     # n * (sum of squares) - (sum)**2, in pairs of doubles
-    square_halves, square_error = _product("s_h", "s_h", "ss")
-    times_halves, times_error = _product("n", "q_h", "nq")
-    g = g.select(*kept, "n", "s_h", "s_l", "q_h", "q_l", *square_halves, *times_halves)
-    g = g.select(*kept, "n", "s_h", (F.col("n") * F.col("q_h")).alias("a"), (times_error + F.col("n") * F.col("q_l")).alias("a_l"),
-                 (F.col("s_h") * F.col("s_h")).alias("b"), (square_error + F.lit(2.0) * F.col("s_h") * F.col("s_l")).alias("b_l"))
-    gap = F.col("a") - F.col("b")
-    back = gap - F.col("a")
-    g = g.select(*kept, "n", "s_h", "a_l", "b_l", gap.alias("gap"),
-                 ((F.col("a") - (gap - back)) + (-F.col("b") - back)).alias("gap_l"))
-    spread = F.greatest(F.lit(0.0), F.col("gap") + (F.col("gap_l") + (F.col("a_l") - F.col("b_l"))))
-    deviation = F.sqrt(spread / F.when(F.col("n") > 1, F.col("n") * (F.col("n") - 1)))
-    inf, nan = float("inf"), F.lit(float("nan"))
-    up, down = F.col("high") == F.lit(inf), F.col("low") == F.lit(-inf)
-    broken = F.isnan("high") | (up & down)
-    return g.select(
-        *keys, "n_rows", "n_values",
-        F.when(F.col("n_values") == 0, None).when(broken, nan).when(up, F.lit(inf)).when(down, F.lit(-inf))
-        .otherwise(F.col("s_h") / F.when(F.col("n") > 0, F.col("n"))).alias("mean"),
-        F.when(F.col("n_values") < 2, None).when(F.isnan("high") | up | down, nan).when(F.col("low") == F.col("high"), 0.0)
-        .when(F.col("top") > SQUARED, F.lit(inf)).otherwise(F.nanvl(deviation, F.lit(inf))).alias("deviation"),
-        "low", "high")
+    half = lambda x: f"{x} * {_SPLIT} - ({x} * {_SPLIT} - {x})"
+    g = g.selectExpr(*kept, "sh", "sl", "qh", "ql", f"{half('sh')} AS st", f"{half('qh')} AS qt", f"{half('n')} AS nt")
+    g = g.selectExpr(*kept, "sh", "n * qh AS a", "sh * sh AS b",
+                     f"({_product_error('n', 'qh', 'nt', 'qt')} + n * ql) - ({_product_error('sh', 'sh', 'st', 'st')} + 2D * sh * sl) AS r")
+    spread = f"greatest(0D, (a - b) + (((a - ((a - b) - ((a - b) - a))) + (-b - ((a - b) - a))) + r))"
+    inf = "double('infinity')"
+    return g.selectExpr(
+        *k, "n_rows", "n_values",
+        f"CASE WHEN n_values = 0 THEN NULL WHEN isnan(high) OR (high = {inf} AND low = -{inf}) THEN double('NaN') "
+        f"WHEN high = {inf} OR low = -{inf} THEN CASE WHEN high = {inf} THEN high ELSE low END ELSE sh / n END AS mean",
+        f"CASE WHEN n_values < 2 THEN NULL WHEN isnan(high) OR high = {inf} OR low = -{inf} THEN double('NaN') WHEN low = high THEN 0D "
+        f"WHEN top > {SQUARED} THEN {inf} ELSE nanvl(sqrt({spread} / (n * (n - 1))), {inf}) END AS deviation",
+        "low", "high").frame()

@@ -39,11 +39,9 @@ def merged_states(parts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def hourly_from_states(states: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """A2 over states: avg/min/max/sample stddev rounded to 2 decimals plus ``count(*)``."""
-    s = exact.statistics(states, [*AGG_KEYS, *keep])
-    return s.select("hour_window", "device_id", "metric_name",
-                    F.round("mean", 2).alias("avg_value"), F.round("low", 2).alias("min_value"),
-                    F.round("high", 2).alias("max_value"), F.round("deviation", 2).alias("stddev_value"),
-                    F.col("n_rows").alias("event_count"), *keep)
+    return exact.statistics(states, [*AGG_KEYS, *keep]).selectExpr(
+        *AGG_KEYS, "round(mean, 2) AS avg_value", "round(low, 2) AS min_value", "round(high, 2) AS max_value",
+        "round(deviation, 2) AS stddev_value", "n_rows AS event_count", *keep)
 
 
 def hourly_aggregates(clean: DataFrame, width: str = "1 hour",
