@@ -178,16 +178,17 @@ def latent(spark, df: DataFrame, theta: np.ndarray, keep: Sequence[str],
     return df.select(*keep, *metrics).mapInPandas(run, schema)
 
 
-#: Parts of the weight vector that are averaged in parallel.
-BLOCKS = 8
+#: Lanes into which every mini-batch is cut (fewer for smaller batches); each task trains one or more.
+LANES = 8
+#: Validation rows scored together.
+SCORED = 256
 
-SHARD_RESULT = StructType([
-    StructField("shard", LongType()),
-    StructField("block", LongType()),
-    StructField("rows", LongType()),
-    StructField("loss_sum", DoubleType()),
+EPOCH_RESULT = StructType([
+    StructField("lane", LongType()),
     StructField("val_rows", LongType()),
     StructField("val_sq_sum", DoubleType()),
+    StructField("rows", LongType()),
+    StructField("sq_sum", DoubleType()),
     StructField("theta", ArrayType(DoubleType())),
     StructField("m", ArrayType(DoubleType())),
     StructField("v", ArrayType(DoubleType())),
@@ -201,88 +202,177 @@ def broadcast_state(spark, theta: np.ndarray, opt: Adam):
     return spark.sparkContext.broadcast((np.asarray(theta, float), opt.m, opt.v, opt.t, opt.lr))
 
 
-def _minibatches(parts, size: int):
-    """Batches of ``size`` rows (the last may be smaller) from a stream of arrays."""
-    held = None
-    for x in parts:
-        held = x if held is None else np.concatenate((held, x))
-        whole = len(held) // size * size
-        for s in range(0, whole, size):
-            yield held[s:s + size]
-        held = held[whole:]
-    if held is not None and len(held):
-        yield held
-
+def quotas(batch_size: int) -> list[int]:
+    """Rows of each lane in a mini-batch."""
+    lanes = min(LANES, batch_size)
+    return [batch_size // lanes + (lane < batch_size % lanes) for lane in range(lanes)]
+
+
+def lane_order(seed: int, epoch: int, key: str = "_key"):
+    """The order of a lane's rows in an epoch."""
+    return F.xxhash64(F.lit(seed), F.lit(epoch), F.col(key))
+
+
+def lane_gradient(theta: np.ndarray, x: np.ndarray, rng, dropout: float) -> tuple[float, np.ndarray]:
+    """The sum of squared errors of a lane's part of a mini-batch, and its gradient."""
+    loss, g = loss_and_grad(theta, x, rng, dropout)
+    return loss * x.size, g * x.size
+
+
+class _Lanes:
+    """The rows of a task's lanes, streamed from Arrow batches in the order in which they are sorted.
+
+    Training rows are held until their step; validation rows are scored ``SCORED`` at a time as they pass."""
+
+    def __init__(self, batches, metrics, theta: np.ndarray):
+        self.batches, self.metrics, self.theta = batches, metrics, theta
+        self.held: dict[tuple[int, bool], np.ndarray] = {}
+        self.scores: dict[int, list] = {}
+
+    def _more(self) -> bool:
+        pdf = next(self.batches, None)
+        if pdf is None:
+            return False
+        x, lane, val = pdf[self.metrics].to_numpy(dtype=float), pdf["_lane"].to_numpy(), pdf["_val"].to_numpy(dtype=bool)
+        for k in {(int(a), bool(b)) for a, b in zip(lane, val)}:
+            rows = x[(lane == k[0]) & (val == k[1])]
+            self.held[k] = np.concatenate((self.held[k], rows)) if k in self.held else rows
+            if k[1]:
+                self._score(k[0], SCORED)
+        return True
+
+    def _score(self, lane: int, least: int) -> None:
+        while len(held := self.held.get((lane, True), ())) >= least:
+            x, self.held[lane, True] = held[:SCORED], held[SCORED:]
+            at = self.scores.setdefault(lane, [0, 0.0])
+            at[0] += len(x)
+            at[1] += float(np.sum((forward(self.theta, x) - x) ** 2))
+
+    def take(self, lane: int, n: int) -> np.ndarray:
+        """The next ``n`` training rows of a lane."""
+        while len(self.held.get((lane, False), ())) < n and self._more():
+            pass
+        held = self.held.get((lane, False), np.zeros((0, len(self.metrics))))
+        self.held[lane, False] = held[n:]
+        return held[:n]
+
+    def scored(self, lane: int) -> tuple[int, float]:
+        """Validation rows of a lane and the sum of their squared errors, at the end."""
+        while self._more():
+            pass
+        self._score(lane, 1)
+        return tuple(self.scores.get(lane, (0, 0.0)))
+
+
+class SharedSum:
+    """All-reduce of the tasks of a barrier stage through files in a shared folder.
+
+    Each task publishes its lanes' vectors for a step under a hidden name, renames the file, and
+    reads the files of all tasks. Contents depend on the data and the seed alone, so
+    a stage that is run again may meet files of its first attempt. A file is
+    removed two steps later, when every task must have read it. (Spark's own ``allGather``
+    sleeps for a second at each call.)
+    """
 
-def train_epoch(spark, shards: DataFrame, state, epoch: int,
+    WAIT_SECONDS = 600
+
+    def __init__(self, folder: str, tasks: int, me: int):
+        import pyarrow.fs as pafs
+        local = folder.startswith(("/", "file:"))
+        self.fs, self.folder = ((pafs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if local
+                                else pafs.FileSystem.from_uri(folder))
+        self.tasks, self.me = tasks, me
+        self.fs.create_dir(self.folder, recursive=True)
+
+    def _name(self, step: int, task: int, hidden: str = "") -> str:
+        return f"{self.folder}/{hidden}{step}-{task}"
+
+    def total(self, step: int, vectors: np.ndarray) -> np.ndarray:
+        """The sum over all lanes of all tasks, in the order of the lanes (column 0)."""
+        with self.fs.open_output_stream(self._name(step, self.me, ".")) as f:
+            f.write(np.ascontiguousarray(vectors).tobytes())
+        self.fs.move(self._name(step, self.me, "."), self._name(step, self.me))
+        parts = [self._read(step, task, vectors.shape[1]) for task in range(self.tasks)]
+        if step > 1:
+            self.fs.delete_file(self._name(step - 2, self.me))
+        rows = np.concatenate(parts)
+        out = np.zeros(vectors.shape[1] - 1)
+        for i in np.argsort(rows[:, 0]):
+            out += rows[i, 1:]
+        return out
+
+    def _read(self, step: int, task: int, width: int) -> np.ndarray:
+        import time
+        name, pause, until = self._name(step, task), 0.0002, time.time() + self.WAIT_SECONDS
+        while True:
+            try:
+                with self.fs.open_input_stream(name) as f:
+                    return np.frombuffer(f.read()).reshape(-1, width)
+            except FileNotFoundError:
+                if time.time() > until:
+                    raise TimeoutError(f"task {task} has not published step {step}") from None
+                time.sleep(pause)
+                pause = min(pause * 1.5, 0.05)
+
+
+def train_epoch(spark, lanes: DataFrame, sizes: dict[int, int], tasks: int, state, folder: str, epoch: int,
                 batch_size: int = 32, seed: int = 0, metrics: Sequence[str] = METRICS,
                 dropout: float = 0.2, train_steps: bool = True) -> DataFrame:
-    """M3 + M4: one epoch as one Spark job; one row for each shard and weight block.
-
-    ``shards`` holds training rows and validation rows (``_val`` true), dealt
-    by :func:`shard`. Every shard (partition) is sorted by a hash of the key and the
-    epoch, so the order of its mini-batches does not depend on how rows
-    arrived, and a retried task repeats its result. It scores its validation
-    rows with the incoming weights -- the previous epoch's averaged weights,
-    eval mode -- and runs mini-batches of ``batch_size`` with Adam over its
-    training rows, starting from the same broadcast weights and optimiser
-    state. Rows stream through in Arrow batches; a task holds one of them.
-    ``train_steps=False`` only scores. ``state`` comes from :func:`broadcast_state`.
+    """M3 + M4: one epoch of synchronous mini-batch Adam as one barrier job.
+
+    ``lanes`` holds training and validation rows, dealt by :func:`dealt`; ``sizes`` the
+    training rows of every lane. Mini-batch b is the b-th share of each lane, in an order that a hash
+    of the row's key and the epoch gives. All tasks run at once; for each mini-batch, each computes the
+    gradient of its lanes' rows, the gradients are added over all lanes in a fixed
+    order (:class:`SharedSum`), and every task makes the same step. So the losses and weights are those of one
+    process over the same batches, to the last bit for any number of tasks. Validation
+    rows are scored with the incoming weights. Rows stream through in Arrow batches.
+    ``train_steps=False`` only scores. One row for each lane; one of them has the weights.
     """
     metrics = list(metrics)
+    present = sorted(sizes)
+    share = quotas(batch_size)
+    steps = max((-(-n // share[lane]) for lane, n in sizes.items() if n), default=0) if train_steps else 0
+    size, dim = parameter_count(len(metrics)), len(metrics)
 
     def run(batches):
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
+        me = TaskContext.get().partitionId()
+        own = present[me::tasks]
         w0, m, v, t, lr = state.value
         local, w = Adam(len(w0), lr=lr, m=m, v=v, t=t), w0
-        rng = np.random.default_rng([seed, epoch, pid])
-        val = [0, 0.0]
-
-        def training():
-            for pdf in batches:
-                is_val = pdf["_val"].to_numpy(dtype=bool)
-                x = pdf[metrics].to_numpy(dtype=float)
-                xv = x[is_val]
-                val[0] += len(xv)
-                val[1] += float(np.sum((forward(w0, xv) - xv) ** 2)) if len(xv) else 0.0
-                if train_steps and not is_val.all():
-                    yield x[~is_val]
-
-        rows, total = 0, 0.0
-        for xb in _minibatches(training(), batch_size):
-            loss, g = loss_and_grad(w, xb, rng, dropout)
-            w = local.step(w, g)
-            rows += len(xb)
-            total += loss * len(xb)
-        split = lambda a: [x.tolist() for x in np.array_split(a, BLOCKS)]
-        yield pd.DataFrame({"shard": pid, "block": range(BLOCKS), "rows": rows, "loss_sum": total,
-                            "val_rows": val[0], "val_sq_sum": val[1], "theta": split(w),
-                            "m": split(local.m), "v": split(local.v), "t": local.t})
-    order = F.xxhash64(F.lit(seed), F.lit(epoch), F.col("_key"))
-    return (shards.select(*metrics, "_val", "_key").sortWithinPartitions(order, "_key")
-            .mapInPandas(run, SHARD_RESULT))
-
-
-def averaged(results: DataFrame) -> DataFrame:
-    """Shard results added up on the executors, block by block: one row for each block.
-
-    ``theta``, ``m`` and ``v`` are sums weighted by rows, the rest sums over all
-    shards. Terms are added in shard order, so the sums do not depend on how
-    tasks finished; what reaches the driver does not grow with the shards.
-    """
-    def total(pdf):
-        pdf = pdf.sort_values("shard")
-        n = pdf["rows"].to_numpy(dtype=float)
-        weighted = lambda c: (n @ np.stack(pdf[c].to_list())).tolist()
-        return pd.DataFrame({"shard": [len(pdf)], "block": [pdf["block"].iloc[0]],
-                             **{c: [pdf[c].sum()] for c in ("rows", "loss_sum", "val_rows", "val_sq_sum")},
-                             **{c: [weighted(c)] for c in ("theta", "m", "v")}, "t": [pdf["t"].max()]})
-    return results.groupBy("block").applyInPandas(total, SHARD_RESULT)
-
-
-def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
-    """Spread the training rows over ``shards`` partitions by a hash of ``_key``
-    (not by time), so every shard sees the whole period. The key is an integer:
-    the last bits of a mean, which depend on how it was summed, must not move a row."""
-    return df.repartition(shards, F.xxhash64(F.lit(seed), F.col("_key")))
+        rngs = {lane: np.random.default_rng([seed, epoch, lane]) for lane in own}
+        rows, shared = _Lanes(batches, metrics, w0), SharedSum(folder, tasks, me) if steps else None
+        seen, total = 0, 0.0
+        for step in range(steps):
+            out = np.zeros((len(own), 3 + size))
+            for i, lane in enumerate(own):
+                out[i, 0] = lane
+                due = min(share[lane], sizes[lane] - step * share[lane])
+                if due > 0:
+                    x = rows.take(lane, due)
+                    out[i, 1] = len(x)
+                    out[i, 2], out[i, 3:] = lane_gradient(w, x, rngs[lane], dropout)
+            n, sq, g = np.split(shared.total(step, out), [1, 2])
+            w = local.step(w, g / (n[0] * dim))
+            seen, total = seen + int(n[0]), total + float(sq[0])
+        result = [(lane, *rows.scored(lane)) for lane in own]
+        first = [me == 0] + [False] * (len(own) - 1)
+        yield pd.DataFrame({"lane": [r[0] for r in result], "val_rows": [r[1] for r in result], "val_sq_sum": [r[2] for r in result],
+                            "rows": [seen if f else 0 for f in first], "sq_sum": [total if f else 0.0 for f in first],
+                            **{name: [a.tolist() if f else None for f in first] for name, a in (("theta", w), ("m", local.m), ("v", local.v))},
+                            "t": local.t})
+    return (lanes.select(*metrics, "_val", "_key", "_lane").sortWithinPartitions(lane_order(seed, epoch), "_key")
+            .mapInPandas(run, EPOCH_RESULT, barrier=True))
+
+
+def laned(df: DataFrame, batch_size: int = 32) -> DataFrame:
+    """Deal rows to lanes by their integer ``_key``: consecutive keys, so all of time, to every lane."""
+    return df.withColumn("_lane", F.pmod(F.col("_key"), F.lit(len(quotas(batch_size)))).cast("int"))
+
+
+def dealt(rows: DataFrame, present: Sequence[int], tasks: int) -> DataFrame:
+    """Partitions of whole lanes, one for each task; ``present`` lists the lanes that have rows."""
+    place = {lane: i % tasks for i, lane in enumerate(sorted(present))}
+    where = F.coalesce(*[F.when(F.col("_lane") == lane, F.lit(p)) for lane, p in place.items()], F.lit(0))
+    return rows.repartitionById(tasks, where)
