@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.session import checkpoint_dir
+from fleetscope.session import checkpoint_dir, written
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
@@ -18,8 +18,10 @@ def sorted_rank(df: DataFrame, order: Sequence[str | Column],
                 rank_col: str = "_rank") -> DataFrame:
     """0-based global position in the order of the sort keys, at any size.
 
-    A range-partitioned sort spreads the rows over tasks. A random last key lets
-    it split a run of equal keys, whose positions are interchangeable. A row's place inside its range
+    A range-partitioned sort spreads the rows over tasks. Rows of equal keys are ordered by a hash of
+    all their columns, so a retried task or a second run gives every row the same position; a
+    random last key lets the sort split a run of entirely equal rows, whose
+    positions are interchangeable. A row's place inside its range
     partition comes from ``monotonically_increasing_id``. The sorted frame is
     checkpointed (reliable storage, ``spark.checkpoint.dir``), so positions and
     partition counts come from one materialisation even if executors are lost.
@@ -28,7 +30,8 @@ def sorted_rank(df: DataFrame, order: Sequence[str | Column],
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    s = (df.withColumn("_tie", F.rand(seed=17)).orderBy(*order, "_tie").drop("_tie")
+    s = (df.withColumn("_row", F.xxhash64(*[F.col(c) for c in df.columns])).withColumn("_tie", F.rand(seed=17))
+         .orderBy(*order, "_row", "_tie").drop("_row", "_tie")
          .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.checkpoint(eager=True)
     s = (s.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS).cast("long"))
@@ -58,12 +61,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     a bracket around each position; exact counts of what lies below and inside
     prove it, and a further sketch of the bracket narrows it, until few values
     are left. These come back with their counts and the positions are read
-    off. Every pass is one aggregate, and no buffer holds the input. One row,
+    off. Every pass is one aggregate, and no buffer holds the input. The values alone are written to
+    the shared folder first, so the passes do not run ``df`` again. One row,
     a column for each probability; nulls are skipped; no values give nulls.
     """
     spark = df.sparkSession
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    vals = written(df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull()), "quantiles")
     v = F.col("_v")
     n = vals.count()
     if n == 0:

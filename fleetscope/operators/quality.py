@@ -58,10 +58,15 @@ def id_profile(clean: DataFrame, columns=NULL_CHECK_COLUMNS) -> DataFrame:
         F.count("event_id").alias("unique_ids"))
 
 
-def distinct_ids(clean: DataFrame) -> Column:
-    """Exact ``count(DISTINCT event_id)`` as a scalar subquery (nulls skipped)."""
-    ids = clean.select("event_id").where(F.col("event_id").isNotNull()).distinct()
-    return ids.select(F.count(F.lit(1))).scalar()
+def id_counts(clean: DataFrame) -> DataFrame:
+    """(event_id, n): the rows of every id, null included; a hot id collapses map-side."""
+    return clean.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def duplicates_from_counts(counts: DataFrame) -> DataFrame:
+    """Q4 from (event_id, n) rows, each id once: rows and distinct ids (nulls are no id)."""
+    p = counts.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total"), F.count("event_id").alias("unique_ids"))
+    return _rows(p, [duplicate_check(p)]).drop("check_order")
 
 
 def row_count_check(p: DataFrame, min_threshold: int = MIN_ROW_COUNT) -> Column:
@@ -126,8 +131,8 @@ def check_value_ranges(clean: DataFrame) -> DataFrame:
 
 
 def check_duplicates(clean: DataFrame) -> DataFrame:
-    p = clean.agg(F.count(F.lit(1)).alias("total")).withColumn("unique_ids", distinct_ids(clean))
-    return _rows(p, [duplicate_check(p)]).drop("check_order")
+    """Q4 in one scan and one shuffle of ids, pre-aggregated."""
+    return duplicates_from_counts(id_counts(clean))
 
 
 def quality_report(clean: DataFrame, min_threshold: int = MIN_ROW_COUNT,
@@ -151,8 +156,3 @@ def gate(report: DataFrame) -> DataFrame:
         F.when(F.col("all_passed"), F.lit(GATE_PASS)).otherwise(F.lit(GATE_FAIL)).alias("action"),
         "failed_checks",
     )
-
-
-def quality_score(report: DataFrame) -> Column:
-    """Share of passed checks (used by the catalog)."""
-    return F.avg(F.col("passed").cast("double"))

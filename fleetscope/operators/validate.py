@@ -79,13 +79,16 @@ def rejection_summary(validated: DataFrame) -> DataFrame:
 
 def raw_anomaly_flags(messages: DataFrame) -> DataFrame:
     """V9: flag each raw message by the consumer-side heuristic (on the raw
-    timestamp text, before any parsing)."""
-    d = decode_fields(messages, keep=("offset",))
-    # a value sent as text is decoded as null, but it is not missing: the
-    # heuristic compares numbers only
-    sent = F.get_json_object("raw_value", "$.value")
-    is_text = F.col("value").isNull() & sent.isNotNull()
-    value = F.when(is_text, F.lit(0.0)).otherwise(F.col("value"))
+    timestamp text, before any parsing).
+
+    The text is parsed once, with the value kept as a variant: a value that was sent as
+    text (or as anything but a number) is not missing, and the heuristic compares
+    numbers only, so it passes; an absent or null value does not."""
+    d = decode_fields(messages, keep=("offset",), value="variant")
+    kind = F.schema_of_variant("value")
+    number = F.coalesce(kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"), F.lit(False))
+    value = (F.when(number, F.try_variant_get("value", "$", "double"))
+             .when(kind.isNotNull() & (kind != "VOID"), F.lit(0.0)))
     return d.select(
         "offset", "event_id",
         raw_anomaly(value, F.col("metric_name"), F.col("timestamp")).alias("is_anomaly"),

@@ -245,6 +245,7 @@ ORACLE["check_row_count"] = _Q + 'SELECT "check", passed, detail FROM checks WHE
 ORACLE["check_null_rates"] = _Q + 'SELECT "check", passed, detail FROM checks WHERE check_order = 2'
 ORACLE["check_value_ranges"] = _Q + 'SELECT "check", passed, detail FROM checks WHERE check_order = 3'
 ORACLE["check_duplicates"] = _Q + 'SELECT "check", passed, detail FROM checks WHERE check_order = 4'
+ORACLE["check_duplicates_indexed"] = ORACLE["check_duplicates"]
 ORACLE["quality_report"] = _Q + 'SELECT check_order, "check", passed, detail FROM checks'
 ORACLE["quality_gate"] = _Q + """
 SELECT bool_and(passed) AS all_passed,
@@ -346,6 +347,9 @@ SCORING_CTES += [
 _S = with_base(*SCORING_CTES)
 ORACLE["reconstruction_error"] = _S + "SELECT time_window, split, round(error, 6) AS error FROM err"
 ORACLE["error_thresholds"] = _S + "SELECT round(p95, 6) AS p95, round(p99, 6) AS p99 FROM thr"
+ORACLE["threshold_sketch"] = _S + """
+SELECT count(*)::BIGINT AS n, count(DISTINCT CAST(time_window AS DATE))::BIGINT AS sketches,
+       true AS p95_within, true AS p99_within FROM err WHERE split = 'train'"""
 ORACLE["error_stats"] = _S + """
 SELECT round(avg(error) FILTER (WHERE split = 'train'), 6) AS train_mean,
        round(stddev_pop(error) FILTER (WHERE split = 'train'), 6) AS train_std,

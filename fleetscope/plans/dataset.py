@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.operators import features as FT
 from fleetscope.schema import METRICS
+from fleetscope.session import written
 
 
 class Prepared:
@@ -23,10 +23,10 @@ class Prepared:
     before the split, a leak, and likewise the imputation means);
     ``fit_on="train"`` fits both on the training part only. A given ``scaler`` (F8) is applied as is. ``min_rows`` raises when
     fewer vectors exist (F6) -- an early ``limit(n).count()``, not a full count.
-    The pivot and the split are persisted once a fit needs them: both are
-    bounded by the number of windows (x keys), not by the event volume. All
-    default fits (imputation means, scaler min/max, the vector count) come
-    from one job. Call :meth:`release` when done with the frames.
+    What several fits read -- the pivot, the split -- is written once to the shared folder
+    (bounded by the number of windows x keys, not by the event volume), and nothing is
+    cached, so a dropped query leaves no memory behind. All default fits
+    (imputation means, scaler min/max, the vector count) come from one job.
     """
 
     def __init__(self, clean: DataFrame, snapshot_id: int | None = None,
@@ -44,10 +44,15 @@ class Prepared:
     def pivoted(self) -> DataFrame:
         return FT.pivot_metrics(self.events, self.grain, self.keys)
 
+    @cached_property
+    def _kept(self) -> DataFrame:
+        """The pivot, written for the fits and all that follows them."""
+        return written(self.pivoted, "pivot")
+
     @cached_property
     def ordered(self) -> DataFrame:
         """The pivot with positions and split (its row count does not change later)."""
-        return FT.chronological_split(self.pivoted, self.keys).persist(StorageLevel.MEMORY_AND_DISK)
+        return FT.chronological_split(self.pivoted, self.keys)
 
     @cached_property
     def stats(self) -> dict:
@@ -56,7 +61,7 @@ class Prepared:
         if self.fit_on == "train":
             fitted = FT.pivot_stats(self.ordered.where(F.col("split") == "train"))
             return fitted | {"n": self.ordered.count()}
-        return FT.pivot_stats(self.pivoted.persist(StorageLevel.MEMORY_AND_DISK))
+        return FT.pivot_stats(self._kept)
 
     @property
     def n(self) -> int:
@@ -69,7 +74,7 @@ class Prepared:
 
     @cached_property
     def features(self) -> DataFrame:
-        f = FT.impute(self.ordered if self.fit_on == "train" else self.pivoted, means=self.stats["means"])
+        f = FT.impute(self.ordered if self.fit_on == "train" else self._kept, means=self.stats["means"])
         if self.min_rows is not None:
             have = f.limit(self.min_rows).count()
             if have < self.min_rows:
@@ -92,17 +97,10 @@ class Prepared:
 
     @cached_property
     def split(self) -> DataFrame:
-        # Reused by every fit and score downstream; bounded like the features.
+        # The positions come from a checkpoint: what reads the split again starts there.
         if self.fit_on == "train":
-            return self.normalized.persist(StorageLevel.MEMORY_AND_DISK)
-        return FT.chronological_split(self.normalized, self.keys, n=self.n).persist(
-            StorageLevel.MEMORY_AND_DISK)
-
-    def release(self) -> None:
-        """Drop the persisted pivot and split (call when done with the frames)."""
-        for name in ("pivoted", "ordered", "split"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
+            return self.normalized
+        return FT.chronological_split(self.normalized, self.keys, n=self.n)
 
     def part(self, name: str) -> DataFrame:
         return self.split.where(F.col("split") == name)

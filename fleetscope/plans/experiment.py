@@ -51,7 +51,6 @@ def run_training(spark: SparkSession, store_root: str, exp_root: str, epochs: in
      .partitionBy("experiment_id").parquet(paths["models"]))
     if evaluate_after:
         runlogs.write_reports(evaluate(spark, p, res.theta, exp_id), paths["evaluations"])
-    p.release()
     return exp_id
 
 
@@ -94,5 +93,4 @@ def run_evaluation(spark: SparkSession, store_root: str, exp_root: str,
     p = prepare(clean, scaler=stored_scaler(logs, experiment_id), min_rows=5)
     report = evaluate(spark, p, load_weights(spark, exp_root, experiment_id), experiment_id)
     runlogs.write_reports(report, _paths(exp_root)["evaluations"])
-    p.release()
     return report

@@ -95,6 +95,7 @@ def hourly_sample(spark, sf_dir):
 # --- quality ----------------------------------------------------------------
 
 from fleetscope.operators import quality as Q  # noqa: E402
+from fleetscope.sources.idindex import IdIndex  # noqa: E402
 
 
 @query("check_row_count")
@@ -117,6 +118,19 @@ def check_duplicates(spark, sf_dir):
     return Q.check_duplicates(frames.clean(spark, sf_dir))
 
 
+@query("check_duplicates_indexed")
+def check_duplicates_indexed(spark, sf_dir):
+    """Q4 over an id index that takes the snapshots one by one; only their own ids are shuffled."""
+    root = session.shared_folder(spark, "id-index")
+    clean = frames.clean(spark, sf_dir)
+    index = IdIndex(spark, root, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for (snapshot,) in sorted(clean.select("snapshot_id").distinct().collect()):
+        index.add(clean.where(F.col("snapshot_id") == snapshot), snapshot)
+    found = session.written(index.check_duplicates(), "duplicates")
+    index.drop()
+    return found
+
+
 @query("quality_report")
 def quality_report(spark, sf_dir):
     return Q.quality_report(frames.clean(spark, sf_dir))
@@ -135,9 +149,10 @@ from fleetscope.functions.numeric import r6  # noqa: E402
 from fleetscope.operators import autoencoder as AE  # noqa: E402
 from fleetscope.operators import features as FT  # noqa: E402
 from fleetscope.operators import scoring as M  # noqa: E402
+from fleetscope.operators import sketches as K  # noqa: E402
 from fleetscope.plans import evaluation as EV  # noqa: E402
 from fleetscope.plans.dataset import prepare  # noqa: E402
-from fleetscope.schema import METRICS  # noqa: E402
+from fleetscope.schema import METRICS, THRESHOLD_QUANTILES  # noqa: E402
 
 
 def _prepared(spark, sf_dir, **kw):
@@ -151,9 +166,12 @@ def _publish(df, metrics=METRICS):
 
 @query("snapshot_scan")
 def snapshot_scan(spark, sf_dir):
-    """S4 + F1: the four feature inputs as of snapshot 2. The batch number derives
-    from the event time here; the versioned store prunes by directory."""
-    ev = FT.load_events(frames.clean(spark, sf_dir), snapshot_id=2)
+    """S4 + F1: the four feature inputs as of snapshot 2, from a table of one directory for each
+    snapshot (written to the shared folder): later snapshots are not scanned."""
+    path = session.shared_folder(spark, "snapshots")
+    clean = frames.clean(spark, sf_dir)
+    clean.write.partitionBy("snapshot_id").parquet(path)
+    ev = FT.load_events(spark.read.schema(clean.schema).parquet(path), snapshot_id=2)
     return ev.withColumn("timestamp", ntz("timestamp"))
 
 
@@ -228,6 +246,22 @@ def error_thresholds(spark, sf_dir):
     return limits.select(r6(F.col("p95")).alias("p95"), r6(F.col("p99")).alias("p99"))
 
 
+@query("threshold_sketch")
+def threshold_sketch(spark, sf_dir):
+    """M7 from kept sketches: one for each day of the training errors, merged over all days. A sketch is
+    random within its rank error, so what is published is whether the exact ranks bear it out."""
+    _, _, errors, _ = _scored(spark, sf_dir)
+    train = errors.where(F.col("split") == "train")
+    kept = session.written(K.kept_sketches(train, [F.to_date("time_window").alias("day")]), "sketches")
+    names = [f"p{round(p * 100)}" for p in THRESHOLD_QUANTILES]
+    q = K.merged_quantiles(kept, THRESHOLD_QUANTILES, names).first()
+    spans = K.rank_spans(train, "error", {name: q[name] for name in names})
+    within = lambda name, p: ((F.col(f"{name}_below") <= p + K.RANK_ERROR)
+                              & (F.col(f"{name}_upto") >= p - K.RANK_ERROR)).alias(f"{name}_within")
+    return spans.select("n", F.lit(kept.count()).cast("long").alias("sketches"),
+                        *[within(name, p) for name, p in zip(names, THRESHOLD_QUANTILES)])
+
+
 @query("error_stats")
 def error_stats(spark, sf_dir):
     _, _, errors, _ = _scored(spark, sf_dir)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs depend on for correct results (UTC calendar arithmetic)
 # and for sane plans (AQE re-plans shuffles from runtime statistics).
@@ -99,5 +100,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name below the checkpoint folder that all machines share."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as Parquet in the shared checkpoint folder, read back: it cuts the lineage, survives lost
+    executors and keeps nothing cached. The files stay until the folder's owner
+    clears it, like those of ``checkpoint()``."""
+    spark = df.sparkSession
+    path = shared_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -22,18 +22,20 @@ def raw_text(col: str = "value") -> Column:
     return F.col(col).cast("string")
 
 
-def decode_fields(messages: DataFrame, keep=PASSTHROUGH) -> DataFrame:
+def decode_fields(messages: DataFrame, keep=PASSTHROUGH, value: str = "double") -> DataFrame:
     """P1 only: the seven JSON fields (timestamp still text) plus the raw text.
 
     The struct is unpacked by a generator (``inline``) rather than by field
     access: a filter on the fields (validation, routing) cannot be pushed
     below a generator, so the text is parsed once per row instead of once
     per referenced field. A null struct (bad text) yields one all-null row.
+    ``value``: the type of the value field; ``variant`` keeps it as it was sent.
     """
     kept = [c for c in keep if c in messages.columns]
+    wire = ", ".join(f"{f.name} {value if f.name == 'value' else f.dataType.simpleString()}" for f in WIRE_SCHEMA.fields)
     return messages.select(
         *kept,
-        F.inline(F.array(F.from_json(raw_text(), WIRE_SCHEMA))),
+        F.inline(F.array(F.from_json(raw_text(), wire))),
         raw_text().alias("raw_value"),
     )
 
