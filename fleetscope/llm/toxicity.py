@@ -1,16 +1,19 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
 The examples are a bounded sample of the labelled rows (``EXAMPLES`` distinct
-texts of each class, those with the smallest hash of the text). Terms are all words
-of the examples and the beginnings of words (``STEMS`` characters); no term is left out,
-so their number is bounded by the examples' texts alone. Their document
-frequencies, like the class sizes, are counted over all rows. The example
-vectors form a block-max inverted index: examples that share their most telling common
-term lie in the same blocks. Rare terms have posting lists; a common term (in more than
-one of ``COMMON`` examples) has its weights by block, and the largest of each block.
-A document adds up its rare terms exactly, bounds its cosine to every block by the best
-of these sums and the maxima of its common terms, opens blocks in the order of their
-bounds, and stops when no bound reaches its k-th best cosine: the k nearest examples are exact.
+texts of each class, those with the smallest hash of the text; a text labelled both ways is an
+example of both). Terms are all words of the examples, the beginnings of words
+(``STEMS`` characters) and, of scripts that put no spaces between words, the pairs of
+neighbouring letters beyond ASCII; no term is left out, so their number is bounded by the
+examples' texts alone. Their document frequencies, like the class sizes, are counted over
+all rows. The example vectors form a block-max inverted index: examples that share their
+most telling common term lie in the same blocks. Rare terms have posting lists; a common
+term (in more than one of ``COMMON`` examples) has its weights by block, and the largest of
+each block. Documents are searched a batch at a time: each adds up its rare terms exactly and
+bounds its cosine to every block by the best of these sums and the maxima of its common
+terms; the blocks of the highest bounds are opened, one matrix product for all documents
+that open a block, and then those whose bound reaches the k-th best cosine found: the k
+nearest examples are exact.
 
 Votes are weighted by 1 / (1 - cosine) and by how many labelled rows an example
 of its class stands for, with ``PRIOR`` votes for the share of the class in all
@@ -22,7 +25,9 @@ share of votes into a calibrated score. The index has a proven size bound
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +38,21 @@ from fleetscope.llm.decontaminate import words
 
 #: Distinct labelled texts of each class that serve as examples.
 EXAMPLES = 1500
-#: Longer words are no terms (bytes).
+#: Longer words count by their beginnings and letter pairs alone (bytes).
 TERM_BYTES = 64
 STEMS = range(3, 9)
-#: Words whose terms a worker remembers; emptied when it is full.
-MEMO_WORDS = 100_000
+#: Words whose terms a worker remembers: those it meets first, so mostly the frequent ones.
+MEMO_WORDS = 150_000
 NEIGHBOURS = 15
 BLOCK = 64
 #: A term in more than one of so many examples is common.
-COMMON = 8
+COMMON = 16
+#: Blocks that a document opens before it knows its k-th best cosine.
+FIRST = 8
+#: Texts scored together, and the bytes of text after which a batch is closed.
+BATCH_TEXTS, BATCH_BYTES = 256, 2 << 20
+#: Cosines are rounded to so many places: a matrix product's last bits depend on the batch.
+PLACES = 12
 PRIOR = 0.05
 #: Rows in a result batch.
 BATCH_ROWS = 1024
@@ -50,12 +61,93 @@ SHARP = 0.05
 REJECT = 0.7
 
 
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]{2,}")
+
+
 def features(word: bytes) -> list[bytes]:
-    """The word and its beginnings, marked by a hyphen, which no word has."""
-    if len(word) > TERM_BYTES:
-        return []
+    """The word (up to ``TERM_BYTES``), its beginnings, marked by a hyphen, and its pairs of letters
+    beyond ASCII, marked by a tilde; no word has these marks."""
     letters = word.decode("utf-8", "replace")
-    return [word, *(letters[:n].encode() + b"-" for n in STEMS if n < len(letters))]
+    out = [word] if len(word) <= TERM_BYTES else []
+    out += (letters[:n].encode() + b"-" for n in STEMS if n < len(letters))
+    if len(letters) < len(word):
+        out += dict.fromkeys(run[i:i + 2].encode() + b"~" for run in _BEYOND_ASCII.findall(letters) for i in range(len(run) - 1))
+    return out
+
+
+def _batches(texts: list[bytes]):
+    """Ranges of texts to be scored together; a text beyond ``BATCH_BYTES`` closes its batch."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if i + 1 - first == BATCH_TEXTS or size >= BATCH_BYTES:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
+class Vocabulary:
+    """Numbers of the terms, and the terms of words met before."""
+
+    def __init__(self, terms: list[bytes]):
+        self.joined = b"\n".join(terms)  # no word has a line end; the numbers are made where they are used
+        self.size = len(terms)
+        self.number: dict[bytes, int] | None = None
+
+    def __getstate__(self):
+        return {"joined": self.joined, "size": self.size, "number": None}  # the dict is made by each worker
+
+    @property
+    def terms(self) -> list[bytes]:
+        return self.joined.split(b"\n") if self.size else []
+
+    def _open(self) -> None:
+        self.number = {t: i for i, t in enumerate(self.terms)}
+        self.words: dict[bytes, tuple[int, ...]] = {}
+
+    def _terms_of(self, word: bytes) -> tuple[int, ...]:
+        """The numbers of the word's known terms. A known word or beginning has all its shorter
+        beginnings known, so the first that is not ends the search."""
+        number = self.number
+        if not word.isascii():
+            return tuple([number[f] for f in features(word) if f in number])
+        own = []
+        for n in STEMS:
+            if n >= len(word):
+                break
+            t = number.get(word[:n] + b"-")
+            if t is None:
+                return tuple(own)
+            own.append(t)
+        t = number.get(word) if len(word) <= TERM_BYTES else None
+        return tuple(own) if t is None else (*own, t)
+
+    def counts(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the numbers of its terms, ascending, and how often it has each."""
+        if self.number is None:
+            self._open()
+        return [self._counted(Counter(words(t))) for t in texts]
+
+    def _counted(self, by_word: Counter) -> tuple[np.ndarray, np.ndarray]:
+        known = self.words
+        own = []
+        for w in by_word:
+            terms = known.get(w)
+            if terms is None:
+                terms = self._terms_of(w)
+                if len(w) <= TERM_BYTES and len(known) < MEMO_WORDS:
+                    known[w] = terms
+            own.append(terms)
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
+        # term and count in one number: one sort brings equal terms together
+        pairs = np.sort(flat << 32 | np.repeat(np.fromiter(by_word.values(), np.int64, len(own)), size))
+        if not len(pairs):
+            return pairs, pairs
+        term = pairs >> 32
+        heads = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))
+        return term[heads], np.add.reduceat(pairs & 0xFFFFFFFF, heads)
 
 
 def _arrays(vector) -> tuple[np.ndarray, np.ndarray]:
@@ -84,45 +176,76 @@ class BlockMaxIndex:
         self.common = np.full(n_terms, -1, np.int32)
         many = np.flatnonzero(held * COMMON > len(vectors))
         self.common[many] = np.arange(len(many))
+        self.n_common = len(many)
         number = self.common[term]
         rare = np.flatnonzero(number < 0)
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.cuts = np.searchsorted(term[rare], np.arange(n_terms + 1))
         self.places, self.weights = place[rare], weight[rare]
+        some = np.flatnonzero(number >= 0)
+        #: The weights of the common terms, as they are sent: (number, place, weight).
+        self.entries = number[some], place[some], weight[some]
+        self.blocks: list[np.ndarray] | None = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "blocks": None, "most": None}
+
+    def _open(self) -> None:
+        number, place, weight = self.entries
         self.blocks = []
         for head in self.heads.tolist():
             i, j = np.searchsorted(place, (head, head + BLOCK))
-            some = i + np.flatnonzero(number[i:j] >= 0)
-            block = np.zeros((len(many), min(BLOCK, n - head)))
-            block[number[some], place[some] - head] = weight[some]
+            block = np.zeros((self.n_common, min(BLOCK, len(self.order) - head)))
+            block[number[i:j], place[i:j] - head] = weight[i:j]
             self.blocks.append(block)
-        self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if len(many) else np.zeros((0, len(self.blocks)))
+        self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if self.n_common else np.zeros((0, len(self.blocks)))
 
     def nearest(self, query, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """Up to k (cosine, example) with cosine above 0, best first, ties by example."""
-        term, weight = _arrays(query)
-        best: list[tuple[float, int]] = []
-        if not len(term) or not len(self.order):
-            return best
-        number = self.common[term]
-        rare = number < 0
-        number, w = number[~rare], weight[~rare]
-        first = self.cuts[term[rare]]
-        size = self.cuts[term[rare] + 1] - first
-        at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        summed = np.bincount(self.places[at], np.repeat(weight[rare], size) * self.weights[at], len(self.order))
-        bounds = np.maximum.reduceat(summed, self.heads) + w @ self.most[number]
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] * (1 + 1e-9) < best[-1][0]:
+        """:meth:`nearest_of` one vector."""
+        return self.nearest_of([query], k, [without])[0]
+
+    def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each vector up to k (cosine, example) with cosine above 0, best first, ties by example;
+        ``without``: an example that each vector leaves out."""
+        n, m = len(self.order), len(queries)
+        if not n or not m:
+            return [[] for _ in queries]
+        if self.blocks is None:
+            self._open()
+        cosine, common = np.zeros((m, n)), np.zeros((m, self.n_common))
+        for q, vector in enumerate(queries):
+            term, weight = _arrays(vector)
+            number = self.common[term]
+            rare = number < 0
+            common[q, number[~rare]] = weight[~rare]
+            first, last = self.cuts[term[rare]], self.cuts[term[rare] + 1]
+            size = last - first
+            at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            cosine[q] = np.bincount(self.places[at], np.repeat(weight[rare], size) * self.weights[at], n)
+        bounds = np.maximum.reduceat(cosine, self.heads, axis=1) + common @ self.most
+        opened = np.zeros(bounds.shape, bool)
+        first = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
+        due = np.zeros(bounds.shape, bool)
+        np.put_along_axis(due, first, True, axis=1)
+        for _ in range(2):
+            for b, head in enumerate(self.heads.tolist()):
+                rows = np.flatnonzero(due[:, b])
+                if len(rows):
+                    cosine[rows, head:head + BLOCK] += common[rows] @ self.blocks[b]
+            opened |= due
+            found = np.where(np.repeat(opened, np.diff(np.append(self.heads, n)), axis=1), cosine, -1.0)
+            keep = min(k + (without is not None), n)  # one more where one is left out
+            kth = -np.partition(-found, keep - 1, axis=1)[:, keep - 1]
+            due = ~opened & (bounds * (1 + 1e-9) + 1e-9 >= kth[:, None]) & (bounds > 0)
+            if not due.any():
                 break
-            head = b * BLOCK
-            cosine = summed[head:head + BLOCK] + w @ self.blocks[b][number]
-            some = np.flatnonzero(cosine > (best[-1][0] - 1e-12 if len(best) == k else 0))
-            if len(some):
-                best += [(min(1.0, c), i) for c, i in zip(cosine[some].tolist(), self.order[head + some].tolist())
-                         if i != without]
-                best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        out = []
+        for q in range(m):
+            some = np.flatnonzero(found[q] >= max(kth[q] - 1e-9, 1e-300))
+            best = [(min(1.0, c), i) for c, i in zip(np.round(found[q, some], PLACES).tolist(), self.order[some].tolist())
+                    if c > 0 and (without is None or i != without[q])]
+            out.append(sorted(best, key=lambda x: (-x[0], x[1]))[:k])
+        return out
 
 
 class Model:
@@ -130,7 +253,7 @@ class Model:
 
     def __init__(self, terms: list[bytes], idf: list[float], examples: list, rows_of: dict[int, int]):
         """``examples``: (id, label, term numbers, counts)."""
-        self.terms = {t: i for i, t in enumerate(terms)}
+        self.vocabulary = Vocabulary(terms)
         self.idf = np.array(idf, float)
         self.ids = [e[0] for e in examples]
         self.labels = [e[1] for e in examples]
@@ -139,34 +262,21 @@ class Model:
         self.share = [rows_of.get(y, 0) / max(1, held[y]) for y in (0, 1)]
         self.prior = rows_of.get(1, 0) / n if n else 0.5
         self.mean_share = sum(self.share) / 2 or 1.0
-        self.memo: dict[bytes, tuple[int, ...]] = {}
         vectors = [self.weighted(*e[2:]) for e in examples]
         self.index = BlockMaxIndex(vectors, len(terms))
         self.steps = ([0.0, 1.0], [0.0, 1.0])
         if held[0] and held[1]:
-            raw = [self._raw(self.index.nearest(v, NEIGHBOURS, i)) for i, v in enumerate(vectors)]
+            raw = []
+            for i in range(0, len(vectors), BATCH_TEXTS):
+                some = range(i, min(i + BATCH_TEXTS, len(vectors)))
+                raw += map(self._raw, self.index.nearest_of(vectors[i:i + BATCH_TEXTS], NEIGHBOURS, list(some)))
             self.steps = isotonic(raw, self.labels, [self.share[y] for y in self.labels])
+            self.index.blocks = None
 
     def weighted(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(counts)) * self.idf[terms]
         return terms, w / math.sqrt(w @ w) if len(w) else w
 
-    def terms_of(self, word: bytes) -> tuple[int, ...]:
-        known = self.memo.get(word)
-        if known is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            known = self.memo[word] = tuple(self.terms[f] for f in features(word) if f in self.terms)
-        return known
-
-    def counts(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the text's terms, and how often it has each."""
-        found: list[int] = []
-        for w in words(text):
-            ts = self.memo.get(w)
-            found += self.terms_of(w) if ts is None else ts
-        return np.unique(np.array(found, np.int64), return_counts=True)
-
     def _raw(self, found: list[tuple[float, int]]) -> float:
         votes = [0.0, 0.0]
         for cosine, i in found:
@@ -175,9 +285,15 @@ class Model:
         extra = PRIOR * self.mean_share
         return (votes[1] + extra * self.prior) / (sum(votes) + extra)
 
-    def score(self, text: bytes | None) -> tuple[float, list[tuple[float, int]]]:
-        found = self.index.nearest(self.weighted(*self.counts(text)), NEIGHBOURS)
-        return float(np.interp(self._raw(found), *self.steps)), found
+    def scores(self, texts: list[bytes]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """The score of each text and its nearest examples; equal texts are scored once."""
+        distinct = list(dict.fromkeys(texts))
+        known = {}
+        for i, j in _batches(distinct):
+            vectors = [self.weighted(*c) for c in self.vocabulary.counts(distinct[i:j])]
+            for t, found in zip(distinct[i:j], self.index.nearest_of(vectors, NEIGHBOURS)):
+                known[t] = float(np.interp(self._raw(found), *self.steps)), found
+        return [known[t] for t in texts]
 
 
 def isotonic(raw: list[float], labels: list[int], weights: list[float]) -> tuple[list[float], list[float]]:
@@ -224,7 +340,8 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     Only (key, hash) pairs are joined to the labels; texts are fetched for the
     chosen examples alone, whose number is bounded. Rows labelled null and null
     keys are not labelled. Without labelled rows of
-    both classes every score is the prior (0.5 without any).
+    both classes every score is the prior (0.5 without any). A row labelled 0 and 1 counts
+    for both classes.
     """
     raw = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)").distinct()
@@ -277,20 +394,23 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     counts = list(zip(np.split(t[order], cuts), np.split(n[order], cuts)))
     del own, t, n, order
 
-    at = spark.sparkContext.broadcast(Model(terms, [], [], {}))
+    at = spark.sparkContext.broadcast(Vocabulary(terms))
 
     def held(batches):
-        m = at.value
-        n = np.zeros(len(m.terms) + 1, np.int64)
+        v = at.value
+        n = np.zeros(v.size + 1, np.int64)
         for b in batches:
-            for x in b.column(0).to_pylist():
-                n[m.counts(x)[0]] += 1
+            texts = b.column(0).to_pylist()
+            for i, j in _batches(texts):
+                every = [t for t, _ in v.counts(texts[i:j])]
+                n[:-1] += np.bincount(np.concatenate(every), minlength=v.size)
             n[-1] += b.num_rows
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["t", "n"])
 
     held_by = (df.select(raw.alias("text")).mapInArrow(held, "t long, n long")
                .groupBy("t").agg(F.sum("n").alias("n")).toArrow())
+    at.destroy()
     rows = np.zeros(len(terms) + 1)
     rows[held_by.column("t").to_numpy()] = held_by.column("n").to_numpy()
     idf = np.log((1 + rows[-1]) / (1 + rows[:-1])) + 1
@@ -316,7 +436,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     def run(batches):
         m = sent.value
         for b in (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS)):
-            results = [m.score((x.as_py() or "").encode()) for x in b.column(at)]
+            results = m.scores([(x or "").encode() for x in b.column(at).to_pylist()])
             scores = np.array([s for s, _ in results], float)
             evidence = [[{"id": m.ids[i], "label": m.labels[i], "cosine": c} for c, i in e] for _, e in results]
             id_type = b.column(carry.index(key)).type if key in carry else pa.int64()

@@ -202,6 +202,109 @@ def test_nearest_examples_are_exact():
         assert {i for c, i in got if c > want[-1][0] + 1e-9} == {i for c, i in want if c > want[-1][0] + 1e-9}
 
 
+def plain_toxicity(docs, labels):
+    """Every score by plain dicts: all cosines, no index. docs: (id, text), labels: (id, 0/1)."""
+    import zlib
+    from collections import Counter
+    from math import log
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 3 == 1
+    beyond = re.compile(r"[^\x00-\x7f]{2,}")
+
+    def terms(text):
+        out = Counter()
+        for w in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower()):
+            u = w.decode("utf-8", "replace")
+            own = ([w] if len(w) <= X.TERM_BYTES else []) + [(u[:n], "begins") for n in range(3, 9) if n < len(u)]
+            out.update(own + list({(r[i:i + 2], "pair") for r in beyond.findall(u) for i in range(len(r) - 1)}))
+        return out
+    known = {(d, y) for d, y in labels if d is not None and y in (0, 1)}
+    texts = {}                                              # (class, digest) -> rows, text
+    for d, t in docs:
+        if d is not None and not held(d):
+            for y in (0, 1):
+                if (d, y) in known:
+                    key = (y, hashlib.sha256((t or "").encode()).hexdigest())
+                    texts.setdefault(key, [0, t])[0] += 1
+    examples = [(y, t) for c in (0, 1) for (y, _), (_, t) in sorted(texts.items(), key=lambda x: x[0][1]) if y == c][:]
+    rows_of = [sum(n for (y, _), (n, _) in texts.items() if y == c) for c in (0, 1)]
+    size_of = [sum(y == c for y, _ in examples) for c in (0, 1)]
+    assert max(size_of) <= X.EXAMPLES                       # all of them are examples
+    every = [terms(t) for _, t in docs]
+    vocabulary = set().union(*[terms(t) for _, t in examples])
+    df = Counter(x for c in every for x in c if x in vocabulary)
+    idf = {x: log((1 + len(docs)) / (1 + df[x])) + 1 for x in vocabulary}
+
+    def vector(c):
+        w = {x: (1 + log(n)) * idf[x] for x, n in c.items() if x in vocabulary}
+        size = sum(x * x for x in w.values()) ** .5
+        return {x: y / size for x, y in w.items()}
+    vectors = [vector(terms(t)) for _, t in examples]
+    holds = {}
+    for i, v in enumerate(vectors):
+        for x, w in v.items():
+            holds.setdefault(x, []).append((i, w))
+    share = [rows_of[c] / max(1, size_of[c]) for c in (0, 1)]
+    prior = rows_of[1] / sum(rows_of) if sum(rows_of) else .5
+
+    def raw(v, without=-1):
+        cos = Counter()
+        for x, w in v.items():
+            for i, u in holds[x]:
+                cos[i] += w * u
+        best = sorted((-round(min(1, c), X.PLACES), i) for i, c in cos.items() if i != without and c > 0)[:X.NEIGHBOURS]
+        votes = [0, 0]
+        for c, i in best:
+            votes[examples[i][0]] += share[examples[i][0]] / (1 + X.SHARP + c)
+        extra = X.PRIOR * (sum(share) / 2 or 1)
+        return (votes[1] + extra * prior) / (sum(votes) + extra)
+    if not all(size_of):
+        return [(d, held(d), prior) for d, _ in docs]
+    points = sorted((raw(v, i), y, share[y]) for i, (v, (y, _)) in enumerate(zip(vectors, examples)))
+    pools = []                                              # pool adjacent violators: [points]
+    for x, y, w in points:
+        pools.append([[x], y * w, w])
+        while len(pools) > 1 and (pools[-2][0][-1] == pools[-1][0][0] or pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]):
+            xs, a, b = pools.pop()
+            pools[-1] = [pools[-1][0] + xs, pools[-1][1] + a, pools[-1][2] + b]
+    xs = [x for p in pools for x in (p[0][0], p[0][-1])]
+    ys = [p[1] / p[2] for p in pools for _ in (0, 1)]
+    return [(d, held(d), float(np.interp(raw(vector(c)), xs, ys))) for (d, _), c in zip(docs, every)]
+
+
+def same_scores(got, want):
+    got, want = (sorted(x, key=str) for x in (got, want))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=0, atol=1e-7)
+
+
+def test_every_score_equals_plain_python(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", "toxic")
+    got = [(r.doc_id, r.held_out, r.score) for r in X.score(docs, X.fit(docs, labels)).collect()]
+    want = plain_toxicity([tuple(r) for r in docs.collect()], [tuple(r) for r in labels.collect()])
+    same_scores(got, want)
+    assert len({round(w[2], 6) for w in want}) > 3
+
+
+def test_long_words_scripts_without_spaces_and_rows_of_both_classes(spark, monkeypatch):
+    monkeypatch.setattr(X, "BATCH_TEXTS", 7)
+    monkeypatch.setattr(X, "MEMO_WORDS", 5)
+    rnd = random.Random(5)
+    han, kana = [chr(0x4e00 + i) for i in range(300)], [chr(0x3042 + i) for i in range(40)]
+    bad = "\u5927\u9a6c\u9e7f"                                 # a word inside long runs of letters
+    run = lambda n: "".join(rnd.choice(han) for _ in range(n))
+    docs = [(i, run(30) + (bad if i % 4 == 0 else "") + run(30)) for i in range(200)]
+    docs += [(1000 + i, "x" * 70 + ("vile" if i % 2 else "kind") + "y" * i) for i in range(20)]
+    docs += [(2000, "".join(rnd.choice(kana) for _ in range(9000))), (2001, None), (None, bad), (2002, "\U0001f600" * 50), (0, docs[0][1])]
+    labels = [(d, int(bad in (t or ""))) for d, t in docs[:200]] + [(4, 0), (5, 1), (7, None), (1001, 1), (1002, 0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = X.score(df, X.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"))).collect()
+    same_scores([(r.doc_id, r.held_out, r.score) for r in found], plain_toxicity(docs, labels))
+    fresh = [r for r in found if r.held_out and r.doc_id < 200]
+    assert np.mean([r.score for r in fresh if r.doc_id % 4 == 0]) > np.mean([r.score for r in fresh if r.doc_id % 4]) + .3
+    assert X.features(b"a" * 65) == [b"a" * n + b"-" for n in range(3, 9)]
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
@@ -242,6 +345,6 @@ def test_toxicity_keeps_all_terms_of_few_examples(spark, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     model = X.fit(docs, labels)
     learnt = [r.text for r in docs.where(~X.held_out("doc_id")).collect()]
-    assert set(model.terms) == {f for t in learnt for w in t.encode().split() for f in X.features(w)}
+    assert set(model.vocabulary.terms) == {f for t in learnt for w in t.encode().split() for f in X.features(w)}
     assert any(r.held_out for r in X.score(docs, model).where("doc_id < 9").collect())
     assert sorted(r.doc_id for r in C.drop_toxic(spark, docs, str(tmp_path)).collect()) == list(range(9, 30))
