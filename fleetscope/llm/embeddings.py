@@ -101,13 +101,15 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     """(key, n_links, component_id, kept) for each row.
 
     Rows link if their labels are equal and not null, their vectors have the
-    same length and their cosine is ``threshold`` or more. Vectors that are
-    null, empty, zero or hold null or non-finite components link with nothing.
+    same length and their cosine, in double precision, is ``threshold`` or more. Vectors
+    keep their element type: float stays float, all other numbers become doubles. Vectors that
+    are null, empty, zero or hold null or non-finite components link with nothing.
     ``n_links`` counts the other rows linked directly, repeated rows included;
     ``component_id`` is the smallest key that can be reached; ``kept`` tells
     whether it is the row's own. Other columns are ignored; no rows give none.
     """
-    rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<float>").alias("v"),
+    element = "float" if df.schema[vector].dataType.elementType.simpleString() == "float" else "double"
+    rows = df.select(F.col(key).alias("id"), F.col(vector).cast(f"array<{element}>").alias("v"),
                      F.col(label).alias("label"))
     rows = rows.withColumn("ok", _finite(F.col("v")) & F.col("label").isNotNull())
     classes = written(
@@ -116,7 +118,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     kind = classes.schema["label"].dataType.simpleString()
     hashed = classes.select("cid", "mult", "label", F.size("v").alias("dim"), "v").mapInArrow(
         _hashed(tables, bits, seed),
-        f"cid long, mult long, label {kind}, dim int, v array<float>, codes array<int>")
+        f"cid long, mult long, label {kind}, dim int, v array<{element}>, codes array<int>")
     members = hashed.select("*", F.posexplode("codes").alias("table", "code")).withColumn("t", F.col("table"))
     found = written(compared(members, ["table", "code", "label", "dim"], "cid", BLOCK,
                              "a long, b long, links long", _unit(threshold)), "vector-links")

@@ -99,7 +99,7 @@ def test_simhash_long_posting_list_is_compared_in_blocks(spark, monkeypatch):
 def cosine_expected(rows, threshold=0.93):
     ok = [v is not None and l is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
           for _, v, l in rows]
-    vs = [np.array(v, np.float32).astype(float) if o else None for (_, v, _), o in zip(rows, ok)]
+    vs = [np.array(v, float) / max(map(abs, v)) if o else None for (_, v, _), o in zip(rows, ok)]
     pairs = []
     for i in range(len(rows)):
         for j in range(i):
@@ -127,8 +127,8 @@ def test_embeddings_match_brute_force(spark):
     assert result(E.near_duplicates(df)) == cosine_expected(rows)
 
 
-@pytest.mark.parametrize("block", [8, 1024])
-def test_embeddings_edges_copies_and_blocks(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,kind", [(8, "float"), (1024, "float"), (1024, "double")])
+def test_embeddings_edges_copies_and_blocks(spark, monkeypatch, block, kind):
     monkeypatch.setattr(E, "BLOCK", block)
     rnd = np.random.default_rng(2)
     base = rnd.standard_normal(8)
@@ -137,10 +137,17 @@ def test_embeddings_edges_copies_and_blocks(spark, monkeypatch, block):
     rows += [(200, None, 1), (201, [], 1), (202, [0.0] * 8, 1), (203, [math.nan] * 8, 1), (204, [None] * 8, 1),
              (205, base.tolist(), None), (206, [math.inf] * 8, 0), (None, base.tolist(), 1), (0, rows[0][1], 0),
              (207, [1e30] * 8, 0), (208, [1e-30] * 8, 0), (209, [1.0], 0), (210, [2.0], 0)]
-    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, label int, cid int")
-    want = cosine_expected(rows[:-4]) + cosine_expected(rows[-4:-2]) + cosine_expected(rows[-2:])
+    if kind == "double":   # beyond floats, and apart only as doubles
+        rows += [(300, [1e39, 1.0], 3), (301, [1e39, 1.0], 3), (302, [1e39, 2.0], 3), (303, [1.0, 1e-46], 4), (304, [1.0, 2e-46], 4),
+                 (305, [1e-320, 1e-320], 4), (306, [1.0, 0.39523], 5), (307, [1.0, 0.0], 5), (308, [1.0, 0.39522], 5)]
+    else:
+        rows = [(d, v and [None if x is None else float(np.float32(x)) for x in v], y) for d, v, y in rows]
+    df = spark.createDataFrame([(*r, 1) for r in rows], f"vec_id long, embedding array<{kind}>, label int, cid int")
     got = result(E.near_duplicates(df, tables=60))
-    assert [g for g in got if g[0] not in (207, 208)] == [w for w in sorted(want, key=str) if w[0] not in (207, 208)]
+    assert got == cosine_expected(rows)
+    if kind == "double":
+        found = {g[0]: g for g in got}
+        assert found[300][1:3] == (2, 300) and found[303][1] == 1
     assert E.near_duplicates(df.limit(0)).collect() == []
 
 
