@@ -312,9 +312,11 @@ def report(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     named = (sets.select("phrase_ids", F.explode("phrase_ids").alias("phrase_id")).join(items, "phrase_id")
              .groupBy("phrase_ids").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + (x.stop - x.start))
-    return found.join(named, "phrase_ids", "left").select(
-        key, "n_words", n_hit.alias("n_hit"), "spans",
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    none = F.array().cast("array<string>")
+    # rows without a phrase, nearly all, need no names and take no part in the join
+    hit = found.where("size(phrase_ids) > 0").join(named, "phrase_ids", "left")
+    rows = found.where("size(phrase_ids) = 0").withColumn("items", none).unionByName(hit)
+    return rows.select(key, "n_words", n_hit.alias("n_hit"), "spans", F.coalesce("items", none).alias("items"))
 
 
 def cut(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
