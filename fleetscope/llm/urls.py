@@ -108,10 +108,9 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
     return host, path, F.concat(host, tail)
 
 
-def _table(spark: SparkSession, rows: list, fields: list[str]) -> DataFrame:
-    """A small table from literals."""
-    one = F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, r)]) for r in rows])
-    return spark.range(1).select(F.inline(one))
+def _table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """The rules as rows, not as literals of the plan: a list of 80,000 is a table like any other."""
+    return spark.createDataFrame(rows, schema)
 
 
 def judge_urls(df: DataFrame, host_rules=HOST_RULES, patterns=PATTERN_RULES,
@@ -141,15 +140,14 @@ def judge_urls(df: DataFrame, host_rules=HOST_RULES, patterns=PATTERN_RULES,
     tokens = urls.select("__target", F.explode(F.array_distinct(F.array_remove(
         F.split(ascii_lower(F.col("__target")), "[^a-z0-9]+"), ""))).alias("token"))
 
-    fields = ["id", "text", "verdict", "host_rule", "regex"]
-    table = _table(spark, [(i, r.text, r.verdict, r.host_rule, r.regex)
-                           for i, r in enumerate(rules)], fields)
+    table = _table(spark, [(i, r.text, r.verdict, r.host_rule, r.regex) for i, r in enumerate(rules)],
+                   "id int, text string, verdict string, host_rule boolean, regex string")
     pairs = [(i, t) for i, r in enumerate(rules) for t in r.tokens]
     found = []
     if pairs:
         small = sum(len(r.regex) + len(r.text) for r in rules) <= BROADCAST_RULE_BYTES
         hint = F.broadcast if small else (lambda x: x)
-        wanted = _table(spark, pairs, ["id", "token"])
+        wanted = _table(spark, pairs, "id int, token string")
         counts = (tokens.join(hint(wanted.select("token").distinct()), "token", "left_semi")
                   .groupBy("token").agg(F.count("*").alias("n")))
         rarest = (wanted.join(hint(counts) if small else counts, "token", "left")
@@ -160,6 +158,7 @@ def judge_urls(df: DataFrame, host_rules=HOST_RULES, patterns=PATTERN_RULES,
         found.append(tokens.join(hint(index), "token").drop("token"))
     if bare := [i for i, r in enumerate(rules) if not r.tokens]:
         # no whole token: the regular expression is tried on every URL
+        fields = ("id", "text", "verdict", "host_rule", "regex")
         rest = F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(
             fields, (i, rules[i].text, rules[i].verdict, rules[i].host_rule, rules[i].regex))])
             for i in bare])
