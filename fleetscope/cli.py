@@ -1,8 +1,9 @@
 """Command-line entry points with the platform's defaults.
 
-    python -m fleetscope.cli stream    (--source DIR | --servers HOSTS --topic T) --store DIR
-                                       --checkpoint DIR [--once]
-    python -m fleetscope.cli replay    --servers HOSTS --topic T  (raw-stream summary, V9 V10)
+    python -m fleetscope.cli stream    (--source DIR | --servers HOSTS --topic T | --log DIR --topic T)
+                                       --store DIR --checkpoint DIR [--once] [--history]
+    python -m fleetscope.cli replay    (--servers HOSTS | --log DIR) --topic T  (raw-stream summary, V9 V10)
+    python -m fleetscope.cli ingest    --store DIR [--topic T]    (counts and lag of past batches, V11 H3)
     python -m fleetscope.cli aggregate --store DIR [--append]
     python -m fleetscope.cli quality   --store DIR            (exit code 0 pass / 1 fail)
     python -m fleetscope.cli gate      --store DIR            (quality, then aggregate or alert)
@@ -34,7 +35,9 @@ def main(argv: list[str] | None = None) -> int:
     src = s.add_mutually_exclusive_group(required=True)
     src.add_argument("--source", help="folder of JSON-lines message files")
     src.add_argument("--servers", help="Kafka bootstrap servers (needs the connector)")
+    src.add_argument("--log", help="folder of a partitioned message log")
     s.add_argument("--topic", default=TOPIC)
+    s.add_argument("--history", action="store_true", help="keep counts and lag of every batch in the store")
     s.add_argument("--store", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--once", action="store_true", help="drain what is available, then stop")
@@ -55,8 +58,13 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--experiments", required=True)
     e.add_argument("--experiment", default=None)
     r = sub.add_parser("replay")
-    r.add_argument("--servers", required=True)
+    where = r.add_mutually_exclusive_group(required=True)
+    where.add_argument("--servers")
+    where.add_argument("--log")
     r.add_argument("--topic", default=TOPIC)
+    g = sub.add_parser("ingest")
+    g.add_argument("--store", required=True)
+    g.add_argument("--topic", default=TOPIC)
     c = sub.add_parser("catalog")
     c.add_argument("--store", required=True)
     c.add_argument("--table", default=None)
@@ -78,11 +86,15 @@ def main(argv: list[str] | None = None) -> int:
     from fleetscope.session import build_session
     spark = build_session(app=f"fleetscope-{args.cmd}")
     if args.cmd == "stream":
-        from fleetscope.sources import messages
+        from fleetscope.sources import messagelog, messages
         from fleetscope.streaming.processor import TelemetryProcessor
-        source = (messages.text_stream_source(spark, args.source) if args.source
-                  else messages.stream_source(spark, args.servers, args.topic))
-        q = TelemetryProcessor(args.store).start(source, args.checkpoint, available_now=args.once)
+        if args.source:
+            source = messages.text_stream_source(spark, args.source)
+        elif args.log:
+            source = messagelog.log_stream(spark, args.log, args.topic)
+        else:
+            source = messages.stream_source(spark, args.servers, args.topic)
+        q = TelemetryProcessor(args.store).start(source, args.checkpoint, available_now=args.once, history=args.history)
         try:
             q.awaitTermination()
         except KeyboardInterrupt:
@@ -118,10 +130,16 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "replay":
         from fleetscope.operators import validate as V
-        from fleetscope.sources.messages import replay_source
-        _show(V.raw_anomaly_summary(V.raw_anomaly_flags(replay_source(spark, args.servers, args.topic))))
+        from fleetscope.sources import messagelog, messages
+        sent = (messagelog.log_replay(spark, args.log, args.topic) if args.log
+                else messages.replay_source(spark, args.servers, args.topic))
+        _show(V.raw_anomaly_summary(V.raw_anomaly_flags(sent)))
         return 0
     from fleetscope.plans import serving
+    if args.cmd == "ingest":
+        _show(serving.ingest_totals(spark, args.store).orderBy("stream"))
+        _show(serving.past_ingest_health(spark, args.store, args.topic))
+        return 0
     try:
         if args.cmd == "catalog":
             if args.table is None:

@@ -100,6 +100,23 @@ def test_lag_by_partition_and_ingest_history(spark, tmp_root):
     assert serving.ingest_totals(spark, tmp_root + "/none").collect() == []
 
 
+def test_cli_streams_replays_and_reports_a_log(spark, tmp_root, capsys):
+    from fleetscope.cli import main
+    log, root = os.path.join(tmp_root, "log"), os.path.join(tmp_root, "store")
+    published(spark, log, [event(event_id="a"), event(event_id="b", value=5000), "bad"], topic="telemetry.raw")
+    assert main(["stream", "--log", log, "--store", root, "--checkpoint", os.path.join(tmp_root, "ck"), "--once", "--history"]) == 0
+    assert store.read_snapshots(spark, root, "clean_events").count() == 2
+    assert main(["replay", "--log", log]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["anomalies"] == 2
+    import time
+    deadline = time.time() + 60
+    while time.time() < deadline and not ingest_history(spark, root).count():
+        time.sleep(0.5)
+    assert main(["ingest", "--store", root]) == 0
+    totals, health = (json.loads(x) for x in capsys.readouterr().out.strip().splitlines()[-2:])
+    assert int(totals["valid"]) == 2 and int(totals["rejected"]) == 1 and health["status"] == "healthy"
+
+
 class Stop(Exception):
     pass
 
