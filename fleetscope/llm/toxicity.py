@@ -26,8 +26,8 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ EXAMPLES = 1500
 TERM_BYTES = 64
 STEMS = range(3, 9)
 #: Words whose terms a worker remembers: those it meets first, so mostly the frequent ones.
-MEMO_WORDS = 150_000
+MEMO_WORDS = 250_000
 NEIGHBOURS = 15
 BLOCK = 64
 #: A term in more than one of so many examples is common.
@@ -54,7 +54,7 @@ BATCH_TEXTS, BATCH_BYTES = 256, 2 << 20
 #: Cosines are rounded to so many places: a matrix product's last bits depend on the batch.
 PLACES = 12
 PRIOR = 0.05
-#: Rows in a result batch.
+#: Rows of a batch that are taken at a time.
 BATCH_ROWS = 1024
 #: Distance added to all, so that equal vectors have a finite vote.
 SHARP = 0.05
@@ -102,47 +102,61 @@ class Vocabulary:
     def terms(self) -> list[bytes]:
         return self.joined.split(b"\n") if self.size else []
 
+    #: The vocabulary that this worker has opened last: (terms, numbers, remembered words).
+    _opened: tuple[bytes, dict, dict] | None = None
+
     def _open(self) -> None:
-        self.number = {t: i for i, t in enumerate(self.terms)}
-        self.words: dict[bytes, tuple[int, ...]] = {}
+        # counting and scoring send equal vocabularies: a worker holds one of them
+        if Vocabulary._opened is None or Vocabulary._opened[0] != self.joined:
+            Vocabulary._opened = self.joined, {t: i for i, t in enumerate(self.terms)}, {}
+        self.joined, self.number, self.words = Vocabulary._opened
 
-    def _terms_of(self, word: bytes) -> tuple[int, ...]:
+    def _terms_of(self, word: bytes) -> list[int]:
         """The numbers of the word's known terms. A known word or beginning has all its shorter
         beginnings known, so the first that is not ends the search."""
         number = self.number
         if not word.isascii():
-            return tuple([number[f] for f in features(word) if f in number])
-        own = []
+            return [number[f] for f in features(word) if f in number]
+        own: list[int] = []
         for n in STEMS:
             if n >= len(word):
                 break
             t = number.get(word[:n] + b"-")
             if t is None:
-                return tuple(own)
+                return own
             own.append(t)
         t = number.get(word) if len(word) <= TERM_BYTES else None
-        return tuple(own) if t is None else (*own, t)
+        return own if t is None else [*own, t]
 
-    def counts(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text the numbers of its terms, ascending, and how often it has each."""
+    def _looked_up(self, some_words) -> list[bytes]:
+        """The packed numbers of each word's terms."""
         if self.number is None:
             self._open()
+        known = self.words
+        own = list(map(known.get, some_words))
+        if None in own:
+            for i, (w, terms) in enumerate(zip(some_words, own)):
+                if terms is None:
+                    own[i] = terms = array("q", self._terms_of(w)).tobytes()
+                    if len(w) <= TERM_BYTES and len(known) < MEMO_WORDS:
+                        known[w] = terms
+        return own
+
+    def held(self, text: bytes) -> np.ndarray:
+        """The numbers of the text's terms, ascending."""
+        every = np.sort(np.frombuffer(b"".join(self._looked_up(set(words(text)))), np.int64))
+        return every[np.flatnonzero(np.diff(every, prepend=-1))]
+
+    def counts(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the numbers of its terms, ascending, and how often it has each."""
         return [self._counted(Counter(words(t))) for t in texts]
 
     def _counted(self, by_word: Counter) -> tuple[np.ndarray, np.ndarray]:
-        known = self.words
-        own = []
-        for w in by_word:
-            terms = known.get(w)
-            if terms is None:
-                terms = self._terms_of(w)
-                if len(w) <= TERM_BYTES and len(known) < MEMO_WORDS:
-                    known[w] = terms
-            own.append(terms)
-        size = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
+        own = self._looked_up(by_word)
+        size = np.fromiter(map(len, own), np.int64, len(own)) >> 3
         # term and count in one number: one sort brings equal terms together
-        pairs = np.sort(flat << 32 | np.repeat(np.fromiter(by_word.values(), np.int64, len(own)), size))
+        pairs = np.sort(np.frombuffer(b"".join(own), np.int64) << 32
+                        | np.repeat(np.fromiter(by_word.values(), np.int64, len(own)), size))
         if not len(pairs):
             return pairs, pairs
         term = pairs >> 32
@@ -230,12 +244,14 @@ class BlockMaxIndex:
         for _ in range(2):
             for b, head in enumerate(self.heads.tolist()):
                 rows = np.flatnonzero(due[:, b])
-                if len(rows):
+                if len(rows) * 5 > m * 3:   # rather too many products than a copy of most rows
+                    cosine[rows, head:head + BLOCK] += (common @ self.blocks[b])[rows]
+                elif len(rows):
                     cosine[rows, head:head + BLOCK] += common[rows] @ self.blocks[b]
             opened |= due
             found = np.where(np.repeat(opened, np.diff(np.append(self.heads, n)), axis=1), cosine, -1.0)
             keep = min(k + (without is not None), n)  # one more where one is left out
-            kth = -np.partition(-found, keep - 1, axis=1)[:, keep - 1]
+            kth = np.partition(found, n - keep, axis=1)[:, n - keep]
             due = ~opened & (bounds * (1 + 1e-9) + 1e-9 >= kth[:, None]) & (bounds > 0)
             if not due.any():
                 break
@@ -285,15 +301,15 @@ class Model:
         extra = PRIOR * self.mean_share
         return (votes[1] + extra * self.prior) / (sum(votes) + extra)
 
-    def scores(self, texts: list[bytes]) -> list[tuple[float, list[tuple[float, int]]]]:
-        """The score of each text and its nearest examples; equal texts are scored once."""
-        distinct = list(dict.fromkeys(texts))
-        known = {}
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, list[list[tuple[float, int]]]]:
+        """The score of each text, and its nearest examples; equal texts are scored once."""
+        place: dict[bytes, int] = {}
+        at = [place.setdefault(t, len(place)) for t in texts]
+        distinct, found = list(place), []
         for i, j in _batches(distinct):
-            vectors = [self.weighted(*c) for c in self.vocabulary.counts(distinct[i:j])]
-            for t, found in zip(distinct[i:j], self.index.nearest_of(vectors, NEIGHBOURS)):
-                known[t] = float(np.interp(self._raw(found), *self.steps)), found
-        return [known[t] for t in texts]
+            found += self.index.nearest_of([self.weighted(*c) for c in self.vocabulary.counts(distinct[i:j])], NEIGHBOURS)
+        scores = np.interp([self._raw(f) for f in found], *map(np.array, self.steps))
+        return scores[at], [found[i] for i in at]
 
 
 def isotonic(raw: list[float], labels: list[int], weights: list[float]) -> tuple[list[float], list[float]]:
@@ -399,11 +415,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     def held(batches):
         v = at.value
         n = np.zeros(v.size + 1, np.int64)
-        for b in batches:
+        for b in (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS)):
             texts = b.column(0).to_pylist()
             for i, j in _batches(texts):
-                every = [t for t, _ in v.counts(texts[i:j])]
-                n[:-1] += np.bincount(np.concatenate(every), minlength=v.size)
+                n[:-1] += np.bincount(np.concatenate([v.held(t) for t in texts[i:j]]), minlength=v.size)
             n[-1] += b.num_rows
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["t", "n"])
@@ -436,14 +451,16 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     def run(batches):
         m = sent.value
         for b in (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS)):
-            results = m.scores([(x or "").encode() for x in b.column(at).to_pylist()])
-            scores = np.array([s for s, _ in results], float)
-            evidence = [[{"id": m.ids[i], "label": m.labels[i], "cosine": c} for c, i in e] for _, e in results]
+            scores, found = m.scores([(x or "").encode() for x in b.column(at).to_pylist()])
+            flat = [e for one in found for e in one]
             id_type = b.column(carry.index(key)).type if key in carry else pa.int64()
-            kinds = pa.list_(pa.struct([("id", id_type), ("label", pa.int32()), ("cosine", pa.float64())]))
+            nearest = pa.StructArray.from_arrays(
+                [pa.array([m.ids[i] for _, i in flat], id_type), pa.array([m.labels[i] for _, i in flat], pa.int32()),
+                 pa.array([c for c, _ in flat], pa.float64())], ["id", "label", "cosine"])
+            evidence = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), nearest)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:len(carry) + 1], pa.array(scores), pa.array((scores >= REJECT).astype(np.int32)),
-                 pa.array(evidence, kinds)], [*carry, "held_out", "score", "predicted", "evidence"])
+                [*b.columns[:len(carry) + 1], pa.array(scores), pa.array((scores >= REJECT).astype(np.int32)), evidence],
+                [*carry, "held_out", "score", "predicted", "evidence"])
     return columns.mapInArrow(
         run, f"{fields}, held_out boolean, score double, predicted int,"
              f" evidence array<struct<id:{kind},label:int,cosine:double>>")

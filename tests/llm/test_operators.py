@@ -186,6 +186,20 @@ def test_fm_index_finds_all_occurrences():
         assert sorted(index.locate(np.arange(a, b)).tolist()) == want
 
 
+def test_url_filters_take_a_public_list_s_number_of_rules(spark):
+    import time
+    rnd = random.Random(8)
+    made = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(80_000)]
+    rules = tuple(U.UrlRule(f"||{w}." if i % 2 else f"/{w}/", "block") for i, w in enumerate(made))
+    urls = [f"http://x{i}.org/a/{made[2 * i]}/b" for i in range(50)] + [f"http://{made[2 * i + 1]}.org/" for i in range(50)] + ["http://free.org/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    began = time.time()
+    got = {r.page_id: (r.verdict, r.pattern) for r in U.judge_urls(df, host_rules=(), patterns=rules).collect()}
+    assert time.time() - began < 60
+    assert got == {**{i: ("block", f"/{made[2 * i]}/") for i in range(50)},
+                   **{50 + i: ("block", f"||{made[2 * i + 1]}.") for i in range(50)}, 100: ("allow", None)}
+
+
 # --- 2: toxicity
 
 def test_nearest_examples_are_exact():
