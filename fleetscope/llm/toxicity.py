@@ -202,9 +202,10 @@ class BlockMaxIndex:
         self.blocks: list[np.ndarray] | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "blocks": None, "most": None}
+        return {**self.__dict__, "places": self.places.astype(np.int32), "blocks": None, "most": None} if len(self.order) else self.__dict__
 
     def _open(self) -> None:
+        self.places = self.places.astype(np.int64)  # as they are counted; sent as half of it
         number, place, weight = self.entries
         self.blocks = []
         for head in self.heads.tolist():
@@ -226,16 +227,21 @@ class BlockMaxIndex:
             return [[] for _ in queries]
         if self.blocks is None:
             self._open()
-        cosine, common = np.zeros((m, n)), np.zeros((m, self.n_common))
+        cosine, common, steps = np.zeros((m, n)), np.zeros((m, self.n_common)), np.arange(1 << 16)
         for q, vector in enumerate(queries):
             term, weight = _arrays(vector)
             number = self.common[term]
             rare = number < 0
             common[q, number[~rare]] = weight[~rare]
-            first, last = self.cuts[term[rare]], self.cuts[term[rare] + 1]
-            size = last - first
-            at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-            cosine[q] = np.bincount(self.places[at], np.repeat(weight[rare], size) * self.weights[at], n)
+            first = self.cuts[term[rare]]
+            size = self.cuts[term[rare] + 1] - first
+            at = np.repeat(first - np.cumsum(size) + size, size)
+            if len(at) > len(steps):
+                steps = np.arange(2 * len(at))
+            at += steps[:len(at)]
+            products = self.weights.take(at, mode="clip")  # all within: no check of every index
+            products *= np.repeat(weight[rare], size)
+            cosine[q] = np.bincount(self.places.take(at, mode="clip"), products, n)
         bounds = np.maximum.reduceat(cosine, self.heads, axis=1) + common @ self.most
         opened = np.zeros(bounds.shape, bool)
         first = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
@@ -409,6 +415,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     cuts = np.searchsorted(own[order], np.arange(1, len(chosen)))
     counts = list(zip(np.split(t[order], cuts), np.split(n[order], cuts)))
     del own, t, n, order
+    pa.default_memory_pool().release_unused()
 
     at = spark.sparkContext.broadcast(Vocabulary(terms))
 
