@@ -31,6 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ EXAMPLES = 1500
 TERM_BYTES = 64
 STEMS = range(3, 9)
 #: Words whose terms a worker remembers: those it meets first, so mostly the frequent ones.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 200_000
 NEIGHBOURS = 15
 BLOCK = 64
 #: A term in more than one of so many examples is common.
@@ -54,8 +55,9 @@ BATCH_TEXTS, BATCH_BYTES = 256, 2 << 20
 #: Cosines are rounded to so many places: a matrix product's last bits depend on the batch.
 PLACES = 12
 PRIOR = 0.05
-#: Rows of a batch that are taken at a time.
-BATCH_ROWS = 1024
+#: Rows of a batch that are taken at a time, and rows in the Arrow batches that Spark sends: a
+#: worker holds a model beside them.
+BATCH_ROWS, ARROW_ROWS = 1024, 2048
 #: Distance added to all, so that equal vectors have a finite vote.
 SHARP = 0.05
 REJECT = 0.7
@@ -137,14 +139,14 @@ class Vocabulary:
         if None in own:
             for i, (w, terms) in enumerate(zip(some_words, own)):
                 if terms is None:
-                    own[i] = terms = array("q", self._terms_of(w)).tobytes()
+                    own[i] = terms = array("i", self._terms_of(w)).tobytes()
                     if len(w) <= TERM_BYTES and len(known) < MEMO_WORDS:
                         known[w] = terms
         return own
 
     def held(self, text: bytes) -> np.ndarray:
         """The numbers of the text's terms, ascending."""
-        every = np.sort(np.frombuffer(b"".join(self._looked_up(set(words(text)))), np.int64))
+        every = np.sort(np.frombuffer(b"".join(self._looked_up(set(words(text)))), np.int32))
         return every[np.flatnonzero(np.diff(every, prepend=-1))]
 
     def counts(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -153,9 +155,9 @@ class Vocabulary:
 
     def _counted(self, by_word: Counter) -> tuple[np.ndarray, np.ndarray]:
         own = self._looked_up(by_word)
-        size = np.fromiter(map(len, own), np.int64, len(own)) >> 3
+        size = np.fromiter(map(len, own), np.int64, len(own)) >> 2
         # term and count in one number: one sort brings equal terms together
-        pairs = np.sort(np.frombuffer(b"".join(own), np.int64) << 32
+        pairs = np.sort(np.frombuffer(b"".join(own), np.int32).astype(np.int64) << 32
                         | np.repeat(np.fromiter(by_word.values(), np.int64, len(own)), size))
         if not len(pairs):
             return pairs, pairs
@@ -202,11 +204,15 @@ class BlockMaxIndex:
         self.blocks: list[np.ndarray] | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "places": self.places.astype(np.int32), "blocks": None, "most": None} if len(self.order) else self.__dict__
+        return {**self.__dict__, "blocks": None, "most": None}
+
+    def __setstate__(self, state):
+        self.__dict__ = {**state, "sent": True}
 
     def _open(self) -> None:
-        self.places = self.places.astype(np.int64)  # as they are counted; sent as half of it
         number, place, weight = self.entries
+        if self.__dict__.get("sent"):
+            self.entries = None     # a worker sends it no further
         self.blocks = []
         for head in self.heads.tolist():
             i, j = np.searchsorted(place, (head, head + BLOCK))
@@ -273,9 +279,9 @@ class BlockMaxIndex:
 class Model:
     """Terms, weights, examples, their index and the fitted scale."""
 
-    def __init__(self, terms: list[bytes], idf: list[float], examples: list, rows_of: dict[int, int]):
+    def __init__(self, vocabulary: Vocabulary, idf: np.ndarray, examples: list, rows_of: dict[int, int]):
         """``examples``: (id, label, term numbers, counts)."""
-        self.vocabulary = Vocabulary(terms)
+        self.vocabulary = vocabulary
         self.idf = np.array(idf, float)
         self.ids = [e[0] for e in examples]
         self.labels = [e[1] for e in examples]
@@ -285,7 +291,7 @@ class Model:
         self.prior = rows_of.get(1, 0) / n if n else 0.5
         self.mean_share = sum(self.share) / 2 or 1.0
         vectors = [self.weighted(*e[2:]) for e in examples]
-        self.index = BlockMaxIndex(vectors, len(terms))
+        self.index = BlockMaxIndex(vectors, vocabulary.size)
         self.steps = ([0.0, 1.0], [0.0, 1.0])
         if held[0] and held[1]:
             raw = []
@@ -365,6 +371,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     both classes every score is the prior (0.5 without any). A row labelled 0 and 1 counts
     for both classes.
     """
+    spark = df.sparkSession
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(batch))
+    spark.conf.set(batch, str(min(rows, ARROW_ROWS) if rows > 0 else ARROW_ROWS))
     raw = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)").distinct()
     keyed = df.where(~held_out(key)).select(F.col(key).alias("key"), F.sha2(raw, 256).alias("digest"))
@@ -376,7 +386,6 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         chosen = [(r.y, r.digest, r.key) for s in sorted(sizes) for r in _smallest(train, s.y, s.texts)]
     finally:
         train.unpersist()
-    spark = df.sparkSession
     kept = sorted(d for _, d, _ in chosen) if len(rows_of) == 2 else []  # one class alone has no terms
 
     def counted(batches):
@@ -395,29 +404,45 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
                                               pa.array(n, pa.int64())], ["digest", "term", "n"])
 
     digests = spark.createDataFrame(pa.table({"digest": pa.array(kept, pa.string())}))
-    picked = (df.select(F.sha2(raw, 256).alias("digest"), raw.alias("text"))
-              .join(F.broadcast(digests), "digest", "left_semi"))  # at most 2 x EXAMPLES digests
-    found = picked.mapInArrow(counted, "digest string, term binary, n long").groupBy("digest", "term").agg(
-        F.max("n").alias("n"))
+    holders = spark.createDataFrame([(k,) for _, _, k in chosen if kept], f"key {df.schema[key].dataType.simpleString()}")
+    # at most 2 x EXAMPLES keys; of their rows, those with a chosen text
+    picked = (df.select(F.col(key).alias("key"), raw.alias("text")).join(F.broadcast(holders.distinct()), "key", "left_semi")
+              .select(F.sha2("text", 256).alias("digest"), "text").join(F.broadcast(digests), "digest", "left_semi"))
+    found = (picked.mapInArrow(counted, "digest string, term binary, n long").repartition("term")
+             .groupBy("digest", "term").agg(F.max("n").cast("int").alias("n")))
     classes = spark.createDataFrame(pa.table({"digest": pa.array([d for _, d, _ in chosen], pa.string()),
                                               "i": pa.array(range(len(chosen)), pa.int32())}))
-    # all terms of the examples, as columns: no object for each
-    listed = found.join(F.broadcast(classes), "digest").select("i", "term", "n").toArrow()
-    coded = listed.column("term").combine_chunks().dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    ranked = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)
-    terms = [names[j] for j in ranked.tolist()]
-    number = np.empty(len(names), np.int64)
-    number[ranked] = np.arange(len(names))
-    own, t, n = listed.column("i").to_numpy(), number[coded.indices.to_numpy()], listed.column("n").to_numpy()
-    del listed, coded, names
-    order = np.lexsort((t, own))
+
+    def packed(batches):
+        # the (example, count) pairs of each term as one binary value; a term may go on in the next batch
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = b.column(0)
+            new = np.flatnonzero(np.concatenate(([True], pc.not_equal(t.slice(1), t.slice(0, len(t) - 1)).to_numpy(False))))
+            held = np.stack([b.column(1).to_numpy(), b.column(2).to_numpy()], axis=1).astype(np.int32)
+            cuts = np.append(new, len(t)).astype(np.int32) * 8
+            pairs = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(cuts), pa.py_buffer(held.tobytes())])
+            yield pa.RecordBatch.from_arrays([t.take(pa.array(new)), pairs], ["term", "held"])
+
+    # all terms of the examples, each with the examples that hold it
+    listed = (found.join(F.broadcast(classes), "digest").select("term", "i", "n").sortWithinPartitions("term")
+              .mapInArrow(packed, "term binary, held binary").toArrow())
+    listed = listed.take(pc.sort_indices(listed.column("term"))).combine_chunks()
+    names, lists = listed.column("term").to_pylist(), listed.column("held").combine_chunks()
+    vocabulary = Vocabulary(list(dict.fromkeys(names)))
+    number = np.cumsum([0, *(a != b for a, b in zip(names, names[1:]))], dtype=np.int32)[:len(names)]
+    held_in = [np.frombuffer(x.as_buffer(), np.int32) for x in lists]
+    t = np.repeat(number, [len(x) // 2 for x in held_in])
+    own, n = np.concatenate([np.zeros(0, np.int32), *held_in]).reshape(-1, 2).T
+    del listed, lists, names, held_in
+    order = np.argsort(own, kind="stable")  # by example; its terms stay ascending
     cuts = np.searchsorted(own[order], np.arange(1, len(chosen)))
     counts = list(zip(np.split(t[order], cuts), np.split(n[order], cuts)))
     del own, t, n, order
     pa.default_memory_pool().release_unused()
 
-    at = spark.sparkContext.broadcast(Vocabulary(terms))
+    at = spark.sparkContext.broadcast(vocabulary)
 
     def held(batches):
         v = at.value
@@ -433,10 +458,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     held_by = (df.select(raw.alias("text")).mapInArrow(held, "t long, n long")
                .groupBy("t").agg(F.sum("n").alias("n")).toArrow())
     at.destroy()
-    rows = np.zeros(len(terms) + 1)
+    rows = np.zeros(vocabulary.size + 1)
     rows[held_by.column("t").to_numpy()] = held_by.column("n").to_numpy()
     idf = np.log((1 + rows[-1]) / (1 + rows[:-1])) + 1
-    return Model(terms, idf, [(k, y, *c) for (y, _, k), c in zip(chosen, counts)], rows_of)
+    return Model(vocabulary, idf, [(k, y, *c) for (y, _, k), c in zip(chosen, counts)], rows_of)
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
