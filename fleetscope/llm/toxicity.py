@@ -313,6 +313,11 @@ class Model:
         extra = PRIOR * self.mean_share
         return (votes[1] + extra * self.prior) / (sum(votes) + extra)
 
+    def score(self, text: bytes | None) -> tuple[float, list[tuple[float, int]]]:
+        """:meth:`scores` of one text."""
+        scores, found = self.scores([text or b""])
+        return float(scores[0]), found[0]
+
     def scores(self, texts: list[bytes]) -> tuple[np.ndarray, list[list[tuple[float, int]]]]:
         """The score of each text, and its nearest examples; equal texts are scored once."""
         place: dict[bytes, int] = {}
