@@ -28,6 +28,7 @@ import math
 import re
 from array import array
 from collections import Counter
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,9 @@ EXAMPLES = 1500
 #: Longer words count by their beginnings and letter pairs alone (bytes).
 TERM_BYTES = 64
 STEMS = range(3, 9)
-#: Words whose terms a worker remembers: those it meets first, so mostly the frequent ones.
-MEMO_WORDS = 250_000
+#: Words whose terms a worker remembers: those it meets first, so mostly the frequent ones. They lie
+#: in a table of so many slots (12 bytes each).
+MEMO_WORDS, MEMO_SLOTS, PAIRED_WORDS = 600_000, 1 << 20, 50_000
 NEIGHBOURS = 15
 BLOCK = 64
 #: A term in more than one of so many examples is common.
@@ -51,7 +53,7 @@ COMMON = 16
 #: Blocks that a document opens before it knows its k-th best cosine.
 FIRST = 8
 #: Texts scored together, and the bytes of text after which a batch is closed.
-BATCH_TEXTS, BATCH_BYTES = 256, 2 << 20
+BATCH_TEXTS, BATCH_BYTES = 128, 2 << 20
 #: Cosines are rounded to so many places: a matrix product's last bits depend on the batch.
 PLACES = 12
 PRIOR = 0.05
@@ -90,80 +92,179 @@ def _batches(texts: list[bytes]):
 
 
 class Vocabulary:
-    """Numbers of the terms, and the terms of words met before."""
+    """Numbers of the terms, and what a worker remembers of words met before."""
 
     def __init__(self, terms: list[bytes]):
+        """``terms``: ascending, each once."""
         self.joined = b"\n".join(terms)  # no word has a line end; the numbers are made where they are used
         self.size = len(terms)
+        #: Of each term the next shorter beginning, -1 for none; the last place makes -1 its own.
+        self.shorter = np.full(self.size + 1, -1, np.int32)
+        above: list[tuple[bytes, int]] = []  # the beginnings that the last term has: a hyphen sorts before all letters
+        for i, t in enumerate(terms):
+            if t.endswith(b"~"):
+                continue
+            own = t[:-1] if t.endswith(b"-") else t
+            while above and not own.startswith(above[-1][0]):
+                above.pop()
+            if above:
+                self.shorter[i] = above[-1][1]
+            if own is not t:
+                above.append((own, i))
         self.number: dict[bytes, int] | None = None
 
     def __getstate__(self):
-        return {"joined": self.joined, "size": self.size, "number": None}  # the dict is made by each worker
+        # the dicts are made by each worker
+        return {"joined": self.joined, "size": self.size, "shorter": self.shorter, "number": None}
 
     @property
     def terms(self) -> list[bytes]:
         return self.joined.split(b"\n") if self.size else []
 
-    #: The vocabulary that this worker has opened last: (terms, numbers, remembered words).
-    _opened: tuple[bytes, dict, dict] | None = None
+    #: The vocabulary that this worker has opened last: (terms, shorter, numbers, remembered words).
+    _opened: tuple | None = None
 
     def _open(self) -> None:
         # counting and scoring send equal vocabularies: a worker holds one of them
         if Vocabulary._opened is None or Vocabulary._opened[0] != self.joined:
-            Vocabulary._opened = self.joined, {t: i for i, t in enumerate(self.terms)}, {}
-        self.joined, self.number, self.words = Vocabulary._opened
+            Vocabulary._opened = self.joined, self.shorter, {t: i for i, t in enumerate(self.terms)}, Memo()
+        self.joined, self.shorter, self.number, self.memo = Vocabulary._opened
 
-    def _terms_of(self, word: bytes) -> list[int]:
-        """The numbers of the word's known terms. A known word or beginning has all its shorter
-        beginnings known, so the first that is not ends the search."""
+    def _longest(self, word: bytes) -> int:
+        """The number of the longest known term that is the word or its beginning, -1 for none, ``PAIRS`` for
+        a word with pairs of letters. What is known has all its shorter beginnings known."""
         number = self.number
-        if not word.isascii():
-            return [number[f] for f in features(word) if f in number]
-        own: list[int] = []
-        for n in STEMS:
-            if n >= len(word):
-                break
-            t = number.get(word[:n] + b"-")
+        ascii = word.isascii()
+        letters = word if ascii else word.decode("utf-8", "replace")
+        if not ascii and _BEYOND_ASCII.search(letters):
+            return PAIRS
+        found = number.get(word) if len(word) <= TERM_BYTES else None
+        if found is not None:
+            return found
+        low, high, found = STEMS.start - 1, min(STEMS.stop, len(letters)) - 1, -1
+        while low < high:
+            n = (low + high + 1) // 2
+            t = number.get(letters[:n] + b"-" if ascii else letters[:n].encode() + b"-")
             if t is None:
-                return own
-            own.append(t)
-        t = number.get(word) if len(word) <= TERM_BYTES else None
-        return own if t is None else [*own, t]
-
-    def _looked_up(self, some_words) -> list[bytes]:
-        """The packed numbers of each word's terms."""
+                high = n - 1
+            else:
+                low, found = n, t
+        return found
+
+    def _words_of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each word of the texts the longest known term (-1: none); where each text begins, with the
+        end; and of the words with pairs of letters their terms, and for each the text."""
         if self.number is None:
             self._open()
-        known = self.words
-        own = list(map(known.get, some_words))
-        if None in own:
-            for i, (w, terms) in enumerate(zip(some_words, own)):
-                if terms is None:
-                    own[i] = terms = array("i", self._terms_of(w)).tobytes()
-                    if len(w) <= TERM_BYTES and len(known) < MEMO_WORDS:
-                        known[w] = terms
-        return own
-
-    def held(self, text: bytes) -> np.ndarray:
-        """The numbers of the text's terms, ascending."""
-        every = np.sort(np.frombuffer(b"".join(self._looked_up(set(words(text)))), np.int32))
-        return every[np.flatnonzero(np.diff(every, prepend=-1))]
+        found = [words(t) for t in texts]
+        cuts = np.cumsum([0, *map(len, found)])
+        every = list(chain.from_iterable(found))
+        del found
+        hashes = np.fromiter(map(hash, every), np.int64, len(every))
+        longest = self.memo.find(hashes)
+        new = np.flatnonzero(longest == NOT_MET)
+        if len(new):
+            hashes, first, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+            own = np.fromiter((self._longest(every[i]) for i in new[first].tolist()), np.int32, len(first))
+            longest[new] = own[back]
+            self.memo.add(hashes, own)
+        paired = np.flatnonzero(longest == PAIRS)
+        longest[paired] = -1
+        packed = [self._packed(every[i]) for i in paired.tolist()]
+        text = np.repeat(np.searchsorted(cuts, paired, side="right") - 1, [len(x) >> 2 for x in packed])
+        return longest, cuts, np.frombuffer(b"".join(packed), np.int32), text
+
+    def _packed(self, word: bytes) -> bytes:
+        """The numbers of all known terms of a word with pairs of letters."""
+        known = self.memo.paired
+        terms = known.get(word)
+        if terms is None:
+            terms = array("i", [self.number[f] for f in features(word) if f in self.number]).tobytes()
+            if len(word) <= TERM_BYTES and len(known) < PAIRED_WORDS:
+                known[word] = terms
+        return terms
+
+    def held(self, texts: list[bytes]) -> np.ndarray:
+        """The numbers of every text's terms, each once a text."""
+        longest, cuts, others, text = self._words_of(texts)
+        at, out = np.searchsorted(text, np.arange(len(texts) + 1)).tolist(), [np.zeros(0, np.int32)]
+        for k, (i, j) in enumerate(pairwise(cuts.tolist())):
+            level = np.sort(longest[i:j])
+            levels = [level := level[_heads(level)]]
+            for _ in STEMS:
+                levels.append(level := self.shorter[level])
+            term = np.sort(np.concatenate([*levels, others[at[k]:at[k + 1]]]))
+            term = term[np.searchsorted(term, 0):]
+            out.append(term[_heads(term)])
+        return np.concatenate(out)
 
     def counts(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text the numbers of its terms, ascending, and how often it has each."""
-        return [self._counted(Counter(words(t))) for t in texts]
+        longest, cuts, others, text = self._words_of(texts)
+        at, out = np.searchsorted(text, np.arange(len(texts) + 1)).tolist(), []
+        for k, (i, j) in enumerate(pairwise(cuts.tolist())):
+            level = np.sort(longest[i:j])
+            heads = _heads(level)
+            n, level = np.diff(heads, append=len(level)), level[heads]
+            levels = [level]
+            for _ in STEMS:
+                levels.append(level := self.shorter[level])
+            # term and count in one number: one sort brings equal terms together
+            pairs = (np.stack(levels).astype(np.int64) << 32 | n).ravel()
+            pairs = pairs[pairs >= 0]
+            if at[k + 1] > at[k]:
+                pairs = np.concatenate([pairs, others[at[k]:at[k + 1]].astype(np.int64) << 32 | 1])
+            pairs.sort()
+            term = (pairs >> 32).astype(np.int32)
+            heads = _heads(term)
+            out.append((term[heads], np.add.reduceat(pairs & 0xFFFFFFFF, heads) if len(heads) else pairs))
+        return out
+
+
+def _heads(ascending: np.ndarray) -> np.ndarray:
+    """The first place of each value."""
+    return np.flatnonzero(np.concatenate((ascending[:1] == ascending[:1], ascending[1:] != ascending[:-1])))
+
 
-    def _counted(self, by_word: Counter) -> tuple[np.ndarray, np.ndarray]:
-        own = self._looked_up(by_word)
-        size = np.fromiter(map(len, own), np.int64, len(own)) >> 2
-        # term and count in one number: one sort brings equal terms together
-        pairs = np.sort(np.frombuffer(b"".join(own), np.int32).astype(np.int64) << 32
-                        | np.repeat(np.fromiter(by_word.values(), np.int64, len(own)), size))
-        if not len(pairs):
-            return pairs, pairs
-        term = pairs >> 32
-        heads = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))
-        return term[heads], np.add.reduceat(pairs & 0xFFFFFFFF, heads)
+#: In a memo: a word not met before, and one that has pairs of letters beyond ASCII.
+NOT_MET, PAIRS = -3, -2
+
+
+class Memo:
+    """The longest terms of words, which are told apart by 64 bits of hash: a table of two arrays
+    instead of a dict, so that a batch's words are looked up together. Words with pairs of letters
+    have their packed terms in a dict."""
+
+    def __init__(self):
+        self.paired: dict[bytes, bytes] = {}
+        self.hashes = np.zeros(MEMO_SLOTS, np.int64)
+        self.longest = np.full(MEMO_SLOTS, NOT_MET, np.int32)
+        self.size = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes & (MEMO_SLOTS - 1)
+        out = self.longest[slot]
+        left = np.flatnonzero((self.hashes[slot] != hashes) & (out != NOT_MET))
+        slot, hashes = slot[left], hashes[left]
+        while len(left):
+            slot = slot + 1 & MEMO_SLOTS - 1
+            out[left] = own = self.longest[slot]
+            more = np.flatnonzero((self.hashes[slot] != hashes) & (own != NOT_MET))
+            left, slot, hashes = left[more], slot[more], hashes[more]
+        return out
+
+    def add(self, hashes: np.ndarray, longest: np.ndarray) -> None:
+        """Distinct hashes that are not there yet; as many as there is room for."""
+        hashes, longest = hashes[:MEMO_WORDS - self.size], longest[:MEMO_WORDS - self.size]
+        self.size += len(hashes)
+        slot = hashes & (MEMO_SLOTS - 1)
+        while len(hashes):
+            free = np.flatnonzero(self.longest[slot] == NOT_MET)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.hashes[slot[put]], self.longest[slot[put]] = hashes[put], longest[put]
+            left = np.delete(np.arange(len(hashes)), put)
+            hashes, longest, slot = hashes[left], longest[left], slot[left] + 1 & MEMO_SLOTS - 1
 
 
 def _arrays(vector) -> tuple[np.ndarray, np.ndarray]:
@@ -185,9 +286,10 @@ class BlockMaxIndex:
         self.heads = np.arange(0, n, BLOCK)
         if not n:
             return
-        place = np.repeat(np.arange(n, dtype=np.int32), [len(pairs[i][0]) for i in self.order])
+        place = np.repeat(np.arange(n, dtype=np.int16 if n < 1 << 15 else np.int32), [len(pairs[i][0]) for i in self.order])
         term = np.concatenate([pairs[i][0] for i in self.order])
         weight = np.concatenate([pairs[i][1] for i in self.order])
+        del pairs
         #: Number of a common term, -1 for a rare one.
         self.common = np.full(n_terms, -1, np.int32)
         many = np.flatnonzero(held * COMMON > len(vectors))
@@ -196,7 +298,7 @@ class BlockMaxIndex:
         number = self.common[term]
         rare = np.flatnonzero(number < 0)
         rare = rare[np.argsort(term[rare], kind="stable")]
-        self.cuts = np.searchsorted(term[rare], np.arange(n_terms + 1))
+        self.cuts = np.searchsorted(term[rare], np.arange(n_terms + 1, dtype=term.dtype)).astype(np.int32 if len(rare) < 1 << 31 else np.int64)
         self.places, self.weights = place[rare], weight[rare]
         some = np.flatnonzero(number >= 0)
         #: The weights of the common terms, as they are sent: (number, place, weight).
@@ -241,6 +343,7 @@ class BlockMaxIndex:
             common[q, number[~rare]] = weight[~rare]
             first = self.cuts[term[rare]]
             size = self.cuts[term[rare] + 1] - first
+            first = first.astype(np.int64)
             at = np.repeat(first - np.cumsum(size) + size, size)
             if len(at) > len(steps):
                 steps = np.arange(2 * len(at))
@@ -354,6 +457,13 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _new(terms: pa.Array) -> np.ndarray:
+    """Whether each term is another than the one before it."""
+    if not len(terms):
+        return np.zeros(0, bool)
+    return np.concatenate(([True], pc.not_equal(terms.slice(1), terms.slice(0, len(terms) - 1)).to_numpy(False)))
+
+
 def _smallest(train: DataFrame, y: int, texts: int) -> list:
     """The ``EXAMPLES`` smallest digests of a class. Digests are uniform, so those below a
     bound that some four times as many fall under are enough; few rows pass it in any task."""
@@ -424,7 +534,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
             if not b.num_rows:
                 continue
             t = b.column(0)
-            new = np.flatnonzero(np.concatenate(([True], pc.not_equal(t.slice(1), t.slice(0, len(t) - 1)).to_numpy(False))))
+            new = np.flatnonzero(_new(t))
             held = np.stack([b.column(1).to_numpy(), b.column(2).to_numpy()], axis=1).astype(np.int32)
             cuts = np.append(new, len(t)).astype(np.int32) * 8
             pairs = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(cuts), pa.py_buffer(held.tobytes())])
@@ -434,17 +544,17 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     listed = (found.join(F.broadcast(classes), "digest").select("term", "i", "n").sortWithinPartitions("term")
               .mapInArrow(packed, "term binary, held binary").toArrow())
     listed = listed.take(pc.sort_indices(listed.column("term"))).combine_chunks()
-    names, lists = listed.column("term").to_pylist(), listed.column("held").combine_chunks()
-    vocabulary = Vocabulary(list(dict.fromkeys(names)))
-    number = np.cumsum([0, *(a != b for a, b in zip(names, names[1:]))], dtype=np.int32)[:len(names)]
-    held_in = [np.frombuffer(x.as_buffer(), np.int32) for x in lists]
-    t = np.repeat(number, [len(x) // 2 for x in held_in])
-    own, n = np.concatenate([np.zeros(0, np.int32), *held_in]).reshape(-1, 2).T
-    del listed, lists, names, held_in
-    order = np.argsort(own, kind="stable")  # by example; its terms stay ascending
-    cuts = np.searchsorted(own[order], np.arange(1, len(chosen)))
-    counts = list(zip(np.split(t[order], cuts), np.split(n[order], cuts)))
-    del own, t, n, order
+    names, lists = (listed.column(c).combine_chunks() for c in ("term", "held"))
+    cuts, data = (np.frombuffer(x, np.int32) if x else np.zeros(1, np.int32) for x in lists.buffers()[1:])
+    cuts = cuts[lists.offset:lists.offset + len(lists) + 1]
+    new = np.flatnonzero(_new(names))
+    vocabulary = Vocabulary(names.take(pa.array(new)).to_pylist())
+    t = np.repeat(np.arange(len(new), dtype=np.int32), np.diff(np.append(cuts[new], cuts[-1])) >> 3)
+    own, n = data[cuts[0] >> 2:cuts[-1] >> 2].reshape(-1, 2).T
+    order = np.argsort(own.astype(np.int16 if len(chosen) < 1 << 15 else np.int32), kind="stable").astype(np.int32)  # by example; its terms stay ascending
+    at = np.searchsorted(own[order], np.arange(1, len(chosen)))
+    counts = list(zip(np.split(t[order], at), np.split(n[order], at)))
+    del listed, names, lists, cuts, data, new, own, t, n, order
     pa.default_memory_pool().release_unused()
 
     at = spark.sparkContext.broadcast(vocabulary)
@@ -455,7 +565,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         for b in (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS)):
             texts = b.column(0).to_pylist()
             for i, j in _batches(texts):
-                n[:-1] += np.bincount(np.concatenate([v.held(t) for t in texts[i:j]]), minlength=v.size)
+                n[:-1] += np.bincount(v.held(texts[i:j]), minlength=v.size)
             n[-1] += b.num_rows
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["t", "n"])

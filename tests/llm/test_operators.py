@@ -319,6 +319,48 @@ def test_long_words_scripts_without_spaces_and_rows_of_both_classes(spark, monke
     assert X.features(b"a" * 65) == [b"a" * n + b"-" for n in range(3, 9)]
 
 
+def test_words_are_looked_up_together_in_a_full_table(monkeypatch):
+    from collections import Counter
+    monkeypatch.setattr(X, "MEMO_SLOTS", 16)
+    monkeypatch.setattr(X, "MEMO_WORDS", 9)
+    monkeypatch.setattr(X, "PAIRED_WORDS", 2)
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("aab\u00e9\u6f22") for _ in range(rnd.choice([1, 3, 5, 9, 70]))).encode()
+    some = [word() for _ in range(60)]
+    vocabulary = X.Vocabulary(sorted({f for w in some[::2] for f in X.features(w)}))
+    texts = [b" ".join(rnd.choices(some, k=rnd.randint(0, 30))) for _ in range(40)] + [b"", some[1]]
+    number = {t: i for i, t in enumerate(vocabulary.terms)}
+    met, longest = [], X.Vocabulary._longest
+    monkeypatch.setattr(X.Vocabulary, "_longest", lambda self, w: met.append(w) or longest(self, w))
+    for _ in range(2):
+        want = [Counter() for _ in texts]
+        for c, t in zip(want, texts):
+            for w in t.split():
+                c.update(number[f] for f in X.features(w) if f in number)
+        got = vocabulary.counts(texts)
+        assert [dict(zip(t.tolist(), n.tolist())) for t, n in got] == want and all(sorted(t) == t.tolist() for t, _ in got)
+        assert sorted(vocabulary.held(texts).tolist()) == sorted(t for c in want for t in c)
+    assert vocabulary.memo.size == 9 and len(vocabulary.memo.paired) == 2
+    distinct = len({w for t in texts for w in t.split()})
+    assert distinct < len(met) <= distinct + 3 * (distinct - 9)  # once a batch, remembered words once in all
+
+
+def test_terms_come_to_the_driver_as_arrays(spark):
+    import tracemalloc
+    rnd = random.Random(9)
+    texts = [" ".join("".join(rnd.choices("abcdefghijklmnop", k=12)) for _ in range(60)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").localCheckpoint()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int").localCheckpoint()
+    tracemalloc.start()
+    try:
+        model = X.fit(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.vocabulary.size > 50_000 and model.index.places.dtype == np.int16
+    assert peak < 200 * model.vocabulary.size  # 303 with an object for each list
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
