@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetscope.llm.common import worker_state
+
 #: Pieces and pairs that a worker keeps; the memo is emptied when it is full.
 MEMO_PIECES = 1_000_000
 MEMO_PAIRS = 1_000_000
@@ -136,14 +138,9 @@ class BytePairCoder:
         return b"".join(map(self.bytes_of_text.__getitem__, ids))
 
 
-_CODERS: dict[tuple[str, str], BytePairCoder] = {}
-
-
 def coder(path: str, pattern: str) -> BytePairCoder:
-    """One coder for each Python worker and vocabulary."""
-    if (path, pattern) not in _CODERS:
-        _CODERS[path, pattern] = BytePairCoder(read_ranks(path), pattern)
-    return _CODERS[path, pattern]
+    """The coder that a Python worker keeps."""
+    return worker_state(("bpe", path, pattern), lambda: BytePairCoder(read_ranks(path), pattern))
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

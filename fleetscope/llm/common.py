@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,3 +34,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_STATE: tuple[Hashable, Any] | None = None
+
+
+def worker_state(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task under ``key``, made if it has it not. Spark hands
+    a worker on from one operator to the next: it keeps one thing, and what it kept before goes
+    before the new one is made."""
+    global _STATE
+    if _STATE is None or _STATE[0] != key:
+        _STATE = None
+        _STATE = key, make()
+    return _STATE[1]

@@ -36,6 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetscope.llm.common import worker_state
 from fleetscope.llm.decontaminate import words
 
 #: Distinct labelled texts of each class that serve as examples.
@@ -121,14 +122,10 @@ class Vocabulary:
     def terms(self) -> list[bytes]:
         return self.joined.split(b"\n") if self.size else []
 
-    #: The vocabulary that this worker has opened last: (terms, shorter, numbers, remembered words).
-    _opened: tuple | None = None
-
     def _open(self) -> None:
         # counting and scoring send equal vocabularies: a worker holds one of them
-        if Vocabulary._opened is None or Vocabulary._opened[0] != self.joined:
-            Vocabulary._opened = self.joined, self.shorter, {t: i for i, t in enumerate(self.terms)}, Memo()
-        self.joined, self.shorter, self.number, self.memo = Vocabulary._opened
+        self.joined, self.shorter, self.number, self.memo = worker_state(("toxicity", self.joined), lambda: (
+            self.joined, self.shorter, {t: i for i, t in enumerate(self.terms)}, Memo()))
 
     def _longest(self, word: bytes) -> int:
         """The number of the longest known term that is the word or its beginning, -1 for none, ``PAIRS`` for

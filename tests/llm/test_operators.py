@@ -404,3 +404,25 @@ def test_toxicity_keeps_all_terms_of_few_examples(spark, tmp_path):
     assert set(model.vocabulary.terms) == {f for t in learnt for w in t.encode().split() for f in X.features(w)}
     assert any(r.held_out for r in X.score(docs, model).where("doc_id < 9").collect())
     assert sorted(r.doc_id for r in C.drop_toxic(spark, docs, str(tmp_path)).collect()) == list(range(9, 30))
+
+
+def test_a_worker_keeps_the_state_of_one_operator():
+    import pickle
+    import weakref
+
+    # Spark hands a worker on: what the last operator kept there goes before the next one's is made
+    coder = weakref.ref(bpe.coder(VOCABULARY, P.PATTERN))
+    assert bpe.coder(VOCABULARY, P.PATTERN) is coder()
+    counting = X.Vocabulary([b"new-", b"news", b"paper"])
+    assert counting.held([b"news paper news"]).tolist() == [0, 1, 2]
+    assert coder() is None
+    scoring = pickle.loads(pickle.dumps(counting))
+    assert scoring.held([b"newest"]).tolist() == [0] and scoring.memo is counting.memo
+    memo = weakref.ref(counting.memo)
+    del counting, scoring
+    assert memo() is not None
+    other = X.Vocabulary([b"paper"])
+    assert other.held([b"news paper"]).tolist() == [0] and memo() is None
+    memo = weakref.ref(other.memo)
+    del other
+    assert bpe.coder(VOCABULARY, P.PATTERN).encode("news") and memo() is None
